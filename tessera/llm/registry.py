@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, fingerprint, mixing, ring_shards, secret_scan
+from . import bpe, exact_dedup, fingerprint, langmix, mixing, ring_shards, rule_ensemble, secret_scan
 
 
 def queries() -> dict:
@@ -10,7 +10,9 @@ def queries() -> dict:
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_secret_scan": secret_scan.op3_secret_scan,
         "op4_ring_shards": ring_shards.op4_ring_shards,
+        "op5_rule_quality": rule_ensemble.op5_rule_quality,
         "op6_byte_bpe": bpe.op6_byte_bpe,
+        "op7_language_mixture": langmix.op7_language_mixture,
         "op8_cdc_fingerprints": fingerprint.op8_cdc_fingerprints,
         "op9_mix_sources": mixing.op9_mix_sources,
     }
