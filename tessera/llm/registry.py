@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, fingerprint, langmix, mixing, ring_shards, rule_ensemble, secret_scan
+from . import bpe, exact_dedup, fingerprint, html_extract, langmix, mixing, ring_shards, rule_ensemble, secret_scan
 
 
 def queries() -> dict:
     return {
+        "op1_html_boosted": html_extract.op1_html_boosted,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_secret_scan": secret_scan.op3_secret_scan,
         "op4_ring_shards": ring_shards.op4_ring_shards,
