@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, fingerprint, html_extract, langmix, mixing, ring_shards, rule_ensemble, secret_scan
+from . import bpe, exact_dedup, fingerprint, html_extract, langmix, mixing, ngram_join, ring_shards, rule_ensemble, secret_scan
 
 
 def queries() -> dict:
@@ -16,6 +16,7 @@ def queries() -> dict:
         "op7_language_mixture": langmix.op7_language_mixture,
         "op8_cdc_fingerprints": fingerprint.op8_cdc_fingerprints,
         "op9_mix_sources": mixing.op9_mix_sources,
+        "op10_ngram_join": ngram_join.op10_ngram_join,
     }
 
 
