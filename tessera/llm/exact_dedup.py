@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import stage
 from .textcols import whole, without_ws
 
 # (code points, id) packed into one decimal, so that the choice of the survivor is a plain
@@ -71,11 +72,17 @@ def exact_dedup(docs: DataFrame, hash128=default_hash) -> DataFrame:
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that another row of equal text replaces, all columns as they were.
 
-    A row that repeats another's doc_id and text is dropped as well.  Only rows of groups of
-    two or more go through the join: unique texts pass on a left anti join of narrow keys.
+    Of rows that share a doc_id and an equal text one stays.  Rows without doc_id stay only
+    where no row of their text has one, all of them.
     """
-    out = exact_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__drop_id")).where("__drop_id is not null").distinct()
-    return docs.join(out, docs["doc_id"] == out["__drop_id"], "left_anti")
+    decided = stage(exact_dedup(docs), "exact")
+    lost = decided.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha")).distinct()
+    sha = F.unhex(F.sha2(without_ws(whole(docs["text"])).cast("binary"), 256))
+    known = docs.where(F.col("doc_id").isNotNull()).withColumn("__this", sha)
+    stay = known.join(lost, (known["doc_id"] == lost["__id"]) & (known["__this"] == lost["__sha"]), "left_anti").dropDuplicates(["doc_id", "__this"]).drop("__this")
+    nameless = docs.where(F.col("doc_id").isNull())
+    alone = decided.where(F.col("kept") & F.col("doc_id").isNull()).select(F.unhex("text_sha256").alias("__sha")).distinct()
+    return stay.unionByName(nameless.join(alone, sha == alone["__sha"], "left_semi"))
 
 
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -71,21 +71,13 @@ def thresholds(rows: DataFrame, need: dict) -> dict:
     return out
 
 
-def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.0, max_sources: int = MAX_SOURCES) -> DataFrame:
-    """How often each row of ``docs(doc_id, source, text, ...)`` is taken.
+_PLAN = "s string, source_size long, target double, whole int, below long"
 
-    Returns doc_id, source, size (words), source_size, target (its source's words), copies,
-    taken (size * copies).  Sources by code point, null last, weigh ``weights`` in turn and
-    share ``share`` times all words.
 
-    Null text has size 0; a null source is a source; repeated rows of one doc_id share a hash
-    and are taken alike; an empty table gives an empty result; other columns are ignored.
-    """
+def plan(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.0, max_sources: int = MAX_SOURCES) -> DataFrame:
+    """One row per source: its size, its target, whole copies of each document, and the hash below which one more."""
     spark = docs.sparkSession
-    rows = stage(
-        docs.select("doc_id", docs["source"].cast("string").alias("source"), n_words(docs["text"]).alias("size"), _bits(docs["doc_id"], utf8_crc32(docs["text"])).alias("h")),
-        "mix",
-    )
+    rows = stage(docs.select(docs["source"].cast("string").alias("source"), n_words(docs["text"]).alias("size"), _bits(docs["doc_id"], utf8_crc32(docs["text"])).alias("h")), "mix")
     sizes = {r["source"]: r["t"] for r in rows.groupBy("source").agg(F.sum("size").alias("t")).limit(max_sources + 1).collect()}
     if len(sizes) > max_sources:
         raise ValueError(f"more than {max_sources} sources: merge the small ones first")
@@ -94,15 +86,42 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.
     target = targets(sizes, weight, share * sum(sizes.values()), most)
     whole_copies = {s: int(target[s] // sizes[s]) if sizes[s] else 0 for s in ordered}
     below = thresholds(rows, {s: target[s] - whole_copies[s] * sizes[s] for s in ordered})
-    plan = spark.createDataFrame([(s, sizes[s], target[s], whole_copies[s], below[s]) for s in ordered], "s string, source_size long, target double, whole int, below long")
-    copies = (F.col("whole") + F.when(F.col("h") < F.col("below"), 1).otherwise(0)).cast("int")
-    return (
-        rows.join(F.broadcast(plan), rows["source"].eqNullSafe(plan["s"]))  # at most ``max_sources`` rows
-        .select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
-        .withColumn("taken", F.col("size") * F.col("copies"))
+    return spark.createDataFrame([(s, sizes[s], target[s], whole_copies[s], below[s]) for s in ordered], _PLAN)
+
+
+def with_copies(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``docs`` and its source's row of the plan, with a column ``__copies``; documents are read once and not moved."""
+    names = {c: f"__{c}" for c in chosen.columns}
+    chosen = chosen.withColumnsRenamed(names)
+    joined = docs.join(F.broadcast(chosen), docs["source"].cast("string").eqNullSafe(chosen["__s"]))  # at most ``max_sources`` rows
+    more = F.when(_bits(docs["doc_id"], utf8_crc32(docs["text"])) < F.col("__below"), 1).otherwise(0)
+    return joined.withColumn("__copies", F.col("__whole") + more)
+
+
+def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.0, max_sources: int = MAX_SOURCES) -> DataFrame:
+    """How often each row of ``docs(doc_id, source, text, ...)`` is taken.
+
+    Returns doc_id, source, size (words), source_size, target (its source's words), copies,
+    taken (size * copies).  Sources by code point, null last, weigh ``weights`` in turn and
+    share ``share`` times all words; none gets more than ``most`` times its size.
+
+    Null text has size 0; a null source is a source; repeated rows of one doc_id share a hash
+    and are taken alike; an empty table gives an empty result; other columns are ignored.
+    """
+    docs = docs.select("doc_id", "source", "text")
+    out = with_copies(docs, plan(docs, weights, share, most, max_sources)).withColumn("__size", n_words(F.col("text")))
+    return out.select(
+        "doc_id", "source", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
+        F.col("__copies").alias("copies"), (F.col("__size") * F.col("__copies")).alias("taken"),
     )
 
 
+def mixed_rows(docs: DataFrame, **how) -> DataFrame:
+    """The mixture itself: each row of ``docs`` as often as ``mix`` takes it, with the same columns."""
+    rows = with_copies(docs, plan(docs, **how)).where("__copies > 0")
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[rows[c] for c in docs.columns])
+
+
 def op9_mix_sources(spark, sf_dir: str) -> DataFrame:
     from ..tables import table
 

@@ -120,14 +120,17 @@ class RuleModel:
             z += w * (np.clip(x[:, f], low, high) - centre) / scale
         return 1 / (1 + np.exp(-z))
 
-    def column(self) -> Column:
-        """The same as an expression over columns named as in ``textstats.NAMES``."""
+    def column_of(self, name: str) -> Column:
+        """The same as an expression over the fields of the struct column ``name``."""
+        return self._compiled([F.col(name)[n] for n in NAMES])
+
+    def _compiled(self, stat: list[Column]) -> Column:
         z = F.lit(self.bias)
         for path, w in self.rules:
-            tests = [(F.col(NAMES[f]) <= c) if side == "le" else (F.col(NAMES[f]) > c) for f, side, c in path]
+            tests = [(stat[f] <= c) if side == "le" else (stat[f] > c) for f, side, c in path]
             z = z + F.when(reduce(lambda a, b: a & b, tests), F.lit(w)).otherwise(F.lit(0.0))
         for f, low, high, centre, scale, w in self.linear:
-            z = z + (F.greatest(F.lit(low), F.least(F.lit(high), F.col(NAMES[f]))) - F.lit(centre)) * F.lit(w / scale)
+            z = z + (F.greatest(F.lit(low), F.least(F.lit(high), stat[f])) - F.lit(centre)) * F.lit(w / scale)
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
@@ -199,10 +202,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleM
 
 def score(docs: DataFrame, model: RuleModel) -> DataFrame:
     """``docs`` with a column ``score`` in place of any it had: 0 to 1, higher means label 1 likelier."""
-    staged = with_stats(docs.drop("score"))
-    flat = staged.select(*[F.col(c).alias(f"__in_{i}") for i, c in enumerate(staged.columns[:-1])], "__stats.*")
-    out = flat.withColumn("score", model.column())
-    return out.select(*[F.col(f"__in_{i}").alias(c) for i, c in enumerate(staged.columns[:-1])], "score")
+    return with_stats(docs.drop("score")).withColumn("score", model.column_of("__stats")).drop("__stats")
 
 
 def in_split(doc_id: Column, mod: int, remainder: int) -> Column:
