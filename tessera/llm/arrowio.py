@@ -12,6 +12,7 @@ def pieces(batch: pa.RecordBatch, column: int, most: int = PIECE_BYTES):
     col = batch.column(column)
     if batch.num_rows == 0 or col.nbytes <= most:
         yield batch
+        pa.default_memory_pool().release_unused()
         return
     import pyarrow.compute as pc
 
@@ -23,3 +24,4 @@ def pieces(batch: pa.RecordBatch, column: int, most: int = PIECE_BYTES):
             start, held = i, 0
         held += int(n)
     yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # a worker lives on between tasks

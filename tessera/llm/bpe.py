@@ -107,22 +107,23 @@ def decode(raw: bytes, enc) -> bytes:
 
 
 def encode_documents(docs: DataFrame, rank_path: str, pattern: str, size: int = CHUNK, overlap: int = OVERLAP, long_chars: int = LONG) -> DataFrame:
-    """Token ids of every whole text of ``docs(doc_id, text, ...)``.
+    """Token ids of every whole text of ``docs(doc_id, text, ...)`` and the bytes they decode to.
 
-    Returns doc_id and ids (binary, little-endian unsigned 32-bit).  Null text counts as
-    empty and has no ids; repeated rows give a row each; an empty table gives an empty
-    result; other columns are ignored.
+    Returns doc_id, ids (binary, little-endian unsigned 32-bit) and decoded (binary, decoded
+    from ids alone, in the same worker).  Null text counts as empty and has no ids; repeated
+    rows give a row each; an empty table gives an empty result; other columns are ignored.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(rank_path))  # a vocabulary: its size is fixed
     rows = docs.select(docs["doc_id"], whole(docs["text"]).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
+    made = f"doc_id {kind}, ids binary, decoded binary"
 
     def here(batches):
         enc, rx = encoder(ranks.value, pattern)
         for batch in batches:
             for b in pieces(batch, 1):
                 raw = [id_bytes(encode(t, enc, rx, size, overlap)) for t in b.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary())], ["doc_id", "ids"])
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary()), pa.array([decode(x, enc) for x in raw], pa.binary())], ["doc_id", "ids", "decoded"])
 
     def cut(batches):
         for batch in batches:
@@ -154,33 +155,22 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, size: int =
             if behind:
                 out += ids or id_bytes(enc.encode_ordinary(held))
                 held = ""
-        return pa.table({"doc_id": table.column("doc_id")[:1], "ids": pa.array([out], pa.binary())})
+        return pa.table({"doc_id": table.column("doc_id")[:1], "ids": pa.array([out], pa.binary()), "decoded": pa.array([decode(out, enc)], pa.binary())})
 
     long_rows = rows.where(F.length("text") > long_chars).withColumn("uid", F.monotonically_increasing_id())
     dealt = long_rows.mapInArrow(cut, f"doc_id {kind}, uid long, no int, last boolean, chunk string").repartition("uid", "no")
     encoded = dealt.mapInArrow(alone, f"doc_id {kind}, uid long, no int, before boolean, behind boolean, ids binary, piece string")
-    return rows.where(F.length("text") <= long_chars).mapInArrow(here, f"doc_id {kind}, ids binary").unionByName(encoded.groupBy("uid").applyInArrow(together, f"doc_id {kind}, ids binary"))
+    return rows.where(F.length("text") <= long_chars).mapInArrow(here, made).unionByName(encoded.groupBy("uid").applyInArrow(together, made))
 
 
-def decode_documents(encoded: DataFrame, rank_path: str, pattern: str) -> DataFrame:
-    """``encoded(doc_id, ids)`` with a binary column ``decoded``; null ids decode to nothing."""
-    ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
-    rows = encoded.select("doc_id", "ids")
-
-    def back(batches):
-        enc, _ = encoder(ranks.value, pattern)
-        for batch in batches:
-            for b in pieces(batch, 1):
-                raw = [decode(x or b"", enc) for x in b.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(raw, pa.binary())], ["doc_id", "ids", "decoded"])
-
-    return rows.mapInArrow(back, f"doc_id {dict(rows.dtypes)['doc_id']}, ids binary, decoded binary")
+def with_digests(encoded: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, ids, ids_sha256, decoded_sha256 of ``encode_documents``."""
+    return encoded.select("doc_id", F.shiftright(F.octet_length("ids"), 2).cast("long").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def digests(docs: DataFrame, rank_path: str, pattern: str, **how) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text: encoded, then decoded from its ids."""
-    both = decode_documents(encode_documents(docs, rank_path, pattern, **how), rank_path, pattern)
-    return both.select("doc_id", F.shiftright(F.octet_length("ids"), 2).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return with_digests(encode_documents(docs, rank_path, pattern, **how)).drop("ids")
 
 
 def multi_50k() -> tuple[str, str]:

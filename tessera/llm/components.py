@@ -1,44 +1,120 @@
-"""Connected components of an edge table, by alternating large and small stars.
+"""Connected components of an edge table.
 
-Each round is two aggregates and two joins over narrow rows; rounds grow with the logarithm
-of the largest component.  Nothing but two sums a round reaches the driver.
+Every task first contracts its own edges to a forest, so a node has at most one edge per task
+and no node is hot.  A forest of at most ``local_edges`` edges is finished by one task of
+that bounded size; a larger one by rounds of joins over narrow rows, whose number grows with
+the logarithm of the largest component.  Nothing but counts reaches the driver.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import stage
 
+LOCAL_EDGES = 500_000
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step on rows (u, v), u > v."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    joined = both.join(least, "u")
-    if large:
-        out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-    return out.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+class Forest:
+    """Union-find over any ordered ids; a root is the least id of its tree."""
+
+    def __init__(self):
+        self.up: dict = {}
+
+    def root(self, x):
+        up = self.up
+        top = x
+        while (y := up.get(top, top)) != top:
+            top = y
+        while (y := up.get(x, x)) != top:
+            up[x] = top
+            x = y
+        return top
+
+    def join(self, a, b) -> bool:
+        a, b = self.root(a), self.root(b)
+        if a == b:
+            return False
+        if b < a:
+            a, b = b, a
+        self.up[b] = a
+        return True
+
+    def edges(self):
+        """(node, root) of every node that is not a root."""
+        return [(x, self.root(x)) for x in self.up if self.root(x) != x]
+
+
+def edge_batches(pairs, kind: pa.DataType, size: int = 1 << 16):
+    for i in range(0, len(pairs), size):
+        u, v = zip(*pairs[i : i + size])
+        yield pa.RecordBatch.from_arrays([pa.array(u, kind), pa.array(v, kind)], ["u", "v"])
+
+
+def contract(edges: DataFrame) -> DataFrame:
+    """The forest of each task's edges (u, v): every node with its least node, u > v."""
+    schema = edges.select("u", "v").schema
+
+    def run(batches):
+        forest, kind = Forest(), None
+        for b in batches:
+            kind = b.schema.field(0).type
+            for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if u is not None and v is not None and u != v:
+                    forest.join(u, v)
+        yield from edge_batches(forest.edges(), kind)
+
+    return edges.select("u", "v").mapInArrow(run, schema)
+
+
+def _finished(forest: DataFrame) -> DataFrame:
+    """(id, component, size) of a forest that one task can hold."""
+    kind = forest.schema["u"].dataType.simpleString()
+
+    def run(batches):
+        whole, at = Forest(), None
+        for b in batches:
+            at = b.schema.field(0).type
+            for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                whole.join(u, v)
+        size: dict = {}
+        pairs = whole.edges()
+        for _, root in pairs:
+            size[root] = size.get(root, 1) + 1
+        pairs += [(r, r) for r in size]
+        for i in range(0, len(pairs), 1 << 16):
+            u, v = zip(*pairs[i : i + (1 << 16)])
+            yield pa.RecordBatch.from_arrays([pa.array(u, at), pa.array(v, at), pa.array([size[x] for x in v], pa.int64())], ["id", "component", "size"])
+
+    return forest.coalesce(1).mapInArrow(run, f"id {kind}, component {kind}, size long")
 
 
-def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
-    """(id, component): the smallest id reachable, for every id on an edge of ``edges(u, v)``.
+def components(edges: DataFrame, local_edges: int = LOCAL_EDGES, most_rounds: int = 60) -> DataFrame:
+    """(id, component, size): the smallest id reachable and their number, for every id on an edge of ``edges(u, v)``.
 
-    Ids are any ordered type.  Loops and repeated edges are harmless; null ends are dropped.
+    Ids are binary or of another ordered type.  Loops and repeated edges are harmless; edges
+    with a null end are dropped.
     """
-    now = edges.where(F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v")))
-    now = stage(now.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    sign = None
+    now = stage(contract(edges), "forest")
     for _ in range(most_rounds):
-        now = stage(_star(_star(now, True), False), "edges")
-        new = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if new == sign:
+        if now.count() <= local_edges:
+            return stage(_finished(now), "components")
+        # a node's trees in several tasks meet in the least of their roots
+        least = now.groupBy("u").agg(F.min("v").alias("m"))
+        meet = now.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = stage(contract(least.select("u", F.col("m").alias("v")).unionByName(meet).repartition("u")), "forest")
+        # and a node under a root that has a parent moves up to it
+        above = stage(now.groupBy("u").agg(F.min("v").alias("v")), "above")
+        moved = now.join(above.select(F.col("u").alias("v"), F.col("v").alias("w")), "v", "left")
+        news = moved.agg(F.count_if(F.col("w").isNotNull())).first()[0] + now.count() - above.count()
+        now = stage(contract(moved.select("u", F.coalesce("w", "v").alias("v")).unionByName(moved.where("w is not null").select(F.col("v").alias("u"), F.col("w").alias("v")))), "forest")
+        if not news:
             break
-        sign = new
     else:
         raise RuntimeError("components did not settle")
-    roots = now.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component"))
-    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(roots)
+    now = now.distinct()
+    roots = now.groupBy("v").agg((F.count(F.lit(1)) + 1).alias("size"))
+    named = now.unionByName(roots.select(F.col("v").alias("u"), "v"))
+    return stage(named.join(roots, "v").select(F.col("u").alias("id"), F.col("v").alias("component"), "size"), "components")

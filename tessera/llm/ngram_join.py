@@ -10,8 +10,8 @@ Two sets of word shingles link when 100 * |A & B| >= 80 * |A | B|.  The steps:
 3. Several global orders: by frequency, rarest first, ties broken by a different hash each.
    In each order the first |A| - ceil(0.8 |A|) + 1 shingles of two linked sets share one.
    Under these orders common passages come last and hardly ever fall into a prefix.
-4. Sets that share a prefix shingle of the first order are tied together (a star of edges for
-   each shingle, never all pairs) into blocks.  Every link lies within a block.
+4. Sets that share a prefix shingle of the first order are tied together into blocks (one tie
+   to another holder of the shingle, never all pairs).  Every link lies within a block.
 5. Blocks are dealt into tiles of bounded size.  In a tile a candidate must share a prefix
    shingle in *every* order and fit in length; then its intersection is counted.  Sets that
    are already known to be connected are not compared again.  Small blocks share a tile; a
@@ -22,8 +22,6 @@ Two sets of word shingles link when 100 * |A & B| >= 80 * |A | B|.  The steps:
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..staging import stage
 from .arrowio import pieces
-from .components import components
+from .components import Forest, components, edge_batches
 from .shingles import mix, sets_of
 from .textcols import whole
 
@@ -40,7 +38,7 @@ PERCENT = 80
 ORDERS = 2
 TILE = 512
 LEADERS = 8
-_FLUSH = 1 << 21  # tokens that a task holds before it sends them
+_FLUSH = 1 << 19  # tokens that a task holds before it sends them
 _SALT = [np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) & (2**64 - 1)) for k in range(8)]
 
 
@@ -57,7 +55,7 @@ def set_key(s: np.ndarray) -> int:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, key of every row of ``docs(doc_id, text, ...)``; an empty set has no key."""
+    """doc_id, n_shingles, id (name of its set) of every row of ``docs(doc_id, text, ...)``; an empty set has no name."""
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), whole(docs["text"]).alias("text"))
 
     def run(batches):
@@ -65,15 +63,15 @@ def classes(docs: DataFrame) -> DataFrame:
             for b in pieces(batch, 1, 1 << 20):
                 sets = sets_of(b.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) if len(s) else None for s in sets], pa.int64())],
-                    ["doc_id", "n_shingles", "key"],
+                    [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(set_key(s), len(s)) if len(s) else None for s in sets], pa.binary())],
+                    ["doc_id", "n_shingles", "id"],
                 )
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, key long")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, id binary")
 
 
-_PACKED = "bucket int, keys binary, sizes binary, held binary, tokens binary"
 _TOKEN_BYTES = 6
+_SETS = 60_000  # sets of one flush: their numbers fit in 16 bits
 
 
 def _low_bytes(x: np.ndarray, n: int) -> bytes:
@@ -86,32 +84,46 @@ def _from_low(raw: bytes, n: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def _counts(x: np.ndarray) -> bytes:
+    return (x.astype("<u2") if x.max(initial=0) < 65536 else x.astype("<u4")).tobytes()
+
+
+def _from_counts(raw: bytes, entries: int) -> np.ndarray:
+    return np.frombuffer(raw, "<u2" if len(raw) == 2 * entries else "<u4").astype(np.int64)
+
+
+_PACKED = "bucket int, flush long, sets binary, held binary, tokens binary, keys binary, sizes binary"
+
+
 def _packed_tokens(docs: DataFrame, buckets: int) -> DataFrame:
-    """All shingles of all sets, packed: a row for each bucket and flush of a task; a task sends a set once."""
+    """All shingles of all sets, packed: a row for each bucket and flush of a task.
+
+    A task sends a set once.  Within a flush a set is a number; one more row has the keys and
+    sizes of the flush's sets, so that a set costs four bytes a bucket and not its whole name.
+    """
     rows = docs.select(whole(docs["text"]).alias("text"))
+    names = ["bucket", "flush", "sets", "held", "tokens", "keys", "sizes"]
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+
+    def flushed(sets, keys):
+        tokens = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        bucket = ((tokens >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")  # stays sorted by set within a bucket
+        tokens, owner, bucket = tokens[order], owner[order], bucket[order]
+        key, size = np.array(keys, "<i8").tobytes(), np.array([len(s) for s in sets], "<u4").tobytes()
+        flush = int.from_bytes(xxhash.xxh3_64_digest(key + size), "big", signed=True)
+        rows = [(flush % buckets, flush, None, None, None, key, size)]
+        cut = np.searchsorted(bucket, np.arange(buckets + 1))
+        for b in range(buckets):
+            t, o = tokens[cut[b] : cut[b + 1]], owner[cut[b] : cut[b + 1]]
+            if len(t):
+                first = np.flatnonzero(np.diff(o, prepend=-1))
+                rows.append((b, flush, o[first].astype("<u2").tobytes(), _counts(np.diff(np.append(first, len(o)))), _low_bytes(t, _TOKEN_BYTES), None, None))
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     def run(batches):
         seen, sets, keys, held = set(), [], [], 0
-
-        def flush():
-            tokens = np.concatenate(sets)
-            owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-            bucket = ((tokens >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")  # stays sorted by set within a bucket
-            tokens, owner, bucket = tokens[order], owner[order], bucket[order]
-            key, size = np.array(keys, np.int64), np.array([len(s) for s in sets], np.uint32)
-            cut = np.searchsorted(bucket, np.arange(buckets + 1))
-            for b in range(buckets):
-                t, o = tokens[cut[b] : cut[b + 1]], owner[cut[b] : cut[b + 1]]
-                if not len(t):
-                    continue
-                first = np.flatnonzero(np.diff(o, prepend=-1))
-                who, n = o[first], np.diff(np.append(first, len(o))).astype(np.uint32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in (key[who].tobytes(), size[who].tobytes(), n.tobytes(), _low_bytes(t, _TOKEN_BYTES)))],
-                    ["bucket", "keys", "sizes", "held", "tokens"],
-                )
-
         for batch in batches:
             for b in pieces(batch, 0, 1 << 20):
                 for s in sets_of(b.column(0).to_pylist()):
@@ -120,41 +132,39 @@ def _packed_tokens(docs: DataFrame, buckets: int) -> DataFrame:
                         sets.append(s)
                         keys.append(k[0])
                         held += len(s)
-                        if held >= _FLUSH:
-                            yield from flush()
+                        if held >= _FLUSH or len(sets) >= _SETS:
+                            yield flushed(sets, keys)
                             sets, keys, held = [], [], 0
         if sets:
-            yield from flush()
+            yield flushed(sets, keys)
 
     return rows.mapInArrow(run, _PACKED)
 
 
-_SHARED = "part int, keys binary, sizes binary, held binary, tokens binary, often binary"
+_SHARED = _PACKED + ", often binary"
 
 
-def _shared_tokens(packed: DataFrame, parts: int) -> DataFrame:
-    """Of each bucket the shingles of two sets or more, packed by set for the parts that gather sets."""
+def _shared_tokens(packed: DataFrame) -> DataFrame:
+    """Of each bucket the shingles of two sets or more, with their frequency, packed by flush."""
 
     def run(table: pa.Table) -> pa.Table:
-        cols = {c: table.column(c).to_pylist() for c in ("keys", "sizes", "held", "tokens")}
         bucket = table.column("bucket")[0].as_py()
-        key = np.frombuffer(b"".join(cols["keys"]), np.int64)
-        size = np.frombuffer(b"".join(cols["sizes"]), np.uint32)
-        held = np.frombuffer(b"".join(cols["held"]), np.uint32)
-        token = _from_low(b"".join(cols["tokens"]), _TOKEN_BYTES)
-        del cols
-        owner = np.repeat(np.arange(len(key), dtype=np.int32), held)
+        cells = {c: table.column(c).to_pylist() for c in ("flush", "sets", "held", "tokens")}
+        there = [i for i, s in enumerate(cells["sets"]) if s is not None]
+        flushes, flush_of = np.unique(np.array([cells["flush"][i] for i in there], np.int64), return_inverse=True)
+        owners, tokens = [], []
+        for i, f in zip(there, flush_of):
+            one = np.frombuffer(cells["sets"][i], "<u2").astype(np.int64)
+            owners.append(np.repeat((int(f) << 16) | one, _from_counts(cells["held"][i], len(one))))
+            tokens.append(_from_low(cells["tokens"][i], _TOKEN_BYTES))
+        token = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
+        owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
+        del cells, tokens, owners
         order = np.argsort(token, kind="stable")
         ts = token[order]
         same = ts[1:] == ts[:-1]
-        more = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+        more = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(ts) else np.zeros(0, bool)
         token, owner = ts[more], owner[order][more]
-        # sets that several tasks sent count once
-        _, one = np.unique(np.stack([key, size.astype(np.int64)], 1), axis=0, return_inverse=True)
-        one = one.ravel()
-        first = np.zeros(one.max() + 1 if len(one) else 0, np.int64)
-        first[one] = np.arange(len(one))
-        owner = one[owner]
         order = np.lexsort((owner, token))
         token, owner = token[order], owner[order]
         keep = np.ones(len(token), bool)
@@ -164,28 +174,32 @@ def _shared_tokens(packed: DataFrame, parts: int) -> DataFrame:
         count = np.diff(np.append(start, len(token)))
         often = np.repeat(count, count)
         keep = often > 1
-        token, owner, often = token[keep], owner[keep], np.minimum(often[keep], 2**16 - 1).astype(np.uint16)
-        token |= np.uint64(bucket) << np.uint64(8 * _TOKEN_BYTES)
-        key, size = key[first], size[first]
-        part = (key[owner] % parts + parts) % parts
-        order = np.lexsort((owner, part))
-        token, owner, often, part = token[order], owner[order], often[order], part[order]
-        out = {c: [] for c in ("part", "keys", "sizes", "held", "tokens", "often")}
-        cut = np.searchsorted(part, np.arange(parts + 1))
-        for p in range(parts):
-            a, b = cut[p], cut[p + 1]
-            if a == b:
-                continue
-            o = owner[a:b]
-            at = np.flatnonzero(np.diff(o, prepend=-1))
-            for c, v in (("part", p), ("keys", key[o[at]].tobytes()), ("sizes", size[o[at]].tobytes()), ("held", np.diff(np.append(at, b - a)).astype(np.uint32).tobytes()), ("tokens", _low_bytes(token[a:b], 8)), ("often", often[a:b].tobytes())):
-                out[c].append(v)
-        return pa.table([pa.array(out["part"], pa.int32()), *(pa.array(out[c], pa.binary()) for c in ("keys", "sizes", "held", "tokens", "often"))], names=list(out))
+        token, owner, often = token[keep], owner[keep], np.minimum(often[keep], 65535).astype("<u2")
+        order = np.argsort(owner, kind="stable")
+        token, owner, often = token[order], owner[order], often[order]
+        out = {c: [] for c in (*(f.split()[0] for f in _SHARED.split(", ")),)}
+        cut = np.searchsorted(owner >> 16, np.arange(len(flushes) + 1))
+        for f, flush in enumerate(flushes.tolist()):
+            a, b = cut[f], cut[f + 1]
+            if a < b:
+                o = owner[a:b] & 0xFFFF
+                at = np.flatnonzero(np.diff(o, prepend=-1))
+                cell = {"bucket": bucket, "flush": flush, "sets": o[at].astype("<u2").tobytes(), "held": _counts(np.diff(np.append(at, b - a))), "tokens": _low_bytes(token[a:b], _TOKEN_BYTES), "often": often[a:b].tobytes()}
+                for c in out:
+                    out[c].append(cell.get(c))
+        names = table.filter(table.column("keys").is_valid())
+        made = pa.table([pa.array(out["bucket"], pa.int32()), pa.array(out["flush"], pa.int64()), *(pa.array(out[c], pa.binary()) for c in list(out)[2:])], names=list(out))
+        return pa.concat_tables([made, names.append_column("often", pa.nulls(len(names), pa.binary())).select(made.column_names).cast(made.schema)])
 
     return packed.groupBy("bucket").applyInArrow(run, _SHARED)
 
 
-REDUCED = "key long, n int, tokens binary, often binary, prefix_1 array<long>"
+REDUCED = "id binary, n int, tokens binary, often binary, prefix_1 array<long>"
+
+
+def set_id(key: int, n: int) -> bytes:
+    """Name of a set: its digest and its size."""
+    return key.to_bytes(8, "big", signed=True) + n.to_bytes(4, "big")
 
 
 def _order(token: np.ndarray, often: np.ndarray, k: int) -> np.ndarray:
@@ -200,32 +214,71 @@ def prefix(token: np.ndarray, often: np.ndarray, n: int, k: int, percent: int) -
 
 
 def reduced_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row per distinct set that shares a shingle: key, n, its shared shingles with frequencies, first prefix."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shared = _shared_tokens(_packed_tokens(docs, parts), parts)
-
-    def gather(table: pa.Table) -> pa.Table:
-        cols = {c: table.column(c).to_pylist() for c in ("keys", "sizes", "held", "tokens", "often")}
-        key = np.frombuffer(b"".join(cols["keys"]), np.int64)
-        size = np.frombuffer(b"".join(cols["sizes"]), np.uint32).astype(np.int64)
-        held = np.frombuffer(b"".join(cols["held"]), np.uint32)
-        token, often = np.frombuffer(b"".join(cols["tokens"]), np.uint64), np.frombuffer(b"".join(cols["often"]), np.uint16)
-        del cols
-        pairs, one = np.unique(np.stack([key, size], 1), axis=0, return_inverse=True)
-        owner = np.repeat(one.ravel(), held)
-        order = np.argsort(owner, kind="stable")
-        token, often = token[order], often[order]
-        cut = np.append(np.searchsorted(owner[order], np.arange(len(pairs))), len(token))
-        out = {c: [] for c in ("key", "n", "tokens", "often", "prefix_1")}
-        for i, (k, n) in enumerate(pairs.tolist()):
-            t, f = token[cut[i] : cut[i + 1]], often[cut[i] : cut[i + 1]]
-            p = prefix(t, f, n, 0, percent)
-            if len(p):
-                for c, v in (("key", k), ("n", n), ("tokens", t.tobytes()), ("often", f.tobytes()), ("prefix_1", p.view(np.int64))):
-                    out[c].append(v)
-        return pa.table([pa.array(out["key"], pa.int64()), pa.array(out["n"], pa.int32()), pa.array(out["tokens"], pa.binary()), pa.array(out["often"], pa.binary()), pa.array(out["prefix_1"], pa.list_(pa.int64()))], names=list(out))
-
-    return shared.groupBy("part").applyInArrow(gather, REDUCED)
+    """A row per set (and flush that has it) with a shared shingle in its first prefix: its shared shingles and frequencies."""
+    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = _shared_tokens(_packed_tokens(docs, buckets))
+
+    def gather(table: pa.Table) -> pa.Table:  # one flush
+        names = table.filter(table.column("keys").is_valid())
+        keys, sizes = (np.frombuffer(names.column(c)[0].as_py(), t) for c, t in (("keys", "<i8"), ("sizes", "<u4")))
+        owners, tokens, often = [], [], []
+        for b, s, h, t, f in zip(*(table.column(c).to_pylist() for c in ("bucket", "sets", "held", "tokens", "often"))):
+            if s is not None:
+                one = np.frombuffer(s, "<u2").astype(np.int64)
+                owners.append(np.repeat(one, _from_counts(h, len(one))))
+                tokens.append(_from_low(t, _TOKEN_BYTES) | (np.uint64(b) << np.uint64(8 * _TOKEN_BYTES)))
+                often.append(np.frombuffer(f, "<u2"))
+        out = {c: [] for c in ("id", "n", "tokens", "often", "prefix_1")}
+        if owners:
+            owner = np.concatenate(owners)
+            order = np.argsort(owner, kind="stable")
+            token, count = np.concatenate(tokens)[order], np.concatenate(often)[order]
+            who, first = np.unique(owner[order], return_index=True)
+            for i, a, b in zip(who.tolist(), first, np.append(first[1:], len(order))):
+                n = int(sizes[i])
+                t, f = token[a:b], count[a:b]
+                p = prefix(t, f, n, 0, percent)
+                if len(p):
+                    for c, v in (("id", set_id(int(keys[i]), n)), ("n", n), ("tokens", t.tobytes()), ("often", f.tobytes()), ("prefix_1", p.view(np.int64))):
+                        out[c].append(v)
+        return pa.table([pa.array(out["id"], pa.binary()), pa.array(out["n"], pa.int32()), pa.array(out["tokens"], pa.binary()), pa.array(out["often"], pa.binary()), pa.array(out["prefix_1"], pa.list_(pa.int64()))], names=list(out))
+
+    return shared.groupBy("flush").applyInArrow(gather, REDUCED)
+
+
+def blocks_of(sets: DataFrame) -> DataFrame:
+    """(id, component, size) of the sets that a shared first-prefix shingle ties to another, directly or not.
+
+    A task first ties its own sets; of each shingle only one of them goes on, so a common
+    shingle sends one row a task.  Then equal shingles meet and are tied in one ordered pass.
+    """
+    rows = sets.select("id", "prefix_1")
+
+    def mine(batches):
+        forest, holder = Forest(), {}
+        for b in batches:
+            for i, tokens in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for t in tokens:
+                    if (other := holder.setdefault(t, i)) != i:
+                        forest.join(other, i)
+        pairs = list(holder.items())
+        for u, v in forest.edges():  # a tie goes on as a shingle of its own
+            t = int.from_bytes(xxhash.xxh3_64_digest(u + v + b"tie"), "big", signed=True)
+            pairs += [(t, u), (t, v)]
+        for a in range(0, len(pairs), 1 << 16):
+            t, i = zip(*pairs[a : a + (1 << 16)])
+            yield pa.RecordBatch.from_arrays([pa.array(t, pa.int64()), pa.array(i, pa.binary())], ["token", "id"])
+
+    def tie(batches):
+        forest, last, at = Forest(), None, None
+        for b in batches:
+            for t, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if t == last and i != at:
+                    forest.join(at, i)
+                last, at = t, i
+        yield from edge_batches(forest.edges(), pa.binary())
+
+    return components(rows.mapInArrow(mine, "token long, id binary").repartition("token").sortWithinPartitions("token").mapInArrow(tie, "u binary, v binary"))
 
 
 # ---------------------------------------------------------------- tiles
@@ -279,41 +332,38 @@ def spanning_links(n: np.ndarray, tokens: list[np.ndarray], often: list[np.ndarr
     return links, group
 
 
-_EDGE = "u struct<key:long,n:int>, v struct<key:long,n:int>"
+_EDGE = "u binary, v binary"
+_MEMBER = ["block", "id", "n", "tokens", "often"]
 
 
 def _tile(table: pa.Table, percent: int, orders: int) -> tuple[list[tuple[int, int]], np.ndarray]:
     n = table.column("n").to_numpy().astype(np.int64)
     tokens = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
     often = [np.frombuffer(x, np.uint16) for x in table.column("often").to_pylist()]
+    group = np.arange(len(n))
     if "component" in table.column_names:
-        _, group = np.unique(np.array([(c["key"], c["n"]) for c in table.column("component").to_pylist()], dtype="i8,i8"), return_inverse=True)
-    else:
-        group = np.arange(len(n))
+        number: dict = {}
+        group = np.array([number.setdefault(c, len(number)) for c in table.column("component").to_pylist()])
     query = table.column("query").to_numpy(zero_copy_only=False) if "query" in table.column_names else np.ones(len(n), bool)
-    return spanning_links(n, tokens, often, group.ravel(), query, percent, orders)
+    return spanning_links(n, tokens, often, group, query, percent, orders)
 
 
 def _edges(table: pa.Table, links) -> pa.Table:
-    key, n = table.column("key").to_pylist(), table.column("n").to_pylist()
-    ends = [[{"key": key[e[i]], "n": n[e[i]]} for e in links] for i in (0, 1)]
-    kind = pa.struct([("key", pa.int64()), ("n", pa.int32())])
-    return pa.table([pa.array(ends[0], kind), pa.array(ends[1], kind)], names=["u", "v"])
+    ids = table.column("id").to_pylist()
+    return pa.table([pa.array([ids[e[i]] for e in links], pa.binary()) for i in (0, 1)], names=["u", "v"])
 
 
-def _small(members: DataFrame, tile: int, percent: int, orders: int) -> DataFrame:
-    """Links within blocks of at most ``tile`` sets: whole blocks share bins of about ``tile`` sets."""
-    bins = max(1, members.count() // tile)
+def _small(members: DataFrame, bins: int, percent: int, orders: int) -> DataFrame:
+    """Links within blocks of at most a tile of sets: whole blocks share bins."""
 
     def run(table: pa.Table) -> pa.Table:
         return _edges(table, _tile(table, percent, orders)[0])
 
-    return members.withColumn("bin", F.pmod(F.xxhash64("block"), F.lit(bins))).select("bin", "key", "n", "tokens", "often").groupBy("bin").applyInArrow(run, _EDGE)
+    return members.withColumn("bin", F.pmod(F.xxhash64("block"), F.lit(bins))).select("bin", *_MEMBER[1:]).groupBy("bin").applyInArrow(run, _EDGE)
 
 
 def _large(members: DataFrame, tile: int, percent: int, orders: int) -> DataFrame:
-    """Links within blocks of more than ``tile`` sets, see the module's step 5."""
-    spread = F.xxhash64("key", "n")
+    """Links within blocks of more than a tile of sets, see the module's step 5; ``members`` has each block's size."""
 
     def meet(table: pa.Table) -> pa.Table:
         links, group = _tile(table, percent, orders)
@@ -322,41 +372,34 @@ def _large(members: DataFrame, tile: int, percent: int, orders: int) -> DataFram
         rank = np.arange(len(g)) - np.searchsorted(g, g, side="left")
         lead = np.zeros(len(g), bool)
         lead[order] = rank < LEADERS
-        e = _edges(table, links)
-        rows = table.select(["block", "key", "n", "tokens", "often"]).filter(pa.array(lead))
-        none = lambda k, t: pa.nulls(k, t)
-        return pa.concat_tables([
-            pa.table([e.column("u"), e.column("v"), *(none(len(e), t) for t in (rows.schema.field(i).type for i in range(5)))], names=["u", "v", "block", "key", "n", "tokens", "often"]),
-            pa.table([none(len(rows), e.schema.field(0).type), none(len(rows), e.schema.field(1).type), *rows.columns], names=["u", "v", "block", "key", "n", "tokens", "often"]),
-        ])
-
-    links, level, size = None, members.select("block", "key", "n", "tokens", "often"), None
+        e, rows = _edges(table, links), table.select(_MEMBER).filter(pa.array(lead))
+        none = lambda t, like: [pa.nulls(len(t), f.type) for f in like.schema]
+        return pa.concat_tables([pa.table([*e.columns, *none(e, rows)], names=["u", "v", *_MEMBER]), pa.table([*none(rows, e), *rows.columns], names=["u", "v", *_MEMBER])])
+
+    links, level, had = None, members, None
     while True:
-        sizes = level.groupBy("block").count()
-        now, most = sizes.agg(F.sum("count"), F.max("count")).first()
-        if now is None or size is not None and (now > size * 0.7 or most <= 1):
-            break
-        chunked = level.join(sizes, "block").withColumn("chunk", F.pmod(spread, F.ceil(F.col("count") / tile))).drop("count")
-        met = stage(chunked.groupBy("block", "chunk").applyInArrow(meet, _EDGE + ", block struct<key:long,n:int>, key long, n int, tokens binary, often binary"), "tiles")
+        chunked = level.withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / tile)))
+        met = stage(chunked.groupBy("block", "chunk").applyInArrow(meet, _EDGE + ", block binary, id binary, n int, tokens binary, often binary"), "tiles")
         found = met.where("u is not null").select("u", "v")
         links = found if links is None else links.unionByName(found)
-        level, size = met.where("u is null").select("block", "key", "n", "tokens", "often"), now
-        if most <= tile:
-            break
-    if links is None:
-        return members.sparkSession.createDataFrame([], _EDGE)
+        leaders = met.where("u is null").select(*_MEMBER)
+        sizes = stage(leaders.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "sizes")
+        now, most = sizes.agg(F.sum("size"), F.max("size")).first()
+        if now is None or most <= LEADERS or had is not None and now > 0.7 * had:
+            break  # one group a block, or leaders that no longer become fewer
+        level, had = leaders.join(sizes, "block"), now
     # what is not in its block's largest component is compared with the whole block
     part = components(links)
-    me = F.struct("key", "n")
-    known = members.join(part, me == part["id"], "left").select("block", "key", "n", "tokens", "often", F.coalesce("component", me).alias("component"))
-    known = stage(known, "known")
-    sums = known.groupBy("block", "component").count()
-    top = sums.groupBy("block").agg(F.max(F.struct("count", "component")).alias("top"), F.sum("count").alias("all"))
-    top = top.select("block", F.col("top.component").alias("main"), "all", (F.col("all") - F.col("top.count")).alias("rest")).where("rest > 0")
+    known = stage(members.join(part.select("id", "component"), "id", "left").select(*_MEMBER, F.coalesce("component", "id").alias("component")), "known")
+    sums = known.groupBy("block", "component").agg(F.count(F.lit(1)).alias("k"))
+    top = sums.groupBy("block").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("all"))
+    top = stage(top.select("block", F.col("top.component").alias("main"), "all", (F.col("all") - F.col("top.k")).alias("rest")).where("rest > 0"), "rest")
+    if top.isEmpty():
+        return links
     half = tile // 2
     rows = known.join(top, "block").withColumn("query", F.col("component") != F.col("main"))
     a, b = F.ceil(F.col("rest") / half).cast("int"), F.ceil(F.col("all") / half).cast("int")
-    mine, other = F.pmod(spread, a).cast("int"), F.pmod(F.xxhash64("n", "key"), b).cast("int")
+    mine, other = F.pmod(F.xxhash64("id"), a).cast("int"), F.pmod(F.xxhash64("n", "id"), b).cast("int")
     queries = rows.where("query").withColumn("i", mine).withColumn("j", F.explode(F.sequence(F.lit(0), b - 1)))
     # a query is also among the sets that other queries are compared with
     against = rows.withColumn("j", other).withColumn("i", F.explode(F.sequence(F.lit(0), a - 1))).withColumn("query", F.lit(False))
@@ -364,7 +407,7 @@ def _large(members: DataFrame, tile: int, percent: int, orders: int) -> DataFram
     def cross(table: pa.Table) -> pa.Table:
         return _edges(table, _tile(table, percent, orders)[0])
 
-    cols = ["block", "i", "j", "key", "n", "tokens", "often", "component", "query"]
+    cols = [*_MEMBER, "i", "j", "component", "query"]
     return links.unionByName(queries.select(*cols).unionByName(against.select(*cols)).groupBy("block", "i", "j").applyInArrow(cross, _EDGE))
 
 
@@ -372,18 +415,16 @@ def _large(members: DataFrame, tile: int, percent: int, orders: int) -> DataFram
 
 
 def links_of(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS, tile: int = TILE) -> DataFrame:
-    """Links (u, v) of distinct sets, named (key, n): enough of them to connect all that any links connect."""
+    """Links (u, v) of distinct sets by name: enough of them to connect all that any links connect."""
     sets = stage(reduced_sets(docs, percent), "sets")
-    me = F.struct("key", "n")
-    tokens = sets.select(F.explode("prefix_1").alias("token"), me.alias("id"))
-    hubs = tokens.groupBy("token").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    stars = tokens.join(hubs, "token").where("id != hub").select(F.col("id").alias("u"), F.col("hub").alias("v"))
-    blocks = components(stars)
-    members = stage(sets.join(blocks, me == blocks["id"]).select(F.col("component").alias("block"), "key", "n", "tokens", "often"), "members")
-    sizes = members.groupBy("block").count()
-    big = sizes.where(F.col("count") > tile).select("block")
-    small = members.join(big, "block", "left_anti")
-    return _small(small, tile, percent, orders).unionByName(_large(members.join(big, "block", "left_semi"), tile, percent, orders))
+    named = blocks_of(sets).withColumnRenamed("component", "block")
+    # a set that several tasks sent is one member
+    members = stage(sets.drop("prefix_1").join(named, "id").dropDuplicates(["id"]).select(*_MEMBER, "size"), "members")
+    total, most = members.agg(F.count(F.lit(1)), F.max("size")).first()
+    found = _small(members.where(F.col("size") <= tile), max(1, total // tile), percent, orders)
+    if most is None or most <= tile:
+        return found
+    return found.unionByName(_large(members.where(F.col("size") > tile), tile, percent, orders))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS, tile: int = TILE) -> DataFrame:
@@ -396,14 +437,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, orders: int = ORDER
     give a row each; an empty table gives an empty result; other columns are ignored.
     """
     rows = stage(classes(docs), "classes")
-    me = F.struct("key", F.col("n").cast("int").alias("n"))
-    reps = rows.where("key is not null").groupBy("key", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("rep"))
+    reps = rows.where("id is not null").groupBy("id").agg(F.min("doc_id").alias("rep"))
     parts = components(links_of(docs, percent, orders, tile))
-    named = reps.join(parts, me == parts["id"], "left").select("key", "n", "rep", F.coalesce("component", me).alias("component"))
-    named = stage(named, "named")
-    least = named.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-    named = stage(named.join(least, "component", "left").select(F.col("key").alias("k"), "n", F.coalesce("component_id", "rep").alias("component_id")), "named")
-    return rows.join(named, (rows["key"] == named["k"]) & (rows["n_shingles"] == named["n"]), "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    least = reps.join(parts, "id").groupBy("component").agg(F.min("rep").alias("least"))
+    linked = parts.join(least, "component").select("id", "least")
+    # staged, so that both sides of the last join are plain exchanges and AQE can split the copies of one set
+    named = stage(reps.join(linked, "id", "left").select(F.col("id").alias("set"), F.coalesce("least", "rep").alias("component_id")), "named")
+    return rows.join(named, rows["id"] == named["set"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def op10_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -57,7 +57,7 @@ def corpus(seed, n):
 def test_against_brute_force(spark, tile):
     texts = corpus(1, 240) + [None, "", " \n", "a b", "A  b", "x", "x"]
     rows = [(i * 3 + 1, t) for i, t in enumerate(texts)] + [(None, "a b"), (None, "nobody else"), (4, texts[1])]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as key", "2 as n").repartition(5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as id", "2 as n").repartition(5)
     got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in nj.near_duplicates(docs, tile=tile).collect())
     assert got == brute(rows)
 
@@ -84,3 +84,26 @@ def test_empty(spark):
 
 def test_prefix_length():
     assert [nj.prefix_length(n) for n in (0, 1, 4, 5, 10, 500)] == [0, 1, 1, 2, 3, 101]
+
+
+@pytest.mark.parametrize("local", [10**6, 0])
+def test_components(spark, local):
+    from tessera.llm.components import components
+
+    rng = random.Random(6)
+    for edges in ([(i, i + 1) for i in range(60)], [(rng.randrange(200), rng.randrange(200)) for _ in range(120)], [(0, i) for i in range(1, 50)] + [(7, 7), (None, 3)], []):
+        up = {}
+
+        def top(x):
+            while up.get(x, x) != x:
+                x = up[x]
+            return x
+
+        for u, v in edges:
+            if u is not None and u != v:
+                a, b = sorted((top(u), top(v)))
+                up[b] = a
+        want = {x: top(x) for e in edges if e[0] is not None and e[0] != e[1] for x in e}
+        df = spark.createDataFrame(edges, "u long, v long").repartition(5)
+        got = {r.id: r.component for r in components(df, local_edges=local).collect()}
+        assert got == want
