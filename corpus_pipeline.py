@@ -42,9 +42,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document (little-endian unsigned 32-bit), and digests of them and of what they decode to."""
-    ranks, pattern = bpe.multi_50k()
-    both = bpe.decode_documents(bpe.encode_documents(docs, ranks, pattern), ranks, pattern)
-    return both.select("doc_id", F.shiftright(F.octet_length("ids"), 2).cast("long").alias("n_tokens"), "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.with_digests(bpe.encode_documents(docs, *bpe.multi_50k()))
 
 
 STAGES = [("quality", quality), ("exact", exact), ("near", near), ("mix", mix), ("encode", encode)]
