@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import address as A
 from ..functions import text as T
+from ..functions.phones import with_phone_columns
 from .crosswalk import IN_ADDRESS
-from .target import phone_columns
 
 
 def publishable_posts(posts: DataFrame, cities: DataFrame, phones: DataFrame, companies: DataFrame) -> DataFrame:
@@ -16,13 +16,13 @@ def publishable_posts(posts: DataFrame, cities: DataFrame, phones: DataFrame, co
     trimmed = lambda c: T.blank_to_null(F.trim(c)).alias(c)
     p = posts.where("uf_fonte is not null and uf_fonte <> ''")
     rows = p.join(cities, "posto_id", "left").join(phones, "posto_id", "left").join(companies.withColumnRenamed("id", "cnpj"), "posto_id", "left")
-    line = F.concat_ws(" - ", T.caso_natural("endereco"), T.caso_natural("bairro"))
-    return rows.select(
+    rows = rows.select("*", T.caso_natural("endereco").alias("__rua"), T.caso_natural("bairro").alias("__bairro"))
+    made = rows.select(
         "posto_id", "fonte", "coletado_em", "nome", F.col("uf_fonte").alias("uf"), "municipio", "municipio_slug", "ibge", "municipio_origem",
-        T.blank_to_null(F.trim(line)).alias("endereco"), A.cep_formatado("cep").alias("cep"), F.concat("municipio", F.lit("-"), "uf_fonte").alias("cidade_uf"),
-        "telefone", *phone_columns("telefone"), "telefone_2", *phone_columns("telefone_2"), T.blank_to_null(F.lower(F.trim("email"))).alias("email"),
-        *[trimmed(c) for c in ("site", "contato", "horario", "segmento")], "cnpj", T.cnpj_formatado(F.col("cnpj")).alias("cnpj_formatado"),
+        T.blank_to_null(F.trim(F.concat_ws(" - ", "__rua", "__bairro"))).alias("endereco"), A.cep_formatado("cep").alias("cep"), F.concat("municipio", F.lit("-"), "uf_fonte").alias("cidade_uf"),
+        "telefone", "telefone_2", T.blank_to_null(F.lower(F.trim("email"))).alias("email"), *[trimmed(c) for c in ("site", "contato", "horario", "segmento")], "cnpj", T.cnpj_formatado(F.col("cnpj")).alias("cnpj_formatado"),
     )
+    return with_phone_columns(made, "telefone", "telefone_2")
 
 
 def brand_posts(posts: DataFrame, marca: DataFrame) -> DataFrame:

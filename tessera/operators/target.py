@@ -8,16 +8,11 @@ from pyspark.sql import functions as F
 from ..functions import address as A
 from ..functions import phones as P
 from ..functions import text as T
+from ..staging import stage
 from .classify import ID
 from .resolve import flag, suspected_duplicates
 
 
-def phone_columns(name: str) -> list:
-    """A phone with its type, display form and ninth-digit forms."""
-    nine = P.telefone_com_nono_digito(name)
-    return [P.tipo_telefone(name).alias(f"{name}_tipo"), P.telefone_exibicao(name).alias(f"{name}_formatado"), nine.alias(f"{name}_9"), P.telefone_exibicao(nine).alias(f"{name}_9_formatado")]
-
-
 def record_card(*parts):
     """Lines of a card; a part that is null leaves no line."""
     return F.concat_ws("\n", *parts)
@@ -33,14 +28,12 @@ def establishments(estabelecimentos: DataFrame, target: DataFrame, empresas: Dat
         .join(municipios.select(F.col("codigo_rfb").alias("municipio"), F.col("municipio").alias("cidade"), "municipio_slug", "ibge"), "municipio", "left")
         .join(cnaes.select(F.col("codigo").alias("cnae_fiscal_principal"), F.col("descricao").alias("cnae_principal_desc")), "cnae_fiscal_principal", "left")
     )
+    # in steps, so that every expression is over plain columns and none is repeated inside another
     made = rows.select(
-        F.concat(*ID).alias("id"), T.cnpj_formatado(F.concat(*ID)).alias("cnpj_formatado"),
-        T.texto_nome("nome_fantasia").alias("nome_fantasia"), F.trim("razao_social").alias("razao_social"), T.texto_nome("razao_social").alias("razao_social_publicavel"),
-        A.abreviar_logradouro(T.titulo_caso(A.logradouro_completo("tipo_logradouro", "logradouro"))).alias("logradouro"),
-        T.blank_to_null(F.upper(F.trim("numero"))).alias("numero"), T.titulo_caso("complemento").alias("complemento"), T.titulo_caso("bairro").alias("bairro"),
-        T.blank_to_null(T.so_digitos("cep")).alias("cep"), A.cep_formatado("cep").alias("cep_formatado"),
-        F.col("cidade").alias("municipio"), "municipio_slug", "ibge", "uf", F.concat("cidade", F.lit("-"), "uf").alias("cidade_uf"),
-        P.telefone_e164("ddd_1", "telefone_1").alias("telefone"), P.telefone_e164("ddd_2", "telefone_2").alias("telefone_2"),
+        F.concat(*ID).alias("id"), T.nome_publicavel("nome_fantasia").alias("__fantasia"), F.trim("razao_social").alias("razao_social"), T.nome_publicavel("razao_social").alias("__razao"),
+        A.logradouro_completo("tipo_logradouro", "logradouro").alias("__rua"), T.blank_to_null(F.upper(F.trim("numero"))).alias("numero"), T.titulo_caso("complemento").alias("complemento"), T.titulo_caso("bairro").alias("bairro"),
+        T.so_digitos("cep").alias("__cep"), F.col("cidade").alias("municipio"), "municipio_slug", "ibge", "uf", F.concat("cidade", F.lit("-"), "uf").alias("cidade_uf"),
+        *[T.so_digitos(c).alias(f"__{c}") for c in ("ddd_1", "telefone_1", "ddd_2", "telefone_2")],
         F.lower(T.blank_to_null(F.trim("correio_eletronico"))).alias("email"), A.dominio_email("correio_eletronico").alias("dominio_email"),
         F.col("cnae_fiscal_principal").alias("cnae_principal"), "cnae_principal_desc", T.blank_to_null(F.col("cnae_fiscal_secundaria")).alias("cnaes_secundarios"),
         F.to_date(F.try_to_timestamp("data_inicio_atividade", F.lit("yyyyMMdd"))).alias("data_abertura"),
@@ -48,16 +41,23 @@ def establishments(estabelecimentos: DataFrame, target: DataFrame, empresas: Dat
         (F.col("identificador_matriz_filial") == "1").alias("matriz"), "situacao_cadastral", F.lit(safra).alias("safra"),
         F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lng"),
     )
+    named = lambda c: F.when(~F.col(c).rlike(r"\A[0-9]+\z"), F.col(c))
     made = made.select(
-        "*", F.coalesce("nome_fantasia", "razao_social_publicavel", F.concat(F.lit("CNPJ "), "cnpj_formatado")).alias("nome"),
-        *phone_columns("telefone"), *phone_columns("telefone_2"),
+        "*", T.cnpj_formatado(F.col("id")).alias("cnpj_formatado"), named("__fantasia").alias("nome_fantasia"), named("__razao").alias("razao_social_publicavel"), T.titulo_caso("__rua").alias("__titulo"),
+        T.blank_to_null(F.col("__cep")).alias("cep"), F.when(F.length("__cep") == 8, F.concat(F.substring("__cep", 1, 5), F.lit("-"), F.substring("__cep", 6, 3))).alias("cep_formatado"),
+        P.e164_of_digits(F.col("__ddd_1"), F.col("__telefone_1")).alias("telefone"), P.e164_of_digits(F.col("__ddd_2"), F.col("__telefone_2")).alias("telefone_2"),
         A.dominio_provedor("dominio_email").alias("dominio_provedor"), A.site_candidato(F.col("dominio_email")).alias("site_candidato"),
     )
-    street = F.concat_ws(" - ", F.concat_ws(", ", "logradouro", "numero"), "bairro")
+    made = made.select("*", A.abreviar_logradouro("__titulo").alias("logradouro"), F.coalesce("nome_fantasia", "razao_social_publicavel", F.concat(F.lit("CNPJ "), "cnpj_formatado")).alias("nome"))
+    made = P.with_phone_columns(made.drop(*[c for c in made.columns if c.startswith("__")]), "telefone", "telefone_2")
     made = made.select(
-        "*", street.alias("endereco"), F.concat_ws(" - ", F.concat_ws(", ", "logradouro", "numero", "complemento"), "bairro").alias("endereco_com_complemento"),
-        record_card("nome_fantasia", "razao_social_publicavel", street, "cidade_uf", F.concat(F.lit("CEP: "), "cep_formatado"), P.linha_telefone("telefone"), P.linha_telefone("telefone_2"), "email").alias("ficha"),
+        "*", F.concat_ws(" - ", F.concat_ws(", ", "logradouro", "numero"), "bairro").alias("endereco"),
+        F.concat_ws(" - ", F.concat_ws(", ", "logradouro", "numero", "complemento"), "bairro").alias("endereco_com_complemento"),
     )
+    line = lambda n: P.line_of(F.col(f"{n}_tipo"), F.col(f"{n}_formatado"), F.col(f"{n}_9_formatado"))
+    made = made.select("*", record_card("nome_fantasia", "razao_social_publicavel", "endereco", "cidade_uf", F.concat(F.lit("CEP: "), "cep_formatado"), line("telefone"), line("telefone_2"), "email").alias("ficha"))
+    # the look-alike search reads these rows several times over: they are a table of their own
+    made = stage(made, "target")
     return flag(made, suspected_duplicates(made), "id", "suspeita_duplicata")
 
 
