@@ -131,7 +131,7 @@ def with_next(docs: DataFrame, fn, schema: str, buckets: int) -> DataFrame:
         held = None  # (bucket, doc_id, text) that waits for its follower
         done = []
         for batch in batches:
-            for b in pieces(batch, 3):
+            for b in pieces(batch, 3, 1 << 20):
                 for bucket, guest, doc, text in zip(*(b.column(i).to_pylist() for i in range(4))):
                     if held is not None and held[0] == bucket:
                         done.append(fn(held[1], held[2], text))
