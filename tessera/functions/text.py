@@ -33,6 +33,11 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def so_digitos(t) -> Column:
     """Digits only; null gives an empty text."""
     return F.regexp_replace(_text(t), "[^0-9]", "")

@@ -560,8 +560,8 @@ _LINES = f"list_transform(str_split({_DECODED}, chr(10)), lambda x: regexp_repla
 
 @query(f"SELECT page_id, array_to_string({_LINES}, chr(10)) AS texto, len(list_filter({_LINES}, lambda x: x <> '')) AS linhas FROM pages")
 def q31_html_to_text(spark, sf):
-    p = table(spark, sf, "pages")
-    return p.select("page_id", X.texto_de("html").alias("texto"), F.size(X.linhas_de("html")).cast("long").alias("linhas"))
+    p = table(spark, sf, "pages").select("page_id", X.texto_de("html").alias("texto"))
+    return p.select("page_id", "texto", F.size(F.filter(F.split("texto", "\n"), lambda x: x != "")).cast("long").alias("linhas"))
 
 
 _FOUND = "list_filter(list_transform(regexp_extract_all(text, '\\(?\\d{2}\\)?[\\s.-]?9?\\d{4}[\\s.-]?\\d{4}'), lambda x: regexp_replace(x, '[^0-9]', '', 'g')), lambda x: length(x) IN (10, 11))"
