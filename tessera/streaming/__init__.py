@@ -1 +1 @@
-
+"""Batch only: no watermark, window or state is part of the engine's scope."""
