@@ -20,7 +20,7 @@ from .textcols import utf8_crc32, whole
 
 CELLS = 65_536
 VNODES = 64
-SLACK = 0.001
+SLACK = 0.0001
 
 
 def _point(label: str) -> int:
