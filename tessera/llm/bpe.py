@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrowio import pieces
+from .arrowio import bounded_batches, pieces
 from .textcols import whole
 
 CHUNK, OVERLAP, LONG = 32_768, 512, 65_536
@@ -158,7 +158,7 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, size: int =
         return pa.table({"doc_id": table.column("doc_id")[:1], "ids": pa.array([out], pa.binary()), "decoded": pa.array([decode(out, enc)], pa.binary())})
 
     long_rows = rows.where(F.length("text") > long_chars).withColumn("uid", F.monotonically_increasing_id())
-    dealt = long_rows.mapInArrow(cut, f"doc_id {kind}, uid long, no int, last boolean, chunk string").repartition("uid", "no")
+    dealt = bounded_batches(long_rows).mapInArrow(cut, f"doc_id {kind}, uid long, no int, last boolean, chunk string").repartition("uid", "no")
     encoded = dealt.mapInArrow(alone, f"doc_id {kind}, uid long, no int, before boolean, behind boolean, ids binary, piece string")
     return rows.where(F.length("text") <= long_chars).mapInArrow(here, made).unionByName(encoded.groupBy("uid").applyInArrow(together, made))
 

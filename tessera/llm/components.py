@@ -97,7 +97,8 @@ def components(edges: DataFrame, local_edges: int = LOCAL_EDGES, most_rounds: in
     Ids are binary or of another ordered type.  Loops and repeated edges are harmless; edges
     with a null end are dropped.
     """
-    now = stage(contract(edges), "forest")
+    # edges often come from Python: staged, they and their forest need one worker a task and not two
+    now = stage(contract(stage(edges.select("u", "v"), "edges")), "forest")
     for _ in range(most_rounds):
         if now.count() <= local_edges:
             return stage(_finished(now), "components")

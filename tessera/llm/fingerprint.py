@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrowio import pieces
+from .arrowio import bounded_batches, pieces
 from .textcols import whole
 
 LEAST, NORMAL, MOST = 16, 64, 256
@@ -140,7 +140,7 @@ def with_next(docs: DataFrame, fn, schema: str, buckets: int) -> DataFrame:
                     yield _batch(done, schema)
                     done = []
 
-    dealt = rows.mapInArrow(deal, "bucket int, guest boolean, doc_id long, text string")
+    dealt = bounded_batches(rows).mapInArrow(deal, "bucket int, guest boolean, doc_id long, text string")
     return dealt.repartition("bucket").sortWithinPartitions("bucket", "guest", "doc_id", "text").mapInArrow(walk, schema)
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import boosting
-from .arrowio import pieces
+from .arrowio import bounded_batches, pieces
 from .dom import Page, parse
 
 _GROUPS = (
@@ -271,7 +271,7 @@ def extract(pages: DataFrame, model: boosting.Boosted | None = None) -> DataFram
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, pa.string()), pa.array([len(t) for t in got], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     kinds = dict(rows.dtypes)
-    return rows.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
+    return bounded_batches(rows).mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
 
 
 def op1_html_boosted(spark, sf_dir: str) -> DataFrame:

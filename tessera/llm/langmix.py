@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrowio import pieces
+from .arrowio import bounded_batches, pieces
 from .rule_ensemble import in_split
 from .textcols import whole
 
@@ -149,7 +149,7 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> LangModel:
         return pa.table({"lang": table.column("lang")[:1], "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
 
     schema = "lang string, counts binary"
-    found = drawn.mapInArrow(count, schema).groupBy("lang").applyInArrow(add, schema).collect()  # 1 MB per language
+    found = bounded_batches(drawn).mapInArrow(count, schema).groupBy("lang").applyInArrow(add, schema).collect()  # 1 MB per language
     return LangModel.of({r["lang"]: np.frombuffer(bytes(r["counts"]), "<i8") for r in found})
 
 
@@ -173,7 +173,7 @@ def predict(docs: DataFrame, model: LangModel) -> DataFrame:
                     lang[i], score[i] = m.langs[int(pi.argmax())], s
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
+    return bounded_batches(rows).mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import stage
-from .arrowio import pieces
+from .arrowio import bounded_batches, pieces
 from .components import Forest, components, edge_batches
 from .shingles import mix, sets_of
 from .textcols import whole
@@ -67,7 +67,7 @@ def classes(docs: DataFrame) -> DataFrame:
                     ["doc_id", "n_shingles", "id"],
                 )
 
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, id binary")
+    return bounded_batches(rows).mapInArrow(run, "doc_id long, n_shingles long, id binary")
 
 
 _TOKEN_BYTES = 6
@@ -138,7 +138,7 @@ def _packed_tokens(docs: DataFrame, buckets: int) -> DataFrame:
         if sets:
             yield flushed(sets, keys)
 
-    return rows.mapInArrow(run, _PACKED)
+    return bounded_batches(rows).mapInArrow(run, _PACKED)
 
 
 _SHARED = _PACKED + ", often binary"

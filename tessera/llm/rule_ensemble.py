@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrowio import pieces
+from .arrowio import bounded_batches, pieces
 from .textcols import whole
 from .textstats import NAMES, stats
 
@@ -179,7 +179,7 @@ def with_stats(docs: DataFrame, name: str = "__stats") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*b.columns, st], [*b.schema.names, name])
 
     kind = T.StructType([T.StructField(n, T.DoubleType()) for n in NAMES])
-    return docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
+    return bounded_batches(docs).mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField(name, kind)]))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleModel:
