@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import stage
-from .textcols import whole, without_ws
+from .textcols import free_prefix, whole, without_ws
 
 # (code points, id) packed into one decimal, so that the choice of the survivor is a plain
 # max with a fixed-width buffer and the aggregate stays a hash aggregate.
@@ -75,11 +75,11 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     Of rows that share a doc_id and an equal text one stays.  Rows without doc_id stay only
     where no row of their text has one, all of them.
     """
-    decided = stage(exact_dedup(docs), "exact")
+    decided, this = stage(exact_dedup(docs), "exact"), f"{free_prefix(docs)}sha"
     lost = decided.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha")).distinct()
     sha = F.unhex(F.sha2(without_ws(whole(docs["text"])).cast("binary"), 256))
-    known = docs.where(F.col("doc_id").isNotNull()).withColumn("__this", sha)
-    stay = known.join(lost, (known["doc_id"] == lost["__id"]) & (known["__this"] == lost["__sha"]), "left_anti").dropDuplicates(["doc_id", "__this"]).drop("__this")
+    known = docs.where(F.col("doc_id").isNotNull()).withColumn(this, sha)
+    stay = known.join(lost, (known["doc_id"] == lost["__id"]) & (known[this] == lost["__sha"]), "left_anti").dropDuplicates(["doc_id", this]).drop(this)
     nameless = docs.where(F.col("doc_id").isNull())
     alone = decided.where(F.col("kept") & F.col("doc_id").isNull()).select(F.unhex("text_sha256").alias("__sha")).distinct()
     return stay.unionByName(nameless.join(alone, sha == alone["__sha"], "left_semi"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import stage
-from .textcols import n_words, utf8_crc32
+from .textcols import free_prefix, n_words, utf8_crc32
 
 BITS, LEVELS = 10, 6  # 60 hash bits, 1,024 buckets a level
 MAX_SOURCES = 100_000
@@ -89,13 +89,12 @@ def plan(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2
     return spark.createDataFrame([(s, sizes[s], target[s], whole_copies[s], below[s]) for s in ordered], _PLAN)
 
 
-def with_copies(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``docs`` and its source's row of the plan, with a column ``__copies``; documents are read once and not moved."""
-    names = {c: f"__{c}" for c in chosen.columns}
-    chosen = chosen.withColumnsRenamed(names)
-    joined = docs.join(F.broadcast(chosen), docs["source"].cast("string").eqNullSafe(chosen["__s"]))  # at most ``max_sources`` rows
-    more = F.when(_bits(docs["doc_id"], utf8_crc32(docs["text"])) < F.col("__below"), 1).otherwise(0)
-    return joined.withColumn("__copies", F.col("__whole") + more)
+def with_copies(docs: DataFrame, chosen: DataFrame, prefix: str) -> DataFrame:
+    """``docs`` and its source's row of the plan and the number of copies, their names after ``prefix``; documents are read once and not moved."""
+    chosen = chosen.withColumnsRenamed({c: prefix + c for c in chosen.columns})
+    joined = docs.join(F.broadcast(chosen), docs["source"].cast("string").eqNullSafe(chosen[f"{prefix}s"]))  # at most ``max_sources`` rows
+    more = F.when(_bits(docs["doc_id"], utf8_crc32(docs["text"])) < F.col(f"{prefix}below"), 1).otherwise(0)
+    return joined.withColumn(f"{prefix}copies", F.col(f"{prefix}whole") + more)
 
 
 def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.0, max_sources: int = MAX_SOURCES) -> DataFrame:
@@ -109,7 +108,7 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.
     and are taken alike; an empty table gives an empty result; other columns are ignored.
     """
     docs = docs.select("doc_id", "source", "text")
-    out = with_copies(docs, plan(docs, weights, share, most, max_sources)).withColumn("__size", n_words(F.col("text")))
+    out = with_copies(docs, plan(docs, weights, share, most, max_sources), "__").withColumn("__size", n_words(F.col("text")))
     return out.select(
         "doc_id", "source", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
         F.col("__copies").alias("copies"), (F.col("__size") * F.col("__copies")).alias("taken"),
@@ -118,8 +117,10 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.
 
 def mixed_rows(docs: DataFrame, **how) -> DataFrame:
     """The mixture itself: each row of ``docs`` as often as ``mix`` takes it, with the same columns."""
-    rows = with_copies(docs, plan(docs, **how)).where("__copies > 0")
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*[rows[c] for c in docs.columns])
+    prefix = free_prefix(docs)
+    copies = F.col(f"{prefix}copies")
+    rows = with_copies(docs, plan(docs, **how), prefix).where(copies > 0)
+    return rows.withColumn(f"{prefix}copy", F.explode(F.sequence(F.lit(1), copies))).select(*[rows[c] for c in docs.columns])
 
 
 def op9_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrowio import bounded_batches, pieces
-from .textcols import whole
+from .textcols import free_prefix, whole
 from .textstats import NAMES, stats
 
 MAX_ROWS = 20_000
@@ -202,7 +202,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleM
 
 def score(docs: DataFrame, model: RuleModel) -> DataFrame:
     """``docs`` with a column ``score`` in place of any it had: 0 to 1, higher means label 1 likelier."""
-    return with_stats(docs.drop("score")).withColumn("score", model.column_of("__stats")).drop("__stats")
+    name = f"{free_prefix(docs)}stats"
+    return with_stats(docs.drop("score"), name).withColumn("score", model.column_of(name)).drop(name)
 
 
 def in_split(doc_id: Column, mod: int, remainder: int) -> Column:

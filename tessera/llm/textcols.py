@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The white space of the word and equality rules: space, and tab to carriage return.
@@ -26,6 +26,14 @@ def without_ws(text: Column) -> Column:
     return reduce(lambda c, ch: F.replace(c, F.lit(ch), F.lit("")), WS, text)
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A prefix that no column of ``df`` begins with, for columns of our own beside its."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def n_words(text: Column) -> Column:
     """Number of maximal runs without white space; null text has none."""
     return F.regexp_count(whole(text), F.lit(WORD_PATTERN)).cast("long")

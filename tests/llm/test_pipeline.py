@@ -44,3 +44,17 @@ def test_run_on_an_empty_table(spark, sf_dir, tmp_path):
     for t in ("documents", "labels"):
         spark.read.parquet(f"{sf_dir}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_of_any_name_come_through(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    names = "__stats __this __id __sha __s __whole __below __copies __copy __lost ___sha score keep_id component_id".split()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    wide = docs.select("*", *[F.lit(n).alias(n) for n in names])
+    for name, step in pipeline.STAGES[:-1]:
+        plain, out = step(spark, docs, sf_dir), step(spark, wide, sf_dir)
+        assert out.columns == wide.columns, name
+        rows = out.select("doc_id", *names).collect()
+        assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain.collect()), name
+        assert all(r[n] == n for r in rows for n in names), name
