@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, exact_dedup, mixing, ngram_join, rule_ensemble
+from tessera.llm.textcols import free_prefix
 from tessera.staging import stage
 from tessera.tables import table
 
@@ -18,9 +19,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble accepts (score of 0.5 or more)."""
     labels = table(spark, sf_dir, "labels").where(~rule_ensemble.in_split(F.col("doc_id"), 3, 1))
     model = rule_ensemble.train(docs, labels)
-    scored = rule_ensemble.with_stats(docs)
-    accepted = model.column_of("__stats") >= 0.5
-    return scored.where(accepted).drop("__stats")
+    name = f"{free_prefix(docs)}stats"
+    return rule_ensemble.with_stats(docs, name).where(model.column_of(name) >= 0.5).drop(name)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
