@@ -659,9 +659,21 @@ def q42_csv_round_trip(spark, sf):
     "CASE WHEN o_orderkey % 7 = 1 THEN 'loja' ELSE 'lojas' END AS plural_, array_to_string(list_sort(list_distinct([1, o_orderkey % 40 + 1 - 2, o_orderkey % 40 + 1 - 1, o_orderkey % 40 + 1, o_orderkey % 40 + 2, o_orderkey % 40 + 3, 40])), ',') AS janela FROM orders WHERE o_orderkey % 40 BETWEEN 3 AND 35"
 )
 def q44_presentation(spark, sf):
+    return _presented(table(spark, sf, "orders").where("o_orderkey % 40 between 3 and 35"))
+
+
+@query(
+    "SELECT o_orderkey, replace(format('{:,}', o_orderkey * 1000), ',', '.') AS numero, strftime(o_orderdate, '%d/%m/%Y') AS data, replace(replace(replace(o_orderpriority || ' <b> & \"x\"', '&', '&amp;'), '<', '&lt;'), '\"', '&quot;') AS seguro, "
+    "CASE WHEN o_orderkey % 7 = 1 THEN 'loja' ELSE 'lojas' END AS plural_, array_to_string(list_sort(list_distinct(list_concat([1, 40], range(greatest(1, o_orderkey % 40 - 1), least(40, o_orderkey % 40 + 3) + 1)))), ',') AS janela FROM orders"
+)
+def q44_presentation_whole(spark, sf):
+    """q44 for every order, the first and the last pages of the window included."""
+    return _presented(table(spark, sf, "orders"))
+
+
+def _presented(o: DataFrame) -> DataFrame:
     from ..operators import sinks
 
-    o = table(spark, sf, "orders").where("o_orderkey % 40 between 3 and 35")
     safe = F.replace(sinks.escape_html(F.concat("o_orderpriority", F.lit(' <b> & "x"'))), F.lit("&gt;"), F.lit(">"))
     links = F.array_join(F.transform(sinks.page_window(F.col("o_orderkey") % 40 + 1, F.lit(40).cast("long")), lambda x: x.cast("string")), ",")
     return o.select("o_orderkey", sinks.numero(F.col("o_orderkey") * 1000).alias("numero"), sinks.data_br(F.col("o_orderdate")).alias("data"), safe.alias("seguro"), sinks.plural(F.col("o_orderkey") % 7, "loja", "lojas").alias("plural_"), links.alias("janela"))
