@@ -42,9 +42,22 @@ def _phone_inputs(spark, sf):
     found = table(spark, sf, "documents").where(F.col("text").rlike(r"[(][0-9]{3}[)] [0-9]{3}-[0-9]{4}")).select(
         F.col("doc_id").alias("k"), F.substring(F.regexp_extract("text", r"[(]([0-9]{3})[)] ([0-9]{3}-[0-9]{4})", 1), 1, 2).alias("ddd"),
         F.concat(F.lit("9"), F.regexp_extract("text", r"[(]([0-9]{3})[)] ([0-9]{3}-[0-9]{4})", 2)).alias("num"))
+    return found.unionByName(_made_phones(spark, sf))
+
+
+def _made_phones(spark, sf):
     made = table(spark, sf, "customer").selectExpr("c_custkey + 10000000 as k", "lpad(cast(c_custkey % 100 as string), 2, '0') as ddd", "cast(c_custkey * 7919 % 1000000000 as string) as num")
     fixed = _rows(spark, [(-i, d, n) for i, d, n in _PHONES], "k long, ddd string, num string")
-    return found.unionByName(made).unionByName(fixed)
+    return made.unionByName(fixed)
+
+
+def _all_phone_inputs(spark, sf):
+    """Every phone of every text, numbered from 1 in ``pos``."""
+    rx = F.lit(r"[(]([0-9]{3})[)] ([0-9]{3}-[0-9]{4})")
+    both = F.arrays_zip(F.regexp_extract_all("text", rx, F.lit(1)).alias("ddd"), F.regexp_extract_all("text", rx, F.lit(2)).alias("num"))
+    found = table(spark, sf, "documents").select(F.col("doc_id").alias("k"), F.posexplode(both).alias("i", "m"))
+    found = found.select("k", (F.col("i") + 1).alias("pos"), F.substring("m.ddd", 1, 2).alias("ddd"), F.concat(F.lit("9"), "m.num").alias("num"))
+    return found.unionByName(_made_phones(spark, sf).withColumn("pos", F.lit(1)))
 
 
 _PHONE_CTE = (
@@ -65,6 +78,25 @@ def q02_phone_display(spark, sf):
     return e.select("k", P.tipo_telefone("e").alias("tipo"), P.telefone_com_nono_digito("e").alias("nono"), P.telefone_exibicao("e").alias("exibicao"), P.linha_telefone("e").alias("linha"), P.fone_chave("e").alias("chave"))
 
 
+_PHONE_RX = "[(]([0-9]{3})[)] ([0-9]{3}-[0-9]{4})"
+_ALL_PHONES_CTE = (
+    f"f AS (SELECT doc_id AS k, unnest(regexp_extract_all(text, '{_PHONE_RX}', 1)) AS a, unnest(regexp_extract_all(text, '{_PHONE_RX}', 2)) AS n, generate_subscripts(regexp_extract_all(text, '{_PHONE_RX}'), 1) AS pos FROM documents), "
+    "p AS (SELECT k, pos, a[1:2] AS ddd, '9' || n AS num FROM f UNION ALL SELECT c_custkey + 10000000, 1, lpad(CAST(c_custkey % 100 AS STRING), 2, '0'), CAST(c_custkey * 7919 % 1000000000 AS STRING) FROM customer "
+    "UNION ALL SELECT k, 1, ddd, num FROM " + O.values([(-i, d, n) for i, d, n in _PHONES], "k, ddd, num") + ")"
+)
+
+
+@query(f"WITH {_ALL_PHONES_CTE} SELECT k, pos, {O.digits('num')} AS digitos, coalesce({O.digits('ddd')} IN ({', '.join(O.quote(d) for d in P.DDDS)}), false) AS ddd_ok, {O.e164('ddd', 'num')} AS e164 FROM p")
+def q01_phone_e164_whole(spark, sf):
+    return _all_phone_inputs(spark, sf).select("k", "pos", T.so_digitos("num").alias("digitos"), F.coalesce(P.ddd_valido(T.so_digitos("ddd")), F.lit(False)).alias("ddd_ok"), P.telefone_e164("ddd", "num").alias("e164"))
+
+
+@query(f"WITH {_ALL_PHONES_CTE}, e AS (SELECT k, pos, {O.e164('ddd', 'num')} AS e FROM p) SELECT k, pos, {O.phone_type('e')} AS tipo, {O.ninth('e')} AS nono, {O.shown('e')} AS exibicao, {O.phone_line('e')} AS linha, {O.phone_key('e')} AS chave FROM e")
+def q02_phone_display_whole(spark, sf):
+    e = _all_phone_inputs(spark, sf).select("k", "pos", P.telefone_e164("ddd", "num").alias("e"))
+    return e.select("k", "pos", P.tipo_telefone("e").alias("tipo"), P.telefone_com_nono_digito("e").alias("nono"), P.telefone_exibicao("e").alias("exibicao"), P.linha_telefone("e").alias("linha"), P.fone_chave("e").alias("chave"))
+
+
 @query(
     f"WITH s AS (SELECT lang, {O.slug('split_part(text, chr(10), 1)')} AS slug, count(*) AS n FROM documents GROUP BY 1, 2), "
     "r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, slug NULLS LAST) AS pos FROM s) SELECT lang, slug, n, pos FROM r WHERE pos <= 100"
@@ -75,6 +107,16 @@ def q03_slug_top(spark, sf):
     return reports.top_per_group(lines.groupBy("lang", "slug").agg(F.count(F.lit(1)).alias("n")), ["lang"], [F.desc("n"), F.asc_nulls_last("slug")], 100)
 
 
+@query(
+    f"WITH l AS (SELECT lang, unnest(str_split(coalesce(text, ''), chr(10))) AS line FROM documents), s AS (SELECT lang, {O.slug('line')} AS slug, count(*) AS n FROM l GROUP BY 1, 2), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, slug NULLS LAST) AS pos FROM s) SELECT lang, slug, n, pos FROM r WHERE pos <= 100"
+)
+def q03_slug_top_whole(spark, sf):
+    """Slug of every line of every document, counted, the hundred most frequent by language."""
+    lines = table(spark, sf, "documents").select("lang", F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line")).select("lang", T.slug("line").alias("slug"))
+    return reports.top_per_group(lines.groupBy("lang", "slug").agg(F.count(F.lit(1)).alias("n")), ["lang"], [F.desc("n"), F.asc_nulls_last("slug")], 100)
+
+
 _MAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+"
 _MAILS = [(-1, "Oficina@SOM-e-luz.com.br "), (-2, "x@y"), (-3, "sem arroba"), (-4, None), (-5, "a@gmail.com"), (-6, "b@www.terra.com.br")]
 
@@ -89,6 +131,18 @@ def q04_mail_domain(spark, sf):
     return d.select("k", "dominio", A.dominio_provedor("dominio").alias("provedor"), A.site_candidato(F.col("dominio")).alias("site"))
 
 
+@query(
+    f"WITH x AS (SELECT doc_id AS k, regexp_extract_all(text, '{_MAIL}') AS l FROM documents), m AS (SELECT k, unnest(CASE WHEN len(l) > 0 THEN l ELSE [NULL] END) AS mail, unnest(range(1, greatest(1, coalesce(len(l), 0)) + 1)) AS pos FROM x UNION ALL SELECT k, mail, 1 FROM {O.values(_MAILS, 'k, mail')}), "
+    f"d AS (SELECT k, pos, {O.mail_domain('mail')} AS dominio FROM m) SELECT k, pos, dominio, {O.provider('dominio')} AS provedor, {O.own_site('dominio')} AS site FROM d"
+)
+def q04_mail_domain_whole(spark, sf):
+    """Every address of every text, numbered from 1 in ``pos``; a text without one keeps one row."""
+    found = table(spark, sf, "documents").select(F.col("doc_id").alias("k"), F.posexplode_outer(F.regexp_extract_all("text", F.lit(_MAIL), F.lit(0))).alias("i", "mail"))
+    m = found.select("k", (F.coalesce("i", F.lit(0)) + 1).alias("pos"), "mail").unionByName(_rows(spark, _MAILS, "k long, mail string").withColumn("pos", F.lit(1)))
+    d = m.select("k", "pos", A.dominio_email("mail").alias("dominio"))
+    return d.select("k", "pos", "dominio", A.dominio_provedor("dominio").alias("provedor"), A.site_candidato(F.col("dominio")).alias("site"))
+
+
 @query(
     "WITH w AS (SELECT doc_id, replace(array_to_string(str_split(split_part(text, chr(10), 1), ' ')[1:8], ' '), 'ß', 'ss') AS t FROM documents) "
     f"SELECT doc_id, {O.title('t')} AS titulo, {O.natural('upper(t)')} AS gritado, {O.natural('t')} AS natural_ FROM w"
@@ -98,6 +152,14 @@ def q05_title_case(spark, sf):
     return w.select("doc_id", T.titulo_caso("t").alias("titulo"), T.caso_natural(F.upper("t")).alias("gritado"), T.caso_natural("t").alias("natural_"))
 
 
+@query(
+    f"WITH w AS (SELECT doc_id, replace(text, 'ß', 'ss') AS t FROM documents) SELECT doc_id, {O.title('t')} AS titulo, {O.natural('upper(t)')} AS gritado, {O.natural('t')} AS natural_ FROM w"
+)
+def q05_title_case_whole(spark, sf):
+    w = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("ß"), F.lit("ss")).alias("t"))
+    return w.select("doc_id", T.titulo_caso("t").alias("titulo"), T.caso_natural(F.upper("t")).alias("gritado"), T.caso_natural("t").alias("natural_"))
+
+
 _STREETS = [(1, "RUA", "RUA A", "12345678", "FULANO DE TAL 00000000000"), (2, "rua", "RUA", "12.345-678", "12.345.678 FULANO"), (3, "", "A", "1234", "CASA 2020"), (4, "RUA", None, None, None), (5, None, None, "", "1234")]
 
 

@@ -1,5 +1,9 @@
 """Queries over whole tables against brute force in Python."""
 
+import re
+from collections import Counter
+
+from tessera.functions.text import PARTICLES
 from tessera.plans.queries import QUERIES
 
 
@@ -14,3 +18,46 @@ def test_every_order_has_its_page_window(spark, sf_dir):
         want[r.o_orderkey] = ",".join(str(x) for x in range(1, 41) if x in (1, 40) or abs(x - p) <= 2)
     got = QUERIES["q44_presentation_whole"][0](spark, sf_dir).collect()
     assert len(got) == len(want) and {r.o_orderkey: r.janela for r in got} == want
+
+
+def test_every_phone_and_address(spark, sf_dir):
+    docs = rows_of(spark, sf_dir, "documents")
+    phones = [(r.doc_id, i + 1, "9" + n.replace("-", "")) for r in docs for i, (_, n) in enumerate(re.findall(r"[(]([0-9]{3})[)] ([0-9]{3}-[0-9]{4})", r.text))]
+    mails = []
+    for r in docs:
+        for i, m in enumerate(re.findall(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+", r.text) or [""]):
+            d = re.search(r"@([a-z0-9.-]+\.[a-z]{2,})\Z", m.lower())
+            mails.append((r.doc_id, i + 1, d and d[1]))
+    assert len(phones) > len({k for k, *_ in phones})
+    text = lambda name, *cols: sorted((tuple(r[c] for c in cols) for r in QUERIES[name][0](spark, sf_dir).where("k between 0 and 9999999").collect()), key=str)
+    assert text("q01_phone_e164_whole", "k", "pos", "digitos") == sorted(phones, key=str)
+    assert text("q02_phone_display_whole", "k", "pos") == sorted((p[:2] for p in phones), key=str)
+    assert text("q04_mail_domain_whole", "k", "pos", "dominio") == sorted(mails, key=str)
+
+
+def test_slugs_of_every_line(spark, sf_dir):
+    import unicodedata
+
+    counts = Counter()
+    for r in rows_of(spark, sf_dir, "documents"):
+        for line in r.text.split("\n"):
+            plain = "".join(c for c in unicodedata.normalize("NFD", line) if not unicodedata.combining(c)).lower()
+            counts[r.lang, re.sub("[^a-z0-9]+", "-", plain).strip("-") or None] += 1
+    want = []
+    for lang in {k for k, _ in counts}:
+        top = sorted(((n, s) for (k, s), n in counts.items() if k == lang), key=lambda x: (-x[0], x[1] is None, x[1] or ""))[:100]
+        want += [(lang, s, n, i + 1) for i, (n, s) in enumerate(top)]
+    got = [(r.lang, r.slug, r.n, r.pos) for r in QUERIES["q03_slug_top_whole"][0](spark, sf_dir).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_case_of_whole_texts(spark, sf_dir):
+    def title(t):
+        return " ".join(w if w in PARTICLES else w[:1].upper() + w[1:] for w in t.strip(" ").lower().split(" ")) or None
+
+    def natural(t):
+        return None if not t.strip(" ") else t.strip(" ") if re.search("[a-zà-ÿ]", t) else title(t)
+
+    want = {r.doc_id: (title(t := r.text.replace("ß", "ss")), natural(t.upper()), natural(t)) for r in rows_of(spark, sf_dir, "documents")}
+    got = {r.doc_id: (r.titulo, r.gritado, r.natural_) for r in QUERIES["q05_title_case_whole"][0](spark, sf_dir).collect()}
+    assert got == want
