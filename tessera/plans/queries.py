@@ -434,6 +434,17 @@ def q23_crosstab(spark, sf):
     return reports.crosstab(e, "event_type", "dia", _DAYS, F.count(F.lit(1)))
 
 
+@query(
+    "WITH e AS (SELECT event_type, strftime(ts, '%Y-%m-%d') AS dia FROM events), n AS (SELECT event_type, dia, count(*) AS n FROM e GROUP BY 1, 2), g AS (SELECT * FROM (SELECT DISTINCT event_type FROM e) CROSS JOIN (SELECT DISTINCT dia FROM e)) "
+    "SELECT g.event_type, g.dia, coalesce(n.n, 0) AS n FROM g LEFT JOIN n ON n.event_type IS NOT DISTINCT FROM g.event_type AND n.dia IS NOT DISTINCT FROM g.dia"
+)
+def q23_crosstab_whole(spark, sf):
+    """The cross-tab over all days present, a row for each cell, empty ones 0."""
+    n = table(spark, sf, "events").groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("dia")).agg(F.count(F.lit(1)).alias("n"))
+    grid = n.select("event_type").distinct().crossJoin(n.select("dia").distinct())
+    return grid.unionByName(n, allowMissingColumns=True).groupBy("event_type", "dia").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
 @query("SELECT d.doc_id, source, quality FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id ORDER BY quality DESC NULLS LAST, source, d.doc_id LIMIT 40")
 def q24_top_k(spark, sf):
     d, q = table(spark, sf, "documents").select("doc_id", "source"), table(spark, sf, "labels").select("doc_id", "quality")

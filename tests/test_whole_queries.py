@@ -61,3 +61,18 @@ def test_case_of_whole_texts(spark, sf_dir):
     want = {r.doc_id: (title(t := r.text.replace("ß", "ss")), natural(t.upper()), natural(t)) for r in rows_of(spark, sf_dir, "documents")}
     got = {r.doc_id: (r.titulo, r.gritado, r.natural_) for r in QUERIES["q05_title_case_whole"][0](spark, sf_dir).collect()}
     assert got == want
+
+
+def test_cross_tab_counts_every_event(spark, sf_dir, tmp_path):
+    from datetime import datetime
+
+    def brute(events):
+        n = Counter((r.event_type, r.ts and f"{r.ts:%Y-%m-%d}") for r in events)
+        return {(e, d): n[e, d] for e in {e for e, _ in n} for d in {d for _, d in n}}
+
+    odd = [("a", datetime(2024, 1, 31, 23)), ("b", datetime(2025, 2, 1)), ("b", None), (None, datetime(2024, 1, 31))]
+    spark.createDataFrame(odd, "event_type string, ts timestamp").write.parquet(f"{tmp_path}/events.parquet")
+    for d in (sf_dir, str(tmp_path)):
+        events = rows_of(spark, d, "events")
+        got = {(r.event_type, r.dia): r.n for r in QUERIES["q23_crosstab_whole"][0](spark, d).collect()}
+        assert got == brute(events) and sum(got.values()) == len(events)
