@@ -4,6 +4,10 @@ A gear hash over the last 32 bytes proposes boundaries; a strict mask below the
 size and a loose one above it keep sizes close to normal.  A fingerprint is the set of chunk
 digests with their lengths; the share of a document's bytes whose chunks another one has too
 measures containment, and a shift moves no boundary but those next to it.
+
+Such chunks are too coarse for short texts, so a text below FINE_BELOW bytes has a second set
+of fine chunks, which are cut by a hash over 8 bytes and marked ``~``.  Containment compares
+fine chunks where both texts have them, else the coarse ones that every text has.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from .textcols import whole
 
 LEAST, NORMAL, MOST = 16, 64, 256
 WINDOW = 32
+FINE_BELOW, FINE, FINE_WINDOW = 1024, (4, 8, 24), 8
 _STEP = 1 << 20
 GEAR = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=4, person=b"gear").digest(), "big") for b in range(256)], dtype=np.uint32)
 
@@ -35,14 +40,17 @@ def _hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def candidates(raw: bytes, normal: int = NORMAL) -> tuple[list[int], list[int]]:
-    """Chunk ends proposed by the strict and by the loose mask, ascending; long texts in steps."""
+def candidates(raw: bytes, normal: int = NORMAL, window: int = WINDOW) -> tuple[list[int], list[int]]:
+    """Chunk ends proposed by the strict and by the loose mask, ascending; long texts in steps.
+
+    Bit b of the hash depends on the last b + 1 bytes only: a window below 32 reads lower bits.
+    """
     bits = normal.bit_length() - 1
     strict, loose = np.uint32(0xFFFFFFFF << (32 - bits - 1) & 0xFFFFFFFF), np.uint32(0xFFFFFFFF << (32 - bits + 1) & 0xFFFFFFFF)
     data, s, o = np.frombuffer(raw, dtype=np.uint8), [], []
     for at in range(0, len(data), _STEP):
         first = max(0, at - WINDOW + 1)
-        h = _hashes(data[first : at + _STEP])[at - first :]
+        h = _hashes(data[first : at + _STEP])[at - first :] << np.uint32(WINDOW - window)
         hit = np.flatnonzero((h & loose) == 0)
         ends = hit + (at + 1)
         o += ends.tolist()
@@ -50,8 +58,8 @@ def candidates(raw: bytes, normal: int = NORMAL) -> tuple[list[int], list[int]]:
     return s, o
 
 
-def chunk_ends(raw: bytes, least: int = LEAST, normal: int = NORMAL, most: int = MOST) -> list[int]:
-    strict, loose = candidates(raw, normal)
+def chunk_ends(raw: bytes, least: int = LEAST, normal: int = NORMAL, most: int = MOST, window: int = WINDOW) -> list[int]:
+    strict, loose = candidates(raw, normal, window)
     n, at, ends, i, k = len(raw), 0, [], 0, 0
     ns, nl = len(strict), len(loose)
     while at < n:
@@ -69,12 +77,17 @@ def chunk_ends(raw: bytes, least: int = LEAST, normal: int = NORMAL, most: int =
 
 
 def fingerprint(text: str) -> dict[str, int]:
-    """digest -> bytes of the chunk, in text order; empty for an empty text."""
+    """digest -> bytes of the chunk, in text order, fine chunks of a short text last; empty for an empty text."""
     raw = text.encode("utf-8")
-    at, out = 0, {}
-    for end in chunk_ends(raw):
-        out[xxhash.xxh3_64_hexdigest(raw[at:end])] = end - at
-        at = end
+    out: dict[str, int] = {}
+    levels = [("", chunk_ends(raw))]
+    if len(raw) < FINE_BELOW:
+        levels.append(("~", chunk_ends(raw, *FINE, FINE_WINDOW)))
+    for mark, ends in levels:
+        at = 0
+        for end in ends:
+            out[mark + xxhash.xxh3_64_hexdigest(raw[at:end])] = end - at
+            at = end
     return out
 
 
@@ -84,10 +97,15 @@ def as_string(fp: dict[str, int]) -> str:
 
 def containment(a: dict[str, int], b: dict[str, int]) -> float:
     """Share of ``a``'s chunk bytes that ``b`` has too; of nothing in nothing 1, of nothing in something 0."""
-    total = sum(a.values())
-    if not total:
+    if not a:
         return float(not b)
-    return sum(n for d, n in a.items() if d in b) / total
+    fine = _is_fine(a) and _is_fine(b)
+    level = {d: n for d, n in a.items() if d.startswith("~") == fine}
+    return sum(n for d, n in level.items() if d in b) / sum(level.values())
+
+
+def _is_fine(fp: dict[str, int]) -> bool:
+    return next(reversed(fp), "").startswith("~")
 
 
 def edited(text: str, following: str) -> str:

@@ -55,3 +55,30 @@ def test_documents_against_brute_force(spark):
         key = lambda r: tuple(str(x) for x in r)
         assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
     assert fp.fingerprints(docs.limit(0)).count() == 0
+
+
+def test_short_texts_keep_what_is_unchanged():
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 9))) for _ in range(500)]
+    for n, floor, least in ((5, 0.95, 0.5), (8, 0.99, 0.6), (14, 1.0, 0.65), (25, 1.0, 0.65)):
+        near, far = [], []
+        for _ in range(300):
+            a, b = (" ".join(rng.choice(words) for _ in range(n)) for _ in range(2))
+            fa = fp.fingerprint(a)
+            near.append(fp.containment(fa, fp.fingerprint(fp.edited(a, b))))
+            far.append(fp.containment(fa, fp.fingerprint(b)))
+        assert np.mean(np.array(near) > 0) >= floor and np.mean(near) > least and np.mean(far) < 0.1, (n, np.mean(np.array(near) > 0), np.mean(near), np.mean(far))
+
+
+def test_fine_chunks_below_the_bound_only():
+    rng = random.Random(7)
+    for n in (1, 40, fp.FINE_BELOW - 1, fp.FINE_BELOW, 3000):
+        text = "".join(rng.choice("abcdefghij ") for _ in range(n))
+        got = fp.fingerprint(text)
+        fine = [k for k in got if k.startswith("~")]
+        assert bool(fine) == (n < fp.FINE_BELOW)
+        ends = fp.chunk_ends(text.encode(), *fp.FINE, fp.FINE_WINDOW)
+        assert ends[-1] == n and np.diff([0, *ends]).max() <= fp.FINE[2]
+        assert fp.containment(got, got) == 1 and fp.containment(got, fp.fingerprint("")) == 0 and fp.containment(fp.fingerprint(""), got) == 0
+    long = fp.fingerprint("".join(rng.choice("abcdefghij ") for _ in range(3000)))
+    assert fp.containment(fp.fingerprint("abc"), long) == 0
