@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, exact_dedup, mixing, ngram_join, rule_ensemble
-from tessera.llm.textcols import free_prefix
+from tessera.llm.textcols import free_prefix, whole
 from tessera.staging import stage
 from tessera.tables import table
 
@@ -29,10 +29,21 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each component of near copies."""
-    found = ngram_join.near_duplicates(docs)
-    lost = stage(found.where("doc_id is not null and component_id is not null and doc_id != component_id").select(F.col("doc_id").alias("__lost")).distinct(), "lost")
-    return docs.join(lost, docs["doc_id"] == lost["__lost"], "left_anti")
+    """One row, that of the smallest id, of each component of near copies.
+
+    Rows are told apart by doc_id and text: of texts that share the smallest id one stays, and
+    of its repeated rows one.  A row without doc_id stays only in a component without any id.
+    Rows without a shingle all stay.
+    """
+    found = ngram_join.near_survivors(docs)
+    # rows of a key that are to go, or all but one of them
+    keys = stage(found.groupBy(F.col("doc_id").alias("__lost"), F.col("sha").alias("__sha")).agg(F.min("kept").alias("__stays"), F.count(F.lit(1)).alias("__rows")).where("not __stays or __rows > 1"), "lost")
+    this = f"{free_prefix(docs)}sha"
+    rows = docs.withColumn(this, F.unhex(F.sha2(whole(docs["text"]).cast("binary"), 256)))
+    same = lambda some: rows["doc_id"].cast("long").eqNullSafe(some["__lost"]) & (rows[this] == some["__sha"])
+    repeated = keys.where("__stays")
+    once = rows.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", this])
+    return rows.join(keys, same(keys), "left_anti").unionByName(once).drop(this)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

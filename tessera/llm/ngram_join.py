@@ -22,6 +22,7 @@ Two sets of word shingles link when 100 * |A & B| >= 80 * |A | B|.  The steps:
 
 from __future__ import annotations
 
+import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -54,20 +55,21 @@ def set_key(s: np.ndarray) -> int:
 # ---------------------------------------------------------------- sets and frequencies
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, id (name of its set) of every row of ``docs(doc_id, text, ...)``; an empty set has no name."""
+def classes(docs: DataFrame, digests: bool = False) -> DataFrame:
+    """doc_id, n_shingles, id (name of its set), if asked sha (of the text) of every row of ``docs(doc_id, text, ...)``; an empty set has no name."""
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), whole(docs["text"]).alias("text"))
 
     def run(batches):
         for batch in batches:
             for b in pieces(batch, 1, 1 << 20):
-                sets = sets_of(b.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(set_key(s), len(s)) if len(s) else None for s in sets], pa.binary())],
-                    ["doc_id", "n_shingles", "id"],
-                )
+                texts = b.column(1).to_pylist()
+                sets = sets_of(texts)
+                columns = {"doc_id": b.column(0), "n_shingles": pa.array([len(s) for s in sets], pa.int64()), "id": pa.array([set_id(set_key(s), len(s)) if len(s) else None for s in sets], pa.binary())}
+                if digests:
+                    columns["sha"] = pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in texts], pa.binary())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return bounded_batches(rows).mapInArrow(run, "doc_id long, n_shingles long, id binary")
+    return bounded_batches(rows).mapInArrow(run, "doc_id long, n_shingles long, id binary" + (", sha binary" if digests else ""))
 
 
 _TOKEN_BYTES = 6
@@ -437,13 +439,32 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, orders: int = ORDER
     give a row each; an empty table gives an empty result; other columns are ignored.
     """
     rows = stage(classes(docs), "classes")
-    reps = rows.where("id is not null").groupBy("id").agg(F.min("doc_id").alias("rep"))
+    return _with_least(rows, F.col("doc_id"), docs, percent, orders, tile).select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+
+
+def near_survivors(docs: DataFrame) -> DataFrame:
+    """doc_id, sha (of the text), kept of every row of ``docs(doc_id, text, ...)`` that has a shingle.
+
+    One (doc_id, text) of each component is kept: the smallest doc_id, null after all others,
+    then the smallest SHA-256.  Components are those of ``near_duplicates``, told apart by their
+    sets and not by a doc_id, which texts of two components may share.
+    """
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), whole(docs["text"]).alias("text"))
+    rows = stage(classes(rows, digests=True), "classes")
+    rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "sha")
+    found = _with_least(rows, rank, docs, PERCENT, ORDERS, TILE).where("id is not null")
+    return found.select("doc_id", "sha", (F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("sha") == F.col("least.sha"))).alias("kept"))
+
+
+def _with_least(rows: DataFrame, rank, docs: DataFrame, percent: int, orders: int, tile: int) -> DataFrame:
+    """Staged ``rows`` of ``classes(docs)`` with the least ``rank`` of their component."""
+    reps = rows.where("id is not null").groupBy("id").agg(F.min(rank).alias("rep"))
     parts = components(links_of(docs, percent, orders, tile))
     least = reps.join(parts, "id").groupBy("component").agg(F.min("rep").alias("least"))
     linked = parts.join(least, "component").select("id", "least")
     # staged, so that both sides of the last join are plain exchanges and AQE can split the copies of one set
-    named = stage(reps.join(linked, "id", "left").select(F.col("id").alias("set"), F.coalesce("least", "rep").alias("component_id")), "named")
-    return rows.join(named, rows["id"] == named["set"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = stage(reps.join(linked, "id", "left").select(F.col("id").alias("set"), F.coalesce("least", "rep").alias("least")), "named")
+    return rows.join(named, rows["id"] == named["set"], "left")
 
 
 def op10_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -58,3 +58,21 @@ def test_columns_of_any_name_come_through(spark, sf_dir):
         rows = out.select("doc_id", *names).collect()
         assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in plain.collect()), name
         assert all(r[n] == n for r in rows for n in names), name
+
+
+def test_near_decides_by_row(spark, sf_dir):
+    base = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdefg"]
+    close = [b + " more" for b in base]
+    rows = [
+        (1, base[0]), (2, close[0]), (2, base[1]),  # id 2: a near copy of 1, and a text of its own
+        (3, base[2]), (3, close[2]),  # near copies that share the smallest id
+        (4, base[3]), (None, close[3]),  # a near copy without id
+        (None, base[4]), (None, close[4]),  # no id in the component
+        (5, base[5]), (5, base[6]), (6, close[6]),  # two components of the same smallest id
+        (7, None), (7, ""), (None, " "), (1, base[0]),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.text) for r in pipeline.near(spark, docs, sf_dir).collect()]
+    sha = lambda t: hashlib.sha256(t.encode()).digest()
+    want = [(1, base[0]), (2, base[1]), (3, min(base[2], close[2], key=sha)), (4, base[3]), (None, min(base[4], close[4], key=sha)), (5, base[5]), (5, base[6]), (7, None), (7, ""), (None, " ")]
+    assert sorted(got, key=str) == sorted(want, key=str)
