@@ -10,21 +10,27 @@ from __future__ import annotations
 import html
 import re
 
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img input".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img input object".split()) | frozenset(
+    "math semantics annotation annotation-xml mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt mroot mover munder munderover mtable mtr mtd mstyle mspace mpadded mphantom menclose merror mmultiscripts mprescripts".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is never text of a page.
-RAW = ("script", "style", "noscript", "template", "textarea", "svg", "math", "iframe", "object", "select", "title", "canvas", "audio", "video", "datalist")
+#: Elements whose content is never text of a page: up to their end tag or else the end of the page,
+TO_END = ("script", "style", "textarea", "title", "iframe")
+#: and up to their end tag only; without one, or an svg that ends in ``/>``, nothing but the tag is skipped.
+RAW = ("noscript", "template", "svg", "select", "canvas", "audio", "video", "datalist")
 #: Start tag -> open elements that it closes, up to the given scope.
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>(?:.*?(?:</(?P=raw)\s*>|\Z))"
+    r"|<(?P<run>" + "|".join(TO_END) + r")(?=[\s/>])[^>]*>(?:.*?(?:</(?P=run)\s*>|\Z))"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?P<own>[^>]*)>"
     r"|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attr2>[^>]*)>",
     re.S | re.I,
 )
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 _ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?(?=[\s/>]|\Z)", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _SPLIT_CASE = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -93,10 +99,19 @@ def parse(source: str) -> Page:
         del stack[depth:]
 
     at = 0
-    for m in _TOKEN.finditer(source):
+    unclosed: set[str] = set()  # tags without an end tag in the rest of the page
+    while m := _TOKEN.search(source, at):
         if m.start() > at:
             say(source[at : m.start()])
         at = m.end()
+        if m["raw"]:
+            raw = m["raw"].lower()
+            if raw not in unclosed and not (raw == "svg" and m["own"].endswith("/")):
+                if end := _RAW_END[raw].search(source, at):
+                    at = end.end()
+                else:
+                    unclosed.add(raw)
+            continue
         tag = m["tag"] or m["tag2"]
         if tag is None:
             continue

@@ -74,3 +74,17 @@ def test_boosting_fits():
     x = rng.normal(size=(800, 4))
     y = ((x[:, 0] > 0) ^ (x[:, 2] > 0.3)).astype(float)
     assert np.mean((boosting.fit(x, y, 30, 3).logit(x) > 0) == y) > 0.95
+
+
+def test_skipped_elements_end_where_they_should():
+    text = lambda s: [t for t in dom.parse(s).text if t]
+    assert text('<p>one <svg class="i"/> two</p><p>three</p>') == ["one two", "three"]
+    assert text('<p>a<svg><path d="x"/><text>no</text></svg>b</p><SVG/>c</svg>') == ["ab", "c"]
+    for tag in ("noscript", "template", "svg", "select", "canvas", "audio", "video", "datalist"):
+        assert text(f"<p>a</p><{tag}>no</{tag.upper()} ><p>b</p>") == ["a", "b"]
+        assert text(f"<p>a</p><{tag} x><p>b</p>") == ["a", "b"]
+    for tag in ("script", "style", "textarea", "title", "iframe"):
+        assert text(f"<p>a</p><{tag}><p>b</p>") == ["a"]
+    assert text("<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>") == ["so x=1 holds"]
+    assert text("<div><object data='x'><p>shown</p></object></div><p>b</p>") == ["shown", "b"]
+    assert text("<svg>" * 50_000 + "x") == ["x"]
