@@ -92,7 +92,7 @@ def _em(rel: np.ndarray, doc: np.ndarray, first: np.ndarray, size: np.ndarray, p
     return pi, np.add.reduceat(np.log((rel * pi[doc]).sum(1)), first)
 
 
-def infer(words: list[np.ndarray], most: int = 3, steps: int = 10) -> list[tuple[np.ndarray, float]]:
+def infer(words: list[np.ndarray], steps: int = 10) -> list[tuple[np.ndarray, float]]:
     """(proportions over the chosen set, score) of documents given their word likelihoods; none may be empty."""
     size = np.array([len(w) for w in words])
     lp = np.concatenate(words).astype(np.float64)
@@ -111,7 +111,7 @@ def infer(words: list[np.ndarray], most: int = 3, steps: int = 10) -> list[tuple
     if k > 1:
         pi, _ = _em(rel, doc, first, size, np.full((n, k), 1.0 / k), steps)
         rank = np.argsort(-pi, axis=1, kind="stable")
-        for m in range(2, min(most, k) + 1):
+        for m in range(2, k + 1):
             mask = np.zeros((n, k))
             np.put_along_axis(mask, rank[:, :m], 1.0, axis=1)
             start = np.where(mask > 0, np.maximum(pi, 1e-6), 0)

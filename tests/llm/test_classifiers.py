@@ -80,3 +80,12 @@ def test_long_texts_in_slices(monkeypatch):
     want = langmix.word_logp(text, m)
     monkeypatch.setattr(langmix, "_SLICE", 37)
     assert np.array_equal(langmix.word_logp(text, m), want)
+
+
+def test_a_document_may_mix_every_language():
+    rng = np.random.default_rng(3)
+    for k in (4, 6):
+        lp = np.full((400 * k, k), -40.0, np.float32)
+        lp[np.arange(400 * k), rng.permutation(np.repeat(np.arange(k), 400))] = -10.0
+        ((pi, score),) = langmix.infer([lp])
+        assert np.allclose(pi, 1 / k, atol=0.01) and abs(score - 1 / k) < 0.01
