@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..staging import stage
 from .textcols import whole
 
 
@@ -107,16 +108,18 @@ def paths_with_spans(versions: DataFrame, ledger: DataFrame, rules=BASE_RULES) -
 
 
 def scan(docs: DataFrame, rules=BASE_RULES) -> DataFrame:
-    """Spans of every row of ``docs(doc_id, text, ...)`` against an empty ledger.
+    """Spans of every row of ``docs(doc_id, text, ...)``, read from a ledger that starts empty.
 
     Returns doc_id, n_<rule> per rule, base_sha256, spans.  Null or empty text has no span;
     repeated rows each get their spans; other columns are ignored.
     """
     docs = docs.select("doc_id", whole(docs["text"]).alias("text"))
-    found = scan_blobs(new_blobs(docs, None, rules), rules)
-    counts = [F.count(F.when(F.col("rule") == r.name, 1)).alias(f"n_{r.name}") for r in rules]
-    listed = F.array_sort(F.collect_list(F.struct("start", "kind_no", "end", "rule")))
-    blobs = found.groupBy("blob_id").agg(*counts, listed.alias("l")).withColumn(
+    ledger = stage(update_ledger(docs, None, rules), "ledger")
+    counts = [F.sum(F.when(F.col("rule") == r.name, F.size("spans")).otherwise(0)).alias(f"n_{r.name}") for r in rules]
+    kind = F.array_position(F.array(*[F.lit(r.name) for r in rules]), F.col("rule"))
+    named = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.col("kind_no"), s["end"].alias("end"), F.col("rule")))
+    listed = F.array_sort(F.flatten(F.collect_list(named)))
+    blobs = ledger.where(F.size("spans") > 0).withColumn("kind_no", kind).groupBy("blob_id").agg(*counts, listed.alias("l")).withColumn(
         "spans", F.array_join(F.transform("l", lambda x: F.concat_ws(":", x["rule"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     ).drop("l")
     rows = docs.select("doc_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("blob_id"))

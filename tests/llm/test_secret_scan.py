@@ -51,3 +51,13 @@ def test_ledger_scans_only_new_pairs(spark):
     paths = {(r.path, r.rule, r.start, r.end) for r in ss.paths_with_spans(two, full).collect()}
     assert {p for p, *_ in paths} == {"a/1", "c/1", "a/2"}
     assert {(a, b) for p, _, a, b in paths if p == "c/1"} == {(a, b) for a, _, b, _ in brute(TEXTS[3])}
+
+
+def test_scan_reads_its_ledger(spark, monkeypatch):
+    made, update = [], ss.update_ledger
+    monkeypatch.setattr(ss, "update_ledger", lambda *a, **b: made.append(update(*a, **b)) or made[-1])
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    rows = ss.scan(docs).collect()
+    (ledger,) = made
+    assert sum(len(r.spans) for r in ledger.collect()) == sum(len(brute(t)) for t in set(TEXTS))
+    assert [r.n_assign + r.n_access + r.n_hex for r in sorted(rows)] == [len(brute(t)) for t in TEXTS]
