@@ -4,19 +4,21 @@ Two sets of word shingles link when 100 * |A & B| >= 80 * |A | B|.  The steps:
 
 1. Every document becomes a set (``shingles``); documents with equal sets are one class,
    named by a 64-bit digest and the set's size, so groups of copies cost one set a task.
-2. Shingles are dealt by hash and counted over the whole corpus.  A shingle of one set only
-   can link nothing: all others go back to their sets, with their frequency.  As a shared
-   shingle is never of one set only, these reduced sets still hold every intersection.
+2. Shingles are dealt by their leading bits, into buckets whose number grows with the data,
+   and counted over the whole corpus.  A shingle of one set only can link nothing: all others
+   go back to their sets, with their frequency.  As a shared shingle is never of one set only,
+   these reduced sets still hold every intersection.
 3. Several global orders: by frequency, rarest first, ties broken by a different hash each.
    In each order the first |A| - ceil(0.8 |A|) + 1 shingles of two linked sets share one.
-   Under these orders common passages come last and hardly ever fall into a prefix.
+   Common passages come last in all of them; which of the rarer passages come first differs.
 4. Sets that share a prefix shingle of the first order are tied together into blocks (one tie
    to another holder of the shingle, never all pairs).  Every link lies within a block.
-5. Blocks are dealt into tiles of bounded size.  In a tile a candidate must share a prefix
-   shingle in *every* order and fit in length; then its intersection is counted.  Sets that
-   are already known to be connected are not compared again.  Small blocks share a tile; a
-   large one is cut into tiles whose leaders meet in further rounds, and at last every set
-   outside its largest component is compared with all sets of the block, tile by tile.
+5. In a tile of sets a candidate must share a prefix shingle in *every* order and fit in
+   length; then its intersection is counted.  Sets already known to be connected are not
+   compared again.  Small blocks share tiles.  A large block is cut into tiles whose leaders
+   meet in further rounds, which connects near copies; what then is of different components
+   meets by the prefix shingles of the first order, those with many holders together with
+   the second's, and is verified if it passes the filters of all orders.
 6. Links become components; a component's name is its smallest doc_id.
 """
 
@@ -26,6 +28,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +42,10 @@ PERCENT = 80
 ORDERS = 2
 TILE = 512
 LEADERS = 8
-_FLUSH = 1 << 19  # tokens that a task holds before it sends them
+GROUP = 2048
+_FLUSH = 1 << 19  # shingles that a task holds before it sends them
+_BUCKET, _PARTITION = 1 << 18, 1 << 20  # shingles of a bucket, and of a partition of buckets
+_MASS = 1 << 21  # shingles of a tile or group
 _SALT = [np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) & (2**64 - 1)) for k in range(8)]
 
 
@@ -72,8 +78,8 @@ def classes(docs: DataFrame, digests: bool = False) -> DataFrame:
     return bounded_batches(rows).mapInArrow(run, "doc_id long, n_shingles long, id binary" + (", sha binary" if digests else ""))
 
 
-_TOKEN_BYTES = 6
 _SETS = 60_000  # sets of one flush: their numbers fit in 16 bits
+_HOT = 8  # holders in a flush beyond which a shingle's holders stay with the flush
 
 
 def _low_bytes(x: np.ndarray, n: int) -> bytes:
@@ -86,46 +92,65 @@ def _from_low(raw: bytes, n: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _counts(x: np.ndarray) -> bytes:
-    return (x.astype("<u2") if x.max(initial=0) < 65536 else x.astype("<u4")).tobytes()
+def _u8(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8)
 
 
-def _from_counts(raw: bytes, entries: int) -> np.ndarray:
-    return np.frombuffer(raw, "<u2" if len(raw) == 2 * entries else "<u4").astype(np.int64)
+def bucket_bits(tokens: int) -> int:
+    """Leading bits of a shingle that name its bucket: about _BUCKET shingles each, however many there are."""
+    return max(1, (tokens // _BUCKET).bit_length())
 
 
-_PACKED = "bucket int, flush long, sets binary, held binary, tokens binary, keys binary, sizes binary"
+def _width(bits: int) -> int:
+    """Bytes that hold the rest of a shingle: bucket and rest are all of its 64 bits."""
+    return -(-(64 - bits) // 8)
 
 
-def _packed_tokens(docs: DataFrame, buckets: int) -> DataFrame:
+_CELL = ["bucket", "flush", "tokens", "held", "sets", "many", "often", "keys", "sizes"]
+_CELL_KINDS = [pa.int32(), pa.int64(), *[pa.binary()] * 7]
+_PACKED = "bucket int, flush long, tokens binary, held binary, sets binary, many binary, often binary, keys binary, sizes binary"
+
+
+def _cells(rows: list[dict]) -> list[pa.Array]:
+    return [pa.array([r.get(c) for r in rows], k) for c, k in zip(_CELL, _CELL_KINDS)]
+
+
+def _packed_tokens(docs: DataFrame, bits: int) -> DataFrame:
     """All shingles of all sets, packed: a row for each bucket and flush of a task.
 
-    A task sends a set once.  Within a flush a set is a number; one more row has the keys and
-    sizes of the flush's sets, so that a set costs four bytes a bucket and not its whole name.
+    A task sends a set once.  A row has the flush's distinct shingles of a bucket, how many
+    sets hold each (``held``) and which (``sets``, numbers within the flush).  Of a shingle
+    with more than _HOT holders only their number goes (held is 0, ``many`` has it), so that
+    a passage of all documents costs one entry a flush; its holders, like the keys and sizes
+    of the sets, wait in the flush's own row.
     """
     rows = docs.select(whole(docs["text"]).alias("text"))
-    names = ["bucket", "flush", "sets", "held", "tokens", "keys", "sizes"]
-    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
-
-    def flushed(sets, keys):
-        tokens = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        bucket = ((tokens >> np.uint64(48)) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")  # stays sorted by set within a bucket
-        tokens, owner, bucket = tokens[order], owner[order], bucket[order]
+    width, shift = _width(bits), np.uint64(64 - bits)
+
+    def flushed(sets, keys, no):
+        token = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets]).astype("<u2")
+        order = np.argsort(token, kind="stable")
+        token, owner = token[order], owner[order]
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        count = np.diff(np.append(first, len(token)))
+        one, hot = token[first], count > _HOT
         key, size = np.array(keys, "<i8").tobytes(), np.array([len(s) for s in sets], "<u4").tobytes()
-        flush = int.from_bytes(xxhash.xxh3_64_digest(key + size), "big", signed=True)
-        rows = [(flush % buckets, flush, None, None, None, key, size)]
-        cut = np.searchsorted(bucket, np.arange(buckets + 1))
-        for b in range(buckets):
-            t, o = tokens[cut[b] : cut[b + 1]], owner[cut[b] : cut[b + 1]]
-            if len(t):
-                first = np.flatnonzero(np.diff(o, prepend=-1))
-                rows.append((b, flush, o[first].astype("<u2").tobytes(), _counts(np.diff(np.append(first, len(o)))), _low_bytes(t, _TOKEN_BYTES), None, None))
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        flush = int.from_bytes(xxhash.xxh3_64_digest(key + size + repr(no).encode()), "big", signed=True)
+        mine = np.repeat(hot, count)
+        out = [{"bucket": flush & ((1 << bits) - 1), "flush": flush, "keys": key, "sizes": size,
+                "tokens": one[hot].tobytes(), "many": count[hot].astype("<u4").tobytes(), "sets": owner[mine].tobytes()}]
+        held, sent = np.where(hot, 0, count).astype(np.uint8), owner[~mine]
+        upto, many = np.concatenate([[0], np.cumsum(held, dtype=np.int64)]), count.astype("<u4")
+        bucket = (one >> shift).astype(np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        for a, b in zip(starts.tolist(), np.append(starts[1:], len(one)).tolist()):
+            out.append({"bucket": int(bucket[a]), "flush": flush, "tokens": _low_bytes(one[a:b], width), "held": held[a:b].tobytes(),
+                        "sets": sent[upto[a] : upto[b]].tobytes(), "many": many[a:b][hot[a:b]].tobytes()})
+        return pa.RecordBatch.from_arrays(_cells(out), _CELL)
 
     def run(batches):
-        seen, sets, keys, held = set(), [], [], 0
+        task, seen, sets, keys, held, no = TaskContext.get().partitionId(), set(), [], [], 0, 0
         for batch in batches:
             for b in pieces(batch, 0, 1 << 20):
                 for s in sets_of(b.column(0).to_pylist()):
@@ -135,65 +160,52 @@ def _packed_tokens(docs: DataFrame, buckets: int) -> DataFrame:
                         keys.append(k[0])
                         held += len(s)
                         if held >= _FLUSH or len(sets) >= _SETS:
-                            yield flushed(sets, keys)
-                            sets, keys, held = [], [], 0
+                            yield flushed(sets, keys, (task, no))
+                            sets, keys, held, no = [], [], 0, no + 1
         if sets:
-            yield flushed(sets, keys)
+            yield flushed(sets, keys, (task, no))
 
     return bounded_batches(rows).mapInArrow(run, _PACKED)
 
 
-_SHARED = _PACKED + ", often binary"
-
-
-def _shared_tokens(packed: DataFrame) -> DataFrame:
+def _shared_tokens(packed: DataFrame, bits: int) -> DataFrame:
     """Of each bucket the shingles of two sets or more, with their frequency, packed by flush."""
+    width = _width(bits)
 
     def run(table: pa.Table) -> pa.Table:
-        bucket = table.column("bucket")[0].as_py()
-        cells = {c: table.column(c).to_pylist() for c in ("flush", "sets", "held", "tokens")}
-        there = [i for i, s in enumerate(cells["sets"]) if s is not None]
-        flushes, flush_of = np.unique(np.array([cells["flush"][i] for i in there], np.int64), return_inverse=True)
-        owners, tokens = [], []
-        for i, f in zip(there, flush_of):
-            one = np.frombuffer(cells["sets"][i], "<u2").astype(np.int64)
-            owners.append(np.repeat((int(f) << 16) | one, _from_counts(cells["held"][i], len(one))))
-            tokens.append(_from_low(cells["tokens"][i], _TOKEN_BYTES))
-        token = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
-        owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-        del cells, tokens, owners
-        order = np.argsort(token, kind="stable")
-        ts = token[order]
-        same = ts[1:] == ts[:-1]
-        more = np.concatenate([same, [False]]) | np.concatenate([[False], same]) if len(ts) else np.zeros(0, bool)
-        token, owner = ts[more], owner[order][more]
-        order = np.lexsort((owner, token))
-        token, owner = token[order], owner[order]
-        keep = np.ones(len(token), bool)
-        keep[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
-        token, owner = token[keep], owner[keep]
-        start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, np.int64)
-        count = np.diff(np.append(start, len(token)))
-        often = np.repeat(count, count)
-        keep = often > 1
-        token, owner, often = token[keep], owner[keep], np.minimum(often[keep], 65535).astype("<u2")
-        order = np.argsort(owner, kind="stable")
-        token, owner, often = token[order], owner[order], often[order]
-        out = {c: [] for c in (*(f.split()[0] for f in _SHARED.split(", ")),)}
-        cut = np.searchsorted(owner >> 16, np.arange(len(flushes) + 1))
-        for f, flush in enumerate(flushes.tolist()):
-            a, b = cut[f], cut[f + 1]
-            if a < b:
-                o = owner[a:b] & 0xFFFF
-                at = np.flatnonzero(np.diff(o, prepend=-1))
-                cell = {"bucket": bucket, "flush": flush, "sets": o[at].astype("<u2").tobytes(), "held": _counts(np.diff(np.append(at, b - a))), "tokens": _low_bytes(token[a:b], _TOKEN_BYTES), "often": often[a:b].tobytes()}
-                for c in out:
-                    out[c].append(cell.get(c))
-        names = table.filter(table.column("keys").is_valid())
-        made = pa.table([pa.array(out["bucket"], pa.int32()), pa.array(out["flush"], pa.int64()), *(pa.array(out[c], pa.binary()) for c in list(out)[2:])], names=list(out))
-        return pa.concat_tables([made, names.append_column("often", pa.nulls(len(names), pa.binary())).select(made.column_names).cast(made.schema)])
-
-    return packed.groupBy("bucket").applyInArrow(run, _SHARED)
+        is_name = np.asarray(table.column("keys").is_valid())
+        names = table.filter(pa.array(is_name))
+        cells = table.filter(pa.array(~is_name)).select(["flush", "tokens", "held", "sets", "many"]).to_pylist()
+        out: list[dict] = []
+        if cells:
+            bucket = table.column("bucket")[0].as_py()
+            tokens = [_from_low(c["tokens"], width) for c in cells]
+            held = [_u8(c["held"]) for c in cells]
+            counts = []
+            for h, c in zip(held, cells):
+                n = h.astype(np.int64)
+                n[h == 0] = np.frombuffer(c["many"], "<u4")
+                counts.append(n)
+            every = np.concatenate(tokens)
+            order = np.argsort(every, kind="stable")
+            ts = every[order]
+            first = np.flatnonzero(np.concatenate([[True], ts[1:] != ts[:-1]]))
+            total = np.add.reduceat(np.concatenate(counts)[order], first)
+            often = np.empty(len(every), np.int64)
+            often[order] = np.repeat(total, np.diff(np.append(first, len(ts))))
+            at = 0
+            for c, t, h in zip(cells, tokens, held):
+                f = often[at : at + len(t)]
+                at += len(t)
+                keep = f > 1
+                if keep.any():
+                    sets = np.frombuffer(c["sets"], "<u2")[np.repeat(keep, h)]
+                    out.append({"bucket": bucket, "flush": c["flush"], "tokens": _low_bytes(t[keep], width), "held": h[keep].tobytes(),
+                                "sets": sets.tobytes(), "often": np.minimum(f[keep], 65535).astype("<u2").tobytes()})
+        made = pa.Table.from_arrays(_cells(out), names=_CELL)
+        return pa.concat_tables([made, names.select(_CELL).cast(made.schema)])
+
+    return packed.groupBy("bucket").applyInArrow(run, _PACKED)
 
 
 REDUCED = "id binary, n int, tokens binary, often binary, prefix_1 array<long>"
@@ -205,8 +217,15 @@ def set_id(key: int, n: int) -> bytes:
 
 
 def _order(token: np.ndarray, often: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the shingles in global order k: rarest first, ties by the order's own hash."""
-    return np.lexsort((mix(token ^ _SALT[k]), often))
+    """Positions of the shingles in global order k: rarest first, ties by the order's own hash.
+
+    Orders after the first take frequencies by powers of two and deal each exact frequency its
+    own place among them: the shingles of a passage, which are equally frequent, stay together,
+    and another passage comes first than in the first order.
+    """
+    if k == 0:
+        return np.lexsort((mix(token ^ _SALT[0]), often))
+    return np.lexsort((mix(token ^ _SALT[k]), mix(often.astype(np.uint64) ^ _SALT[k]), np.frexp(often.astype(np.float64))[1]))
 
 
 def prefix(token: np.ndarray, often: np.ndarray, n: int, k: int, percent: int) -> np.ndarray:
@@ -215,21 +234,34 @@ def prefix(token: np.ndarray, often: np.ndarray, n: int, k: int, percent: int) -
     return token[_order(token, often, k)[: max(take, 0)]]
 
 
-def reduced_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """A row per set (and flush that has it) with a shared shingle in its first prefix: its shared shingles and frequencies."""
-    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shared = _shared_tokens(_packed_tokens(docs, buckets))
+def reduced_sets(docs: DataFrame, tokens: int, percent: int = PERCENT) -> DataFrame:
+    """A row per set (and flush that has it) with a shared shingle in its first prefix: its shared shingles and frequencies.
+
+    ``tokens`` is the number of shingles of all rows: buckets and partitions keep their size,
+    and their number grows with it.
+    """
+    bits, conf = bucket_bits(tokens), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts, width = max(conf, -(-tokens // _PARTITION)), _width(bits)
+    shared = _shared_tokens(_packed_tokens(docs, bits).repartition(parts, "bucket"), bits)
 
     def gather(table: pa.Table) -> pa.Table:  # one flush
-        names = table.filter(table.column("keys").is_valid())
-        keys, sizes = (np.frombuffer(names.column(c)[0].as_py(), t) for c, t in (("keys", "<i8"), ("sizes", "<u4")))
+        is_name = np.asarray(table.column("keys").is_valid())
+        name = table.filter(pa.array(is_name)).to_pylist()[0]
+        keys, sizes = np.frombuffer(name["keys"], "<i8"), np.frombuffer(name["sizes"], "<u4")
+        hot, many = np.frombuffer(name["tokens"], np.uint64), np.frombuffer(name["many"], "<u4").astype(np.int64)
+        upto, holders = np.concatenate([[0], np.cumsum(many)]), np.frombuffer(name["sets"], "<u2")
         owners, tokens, often = [], [], []
-        for b, s, h, t, f in zip(*(table.column(c).to_pylist() for c in ("bucket", "sets", "held", "tokens", "often"))):
-            if s is not None:
-                one = np.frombuffer(s, "<u2").astype(np.int64)
-                owners.append(np.repeat(one, _from_counts(h, len(one))))
-                tokens.append(_from_low(t, _TOKEN_BYTES) | (np.uint64(b) << np.uint64(8 * _TOKEN_BYTES)))
-                often.append(np.frombuffer(f, "<u2"))
+        for c in table.filter(pa.array(~is_name)).select(["bucket", "tokens", "held", "sets", "often"]).to_pylist():
+            t = _from_low(c["tokens"], width) | (np.uint64(c["bucket"]) << np.uint64(64 - bits))
+            h, f = _u8(c["held"]), np.frombuffer(c["often"], "<u2")
+            owners.append(np.frombuffer(c["sets"], "<u2"))
+            tokens.append(np.repeat(t, h))
+            often.append(np.repeat(f, h))
+            for one, freq in zip(t[h == 0], f[h == 0]):
+                i = int(np.searchsorted(hot, one))
+                owners.append(holders[upto[i] : upto[i + 1]])
+                tokens.append(np.full(many[i], one))
+                often.append(np.full(many[i], freq))
         out = {c: [] for c in ("id", "n", "tokens", "often", "prefix_1")}
         if owners:
             owner = np.concatenate(owners)
@@ -241,11 +273,12 @@ def reduced_sets(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                 t, f = token[a:b], count[a:b]
                 p = prefix(t, f, n, 0, percent)
                 if len(p):
-                    for c, v in (("id", set_id(int(keys[i]), n)), ("n", n), ("tokens", t.tobytes()), ("often", f.tobytes()), ("prefix_1", p.view(np.int64))):
+                    for c, v in (("id", set_id(int(keys[i]), n)), ("n", n), ("tokens", t.tobytes()), ("often", f.astype("<u2").tobytes()), ("prefix_1", p.view(np.int64))):
                         out[c].append(v)
-        return pa.table([pa.array(out["id"], pa.binary()), pa.array(out["n"], pa.int32()), pa.array(out["tokens"], pa.binary()), pa.array(out["often"], pa.binary()), pa.array(out["prefix_1"], pa.list_(pa.int64()))], names=list(out))
+        kinds = [pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+        return pa.table([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
 
-    return shared.groupBy("flush").applyInArrow(gather, REDUCED)
+    return shared.repartition(parts, "flush").groupBy("flush").applyInArrow(gather, REDUCED)
 
 
 def blocks_of(sets: DataFrame) -> DataFrame:
@@ -342,21 +375,25 @@ def _tile(table: pa.Table, percent: int, orders: int) -> tuple[list[tuple[int, i
     n = table.column("n").to_numpy().astype(np.int64)
     tokens = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
     often = [np.frombuffer(x, np.uint16) for x in table.column("often").to_pylist()]
-    group = np.arange(len(n))
+    group, query = np.arange(len(n)), np.ones(len(n), bool)
     if "component" in table.column_names:
-        number: dict = {}
-        group = np.array([number.setdefault(c, len(number)) for c in table.column("component").to_pylist()])
-    query = table.column("query").to_numpy(zero_copy_only=False) if "query" in table.column_names else np.ones(len(n), bool)
+        group = _numbered(table.column("component"))
+    if "query" in table.column_names:
+        query = table.column("query").to_numpy(zero_copy_only=False)
     return spanning_links(n, tokens, often, group, query, percent, orders)
 
 
+def _numbered(column) -> np.ndarray:
+    return column.combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+
+
 def _edges(table: pa.Table, links) -> pa.Table:
     ids = table.column("id").to_pylist()
     return pa.table([pa.array([ids[e[i]] for e in links], pa.binary()) for i in (0, 1)], names=["u", "v"])
 
 
 def _small(members: DataFrame, bins: int, percent: int, orders: int) -> DataFrame:
-    """Links within blocks of at most a tile of sets: whole blocks share bins."""
+    """Links within blocks that a tile can hold: whole blocks share bins."""
 
     def run(table: pa.Table) -> pa.Table:
         return _edges(table, _tile(table, percent, orders)[0])
@@ -364,8 +401,13 @@ def _small(members: DataFrame, bins: int, percent: int, orders: int) -> DataFram
     return members.withColumn("bin", F.pmod(F.xxhash64("block"), F.lit(bins))).select("bin", *_MEMBER[1:]).groupBy("bin").applyInArrow(run, _EDGE)
 
 
-def _large(members: DataFrame, tile: int, percent: int, orders: int) -> DataFrame:
-    """Links within blocks of more than a tile of sets, see the module's step 5; ``members`` has each block's size."""
+def _large(members: DataFrame, sizes: DataFrame, tile: int, percent: int, orders: int) -> DataFrame:
+    """Links within blocks that exceed a tile; ``sizes`` has each block's sets and shingles.
+
+    First near copies find each other: chunks of a block are joined, and a few leaders of what
+    hangs together meet in further rounds, while these become fewer.  What then belongs to
+    several components of a block goes through the prefix join of ``_across``.
+    """
 
     def meet(table: pa.Table) -> pa.Table:
         links, group = _tile(table, percent, orders)
@@ -378,55 +420,181 @@ def _large(members: DataFrame, tile: int, percent: int, orders: int) -> DataFram
         none = lambda t, like: [pa.nulls(len(t), f.type) for f in like.schema]
         return pa.concat_tables([pa.table([*e.columns, *none(e, rows)], names=["u", "v", *_MEMBER]), pa.table([*none(rows, e), *rows.columns], names=["u", "v", *_MEMBER])])
 
-    links, level, had = None, members, None
+    links, level = None, members.join(sizes, "block")
+    had = sizes.agg(F.sum("size")).first()[0]
     while True:
-        chunked = level.withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / tile)))
+        chunks = F.ceil(F.greatest(F.col("size") / tile, F.col("mass") / _MASS))
+        chunked = level.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks))
         met = stage(chunked.groupBy("block", "chunk").applyInArrow(meet, _EDGE + ", block binary, id binary, n int, tokens binary, often binary"), "tiles")
         found = met.where("u is not null").select("u", "v")
         links = found if links is None else links.unionByName(found)
         leaders = met.where("u is null").select(*_MEMBER)
-        sizes = stage(leaders.groupBy("block").agg(F.count(F.lit(1)).alias("size")), "sizes")
+        sizes = stage(leaders.groupBy("block").agg(*_sizes()), "sizes")
         now, most = sizes.agg(F.sum("size"), F.max("size")).first()
-        if now is None or most <= LEADERS or had is not None and now > 0.7 * had:
+        if most <= LEADERS or now > 0.7 * had:
             break  # one group a block, or leaders that no longer become fewer
         level, had = leaders.join(sizes, "block"), now
-    # what is not in its block's largest component is compared with the whole block
     part = components(links)
-    known = stage(members.join(part.select("id", "component"), "id", "left").select(*_MEMBER, F.coalesce("component", "id").alias("component")), "known")
-    sums = known.groupBy("block", "component").agg(F.count(F.lit(1)).alias("k"))
-    top = sums.groupBy("block").agg(F.max(F.struct("k", "component")).alias("top"), F.sum("k").alias("all"))
-    top = stage(top.select("block", F.col("top.component").alias("main"), "all", (F.col("all") - F.col("top.k")).alias("rest")).where("rest > 0"), "rest")
-    if top.isEmpty():
+    known = members.join(part.select("id", "component"), "id", "left").select(*_MEMBER, F.coalesce("component", "id").alias("component"))
+    known = stage(known, "known")
+    several = known.groupBy("block").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("block")
+    several = stage(several, "several")
+    if several.isEmpty():
         return links
-    half = tile // 2
-    rows = known.join(top, "block").withColumn("query", F.col("component") != F.col("main"))
-    a, b = F.ceil(F.col("rest") / half).cast("int"), F.ceil(F.col("all") / half).cast("int")
-    mine, other = F.pmod(F.xxhash64("id"), a).cast("int"), F.pmod(F.xxhash64("n", "id"), b).cast("int")
-    queries = rows.where("query").withColumn("i", mine).withColumn("j", F.explode(F.sequence(F.lit(0), b - 1)))
-    # a query is also among the sets that other queries are compared with
-    against = rows.withColumn("j", other).withColumn("i", F.explode(F.sequence(F.lit(0), a - 1))).withColumn("query", F.lit(False))
+    return links.unionByName(_across(known.join(several, "block", "left_semi"), percent, orders))
+
+
+def _sizes():
+    return F.count(F.lit(1)).alias("size"), F.sum("n").alias("mass")
+
+
+# ---------------------------------------------------------------- across the components of a large block
+
+
+def signature(tokens: np.ndarray, n: int) -> np.ndarray:
+    """Parity of the number of shingles by hash, in about n bits: a power of two of 64-bit words."""
+    words = 1 << min(11, max(2, int(n - 1).bit_length() - 6))
+    at = (mix(tokens ^ _SALT[7]) & np.uint64(64 * words - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=64 * words) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<u8")
 
-    def cross(table: pa.Table) -> pa.Table:
+
+def _folded(sig: np.ndarray, words: int) -> np.ndarray:
+    while len(sig) > words:
+        sig = sig[: len(sig) // 2] ^ sig[len(sig) // 2 :]
+    return sig
+
+
+def survivors(n: np.ndarray, reduced: np.ndarray, sigs: list[np.ndarray], prefixes: list[list[np.ndarray]], group: np.ndarray, query: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Which sets may link with one of another group: no filter drops a set that has a link.
+
+    Of two sets the lengths must fit, the bits in which the signatures differ (each stands for
+    a shingle that only one has) must leave enough shingles in common, and the prefixes must
+    share a shingle in each of the given orders.
+    """
+    out = np.zeros(len(n), bool)
+    words = np.array([len(x) for x in sigs])
+    for w in np.unique(words):
+        wide = np.flatnonzero(words >= w)
+        m = np.stack([_folded(sigs[i], int(w)) for i in wide])
+        nw, rw, gw, qw, longer = n[wide], reduced[wide], group[wide], query[wide], words[wide] > w
+        for k in np.flatnonzero(~longer):
+            may = (gw != gw[k]) & (qw | qw[k]) & (longer | (np.arange(len(wide)) > k)) & (100 * np.minimum(nw, nw[k]) >= percent * np.maximum(nw, nw[k]))
+            if not may.any():
+                continue
+            ys = np.flatnonzero(may)
+            apart = np.bitwise_count(m[ys] ^ m[k]).sum(1, dtype=np.int64)
+            most = (rw[ys] + rw[k] - apart) // 2
+            for y in wide[ys[100 * most >= percent * (nw[ys] + nw[k] - most)]].tolist():
+                x = int(wide[k])
+                if not (out[x] and out[y]) and all(len(np.intersect1d(p[x], p[y])) for p in prefixes):
+                    out[x] = out[y] = True
+    return out
+
+
+_NARROW = "id binary, component binary, n int, reduced int, sig binary, first array<long>, second array<long>, others array<binary>"
+
+
+def _narrowed(rows: DataFrame, percent: int, orders: int) -> DataFrame:
+    """Of each set its prefixes and its signature."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for i, c, n, t, f in zip(*(b.column(k).to_pylist() for k in ("id", "component", "n", "tokens", "often"))):
+                t, f = np.frombuffer(t, np.uint64), np.frombuffer(f, np.uint16)
+                p = [prefix(t, f, n, o, percent) for o in range(max(orders, 2))]
+                out.append((i, c, n, len(t), signature(t, n).tobytes(), p[0].view(np.int64), p[1].view(np.int64), [x.tobytes() for x in p[2:]]))
+            kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds], [x.split()[0] for x in _NARROW.split(", ")])
+
+    return bounded_batches(rows.select("id", "component", "n", "tokens", "often")).mapInArrow(run, _NARROW)
+
+
+def _meeting(rows: DataFrame) -> DataFrame:
+    """(key, size, mass): shingles (or pairs of them) held by several components; of those with the same holders one."""
+    held = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), *_sizes(), F.bit_xor(F.xxhash64("id")).alias("d1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("d2"))
+    return held.where("lo < hi").groupBy("d1", "d2", "size", "mass").agg(F.min("key").alias("key")).select("key", "size", "mass")
+
+
+def _across(rows: DataFrame, percent: int, orders: int) -> DataFrame:
+    """Links between different components within blocks, by a join on prefix shingles.
+
+    Sets meet by a shared prefix shingle of the first order; one with too many holders is
+    split by the shingles of the second order.  What is still too many is cut into tiles in
+    which all that is outside the largest component meets the rest.  Groups are first reduced
+    to the sets that pass all filters against another component; only those bring their
+    shingles and are verified.
+    """
+    narrow = stage(_narrowed(rows, percent, orders), "narrow")
+    fits = (F.col("size") <= GROUP) & (F.col("mass") <= _MASS)
+    ties = narrow.select("id", "component", "n", F.explode("first").alias("t")).withColumn("key", F.array("t")).drop("t")
+    first = stage(_meeting(ties), "meeting")
+    met = ties.join(first, "key")
+    groups = met.where(fits).select(F.col("key").alias("gid"), "id", F.lit(True).alias("query"))
+    hot = met.where(~fits).select("key", "id").join(narrow.select("id", "component", "n", "second"), "id")
+    pairs = hot.select("id", "component", "n", F.explode("second").alias("t2"), "key").withColumn("key", F.concat("key", F.array("t2"))).drop("t2")
+    second = stage(_meeting(pairs), "meeting")
+    met = stage(pairs.join(second, "key"), "pairs")
+    groups = groups.unionByName(met.where(fits).select(F.col("key").alias("gid"), "id", F.lit(True).alias("query")))
+    big = met.where(~fits)
+    if not big.isEmpty():
+        groups = groups.unionByName(_tiled(big))
+    groups = stage(groups, "groups")
+
+    def keep(table: pa.Table) -> pa.Table:
+        cols = {c: table.column(c).to_pylist() for c in ("sig", "second", "others")}
+        sigs = [np.frombuffer(x, "<u8") for x in cols["sig"]]
+        prefixes = [[np.array(x, np.int64) for x in cols["second"]]] if orders > 1 else []
+        prefixes += [[np.frombuffer(x[o], np.uint64) for x in cols["others"]] for o in range(orders - 2)]
+        n, reduced = (table.column(c).to_numpy().astype(np.int64) for c in ("n", "reduced"))
+        ok = survivors(n, reduced, sigs, prefixes, _numbered(table.column("component")), table.column("query").to_numpy(zero_copy_only=False), percent)
+        return table.select(["gid", "id", "query"]).filter(pa.array(ok))
+
+    def verify(table: pa.Table) -> pa.Table:
         return _edges(table, _tile(table, percent, orders)[0])
 
-    cols = [*_MEMBER, "i", "j", "component", "query"]
-    return links.unionByName(queries.select(*cols).unionByName(against.select(*cols)).groupBy("block", "i", "j").applyInArrow(cross, _EDGE))
+    left = groups.join(narrow.drop("first"), "id").groupBy("gid").applyInArrow(keep, "gid array<long>, id binary, query boolean")
+    left = stage(left, "survivors")
+    return left.join(rows.select("id", "n", "tokens", "often", "component"), "id").groupBy("gid").applyInArrow(verify, _EDGE)
+
+
+def _tiled(big: DataFrame) -> DataFrame:
+    """(gid, id, query) of groups that are too large: what is outside a group's largest component meets all of it, tile by tile."""
+    parts = big.groupBy("key", "component").agg(*_sizes())
+    top = parts.groupBy("key").agg(F.max(F.struct("size", "mass", "component")).alias("top"), F.sum("size").alias("all"), F.sum("mass").alias("all_mass"))
+    tiles = lambda size, mass: F.ceil(F.greatest(size / (GROUP // 2), mass / (_MASS // 2)))
+    top = top.select("key", F.col("top.component").alias("main"), tiles(F.col("all") - F.col("top.size"), F.col("all_mass") - F.col("top.mass")).alias("a"), tiles(F.col("all"), F.col("all_mass")).alias("b"))
+    rows = big.select("key", "id", "component").join(stage(top, "tops"), "key").withColumn("query", F.col("component") != F.col("main"))
+    at = F.concat("key", F.array("i", "j"))
+    mine = rows.where("query").withColumn("i", F.pmod(F.xxhash64("id"), F.col("a"))).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("b") - 1)))
+    # a query is also among the sets that other queries are compared with
+    other = rows.withColumn("j", F.pmod(F.xxhash64("id", F.lit(1)), F.col("b"))).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("a") - 1)))
+    both = mine.select(at.alias("gid"), "id", "query").unionByName(other.select(at.alias("gid"), "id", F.lit(False).alias("query")))
+    return both.groupBy("gid", "id").agg(F.bool_or("query").alias("query"))
 
 
 # ---------------------------------------------------------------- the join
 
 
-def links_of(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS, tile: int = TILE) -> DataFrame:
-    """Links (u, v) of distinct sets by name: enough of them to connect all that any links connect."""
-    sets = stage(reduced_sets(docs, percent), "sets")
-    named = blocks_of(sets).withColumnRenamed("component", "block")
+def links_of(docs: DataFrame, tokens: int, percent: int = PERCENT, orders: int = ORDERS, tile: int = TILE) -> DataFrame:
+    """Links (u, v) of distinct sets by name: enough of them to connect all that any links connect.
+
+    ``tokens`` is the number of shingles of all rows.
+    """
+    sets = stage(reduced_sets(docs, tokens, percent), "sets")
+    named = blocks_of(sets).select("id", F.col("component").alias("block"))
     # a set that several tasks sent is one member
-    members = stage(sets.drop("prefix_1").join(named, "id").dropDuplicates(["id"]).select(*_MEMBER, "size"), "members")
-    total, most = members.agg(F.count(F.lit(1)), F.max("size")).first()
-    found = _small(members.where(F.col("size") <= tile), max(1, total // tile), percent, orders)
-    if most is None or most <= tile:
-        return found
-    return found.unionByName(_large(members.where(F.col("size") > tile), tile, percent, orders))
+    members = stage(sets.drop("prefix_1").join(named, "id").dropDuplicates(["id"]).select(*_MEMBER), "members")
+    sizes = stage(members.groupBy("block").agg(*_sizes()), "sizes")
+    fits = (F.col("size") <= tile) & (F.col("mass") <= _MASS)
+    total, mass, large = sizes.agg(F.sum("size"), F.sum("mass"), F.count_if(~fits)).first()
+    bins = max(1, (total or 0) // tile, (mass or 0) // _BUCKET)
+    if not large:
+        return _small(members, bins, percent, orders)
+    large = sizes.where(~fits)
+    found = _small(members.join(large, "block", "left_anti"), bins, percent, orders)
+    return found.unionByName(_large(members, large, tile, percent, orders))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, orders: int = ORDERS, tile: int = TILE) -> DataFrame:
@@ -459,7 +627,8 @@ def near_survivors(docs: DataFrame) -> DataFrame:
 def _with_least(rows: DataFrame, rank, docs: DataFrame, percent: int, orders: int, tile: int) -> DataFrame:
     """Staged ``rows`` of ``classes(docs)`` with the least ``rank`` of their component."""
     reps = rows.where("id is not null").groupBy("id").agg(F.min(rank).alias("rep"))
-    parts = components(links_of(docs, percent, orders, tile))
+    tokens = rows.agg(F.sum("n_shingles")).first()[0] or 0
+    parts = components(links_of(docs, tokens, percent, orders, tile))
     least = reps.join(parts, "id").groupBy("component").agg(F.min("rep").alias("least"))
     linked = parts.join(least, "component").select("id", "least")
     # staged, so that both sides of the last join are plain exchanges and AQE can split the copies of one set

@@ -1,7 +1,9 @@
 import random
 import re
+import time
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from tessera.llm import ngram_join as nj
@@ -107,3 +109,80 @@ def test_components(spark, local):
         df = spark.createDataFrame(edges, "u long, v long").repartition(5)
         got = {r.id: r.component for r in components(df, local_edges=local).collect()}
         assert got == want
+
+
+def template_built(n, passages, each, seed, hot="the same five words everywhere indeed"):
+    """Documents put together from shared passages behind one shingle that all of them have."""
+    rng = random.Random(seed)
+    pool = [" ".join(f"p{k}w{rng.randrange(3000)}" for _ in range(40)) for k in range(passages)]
+    return [" ".join([hot, *rng.sample(pool, each)]) for _ in range(n)]
+
+
+@pytest.mark.parametrize("group", [2048, 24, 6])
+def test_template_built_documents(spark, monkeypatch, group):
+    """One block of all sets with hardly a link; small groups go through the second order and tiles."""
+    monkeypatch.setattr(nj, "GROUP", group)
+    texts = template_built(160, 12, 4, 8)
+    texts += [t + " and an end" for t in texts[:20]] + [" ".join(reversed(t.split())) for t in texts[:5]]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in nj.near_duplicates(docs, tile=16).collect())
+    assert got == brute(rows)
+
+
+def test_time_of_one_large_block(spark, tmp_path):
+    """Twice the template-built documents take clearly less than the fourfold time of all pairs."""
+    took = {}
+    for n in (3000, 12_000, 24_000):
+        path = f"{tmp_path}/{n}"
+        spark.createDataFrame(list(enumerate(template_built(n, 200, 6, 5))), "doc_id long, text string").repartition(16).write.parquet(path)
+        start = time.time()
+        assert nj.near_duplicates(spark.read.parquet(path)).where("component_id = doc_id").count() == n
+        took[n] = time.time() - start
+    assert took[24_000] < 2.3 * took[12_000], took
+
+
+@pytest.mark.parametrize("orders", [1, 2, 3])
+def test_no_filter_loses_a_link(orders):
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        base = [rng.integers(0, 2**63, int(rng.integers(1, 400))).astype(np.uint64) for _ in range(4)]
+        sets = []
+        for _ in range(40):
+            b = base[int(rng.integers(4))]
+            kept = b[rng.random(len(b)) > rng.choice([0, 0.02, 0.1, 0.3])]
+            sets.append(np.unique(np.concatenate([kept, rng.integers(0, 2**63, int(rng.integers(0, 12))).astype(np.uint64)])))
+        token, count = np.unique(np.concatenate(sets), return_counts=True)
+        often = [np.minimum(count[np.searchsorted(token, s)], 65535).astype(np.uint16) for s in sets]
+        shared = [s[f > 1] for s, f in zip(sets, often)]
+        often = [f[f > 1] for f in often]
+        n = np.array([len(s) for s in sets])
+        prefixes = [[nj.prefix(t, f, int(k), o, 80) for t, f, k in zip(shared, often, n)] for o in range(1, orders)]
+        group, query = np.arange(40), rng.random(40) < 0.7
+        ok = nj.survivors(n, np.array([len(s) for s in shared]), [nj.signature(s, int(k)) for s, k in zip(shared, n)], prefixes, group, query)
+        for i in range(40):
+            for j in range(i):
+                common = len(np.intersect1d(sets[i], sets[j]))
+                if common and 100 * common >= 80 * (n[i] + n[j] - common) and (query[i] or query[j]):
+                    assert ok[i] and ok[j]
+                    assert all(len(np.intersect1d(nj.prefix(shared[i], often[i], int(n[i]), o, 80), nj.prefix(shared[j], often[j], int(n[j]), o, 80))) for o in range(orders))
+
+
+def test_shingles_keep_all_their_bits():
+    assert [nj.bucket_bits(t) for t in (0, 1, 1 << 18, 1 << 19, 10**13)] == [1, 1, 1, 2, 26]
+    for bits in (1, 8, 9, 26, 40):
+        x = np.array([2**64 - 1, 2**63 + 5, 77], np.uint64)
+        back = nj._from_low(nj._low_bytes(x, nj._width(bits)), nj._width(bits)) & np.uint64(2 ** (64 - bits) - 1)
+        assert (back | (x >> np.uint64(64 - bits) << np.uint64(64 - bits)) == x).all()
+
+
+def test_words_and_texts_of_any_length():
+    from tessera.llm import shingles as sh
+
+    long_word = "Ab" * 700_000
+    many = " ".join(f"w{i % 977}" for i in range(400_000))
+    for t in (many, f"x {long_word} y z v w", f"{long_word}", f"{many}\n{long_word} {many}"):
+        assert len(t) > 1 << 20
+        assert len(sh.sets_of([t])[0]) == len(shingles(t))
+    parts = sh.sets_of(["a b c d e f", many, "", "a b c d e g"])
+    assert [len(p) for p in parts] == [2, len(shingles(many)), 0, 2] and parts[0][0] in parts[3] or parts[0][1] in parts[3]
