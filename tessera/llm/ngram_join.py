@@ -16,9 +16,10 @@ Two sets of word shingles link when 100 * |A & B| >= 80 * |A | B|.  The steps:
 5. In a tile of sets a candidate must share a prefix shingle in *every* order and fit in
    length; then its intersection is counted.  Sets already known to be connected are not
    compared again.  Small blocks share tiles.  A large block is cut into tiles whose leaders
-   meet in further rounds, which connects near copies; what then is of different components
-   meets by the prefix shingles of the first order, those with many holders together with
-   the second's, and is verified if it passes the filters of all orders.
+   meet in further rounds, which connects near copies.  Then what is outside the largest
+   component meets the rest: tile by tile in blocks of a few tiles, in wider ones by a join on
+   the prefix shingles of the first order, those with many holders together with the second's;
+   what passes the filters of all orders is tied into smaller blocks that are verified.
 6. Links become components; a component's name is its smallest doc_id.
 """
 
@@ -43,6 +44,7 @@ ORDERS = 2
 TILE = 512
 LEADERS = 8
 GROUP = 2048
+WIDE = 16  # tiles a side up to which a large block goes tile by tile
 _FLUSH = 1 << 19  # shingles that a task holds before it sends them
 _BUCKET, _PARTITION = 1 << 18, 1 << 20  # shingles of a bucket, and of a partition of buckets
 _MASS = 1 << 21  # shingles of a tile or group
@@ -398,7 +400,7 @@ def _small(members: DataFrame, bins: int, percent: int, orders: int) -> DataFram
     def run(table: pa.Table) -> pa.Table:
         return _edges(table, _tile(table, percent, orders)[0])
 
-    return members.withColumn("bin", F.pmod(F.xxhash64("block"), F.lit(bins))).select("bin", *_MEMBER[1:]).groupBy("bin").applyInArrow(run, _EDGE)
+    return members.withColumn("bin", F.pmod(F.xxhash64("block"), F.lit(bins))).drop("block").groupBy("bin").applyInArrow(run, _EDGE)
 
 
 def _large(members: DataFrame, sizes: DataFrame, tile: int, percent: int, orders: int) -> DataFrame:
@@ -437,11 +439,40 @@ def _large(members: DataFrame, sizes: DataFrame, tile: int, percent: int, orders
     part = components(links)
     known = members.join(part.select("id", "component"), "id", "left").select(*_MEMBER, F.coalesce("component", "id").alias("component"))
     known = stage(known, "known")
-    several = known.groupBy("block").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("block")
-    several = stage(several, "several")
-    if several.isEmpty():
-        return links
-    return links.unionByName(_across(known.join(several, "block", "left_semi"), percent, orders))
+    parted = known.groupBy("block", "component").agg(*_sizes())
+    blocks = parted.groupBy("block").agg(F.max(F.struct("size", "mass", "component")).alias("top"), F.sum("size").alias("all"), F.sum("mass").alias("all_mass"), F.count(F.lit(1)).alias("parts"))
+    blocks = stage(blocks.where("parts > 1").select("block", F.col("top.component").alias("main"), *_tiles_a_side(tile)), "parts")
+    narrow, wide = (blocks.where(x).count() for x in (F.col("b") <= WIDE, F.col("b") > WIDE))
+    if narrow:
+        links = links.unionByName(_outside(known.join(blocks.where(F.col("b") <= WIDE), "block"), percent, orders))
+    if wide:
+        links = links.unionByName(_across(known.join(blocks.where(F.col("b") > WIDE).select("block"), "block", "left_semi"), tile, percent, orders))
+    return links
+
+
+def _tiles_a_side(tile: int):
+    """Tiles for what is outside the largest component (``a``) and for all (``b``), of the columns top, all and all_mass."""
+    tiles = lambda size, mass: F.ceil(F.greatest(size / (tile // 2), mass / (_MASS // 2)))
+    return tiles(F.col("all") - F.col("top.size"), F.col("all_mass") - F.col("top.mass")).alias("a"), tiles(F.col("all"), F.col("all_mass")).alias("b")
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, component, main, a, b, ...) by tile (i, j), so that each set outside the main component meets every other."""
+    rows = rows.withColumn("query", F.col("component") != F.col("main"))
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    mine = rows.where("query").withColumn("i", F.pmod(F.xxhash64("id"), F.col("a"))).withColumn("j", upto("b"))
+    # a query is also among the sets that other queries are compared with
+    other = rows.withColumn("j", F.pmod(F.xxhash64("id", F.lit(1)), F.col("b"))).withColumn("i", upto("a")).withColumn("query", F.lit(False))
+    return mine.unionByName(other).drop("main", "a", "b")
+
+
+def _outside(rows: DataFrame, percent: int, orders: int) -> DataFrame:
+    """Links of the sets outside their block's largest component, tile by tile."""
+
+    def verify(table: pa.Table) -> pa.Table:
+        return _edges(table, _tile(table, percent, orders)[0])
+
+    return _dealt(rows).groupBy("block", "i", "j").applyInArrow(verify, _EDGE)
 
 
 def _sizes():
@@ -465,30 +496,31 @@ def _folded(sig: np.ndarray, words: int) -> np.ndarray:
     return sig
 
 
-def survivors(n: np.ndarray, reduced: np.ndarray, sigs: list[np.ndarray], prefixes: list[list[np.ndarray]], group: np.ndarray, query: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Which sets may link with one of another group: no filter drops a set that has a link.
+def plausible_links(n: np.ndarray, reduced: np.ndarray, sigs: list[np.ndarray], prefixes: list[list[np.ndarray]], group: np.ndarray, query: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Pairs that no filter rules out, enough of them to join all groups that any such pair joins.
 
     Of two sets the lengths must fit, the bits in which the signatures differ (each stands for
     a shingle that only one has) must leave enough shingles in common, and the prefixes must
     share a shingle in each of the given orders.
     """
-    out = np.zeros(len(n), bool)
+    out, group = [], group.copy()
     words = np.array([len(x) for x in sigs])
     for w in np.unique(words):
         wide = np.flatnonzero(words >= w)
         m = np.stack([_folded(sigs[i], int(w)) for i in wide])
-        nw, rw, gw, qw, longer = n[wide], reduced[wide], group[wide], query[wide], words[wide] > w
+        nw, rw, qw, longer = n[wide], reduced[wide], query[wide], words[wide] > w
         for k in np.flatnonzero(~longer):
-            may = (gw != gw[k]) & (qw | qw[k]) & (longer | (np.arange(len(wide)) > k)) & (100 * np.minimum(nw, nw[k]) >= percent * np.maximum(nw, nw[k]))
-            if not may.any():
-                continue
+            x = int(wide[k])
+            may = (group[wide] != group[x]) & (qw | qw[k]) & (longer | (np.arange(len(wide)) > k)) & (100 * np.minimum(nw, nw[k]) >= percent * np.maximum(nw, nw[k]))
             ys = np.flatnonzero(may)
+            if not len(ys):
+                continue
             apart = np.bitwise_count(m[ys] ^ m[k]).sum(1, dtype=np.int64)
             most = (rw[ys] + rw[k] - apart) // 2
             for y in wide[ys[100 * most >= percent * (nw[ys] + nw[k] - most)]].tolist():
-                x = int(wide[k])
-                if not (out[x] and out[y]) and all(len(np.intersect1d(p[x], p[y])) for p in prefixes):
-                    out[x] = out[y] = True
+                if group[x] != group[y] and all(len(np.intersect1d(p[x], p[y])) for p in prefixes):
+                    out.append((x, y))
+                    group[group == group[y]] = group[x]
     return out
 
 
@@ -517,61 +549,56 @@ def _meeting(rows: DataFrame) -> DataFrame:
     return held.where("lo < hi").groupBy("d1", "d2", "size", "mass").agg(F.min("key").alias("key")).select("key", "size", "mass")
 
 
-def _across(rows: DataFrame, percent: int, orders: int) -> DataFrame:
-    """Links between different components within blocks, by a join on prefix shingles.
+def _across(rows: DataFrame, tile: int, percent: int, orders: int) -> DataFrame:
+    """Links between the components of blocks that are too wide for tiles, by a join on prefix shingles.
 
     Sets meet by a shared prefix shingle of the first order; one with too many holders is
-    split by the shingles of the second order.  What is still too many is cut into tiles in
-    which all that is outside the largest component meets the rest.  Groups are first reduced
-    to the sets that pass all filters against another component; only those bring their
-    shingles and are verified.
+    split by the shingles of the second order; what is still too large is cut into tiles.
+    There only prefixes and signatures meet.  The pairs that pass the filters of all orders
+    tie sets together into far smaller blocks, and these are verified.
     """
     narrow = stage(_narrowed(rows, percent, orders), "narrow")
     fits = (F.col("size") <= GROUP) & (F.col("mass") <= _MASS)
     ties = narrow.select("id", "component", "n", F.explode("first").alias("t")).withColumn("key", F.array("t")).drop("t")
-    first = stage(_meeting(ties), "meeting")
-    met = ties.join(first, "key")
-    groups = met.where(fits).select(F.col("key").alias("gid"), "id", F.lit(True).alias("query"))
+    met = ties.join(stage(_meeting(ties), "meeting"), "key")
+    group = lambda met: met.where(fits).select(F.col("key").alias("gid"), "id", F.lit(True).alias("query"))
     hot = met.where(~fits).select("key", "id").join(narrow.select("id", "component", "n", "second"), "id")
     pairs = hot.select("id", "component", "n", F.explode("second").alias("t2"), "key").withColumn("key", F.concat("key", F.array("t2"))).drop("t2")
-    second = stage(_meeting(pairs), "meeting")
-    met = stage(pairs.join(second, "key"), "pairs")
-    groups = groups.unionByName(met.where(fits).select(F.col("key").alias("gid"), "id", F.lit(True).alias("query")))
-    big = met.where(~fits)
-    if not big.isEmpty():
-        groups = groups.unionByName(_tiled(big))
-    groups = stage(groups, "groups")
-
-    def keep(table: pa.Table) -> pa.Table:
+    split = stage(pairs.join(stage(_meeting(pairs), "meeting"), "key"), "split")
+    parted = split.where(~fits).groupBy("key", "component").agg(*_sizes())
+    top = parted.groupBy("key").agg(F.max(F.struct("size", "mass", "component")).alias("top"), F.sum("size").alias("all"), F.sum("mass").alias("all_mass"))
+    top = stage(top.select("key", F.col("top.component").alias("main"), *_tiles_a_side(GROUP)), "tops")
+    cut = _dealt(split.select("key", "id", "component").join(top, "key"))
+    cut = cut.select(F.concat("key", F.array("i", "j")).alias("gid"), "id", "query").groupBy("gid", "id").agg(F.bool_or("query").alias("query"))
+    groups = group(met).unionByName(group(split)).unionByName(cut)
+
+    def meet(table: pa.Table) -> pa.Table:
         cols = {c: table.column(c).to_pylist() for c in ("sig", "second", "others")}
-        sigs = [np.frombuffer(x, "<u8") for x in cols["sig"]]
         prefixes = [[np.array(x, np.int64) for x in cols["second"]]] if orders > 1 else []
         prefixes += [[np.frombuffer(x[o], np.uint64) for x in cols["others"]] for o in range(orders - 2)]
         n, reduced = (table.column(c).to_numpy().astype(np.int64) for c in ("n", "reduced"))
-        ok = survivors(n, reduced, sigs, prefixes, _numbered(table.column("component")), table.column("query").to_numpy(zero_copy_only=False), percent)
-        return table.select(["gid", "id", "query"]).filter(pa.array(ok))
-
-    def verify(table: pa.Table) -> pa.Table:
-        return _edges(table, _tile(table, percent, orders)[0])
-
-    left = groups.join(narrow.drop("first"), "id").groupBy("gid").applyInArrow(keep, "gid array<long>, id binary, query boolean")
-    left = stage(left, "survivors")
-    return left.join(rows.select("id", "n", "tokens", "often", "component"), "id").groupBy("gid").applyInArrow(verify, _EDGE)
-
-
-def _tiled(big: DataFrame) -> DataFrame:
-    """(gid, id, query) of groups that are too large: what is outside a group's largest component meets all of it, tile by tile."""
-    parts = big.groupBy("key", "component").agg(*_sizes())
-    top = parts.groupBy("key").agg(F.max(F.struct("size", "mass", "component")).alias("top"), F.sum("size").alias("all"), F.sum("mass").alias("all_mass"))
-    tiles = lambda size, mass: F.ceil(F.greatest(size / (GROUP // 2), mass / (_MASS // 2)))
-    top = top.select("key", F.col("top.component").alias("main"), tiles(F.col("all") - F.col("top.size"), F.col("all_mass") - F.col("top.mass")).alias("a"), tiles(F.col("all"), F.col("all_mass")).alias("b"))
-    rows = big.select("key", "id", "component").join(stage(top, "tops"), "key").withColumn("query", F.col("component") != F.col("main"))
-    at = F.concat("key", F.array("i", "j"))
-    mine = rows.where("query").withColumn("i", F.pmod(F.xxhash64("id"), F.col("a"))).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("b") - 1)))
-    # a query is also among the sets that other queries are compared with
-    other = rows.withColumn("j", F.pmod(F.xxhash64("id", F.lit(1)), F.col("b"))).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("a") - 1)))
-    both = mine.select(at.alias("gid"), "id", "query").unionByName(other.select(at.alias("gid"), "id", F.lit(False).alias("query")))
-    return both.groupBy("gid", "id").agg(F.bool_or("query").alias("query"))
+        query = table.column("query").to_numpy(zero_copy_only=False)
+        return _edges(table, plausible_links(n, reduced, [np.frombuffer(x, "<u8") for x in cols["sig"]], prefixes, _numbered(table.column("component")), query, percent))
+
+    plausible = components(groups.join(narrow.drop("first"), "id").groupBy("gid").applyInArrow(meet, _EDGE))
+    # a plausible pair stands for its components: all their sets are in the new block
+    mine = rows.select("id", "component").join(plausible.select("id", F.col("component").alias("tied")), "id")
+    named = components(mine.select(F.col("component").alias("u"), F.col("tied").alias("v")).unionByName(mine.select(F.col("component").alias("u"), F.col("id").alias("v"))))
+    named = named.select(F.col("id").alias("component"), F.col("component").alias("block"))
+    found = rows.drop("block").join(named, "component")
+    return _within(stage(found.select(*_MEMBER, "component"), "found"), tile, percent, orders)
+
+
+def _within(rows: DataFrame, tile: int, percent: int, orders: int) -> DataFrame:
+    """Links between the components of each block of ``rows``: several small blocks a tile, large blocks tile by tile."""
+    parted = rows.groupBy("block", "component").agg(*_sizes())
+    blocks = parted.groupBy("block").agg(F.max(F.struct("size", "mass", "component")).alias("top"), F.sum("size").alias("all"), F.sum("mass").alias("all_mass"))
+    blocks = stage(blocks.select("block", F.col("top.component").alias("main"), *_tiles_a_side(tile), "all", "all_mass"), "blocks")
+    fits = (F.col("all") <= tile) & (F.col("all_mass") <= _MASS)
+    total, mass = blocks.where(fits).agg(F.sum("all"), F.sum("all_mass")).first()
+    bins = max(1, (total or 0) // tile, (mass or 0) // _BUCKET)
+    found = _small(rows.join(blocks.where(fits).select("block"), "block", "left_semi"), bins, percent, orders)
+    return found.unionByName(_outside(rows.join(blocks.where(~fits).drop("all", "all_mass"), "block"), percent, orders))
 
 
 # ---------------------------------------------------------------- the join
