@@ -5,6 +5,10 @@ state that the ring walk needs has a fixed size however many documents there are
 goes to the first virtual node clockwise whose shard still has room below
 ``(1 + slack) * mean``; cells that meet a full shard continue clockwise.  Large cells arrive
 first, so small ones even out what is left and every shard ends close to the mean.
+
+Rows of one key (repeated ids, or no id and one text) fall into one cell.  They are counted
+before anything else, and a cell of more than SPLIT times the mean is split by row: its parts
+have places of their own on the ring, so that no key makes a shard heavy.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from .textcols import utf8_crc32, whole
 CELLS = 65_536
 VNODES = 64
 SLACK = 0.0001
+SPLIT = 4
 
 
 def _point(label: str) -> int:
@@ -33,14 +38,28 @@ def ring(shards: int, vnodes: int = VNODES, cells: int = CELLS) -> tuple[np.ndar
     return np.array([p[0] for p in points]), np.array([p[1] for p in points])
 
 
-def assign_cells(cell_bytes: dict[int, int], shards: int, vnodes: int = VNODES, cells: int = CELLS, slack: float = SLACK) -> dict[int, int]:
-    """Shard of each cell.  Deterministic: largest cells first, then by cell number."""
+def place(cell: int, part: int, cells: int = CELLS) -> int:
+    """Where a part of a cell is on the ring; the first is where the cell is."""
+    return cell if part == 0 else _point(f"{cell}.{part}") * cells >> 64
+
+
+def capacity(sizes, shards: int, slack: float = SLACK) -> int:
+    """Bytes a shard may hold: a bit above the mean, without cells so large that each fills a shard of its own."""
+    left, n = sum(sizes), shards
+    for size in sorted(sizes, reverse=True)[: shards - 1]:
+        if size * n <= left:
+            break
+        left, n = left - size, n - 1
+    return -(-int(left * (1 + slack)) // n)
+
+
+def assign_cells(cell_bytes: dict[tuple[int, int], int], shards: int, vnodes: int = VNODES, cells: int = CELLS, slack: float = SLACK) -> dict[tuple[int, int], int]:
+    """Shard of each (cell, part).  Deterministic: largest first, then by number."""
     at, owner = ring(shards, vnodes, cells)
-    total = sum(cell_bytes.values())
-    room = np.full(shards, -(-int(total * (1 + slack)) // shards), dtype=np.int64)
+    room = np.full(shards, capacity(cell_bytes.values(), shards, slack), dtype=np.int64)
     out = {}
     for cell, size in sorted(cell_bytes.items(), key=lambda x: (-x[1], x[0])):
-        home = int(np.searchsorted(at, cell)) % len(at)
+        home = int(np.searchsorted(at, place(*cell, cells))) % len(at)
         shard = int(owner[home])
         if room[shard] < size:
             walk = np.roll(owner, -home)
@@ -58,28 +77,36 @@ def shard(docs: DataFrame, shards: int, vnodes: int = VNODES, cells: int = CELLS
     Returns doc_id, size (UTF-8 bytes + 16), text_crc32, law ('bytes'), shard, slot,
     grown_shard (null: this law does not promise it).  Slots are gapless from 0 in a shard.
 
-    Null text has size 16; a null doc_id is placed by its text's checksum; repeated rows
-    share a cell and get slots of their own; an empty table gives an empty result.
-    Shards differ by less than ``slack`` or the largest cell, whichever is more.
+    Null text has size 16; a null doc_id is placed by its text's checksum; repeated rows are
+    counted, dealt over the parts of their cell and get slots of their own; a text of any
+    length is one row and never split; an empty table gives an empty result; other columns
+    are ignored.  Shards differ by less than ``slack``, the largest row or SPLIT mean cells,
+    whichever is more.
     """
-    narrow = stage(
-        docs.select(docs["doc_id"], (F.octet_length(whole(docs["text"])) + 16).cast("long").alias("size"), utf8_crc32(docs["text"]).alias("text_crc32"))
-        .withColumn("cell", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.col("text_crc32"))), F.lit(cells)).cast("int")),
-        "ring",
-    )
     spark = docs.sparkSession
-    sums = narrow.groupBy("cell").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()  # at most ``cells`` rows
-    placed = assign_cells({r["cell"]: r["b"] for r in sums}, shards, vnodes, cells, slack)
-    first, rows = [0] * shards, []
-    for r in sorted(sums, key=lambda r: r["cell"]):
-        s = placed[r["cell"]]
-        rows.append((r["cell"], s, first[s]))
+    rows = docs.select(docs["doc_id"], (F.octet_length(whole(docs["text"])) + 16).cast("long").alias("size"), utf8_crc32(docs["text"]).alias("text_crc32"))
+    counted = stage(rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies")), "ring")
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.col("text_crc32")))
+    counted = counted.withColumn("cell", F.pmod(key, F.lit(cells)).cast("int"))
+    loads = counted.groupBy("cell").agg(F.sum(F.col("size") * F.col("copies")).alias("b"))
+    mean = (loads.agg(F.sum("b")).first()[0] or 0) / cells
+    heavy = loads.select("cell", F.ceil(F.col("b") / F.lit(SPLIT * mean or 1.0)).cast("int").alias("parts")).where("parts > 1")
+    heavy = stage(heavy, "heavy")  # at most cells / SPLIT rows
+    each = counted.join(F.broadcast(heavy), "cell", "left").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    part = F.pmod(F.xxhash64("doc_id", "text_crc32", "size", "copy"), F.coalesce("parts", F.lit(1))).cast("int")
+    placed = each.select("doc_id", "size", "text_crc32", "copy", "cell", part.alias("part"))
+    sums = placed.groupBy("cell", "part").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()  # at most (1 + 1 / SPLIT) * cells rows
+    to = assign_cells({(r["cell"], r["part"]): r["b"] for r in sums}, shards, vnodes, cells, slack)
+    first, where = [0] * shards, []
+    for r in sorted(sums, key=lambda r: (r["cell"], r["part"])):
+        s = to[r["cell"], r["part"]]
+        where.append((r["cell"], r["part"], s, first[s]))
         first[s] += r["n"]
-    where = spark.createDataFrame(rows, "cell int, shard int, first long")
-    in_cell = F.row_number().over(Window.partitionBy("cell").orderBy("doc_id", "text_crc32", "size")) - 1
+    where = spark.createDataFrame(where, "cell int, part int, shard int, first long")
+    in_part = F.row_number().over(Window.partitionBy("cell", "part").orderBy("doc_id", "text_crc32", "size", "copy")) - 1
     return (
-        narrow.withColumn("k", in_cell)
-        .join(F.broadcast(where), "cell")  # at most ``cells`` rows of 16 bytes
+        placed.withColumn("k", in_part)
+        .join(F.broadcast(where), ["cell", "part"])  # as many rows, of 20 bytes
         .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("first") + F.col("k")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
     )
 

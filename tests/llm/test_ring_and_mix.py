@@ -32,15 +32,62 @@ def test_shards_are_balanced_and_gapless(spark):
 
 
 def test_overflow_goes_clockwise_and_moves_little():
-    sizes = {c: 10 for c in range(0, 60_000, 7)}
+    sizes = {(c, 0): 10 for c in range(0, 60_000, 7)}
     a, b = ring_shards.assign_cells(sizes, 10, slack=0.25), ring_shards.assign_cells(sizes, 11, slack=0.25)
     moved = sum(a[c] != b[c] for c in sizes) / len(sizes)
     assert moved < 0.35  # a fresh modulo would move about 0.91
     at, owner = ring_shards.ring(10)
-    home = {c: int(owner[int(at.searchsorted(c)) % len(at)]) for c in sizes}
+    home = {c: int(owner[int(at.searchsorted(c[0])) % len(at)]) for c in sizes}
     assert sum(home[c] == a[c] for c in sizes) / len(sizes) > 0.8
 
 
+def plain_walk(sizes, shards, slack):
+    """The ring as a sorted list of points, one step at a time."""
+    points = sorted((ring_shards._point(f"{s}/{v}") * ring_shards.CELLS >> 64, s, v) for s in range(shards) for v in range(ring_shards.VNODES))
+    room = [-(-int(sum(sizes.values()) * (1 + slack)) // shards)] * shards  # no cell is as large as a shard
+    out = {}
+    for cell in sorted(sizes, key=lambda c: (-sizes[c], c)):
+        place = ring_shards.place(*cell)
+        turn = [p for p in points if p[0] >= place] + [p for p in points if p[0] < place]
+        fits = [s for _, s, _ in turn if room[s] >= sizes[cell]]
+        most = max(room)
+        out[cell] = fits[0] if fits else next(s for _, s, _ in turn if room[s] == most)
+        room[out[cell]] -= sizes[cell]
+    return out
+
+
+def test_ring_against_a_plain_walk_at_the_slack_of_the_query():
+    rng = random.Random(12)
+    sizes = {(c, p): int(rng.lognormvariate(7, 1)) for c in rng.sample(range(ring_shards.CELLS), 1200) for p in range(rng.choice([1, 1, 2]))}
+    got = ring_shards.assign_cells(sizes, 8)
+    assert got == plain_walk(sizes, 8, ring_shards.SLACK)
+    load = defaultdict(int)
+    for c, s in got.items():
+        load[s] += sizes[c]
+    assert max(load.values()) - min(load.values()) <= max(sizes.values())
+
+
+def test_one_more_shard_moves_little_at_the_slack_of_the_query():
+    rng = random.Random(13)
+    sizes = {(c, 0): int(rng.lognormvariate(9, 0.5)) for c in range(ring_shards.CELLS)}
+    a, b = ring_shards.assign_cells(sizes, 40), ring_shards.assign_cells(sizes, 41)
+    assert sum(n for c, n in sizes.items() if a[c] != b[c]) / sum(sizes.values()) < 0.08  # 0.024 is the least
+
+
+def test_repeated_keys_do_not_make_a_shard_heavy(spark):
+    rng = random.Random(14)
+    rows = [(i, "x" * rng.randrange(40)) for i in range(4000)] + [(None, "")] * 4000 + [(7, "same")] * 3000 + [(8, f"t{i}") for i in range(1000)] + [(9, "y" * 100_000)]
+    got = ring_shards.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 8).collect()
+    assert sorted((str(r.doc_id), r.size) for r in got) == sorted((str(d), len(t) + 16) for d, t in rows)
+    load, slots = defaultdict(int), defaultdict(list)
+    for r in got:
+        load[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    rest = sorted(load.values())[:-1]  # one text holds a shard of its own
+    assert len(load) == 8 and max(rest) <= 1.01 * min(rest)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_targets_fill_like_water():
     t = mixing.targets({"a": 100, "b": 10, "c": 50, None: 0}, {"a": 3, "b": 1, "c": 2, None: 3}, 240, 2.0)
     assert t["b"] == 20 and t["c"] == pytest.approx(88) and t["a"] == pytest.approx(132) and t[None] == 0
