@@ -70,33 +70,43 @@ def new_blobs(versions: DataFrame, ledger: DataFrame | None, rules) -> DataFrame
     return rows.join(done, "blob_id", "left").where(F.size(todo) > 0).groupBy("blob_id", "text", todo.alias("todo")).agg(F.lit(1).alias("__one")).select("blob_id", "text", "todo")
 
 
-def scan_blobs(blobs: DataFrame, rules=BASE_RULES) -> DataFrame:
-    """Findings of blobs that have any: blob_id, rule, kind_no, start, end (code points, end exclusive)."""
+def _positions(blobs: DataFrame, rules) -> DataFrame:
+    """All matches of the blobs by blob_id: todo, kind_no, start, end, ok; a blob without a match has one row of nulls.
+
+    Texts end here: what follows is narrow and dealt by blob_id once.
+    """
     def numbered(no: int, rule: Rule):
         rows = F.transform(_matches(rule), lambda m, k: F.struct(F.lit(no).alias("kind_no"), k.alias("k"), m["lead"].alias("lead"), m["len"].alias("len"), m["ok"].alias("ok")))
         return F.when(F.array_contains("todo", f"{rule.name}@{rule.version}"), rows)
 
-    per_rule = [numbered(i, r) for i, r in enumerate(rules)]
     empty = F.array().cast("array<struct<kind_no:int,k:int,lead:int,len:int,ok:boolean>>")
-    rows = blobs.select("blob_id", F.explode(F.concat(*[F.coalesce(c, empty) for c in per_rule])).alias("m")).select("blob_id", "m.*")
+    every = F.concat(*[F.coalesce(numbered(i, r), empty) for i, r in enumerate(rules)])
+    rows = blobs.select("blob_id", "todo", F.explode_outer(every).alias("m")).select("blob_id", "todo", "m.*").repartition("blob_id")
     # the pieces between matches add up to positions; the sum runs over one rule of one text
-    ends = F.sum(F.col("lead") + F.col("len")).over(Window.partitionBy("blob_id", "kind_no").orderBy("k"))
-    rows = rows.withColumn("end", ends.cast("long")).where("ok")
+    end = F.sum((F.col("lead") + F.col("len")).cast("long")).over(Window.partitionBy("blob_id", "kind_no").orderBy("k"))
+    return rows.withColumn("end", end).select("blob_id", "todo", "kind_no", (F.col("end") - F.col("len")).alias("start"), "end", "ok")
+
+
+def scan_blobs(blobs: DataFrame, rules=BASE_RULES) -> DataFrame:
+    """Findings of blobs that have any: blob_id, rule, kind_no, start, end (code points, end exclusive)."""
     names = F.array(*[F.lit(r.name) for r in rules])
-    return rows.select("blob_id", F.get(names, F.col("kind_no")).alias("rule"), "kind_no", (F.col("end") - F.col("len")).alias("start"), "end")
+    return _positions(blobs, rules).where("ok").select("blob_id", F.get(names, F.col("kind_no")).alias("rule"), "kind_no", "start", "end")
 
 
 def update_ledger(versions: DataFrame, ledger: DataFrame | None = None, rules=BASE_RULES) -> DataFrame:
     """Ledger rows of the pairs that ``ledger`` lacks, to be appended to it.
 
-    ``versions`` has any columns and ``text``; null texts count as empty.
+    ``versions`` has any columns and ``text``; null texts count as empty, repeated texts are
+    one blob, texts of any length are scanned whole.  A text is read and moved once.
     """
     rows = versions.select(whole(versions["text"]).alias("text"))
-    blobs = new_blobs(rows, ledger, rules)
-    spans = scan_blobs(blobs, rules).groupBy("blob_id", "rule").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
-    pairs = blobs.select("blob_id", F.explode("todo").alias("pair")).select("blob_id", F.substring_index("pair", "@", 1).alias("rule"), F.substring_index("pair", "@", -1).cast("int").alias("version"))
-    none = F.array().cast("array<struct<start:long,end:long>>")
-    return pairs.join(spans, ["blob_id", "rule"], "left").select("blob_id", "rule", "version", F.coalesce("spans", none).alias("spans"))
+    found = _positions(new_blobs(rows, ledger, rules), rules)
+    hit = F.when(F.col("ok"), F.struct("kind_no", "start", "end"))
+    blobs = found.groupBy("blob_id", "todo").agg(F.collect_list(hit).alias("hits"))
+    names = F.array(*[F.lit(f"{r.name}@{r.version}") for r in rules])
+    pairs = blobs.select("blob_id", "hits", F.explode("todo").alias("pair")).withColumn("no", F.array_position(names, F.col("pair")) - 1)
+    mine = F.transform(F.filter("hits", lambda h: h["kind_no"] == F.col("no")), lambda h: F.struct(h["start"].alias("start"), h["end"].alias("end")))
+    return pairs.select("blob_id", F.substring_index("pair", "@", 1).alias("rule"), F.substring_index("pair", "@", -1).cast("int").alias("version"), F.array_sort(mine).alias("spans"))
 
 
 def paths_with_spans(versions: DataFrame, ledger: DataFrame, rules=BASE_RULES) -> DataFrame:
