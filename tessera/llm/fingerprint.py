@@ -114,43 +114,96 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - k] + following[:k]
 
 
+def _cuts(rows: DataFrame, buckets: int) -> list[tuple]:
+    """Ascending (doc_id, least hash) at which ranges begin, null first: about equal shares of the rows.
+
+    An id that holds several shares (or all rows without one) is cut by the hash of the text.
+    """
+    at = [i / buckets for i in range(1, buckets)] or [0.5]
+    stat = rows.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("named"), F.min("doc_id").alias("low"), F.percentile_approx("doc_id", at, 100 * buckets).alias("cuts")).first()  # ``buckets`` values
+    ids = sorted([stat["low"], *stat["cuts"]]) if stat["cuts"] else []
+    shares = {i: ids.count(i) for i in dict.fromkeys(ids)}
+    out = []
+    nameless = stat["n"] - stat["named"]
+    if nameless:
+        shares = {None: -(-buckets * nameless // stat["n"])} | shares
+    for i, k in shares.items():
+        k = k - 1 if i is not None else k  # a light id may begin a range by chance twice
+        out += [(i, -(2**63) + 2**64 * j // k) for j in range(k)] if k > 1 else [(i, -(2**63))]
+    return out
+
+
 def with_next(docs: DataFrame, fn, schema: str, buckets: int) -> DataFrame:
     """``fn(doc_id, text, next_text) -> tuple`` for each row in ascending doc_id, the first following the last.
 
-    Rows are dealt into ranges of doc_id (cut points from its quantiles: one narrow pass) and
-    each range is read in order, one row ahead.  A range needs one row of the next: the range's
-    first document is sent to both.  Texts move once, and no task sees more than its ranges.
+    Rows that share a doc_id, or have none, follow one another by a hash of the text, then by
+    text.  Rows are dealt into ranges of that order (``_cuts``) and each range is read in
+    order, one row ahead.  A range needs one row of the next: the first row of a range is sent
+    to both.  Texts move once; no task sees more than its ranges, which it reads as a stream.
     """
     spark = docs.sparkSession
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), whole(docs["text"]).alias("text"))
-    at = [i / buckets for i in range(1, buckets)] or [0.5]
-    stat = rows.agg(F.min("doc_id").alias("low"), F.percentile_approx("doc_id", at, 100 * buckets).alias("cuts"), F.max(F.col("doc_id").isNull()).alias("nulls")).first()  # ``buckets`` values
-    firsts = ([None] if stat["nulls"] else []) + sorted({stat["low"], *stat["cuts"]} if stat["cuts"] else set())
-    cuts = spark.sparkContext.broadcast(np.array([c for c in firsts if c is not None], dtype=np.int64))
-    nulls = bool(stat["nulls"])
+    cuts = _cuts(rows, buckets)
+    rows = rows.select("doc_id", F.xxhash64("text").alias("h"), "text")
+    ids = np.array([i for i, _ in cuts if i is not None], np.int64)
+    own: dict = {}  # id (or none) of several ranges -> number of the first, least hashes
+    for no, (i, h) in enumerate(cuts):
+        own.setdefault(i, (no, []))[1].append(h)
+    nameless = len(cuts) - len(ids)
+    begins = {(i, None): no for i, (no, h) in own.items() if i is not None and len(h) == 1}
+    own = {i: (no, np.array(h, np.int64)) for i, (no, h) in own.items() if i is None or len(h) > 1}
+
+    def range_of(value, null, h):
+        out = np.searchsorted(ids, value, side="right") - 1 + nameless
+        for i, (no, low) in own.items():
+            mine = null if i is None else ~null & (value == i)
+            out[mine] = no + np.searchsorted(low, h[mine], side="right") - 1
+        return out
+
+    if own:  # where ranges of one id begin: a narrow pass, a row a range
+        named = F.col("doc_id").isin([i for i in own if i is not None])
+        some = rows.where(F.col("doc_id").isNull() | named).select("doc_id", "h")
+
+        def numbered(batches):
+            for b in batches:
+                null, value = np.asarray(b.column(0).is_null()), b.column(0).fill_null(0).to_numpy()
+                at = pa.array(range_of(value, null, b.column(1).to_numpy()).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([at, b.column(0), b.column(1)], ["bucket", "doc_id", "h"])
+
+        found = some.mapInArrow(numbered, "bucket int, doc_id long, h long").groupBy("bucket").agg(F.min(F.struct("doc_id", "h")).alias("m")).collect()
+        begins |= {(r["m"]["doc_id"], r["m"]["h"]): r["bucket"] for r in found}
+    # ids behind one of several ranges are in its last: the last that has rows of that id
+    held = np.arange(max(len(cuts), 1))
+    for i, (no, low) in own.items():
+        held[no + len(low) - 1] = max(k for (doc, _), k in begins.items() if doc == i)
+    order = sorted(begins.values())
+    before = {k: order[i - 1] for i, k in enumerate(order)}  # the range that ends where another begins
 
     def deal(batches):
-        lows = cuts.value
+        sent = set()
         for batch in batches:
-            for b in pieces(batch, 1):
-                ids = b.column(0)
-                null = np.asarray(ids.is_null())
-                value = ids.fill_null(0).to_numpy()
-                at = np.where(null, 0, np.searchsorted(lows, value, side="right") - 1 + nulls)
-                count = len(lows) + nulls
-                first = null | np.isin(value, lows)
-                guests = np.flatnonzero(first)
-                take = np.concatenate([np.arange(len(at)), guests])
-                to = np.concatenate([at, (at[guests] - 1) % count])
-                guest = np.concatenate([np.zeros(len(at), bool), np.ones(len(guests), bool)])
-                yield pa.RecordBatch.from_arrays([pa.array(to.astype(np.int32)), pa.array(guest), ids.take(pa.array(take)), b.column(1).take(pa.array(take))], ["bucket", "guest", "doc_id", "text"])
+            for b in pieces(batch, 2):
+                null, value, h = np.asarray(b.column(0).is_null()), b.column(0).fill_null(0).to_numpy(), b.column(1).to_numpy()
+                at = held[range_of(value, null, h)]
+                guests, to = [], []
+                for i in np.flatnonzero(null | np.isin(value, ids)).tolist():
+                    doc = None if null[i] else int(value[i])
+                    k = begins.get((doc, int(h[i]) if doc in own else None))
+                    if k is not None and (k, h[i]) not in sent:
+                        sent.add((k, h[i]))
+                        guests.append(i)
+                        to.append(before[k])
+                picked = pa.array(np.concatenate([np.arange(len(at)), np.array(guests, np.int64)]))
+                where = pa.array(np.concatenate([at, np.array(to, np.int64)]).astype(np.int32))
+                guest = pa.array(np.arange(len(picked)) >= len(at))
+                yield pa.RecordBatch.from_arrays([where, guest, *(c.take(picked) for c in b.columns)], ["bucket", "guest", "doc_id", "h", "text"])
 
     def walk(batches):
         held = None  # (bucket, doc_id, text) that waits for its follower
         done = []
         for batch in batches:
-            for b in pieces(batch, 3, 1 << 20):
-                for bucket, guest, doc, text in zip(*(b.column(i).to_pylist() for i in range(4))):
+            for b in pieces(batch, 4, 1 << 20):
+                for bucket, guest, doc, text in zip(*(b.column(i).to_pylist() for i in (0, 1, 2, 4))):
                     if held is not None and held[0] == bucket:
                         done.append(fn(held[1], held[2], text))
                     held = None if guest else (bucket, doc, text)
@@ -158,8 +211,8 @@ def with_next(docs: DataFrame, fn, schema: str, buckets: int) -> DataFrame:
                     yield _batch(done, schema)
                     done = []
 
-    dealt = bounded_batches(rows).mapInArrow(deal, "bucket int, guest boolean, doc_id long, text string")
-    return dealt.repartition("bucket").sortWithinPartitions("bucket", "guest", "doc_id", "text").mapInArrow(walk, schema)
+    dealt = bounded_batches(rows).mapInArrow(deal, "bucket int, guest boolean, doc_id long, h long, text string")
+    return dealt.repartition("bucket").sortWithinPartitions("bucket", "guest", "doc_id", "h", "text").mapInArrow(walk, schema)
 
 
 _TYPES = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
@@ -181,8 +234,9 @@ def fingerprints(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     are the containment of the document's chunks in the edited and in the next text.
 
     Null text counts as empty and has an empty fingerprint; rows without doc_id come first;
-    rows that share a doc_id follow one another by text; a lone row follows itself; an empty
-    table gives an empty result; other columns are ignored.
+    they, and rows that share a doc_id, follow one another by the hash of the text, then by
+    text; a lone row follows itself; texts of any length are read whole; an empty table gives
+    an empty result; other columns are ignored.
     """
     buckets = buckets or max(64, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     memo: dict = {}

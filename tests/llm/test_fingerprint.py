@@ -43,12 +43,15 @@ def test_documents_against_brute_force(spark):
     rows = [(i * 7 % 101, " ".join(rng.choice(words) for _ in range(rng.choice([0, 1, 30, 400])))) for i in range(60)]
     rows += [(3000, None), (3001, ""), (9, "é" * 1000), (9, "copy"), (None, "no id"), (None, "a second")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as bucket", "0 as guest").repartition(7)
+    rows += [(None, f"nobody {i}") for i in range(40)] + [(77, f"one id {i % 30}") for i in range(60)] + [(None, "nobody 3")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as bucket", "0 as guest").repartition(7)
+    hashed = {r.t: r.h for r in spark.createDataFrame([(t or "",) for _, t in rows], "t string").selectExpr("t", "xxhash64(t) AS h").collect()}
     for buckets in (1, 5, 64):
         got = fp.fingerprints(docs, buckets).collect()
-        order = sorted(((i is not None, i or 0, t or "") for i, t in rows))
+        order = sorted(((i is not None, i or 0, hashed[t or ""], t or "") for i, t in rows))
         want = []
-        for k, (has, i, t) in enumerate(order):
-            nxt = order[(k + 1) % len(order)][2]
+        for k, (has, i, _, t) in enumerate(order):
+            nxt = order[(k + 1) % len(order)][3]
             new = t[: len(t) - len(t) // 4] + nxt[: len(t) // 4]
             a = fp.fingerprint(t)
             want.append((i if has else None, len(t), hashlib.sha256(new.encode()).hexdigest(), fp.as_string(a), fp.as_string(fp.fingerprint(new)), fp.containment(a, fp.fingerprint(new)), fp.containment(a, fp.fingerprint(nxt))))
@@ -82,3 +85,29 @@ def test_fine_chunks_below_the_bound_only():
         assert fp.containment(got, got) == 1 and fp.containment(got, fp.fingerprint("")) == 0 and fp.containment(fp.fingerprint(""), got) == 0
     long = fp.fingerprint("".join(rng.choice("abcdefghij ") for _ in range(3000)))
     assert fp.containment(fp.fingerprint("abc"), long) == 0
+
+
+def plain_chunks(raw, least, normal, most, window):
+    """Normalised gear chunking byte by byte."""
+    bits, ends, start = normal.bit_length() - 1, [], 0
+    while start < len(raw):
+        end = min(start + most, len(raw))
+        for i in range(start + least - 1, end):
+            h = sum(int(fp.GEAR[raw[i - j]]) << j for j in range(min(window, i + 1))) & 0xFFFFFFFF
+            if window < 32:
+                h = h << (32 - window) & 0xFFFFFFFF
+            size = i + 1 - start
+            if h >> 32 - bits - 1 == 0 if size < normal else h >> 32 - bits + 1 == 0:
+                end = i + 1
+                break
+        ends.append(end)
+        start = end
+    return ends
+
+
+def test_chunks_against_a_byte_loop():
+    rng = random.Random(9)
+    for n in (0, 1, 15, 16, 17, 300, 1500):
+        raw = bytes(rng.choice(b"abcdefgh ij") for _ in range(n))
+        assert fp.chunk_ends(raw) == plain_chunks(raw, fp.LEAST, fp.NORMAL, fp.MOST, fp.WINDOW)
+        assert fp.chunk_ends(raw, *fp.FINE, fp.FINE_WINDOW) == plain_chunks(raw, *fp.FINE, fp.FINE_WINDOW)
