@@ -186,7 +186,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleM
     """Fit on at most ``max_rows`` rows of ``labels(doc_id, quality)``, those of smallest hash.
 
     Rows without an id, a label, or a document are left out; of contradicting labels of one
-    id the smaller counts.
+    id the smaller counts, and of texts that share an id the shortest, then the first by code
+    point, so that there is one row of each id and reruns learn the same.
     """
     drawn = (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
@@ -194,8 +195,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleM
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     )
     rows = docs.select("doc_id", whole(docs["text"]).alias("text")).join(F.broadcast(drawn), "doc_id")  # at most ``max_rows`` rows of 12 bytes
-    got = with_stats(rows, "st").select("doc_id", "quality", "st").limit(2 * max_rows).collect()
-    got.sort(key=lambda r: (r["doc_id"], tuple(r["st"])))
+    rows = rows.groupBy("doc_id", "quality").agg(F.min(F.struct(F.length("text"), "text")).alias("t")).select("doc_id", "quality", F.col("t.text").alias("text"))
+    got = with_stats(rows, "st").select("doc_id", "quality", "st").collect()  # one row of each drawn id
+    got.sort(key=lambda r: r["doc_id"])
     x = np.array([tuple(r["st"]) for r in got], dtype=float).reshape(-1, len(NAMES))
     return fit(x, np.array([r["quality"] for r in got], dtype=float))
 
@@ -216,7 +218,8 @@ def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Da
 
     Only labels of rows that are not held out (crc32 of the id mod 3 is 1) are learned from.
     Null and empty texts are scored by the statistics of an empty text; repeated rows alike;
-    without usable labels the score is 0.5; other columns are never read.
+    a text of any length is read whole; a score of exactly 0.5 is predicted 1; without usable
+    labels the score is 0.5; an empty table gives an empty result; other columns are never read.
     """
     rows = docs.select("doc_id", "text")
     model = train(rows, labels.where(~in_split(F.col("doc_id"), 3, 1)), max_rows)
