@@ -5,12 +5,17 @@ likelihood of each word in each language; expectation-maximisation estimates the
 of the languages in the document; and the set of languages is the one whose likelihood less
 a penalty for its size is best.  The prediction is the largest proportion in that set.
 
+A text is reduced to its distinct words and how often each occurs, so that neither time nor
+memory of the inference grows with repetition; the words of a batch are scored once.
+
 The models are counted from at most ``per_lang`` labelled documents of each language (drawn
-by hash, whole texts): one array of fixed size per language reaches the driver.
+by hash, whole texts).  Counts are summed where they are, and at most BUCKETS numbers of each
+language reach the driver; ``max_langs`` bounds the languages and is checked.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,9 +28,11 @@ from .rule_ensemble import in_split
 from .textcols import whole
 
 PER_LANG = 4_000
+MAX_LANGS = 200
 BUCKETS = 1 << 17
 SMOOTH = 0.5
 PENALTY = 3.0
+STEPS, SETTLED = 200, 1e-5  # EM ends when no proportion moves by more, or after so many steps
 _SLICE = 1 << 20
 _ALPHA: list = []
 
@@ -47,10 +54,20 @@ def _slices(text: str):
         at = end
 
 
-def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of the trigram around each letter, start of each word among the letters)."""
-    code = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    code = np.where(_alpha()[code], code, np.uint32(0))
+def words_of(text: str) -> Counter:
+    """Distinct words (maximal runs of letters, lower case) of a text and their numbers."""
+    out: Counter = Counter()
+    for part in _slices(text):
+        code = np.frombuffer(part.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        out.update(np.where(_alpha()[code], code, np.uint32(32)).tobytes().decode("utf-32-le").split(" "))
+    del out[""]
+    return out
+
+
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket of the trigram around each letter, start of each word among the letters) of words in lower case."""
+    code = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le"), dtype=np.uint32)
+    code = np.where(code == 32, np.uint32(0), code)
     mid = np.flatnonzero(code)
     left, right = code[mid - 1], code[mid + 1]
     mixed = left * np.uint32(0x9E3779B1) + code[mid] * np.uint32(0x85EBCA77) + right * np.uint32(0xC2B2AE3D)
@@ -66,6 +83,7 @@ class LangModel:
 
     @staticmethod
     def of(counts: dict) -> "LangModel":
+        """Smoothed models of ``counts``: language -> number of each bucket."""
         langs = tuple(sorted(counts))
         c = np.array([counts[x] for x in langs], dtype=np.float64).reshape(len(langs), BUCKETS)
         used = max(1, int((c.sum(0) > 0).sum()))
@@ -73,116 +91,169 @@ class LangModel:
         return LangModel(langs, np.ascontiguousarray(np.log(p).T.astype(np.float32)))
 
 
-def word_logp(text: str, model: LangModel) -> np.ndarray:
-    """Log-likelihood of each word of the text in each language."""
-    out = []
-    for part in _slices(text):
-        at, starts = grams(part)
-        if len(at):
-            out.append(np.add.reduceat(model.logp[at], starts, axis=0))
-    return np.concatenate(out) if out else np.zeros((0, len(model.langs)), np.float32)
-
-
-def _em(rel: np.ndarray, doc: np.ndarray, first: np.ndarray, size: np.ndarray, pi: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions after ``steps`` and the log-likelihood (relative) of each document."""
-    for _ in range(steps):
-        r = rel * pi[doc]
-        r /= r.sum(1, keepdims=True)
-        pi = np.add.reduceat(r, first, axis=0) / size[:, None]
-    return pi, np.add.reduceat(np.log((rel * pi[doc]).sum(1)), first)
-
-
-def infer(words: list[np.ndarray], steps: int = 10) -> list[tuple[np.ndarray, float]]:
-    """(proportions over the chosen set, score) of documents given their word likelihoods; none may be empty."""
-    size = np.array([len(w) for w in words])
-    lp = np.concatenate(words).astype(np.float64)
-    first = np.concatenate([[0], np.cumsum(size)[:-1]])
-    doc = np.repeat(np.arange(len(words)), size)
+def word_logp(words: list[str], model: LangModel) -> np.ndarray:
+    """Log-likelihood of each word in each language."""
+    out, at, held = [np.zeros((0, len(model.langs)), np.float32)], 0, 0
+    for i, w in enumerate(words):
+        held += len(w)
+        if held >= _SLICE // 4 or i == len(words) - 1:
+            bucket, starts = grams(words[at : i + 1])
+            out.append(np.add.reduceat(model.logp[bucket], starts, axis=0))
+            at, held = i + 1, 0
+    return np.concatenate(out)
+
+
+def _em(rel: np.ndarray, often: np.ndarray, first: np.ndarray, pi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Settled proportions and the (relative) log-likelihood of each document; documents that settle are left alone."""
+    size = np.add.reduceat(often, first)
+    ends = np.append(first[1:], len(rel))
+    pi, moving = pi.copy(), np.arange(len(first))
+    rows, starts = rel, first
+    weight = often
+    for _ in range(STEPS):
+        doc = np.repeat(np.arange(len(moving)), np.diff(np.append(starts, len(rows))))
+        r = rows * pi[moving][doc]
+        r *= (weight / r.sum(1))[:, None]
+        new = np.add.reduceat(r, starts, axis=0) / size[moving][:, None]
+        far = np.abs(new - pi[moving]).max(1) > SETTLED
+        pi[moving] = new
+        if not far.any():
+            break
+        if far.mean() < 0.7:
+            moving = moving[far]
+            keep = np.concatenate([np.arange(first[d], ends[d]) for d in moving])
+            rows, weight = rel[keep], often[keep]
+            starts = np.concatenate([[0], np.cumsum((ends - first)[moving])[:-1]])
+    doc = np.repeat(np.arange(len(first)), ends - first)
+    return pi, np.add.reduceat(often * np.log((rel * pi[doc]).sum(1)), first)
+
+
+def infer(docs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, float]]:
+    """(proportions over the chosen set, score) of documents (word likelihoods, numbers of the words); none may be empty.
+
+    Language sets are nested: the languages of a document are ranked by their proportions when
+    all take part, and the set of the first m is tried for every m.  Ties go to the language
+    that is first by name, and to the smaller set.  The score is the largest proportion of the
+    set, of a single language its posterior probability among single languages.
+    """
+    length = np.array([len(w) for w, _ in docs])
+    lp = np.concatenate([w for w, _ in docs]).astype(np.float64)
+    often = np.concatenate([c for _, c in docs]).astype(np.float64)
+    first = np.concatenate([[0], np.cumsum(length)[:-1]])
+    size = np.add.reduceat(often, first)
     top = lp.max(1, keepdims=True)
     rel = np.maximum(np.exp(lp - top), 1e-12)
-    n, k = len(words), lp.shape[1]
-    single = np.add.reduceat(lp - top, first, axis=0)  # log-likelihood of each language alone
+    n, k = len(docs), lp.shape[1]
+    single = np.add.reduceat((lp - top) * often[:, None], first, axis=0)  # log-likelihood of each language alone
     best = single.argmax(1)
     shift = np.exp(np.maximum(single - single.max(1, keepdims=True), -700))
     posterior = shift / shift.sum(1, keepdims=True)
     chosen = np.eye(k)[best]
-    value = single[np.arange(n), best] - 0.0
+    value = single[np.arange(n), best].copy()
     score = posterior[np.arange(n), best]
     if k > 1:
-        pi, _ = _em(rel, doc, first, size, np.full((n, k), 1.0 / k), steps)
+        pi, _ = _em(rel, often, first, np.full((n, k), 1.0 / k))
         rank = np.argsort(-pi, axis=1, kind="stable")
-        for m in range(2, k + 1):
-            mask = np.zeros((n, k))
-            np.put_along_axis(mask, rank[:, :m], 1.0, axis=1)
-            start = np.where(mask > 0, np.maximum(pi, 1e-6), 0)
-            got, ll = _em(rel, doc, first, size, start / start.sum(1, keepdims=True), steps)
-            worth = ll - PENALTY * (m - 1) * np.log(size + 1.0)
-            better = worth > value
-            chosen[better], value[better] = got[better], worth[better]
-            score[better] = got[better].max(1)
+        # more languages than have a noticeable share cannot make up for their penalty
+        most = np.maximum(2, (pi * size[:, None] > 1e-3).sum(1))
+        for m in range(2, int(most.max()) + 1):
+            some = np.flatnonzero(most >= m)
+            rows = np.concatenate([np.arange(first[d], first[d] + length[d]) for d in some])
+            starts = np.concatenate([[0], np.cumsum(length[some])[:-1]])
+            mask = np.zeros((len(some), k))
+            np.put_along_axis(mask, rank[some, :m], 1.0, axis=1)
+            start = np.where(mask > 0, np.maximum(pi[some], 1e-6), 0)
+            got, ll = _em(rel[rows], often[rows], starts, start / start.sum(1, keepdims=True))
+            worth = ll - PENALTY * (m - 1) * np.log(size[some] + 1.0)
+            better = worth > value[some] + 1e-9
+            at = some[better]
+            chosen[at], value[at] = got[better], worth[better]
+            score[at] = got[better].max(1)
     return [(chosen[i], float(min(1.0, max(0.0, score[i])))) for i in range(n)]
 
 
-def train(docs: DataFrame, per_lang: int = PER_LANG) -> LangModel:
-    """Trigram models of the languages of ``docs(doc_id, text, lang)``; rows without lang or id are left out."""
+def train(docs: DataFrame, per_lang: int = PER_LANG, max_langs: int = MAX_LANGS) -> LangModel:
+    """Trigram models of the languages of ``docs(doc_id, text, lang)``; rows without lang or id are left out.
+
+    More than ``max_langs`` languages are an error.
+    """
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    share = {r["lang"]: min(1.0, per_lang / r["count"]) for r in rows.groupBy("lang").count().collect()}  # a row per language
-    if not share:
+    found = rows.groupBy("lang").count().limit(max_langs + 1).collect()
+    if len(found) > max_langs:
+        raise ValueError(f"more than {max_langs} languages to learn: clean the labels, or raise max_langs")
+    if not found:
         return LangModel((), np.zeros((BUCKETS, 0), np.float32))
+    langs = sorted(r["lang"] for r in found)
+    share = {r["lang"]: min(1.0, per_lang / r["count"]) for r in found}
     spark = docs.sparkSession
-    limits = spark.createDataFrame([(k, int(v * 1_000_000)) for k, v in share.items()], "lang string, below int")
-    drawn = rows.join(F.broadcast(limits), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("below")).select("lang", whole(F.col("text")).alias("text"))
+    limits = spark.createDataFrame([(k, i, int(share[k] * 1_000_000)) for i, k in enumerate(langs)], "lang string, no int, below int")
+    near = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("below")
+    drawn = rows.join(F.broadcast(limits), "lang").where(near).select("no", whole(F.col("text")).alias("text"))  # a row a language
 
     def count(batches):
         held: dict = {}
         for batch in batches:
             for b in pieces(batch, 1):
-                for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    for part in _slices(text):
-                        got = np.bincount(grams(part)[0], minlength=BUCKETS)
-                        held[lang] = held[lang] + got if lang in held else got
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(list(held)), pa.array([v.astype("<i8").tobytes() for v in held.values()], pa.binary())], ["lang", "counts"])
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, "<i8") for x in table.column("counts").to_pylist())
-        return pa.table({"lang": table.column("lang")[:1], "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
-
-    schema = "lang string, counts binary"
-    found = bounded_batches(drawn).mapInArrow(count, schema).groupBy("lang").applyInArrow(add, schema).collect()  # 1 MB per language
-    return LangModel.of({r["lang"]: np.frombuffer(bytes(r["counts"]), "<i8") for r in found})
+                for no, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    words = words_of(text)
+                    if words:
+                        bucket, starts = grams(list(words))
+                        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.diff(np.append(starts, len(bucket))))
+                        got = np.bincount(bucket, times, BUCKETS).astype(np.int64)
+                        held[no] = held[no] + got if no in held else got
+        for no, all_ in held.items():
+            at = np.flatnonzero(all_)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), no, np.int32)), pa.array(at.astype(np.int32)), pa.array(all_[at])], ["no", "bucket", "times"])
+
+    counted = bounded_batches(drawn).mapInArrow(count, "no int, bucket int, times long").groupBy("no", "bucket").agg(F.sum("times").alias("times"))
+    got = counted.toArrow()  # at most BUCKETS rows of 16 bytes a language
+    counts = np.zeros((len(langs), BUCKETS), np.int64)
+    counts[got.column("no").to_numpy(), got.column("bucket").to_numpy()] = got.column("times").to_numpy()
+    return LangModel.of(dict(zip(langs, counts)))
 
 
 def predict(docs: DataFrame, model: LangModel) -> DataFrame:
-    """doc_id, lang_pred, score of every row of ``docs(doc_id, text, ...)``.
+    """doc_id, lang_pred, score, mixture of every row of ``docs(doc_id, text, ...)``.
 
-    ``und`` with score 0 if the text is null or has no letter, or nothing was learned.
-    Repeated rows are predicted alike; an empty table gives an empty result.
+    ``mixture`` maps the languages of the chosen set to their proportions.  ``und`` with score
+    0 and an empty mixture if the text is null or has no letter, or nothing was learned.  Ties
+    between languages go to the first by name.  Texts of any length are read whole; repeated
+    rows are predicted alike; an empty table gives an empty result; other columns are ignored.
     """
     rows = docs.select("doc_id", "text")
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # half a MB per language
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # half a MB per language, of ``max_langs`` at most
 
     def run(batches):
         m = shared.value
         for batch in batches:
-            for b in pieces(batch, 1):
-                words = [word_logp(t or "", m) for t in b.column(1).to_pylist()]
-                full = [i for i, w in enumerate(words) if len(w) and m.langs]
-                lang, score = ["und"] * len(words), [0.0] * len(words)
-                for i, (pi, s) in zip(full, infer([words[i] for i in full]) if full else ()):
+            for b in pieces(batch, 1, 1 << 20):
+                each = [words_of(t or "") if m.langs else Counter() for t in b.column(1).to_pylist()]
+                number: dict = {}
+                at = [np.fromiter((number.setdefault(w, len(number)) for w in c), np.int64, len(c)) for c in each]
+                lp = word_logp(list(number), m)
+                full = [i for i, c in enumerate(each) if c]
+                lang, score, mixture = ["und"] * len(each), [0.0] * len(each), [[]] * len(each)
+                asked = [(lp[at[i]], np.fromiter(each[i].values(), np.float64, len(each[i]))) for i in full]
+                for i, (pi, s) in zip(full, infer(asked) if full else ()):
                     lang[i], score[i] = m.langs[int(pi.argmax())], s
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
+                    mixture[i] = [(m.langs[j], float(pi[j])) for j in np.flatnonzero(pi).tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(mixture, pa.map_(pa.string(), pa.float64()))], ["doc_id", "lang_pred", "score", "mixture"]
+                )
 
-    return bounded_batches(rows).mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
+    return bounded_batches(rows).mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double, mixture map<string,double>")
 
 
 def identify(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
-    """doc_id, held_out, lang_pred, score; learned only from rows that are not held out (crc32 of the id mod 4 is 2)."""
+    """doc_id, held_out, lang_pred, score, mixture; learned only from rows that are not held out (crc32 of the id mod 4 is 2)."""
     model = train(docs.select("doc_id", "text", "lang").where(~in_split(F.col("doc_id"), 4, 2)), per_lang)
-    return predict(docs, model).select("doc_id", in_split(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+    return predict(docs, model).select("doc_id", in_split(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score", "mixture")
 
 
 def op7_language_mixture(spark, sf_dir: str) -> DataFrame:
     from ..tables import table
 
-    return identify(table(spark, sf_dir, "documents"))
+    found = identify(table(spark, sf_dir, "documents"))
+    # sorted text instead of a map, which has no order to compare by
+    shares = F.transform(F.array_sort(F.map_entries("mixture")), lambda e: F.concat(e["key"], F.lit(":"), F.format_string("%.4f", e["value"])))
+    return found.withColumn("mixture", F.array_join(shares, ","))
