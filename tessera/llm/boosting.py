@@ -35,6 +35,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 4, rate: flo
     binned = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], axis=1)
     wide = max(len(c) for c in cuts) + 1
     flat = binned + np.arange(k) * wide
+    past = np.stack([np.arange(wide) >= len(c) for c in cuts])
     p0 = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     bias = float(np.log(p0 / (1 - p0)))
     score = np.full(n, bias)
@@ -44,24 +45,31 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 4, rate: flo
         p = 1 / (1 + np.exp(-score))
         g, h = p - y, np.maximum(p * (1 - p), 1e-9)
         groups = {0: np.arange(n)}
+
+        def sums(rows):
+            at = flat[rows].ravel()
+            return tuple(np.bincount(at, np.repeat(v[rows], k), k * wide).reshape(k, wide) for v in (g, h))
+
+        hist = {0: sums(groups[0])}  # of g and h by bin; a node's is its parent's less its sibling's
         for node in range(inner):
             rows = groups.pop(node)
-            right = rows[:0]
+            right, (sg, sh) = rows[:0], hist.pop(node)
             if len(rows):
-                at = flat[rows].ravel()
-                gs = np.cumsum(np.bincount(at, np.repeat(g[rows], k), k * wide).reshape(k, wide), axis=1)
-                hs = np.cumsum(np.bincount(at, np.repeat(h[rows], k), k * wide).reshape(k, wide), axis=1)
+                gs, hs = np.cumsum(sg, axis=1), np.cumsum(sh, axis=1)
                 tg, th = gs[0, -1], hs[0, -1]
                 gain = gs**2 / (hs + lam) + (tg - gs) ** 2 / (th - hs + lam) - tg**2 / (th + lam)
                 gain[(hs < least * 0.1) | (th - hs < least * 0.1)] = 0
-                for j, c in enumerate(cuts):
-                    gain[j, len(c) :] = 0
+                gain[past] = 0
                 j, b = divmod(int(np.argmax(gain)), wide)
                 if gain[j, b] > 1e-6:
                     fs[t, node], cs[t, node] = j, cuts[j][b]
                     above = binned[rows, j] > b
                     rows, right = rows[~above], rows[above]
             groups[2 * node + 1], groups[2 * node + 2] = rows, right
+            if 2 * node + 1 < inner:
+                few = sums(min(rows, right, key=len))
+                many = tuple(x - y for x, y in zip((sg, sh), few))
+                hist[2 * node + 1], hist[2 * node + 2] = (few, many) if len(rows) <= len(right) else (many, few)
         for leaf in range(inner + 1):
             rows = groups[inner + leaf]
             if len(rows):

@@ -31,6 +31,7 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+_RUN_END = re.compile(rf"</(?:{'|'.join(TO_END)})\s*>\Z", re.I)
 _ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden|itemprop)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?(?=[\s/>]|\Z)", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _SPLIT_CASE = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -99,11 +100,15 @@ def parse(source: str) -> Page:
         del stack[depth:]
 
     at = 0
+    last = source.rfind(">") + 1  # no tag ends behind; without this bound every unclosed one would be read to the end
     unclosed: set[str] = set()  # tags without an end tag in the rest of the page
-    while m := _TOKEN.search(source, at):
+    while m := _TOKEN.search(source, at, last):
         if m.start() > at:
             say(source[at : m.start()])
         at = m.end()
+        if at == last and (m["run"] and not _RUN_END.search(m[0]) or m[0].startswith("<!--") and not m[0].endswith("-->")):
+            at = len(source)  # never closed: the rest of the page belongs to it
+            break
         if m["raw"]:
             raw = m["raw"].lower()
             if raw not in unclosed and not (raw == "svg" and m["own"].endswith("/")):
@@ -151,6 +156,6 @@ def parse(source: str) -> Page:
         if not raw.endswith("/"):
             stack.append((tag, node))
     if at < len(source):
-        say(source[at:])
+        say(source[at:].partition("<!--")[0])
     flush()
     return page
