@@ -26,7 +26,7 @@ def publishable_posts(posts: DataFrame, cities: DataFrame, phones: DataFrame, co
 
 
 def brand_posts(posts: DataFrame, marca: DataFrame) -> DataFrame:
-    return F.broadcast(marca).join(posts, "fonte")  # a catalogue's size is fixed
+    return marca.join(posts, "fonte")
 
 
 def by_state(rows: DataFrame) -> DataFrame:

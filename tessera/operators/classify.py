@@ -20,7 +20,7 @@ def secondary_codes(rows: DataFrame) -> DataFrame:
 
 def target_codes(estabelecimentos: DataFrame, vertical_cnae: DataFrame) -> DataFrame:
     """(id parts, cnae, origem) of every active establishment's mapped codes, repeats kept."""
-    codes = F.broadcast(vertical_cnae.select("cnae").distinct())  # the map's size is fixed
+    codes = vertical_cnae.select("cnae").distinct()
     rows = active(estabelecimentos).select(*ID, "cnae_fiscal_principal", "cnae_fiscal_secundaria")
     first = rows.withColumn("cnae", F.col("cnae_fiscal_principal")).join(codes, "cnae", "left_semi").select(*ID, "cnae", F.lit("principal").alias("origem"))
     others = secondary_codes(rows).join(codes, "cnae", "left_semi").select(*ID, "cnae", F.lit("secundario").alias("origem"))
@@ -30,7 +30,7 @@ def target_codes(estabelecimentos: DataFrame, vertical_cnae: DataFrame) -> DataF
 def verticals_of(target: DataFrame, vertical_cnae: DataFrame) -> DataFrame:
     """id x vertical with its origin and the sorted list of codes."""
     return (
-        target.join(F.broadcast(vertical_cnae), "cnae")
+        target.join(vertical_cnae, "cnae")
         .groupBy(F.concat(*ID).alias("id"), "vertical", "rotulo")
         .agg(
             F.when(F.bool_or(F.col("origem") == "principal"), "principal").otherwise("secundario").alias("origem_cnae"),

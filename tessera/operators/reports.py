@@ -41,7 +41,7 @@ def share_of_group(rows: DataFrame, group: str, n: str, name: str = "pct") -> Da
 
 
 def composition(target: DataFrame, vertical_cnae: DataFrame, cnaes: DataFrame) -> DataFrame:
-    pairs = target.join(F.broadcast(vertical_cnae.select("vertical", "cnae")), "cnae").groupBy("vertical", "cnae").agg(F.count(F.lit(1)).alias("n"))
+    pairs = target.join(vertical_cnae.select("vertical", "cnae"), "cnae").groupBy("vertical", "cnae").agg(F.count(F.lit(1)).alias("n"))
     return share_of_group(pairs, "vertical", "n", "pct_da_vertical").join(cnaes.withColumnRenamed("codigo", "cnae"), "cnae").select("vertical", "cnae", "descricao", "n", "pct_da_vertical")
 
 

@@ -64,12 +64,16 @@ def similar_in_block(rows: DataFrame, block: list[str], id_col: str, text: str,
     return base.join(alike, [*block, text], "left_semi").select(id_col).distinct()
 
 
-def suspected_duplicates(target: DataFrame, least: float = 0.9) -> DataFrame:
-    """Ids at one exact address with a look-alike name."""
-    rows = target.where("nome is not null and cep is not null and logradouro is not null").select(
+def look_alike_keys(target: DataFrame) -> DataFrame:
+    """What the look-alike search needs of the wide rows: id, exact address, comparable name."""
+    return target.where("nome is not null and cep is not null and logradouro is not null").select(
         "id", "uf", "municipio_slug", "cep", slug("logradouro").alias("lg"), F.upper(F.coalesce("numero", F.lit(""))).alias("num"), slug("nome").alias("nm")
     )
-    return similar_in_block(rows, ["uf", "municipio_slug", "cep", "lg", "num"], "id", "nm", least)
+
+
+def suspected_duplicates(keys: DataFrame, least: float = 0.9) -> DataFrame:
+    """Ids at one exact address with a look-alike name, of ``look_alike_keys``."""
+    return similar_in_block(keys, ["uf", "municipio_slug", "cep", "lg", "num"], "id", "nm", least)
 
 
 def flag(rows: DataFrame, ids: DataFrame, id_col: str, name: str) -> DataFrame:

@@ -19,9 +19,17 @@ def write_csv(rows: DataFrame, path: str, order: list, sep: str = ",", one_file:
     (out.coalesce(1) if one_file else out).write.mode("overwrite").options(header=True, sep=sep, quote='"', escape='"').csv(path)
 
 
-def write_parquet(rows: DataFrame, path: str, by: list[str] | None = None, order: list | None = None) -> None:
-    """Zstandard Parquet; with ``by`` one folder per value in a single pass, sorted inside."""
-    out = rows.repartition(*by).sortWithinPartitions(*by, *(order or [])) if by else rows
+def write_parquet(rows: DataFrame, path: str, by: list[str] | None = None, order: list | None = None, tasks: int = 8) -> None:
+    """Zstandard Parquet; with ``by`` one folder per value in a single pass, sorted inside each file.
+
+    A value is dealt over up to ``tasks`` tasks, so that a value with most of the rows does not
+    end in one.
+    """
+    out = rows
+    if by:
+        hashed = [c for c, kind in rows.dtypes if not kind.startswith(("map", "variant"))]
+        deal = F.pmod(F.xxhash64(*hashed), F.lit(tasks))
+        out = rows.repartition(*by, deal).sortWithinPartitions(*by, *(order or []))
     writer = out.write.mode("overwrite").option("compression", "zstd")
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
@@ -93,8 +101,11 @@ def markdown(rows: DataFrame, limit: int = 10_000) -> str:
     return "\n".join(lines + ["| " + " | ".join("—" if v is None else str(v) for v in r) + " |" for r in got])
 
 
-def write_sqlite(rows: DataFrame, path: str, name: str, indexes: dict[str, list[str]] | None = None) -> int:
-    """A serving copy on the driver's disk, streamed in batches, indexed, and put in place at the end."""
+def write_sqlite(rows: DataFrame, path: str, name: str, indexes: dict[str, list[str]] | None = None, meta: dict | None = None) -> int:
+    """A serving copy on the driver's disk, streamed in batches, indexed, and put in place at the end.
+
+    A table ``meta`` has the number of rows and what the caller adds.
+    """
     part, n = f"{path}.part", 0
     if os.path.exists(part):
         os.remove(part)
@@ -111,7 +122,10 @@ def write_sqlite(rows: DataFrame, path: str, name: str, indexes: dict[str, list[
         n += len(held)
         for index, columns in (indexes or {}).items():
             con.execute(f"CREATE INDEX {index} ON {name} ({', '.join(columns)})")
+        con.execute("CREATE TABLE meta (chave TEXT PRIMARY KEY, valor TEXT)")
+        con.executemany("INSERT INTO meta VALUES (?, ?)", [("linhas", str(n)), *((k, str(v)) for k, v in (meta or {}).items())])
         con.execute("ANALYZE")
+    con.execute("VACUUM")
     con.close()
     if not n:
         os.remove(part)

@@ -10,7 +10,7 @@ from ..functions import phones as P
 from ..functions import text as T
 from ..staging import stage
 from .classify import ID
-from .resolve import flag, suspected_duplicates
+from .resolve import flag, look_alike_keys, suspected_duplicates
 
 
 def record_card(*parts):
@@ -18,8 +18,12 @@ def record_card(*parts):
     return F.concat_ws("\n", *parts)
 
 
-def establishments(estabelecimentos: DataFrame, target: DataFrame, empresas: DataFrame, simples: DataFrame, municipios: DataFrame, cnaes: DataFrame, safra: str) -> DataFrame:
-    """One row per target id, everything normalised and formatted.  Bad data turn to null, never drop a row."""
+def establishments(estabelecimentos: DataFrame, target: DataFrame, empresas: DataFrame, simples: DataFrame, municipios: DataFrame, cnaes: DataFrame, safra: str, flagged: bool = True) -> DataFrame:
+    """One row per target id, everything normalised and formatted.  Bad data turn to null, never drop a row.
+
+    With ``flagged`` the look-alike search runs and its flag is a column; its keys, and only
+    they, become a staged table that the search reads several times over.
+    """
     keys = target.select(*ID).distinct()
     rows = (
         estabelecimentos.join(keys, ID, "left_semi")
@@ -56,9 +60,14 @@ def establishments(estabelecimentos: DataFrame, target: DataFrame, empresas: Dat
     )
     line = lambda n: P.line_of(F.col(f"{n}_tipo"), F.col(f"{n}_formatado"), F.col(f"{n}_9_formatado"))
     made = made.select("*", record_card("nome_fantasia", "razao_social_publicavel", "endereco", "cidade_uf", F.concat(F.lit("CEP: "), "cep_formatado"), line("telefone"), line("telefone_2"), "email").alias("ficha"))
-    # the look-alike search reads these rows several times over: they are a table of their own
-    made = stage(made, "target")
-    return flag(made, suspected_duplicates(made), "id", "suspeita_duplicata")
+    return flag(made, suspected_duplicates(stage(look_alike_keys(made), "lookalikes")), "id", "suspeita_duplicata") if flagged else made
+
+
+def phones(estabelecimentos: DataFrame, target: DataFrame) -> DataFrame:
+    """id, telefone, telefone_2 of each target id, as ``establishments`` gives them, and nothing else."""
+    digits = [T.so_digitos(c).alias(c) for c in ("ddd_1", "telefone_1", "ddd_2", "telefone_2")]
+    rows = estabelecimentos.join(target.select(*ID).distinct(), ID, "left_semi").select(F.concat(*ID).alias("id"), *digits)
+    return rows.select("id", P.e164_of_digits(F.col("ddd_1"), F.col("telefone_1")).alias("telefone"), P.e164_of_digits(F.col("ddd_2"), F.col("telefone_2")).alias("telefone_2"))
 
 
 def export(target: DataFrame, verticals: DataFrame) -> DataFrame:

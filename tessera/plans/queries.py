@@ -13,6 +13,8 @@ from ..functions import phones as P
 from ..functions import text as T
 from ..operators import brands, classify, crosswalk, reports, resolve, target
 from ..sources import registry as src
+from ..sources import shops
+from ..staging import new_path
 from ..tables import table
 from . import oracle as O
 from . import sample_registry as R
@@ -35,14 +37,6 @@ def _rows(spark: SparkSession, rows, schema: str) -> DataFrame:
 # ---------------------------------------------------------------- scalar library
 
 _PHONES = [(1, "21", "3344-5566"), (2, "(31)", "912345678"), (3, "20", "33445566"), (4, "21", "3344556"), (5, "21", "77777777"), (6, None, "33445566"), (7, "21", None), (8, "21", "83445566")]
-_PHONE_TEXT = "regexp_extract(text, '[(]([0-9]{3})[)] ([0-9]{3}-[0-9]{4})', 2)"
-
-
-def _phone_inputs(spark, sf):
-    found = table(spark, sf, "documents").where(F.col("text").rlike(r"[(][0-9]{3}[)] [0-9]{3}-[0-9]{4}")).select(
-        F.col("doc_id").alias("k"), F.substring(F.regexp_extract("text", r"[(]([0-9]{3})[)] ([0-9]{3}-[0-9]{4})", 1), 1, 2).alias("ddd"),
-        F.concat(F.lit("9"), F.regexp_extract("text", r"[(]([0-9]{3})[)] ([0-9]{3}-[0-9]{4})", 2)).alias("num"))
-    return found.unionByName(_made_phones(spark, sf))
 
 
 def _made_phones(spark, sf):
@@ -60,24 +54,6 @@ def _all_phone_inputs(spark, sf):
     return found.unionByName(_made_phones(spark, sf).withColumn("pos", F.lit(1)))
 
 
-_PHONE_CTE = (
-    "p AS (SELECT doc_id AS k, regexp_extract(text, '[(]([0-9]{3})[)] ([0-9]{3}-[0-9]{4})', 1)[1:2] AS ddd, '9' || " + _PHONE_TEXT + " AS num FROM documents "
-    "WHERE regexp_matches(text, '[(][0-9]{3}[)] [0-9]{3}-[0-9]{4}') UNION ALL SELECT c_custkey + 10000000, lpad(CAST(c_custkey % 100 AS STRING), 2, '0'), CAST(c_custkey * 7919 % 1000000000 AS STRING) FROM customer "
-    "UNION ALL SELECT * FROM " + O.values([(-i, d, n) for i, d, n in _PHONES], "k, ddd, num") + ")"
-)
-
-
-@query(f"WITH {_PHONE_CTE} SELECT k, {O.digits('num')} AS digitos, coalesce({O.digits('ddd')} IN ({', '.join(O.quote(d) for d in P.DDDS)}), false) AS ddd_ok, {O.e164('ddd', 'num')} AS e164 FROM p")
-def q01_phone_e164(spark, sf):
-    return _phone_inputs(spark, sf).select("k", T.so_digitos("num").alias("digitos"), F.coalesce(P.ddd_valido(T.so_digitos("ddd")), F.lit(False)).alias("ddd_ok"), P.telefone_e164("ddd", "num").alias("e164"))
-
-
-@query(f"WITH {_PHONE_CTE}, e AS (SELECT k, {O.e164('ddd', 'num')} AS e FROM p) SELECT k, {O.phone_type('e')} AS tipo, {O.ninth('e')} AS nono, {O.shown('e')} AS exibicao, {O.phone_line('e')} AS linha, {O.phone_key('e')} AS chave FROM e")
-def q02_phone_display(spark, sf):
-    e = _phone_inputs(spark, sf).select("k", P.telefone_e164("ddd", "num").alias("e"))
-    return e.select("k", P.tipo_telefone("e").alias("tipo"), P.telefone_com_nono_digito("e").alias("nono"), P.telefone_exibicao("e").alias("exibicao"), P.linha_telefone("e").alias("linha"), P.fone_chave("e").alias("chave"))
-
-
 _PHONE_RX = "[(]([0-9]{3})[)] ([0-9]{3}-[0-9]{4})"
 _ALL_PHONES_CTE = (
     f"f AS (SELECT doc_id AS k, unnest(regexp_extract_all(text, '{_PHONE_RX}', 1)) AS a, unnest(regexp_extract_all(text, '{_PHONE_RX}', 2)) AS n, generate_subscripts(regexp_extract_all(text, '{_PHONE_RX}'), 1) AS pos FROM documents), "
@@ -87,31 +63,21 @@ _ALL_PHONES_CTE = (
 
 
 @query(f"WITH {_ALL_PHONES_CTE} SELECT k, pos, {O.digits('num')} AS digitos, coalesce({O.digits('ddd')} IN ({', '.join(O.quote(d) for d in P.DDDS)}), false) AS ddd_ok, {O.e164('ddd', 'num')} AS e164 FROM p")
-def q01_phone_e164_whole(spark, sf):
+def q01_phone_e164(spark, sf):
     return _all_phone_inputs(spark, sf).select("k", "pos", T.so_digitos("num").alias("digitos"), F.coalesce(P.ddd_valido(T.so_digitos("ddd")), F.lit(False)).alias("ddd_ok"), P.telefone_e164("ddd", "num").alias("e164"))
 
 
 @query(f"WITH {_ALL_PHONES_CTE}, e AS (SELECT k, pos, {O.e164('ddd', 'num')} AS e FROM p) SELECT k, pos, {O.phone_type('e')} AS tipo, {O.ninth('e')} AS nono, {O.shown('e')} AS exibicao, {O.phone_line('e')} AS linha, {O.phone_key('e')} AS chave FROM e")
-def q02_phone_display_whole(spark, sf):
+def q02_phone_display(spark, sf):
     e = _all_phone_inputs(spark, sf).select("k", "pos", P.telefone_e164("ddd", "num").alias("e"))
     return e.select("k", "pos", P.tipo_telefone("e").alias("tipo"), P.telefone_com_nono_digito("e").alias("nono"), P.telefone_exibicao("e").alias("exibicao"), P.linha_telefone("e").alias("linha"), P.fone_chave("e").alias("chave"))
 
 
-@query(
-    f"WITH s AS (SELECT lang, {O.slug('split_part(text, chr(10), 1)')} AS slug, count(*) AS n FROM documents GROUP BY 1, 2), "
-    "r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, slug NULLS LAST) AS pos FROM s) SELECT lang, slug, n, pos FROM r WHERE pos <= 100"
-)
-def q03_slug_top(spark, sf):
-    """Slug of each document's first line, counted, the hundred most frequent by language."""
-    lines = table(spark, sf, "documents").select("lang", T.slug(F.substring_index("text", "\n", 1)).alias("slug"))
-    return reports.top_per_group(lines.groupBy("lang", "slug").agg(F.count(F.lit(1)).alias("n")), ["lang"], [F.desc("n"), F.asc_nulls_last("slug")], 100)
-
-
 @query(
     f"WITH l AS (SELECT lang, unnest(str_split(coalesce(text, ''), chr(10))) AS line FROM documents), s AS (SELECT lang, {O.slug('line')} AS slug, count(*) AS n FROM l GROUP BY 1, 2), "
     "r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, slug NULLS LAST) AS pos FROM s) SELECT lang, slug, n, pos FROM r WHERE pos <= 100"
 )
-def q03_slug_top_whole(spark, sf):
+def q03_slug_top(spark, sf):
     """Slug of every line of every document, counted, the hundred most frequent by language."""
     lines = table(spark, sf, "documents").select("lang", F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line")).select("lang", T.slug("line").alias("slug"))
     return reports.top_per_group(lines.groupBy("lang", "slug").agg(F.count(F.lit(1)).alias("n")), ["lang"], [F.desc("n"), F.asc_nulls_last("slug")], 100)
@@ -121,21 +87,11 @@ _MAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+"
 _MAILS = [(-1, "Oficina@SOM-e-luz.com.br "), (-2, "x@y"), (-3, "sem arroba"), (-4, None), (-5, "a@gmail.com"), (-6, "b@www.terra.com.br")]
 
 
-@query(
-    f"WITH m AS (SELECT doc_id AS k, regexp_extract(text, '{_MAIL}') AS mail FROM documents UNION ALL SELECT * FROM {O.values(_MAILS, 'k, mail')}), d AS (SELECT k, {O.mail_domain('mail')} AS dominio FROM m) "
-    f"SELECT k, dominio, {O.provider('dominio')} AS provedor, {O.own_site('dominio')} AS site FROM d"
-)
-def q04_mail_domain(spark, sf):
-    m = table(spark, sf, "documents").select(F.col("doc_id").alias("k"), F.regexp_extract("text", _MAIL, 0).alias("mail")).unionByName(_rows(spark, _MAILS, "k long, mail string"))
-    d = m.select("k", A.dominio_email("mail").alias("dominio"))
-    return d.select("k", "dominio", A.dominio_provedor("dominio").alias("provedor"), A.site_candidato(F.col("dominio")).alias("site"))
-
-
 @query(
     f"WITH x AS (SELECT doc_id AS k, regexp_extract_all(text, '{_MAIL}') AS l FROM documents), m AS (SELECT k, unnest(CASE WHEN len(l) > 0 THEN l ELSE [NULL] END) AS mail, unnest(range(1, greatest(1, coalesce(len(l), 0)) + 1)) AS pos FROM x UNION ALL SELECT k, mail, 1 FROM {O.values(_MAILS, 'k, mail')}), "
     f"d AS (SELECT k, pos, {O.mail_domain('mail')} AS dominio FROM m) SELECT k, pos, dominio, {O.provider('dominio')} AS provedor, {O.own_site('dominio')} AS site FROM d"
 )
-def q04_mail_domain_whole(spark, sf):
+def q04_mail_domain(spark, sf):
     """Every address of every text, numbered from 1 in ``pos``; a text without one keeps one row."""
     found = table(spark, sf, "documents").select(F.col("doc_id").alias("k"), F.posexplode_outer(F.regexp_extract_all("text", F.lit(_MAIL), F.lit(0))).alias("i", "mail"))
     m = found.select("k", (F.coalesce("i", F.lit(0)) + 1).alias("pos"), "mail").unionByName(_rows(spark, _MAILS, "k long, mail string").withColumn("pos", F.lit(1)))
@@ -143,19 +99,10 @@ def q04_mail_domain_whole(spark, sf):
     return d.select("k", "pos", "dominio", A.dominio_provedor("dominio").alias("provedor"), A.site_candidato(F.col("dominio")).alias("site"))
 
 
-@query(
-    "WITH w AS (SELECT doc_id, replace(array_to_string(str_split(split_part(text, chr(10), 1), ' ')[1:8], ' '), 'ß', 'ss') AS t FROM documents) "
-    f"SELECT doc_id, {O.title('t')} AS titulo, {O.natural('upper(t)')} AS gritado, {O.natural('t')} AS natural_ FROM w"
-)
-def q05_title_case(spark, sf):
-    w = table(spark, sf, "documents").select("doc_id", F.replace(F.array_join(F.slice(F.split(F.substring_index("text", "\n", 1), " "), 1, 8), " "), F.lit("ß"), F.lit("ss")).alias("t"))
-    return w.select("doc_id", T.titulo_caso("t").alias("titulo"), T.caso_natural(F.upper("t")).alias("gritado"), T.caso_natural("t").alias("natural_"))
-
-
 @query(
     f"WITH w AS (SELECT doc_id, replace(text, 'ß', 'ss') AS t FROM documents) SELECT doc_id, {O.title('t')} AS titulo, {O.natural('upper(t)')} AS gritado, {O.natural('t')} AS natural_ FROM w"
 )
-def q05_title_case_whole(spark, sf):
+def q05_title_case(spark, sf):
     w = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("ß"), F.lit("ss")).alias("t"))
     return w.select("doc_id", T.titulo_caso("t").alias("titulo"), T.caso_natural(F.upper("t")).alias("gritado"), T.caso_natural("t").alias("natural_"))
 
@@ -185,7 +132,7 @@ def q06_addresses_and_names(spark, sf):
 def q07_record_card(spark, sf):
     """Parts that are null leave no line; a null inside a part drops the part."""
     c, n, r = (table(spark, sf, t) for t in ("customer", "nation", "region"))
-    rows = c.join(F.broadcast(n), F.col("n_nationkey") == F.col("c_nationkey"), "left").join(F.broadcast(r.where("r_name <> 'ASIA'")), F.col("r_regionkey") == F.col("n_regionkey"), "left")
+    rows = c.join(n, F.col("n_nationkey") == F.col("c_nationkey"), "left").join(r.where("r_name <> 'ASIA'"), F.col("r_regionkey") == F.col("n_regionkey"), "left")
     saldo = F.when(F.col("c_acctbal") > 0, F.concat(F.lit("Saldo: "), F.rint("c_acctbal").cast("long").cast("string")))
     card = target.record_card("c_name", saldo, F.concat("n_name", F.lit("-"), "r_name"), F.when(F.col("c_custkey") % 2 == 0, "par"))
     ramo = F.when(F.col("c_mktsegment") == "BUILDING", "obra").when(F.col("c_mktsegment") == "MACHINERY", "máquina")
@@ -366,13 +313,18 @@ _WIDE_COLUMNS = (
 ).split()
 
 
-def _wide(r) -> DataFrame:
-    return target.establishments(r["estabelecimentos"], _target(r), r["empresas"], r["simples"], _municipios(r), r["cnaes"], "2026-08")
+def _wide(r, flagged: bool = True) -> DataFrame:
+    return target.establishments(r["estabelecimentos"], _target(r), r["empresas"], r["simples"], _municipios(r), r["cnaes"], "2026-08", flagged)
 
 
-def _export(spark, sf) -> DataFrame:
+def _phones_of_target(spark, sf) -> DataFrame:
     r = R.relations(spark, sf)
-    return target.export(_wide(r), classify.verticals_of(_target(r), r["vertical_cnae"]))
+    return target.phones(r["estabelecimentos"], _target(r))
+
+
+def _export(spark, sf, flagged: bool = True) -> DataFrame:
+    r = R.relations(spark, sf)
+    return target.export(_wide(r, flagged), classify.verticals_of(_target(r), r["vertical_cnae"]))
 
 
 @query(f"WITH {_EXPORT} SELECT {', '.join(_WIDE_COLUMNS)} FROM wide")
@@ -396,7 +348,7 @@ _BY_CITY = (
 
 @query(f"WITH {_EXPORT}, {_BY_CITY} SELECT *, row_number() OVER (PARTITION BY vertical ORDER BY total DESC, uf NULLS LAST, municipio NULLS LAST, municipio_slug NULLS LAST) AS pos FROM cidades QUALIFY pos <= 100")
 def q19_top_cities(spark, sf):
-    return reports.top_cities(reports.by_city(_export(spark, sf)))
+    return reports.top_cities(reports.by_city(_export(spark, sf, flagged=False)))
 
 
 @query(
@@ -425,20 +377,11 @@ def q22_fill_rates(spark, sf):
     return reports.fill_rates(_export(spark, sf))
 
 
-_DAYS = [f"2024-01-{d:02d}" for d in range(1, 8)]
-
-
-@query("SELECT event_type, " + ", ".join(f"count(*) FILTER (WHERE strftime(ts, '%Y-%m-%d') = '{d}') AS \"{d}\"" for d in _DAYS) + " FROM events GROUP BY 1")
-def q23_crosstab(spark, sf):
-    e = table(spark, sf, "events").withColumn("dia", F.date_format("ts", "yyyy-MM-dd"))
-    return reports.crosstab(e, "event_type", "dia", _DAYS, F.count(F.lit(1)))
-
-
 @query(
     "WITH e AS (SELECT event_type, strftime(ts, '%Y-%m-%d') AS dia FROM events), n AS (SELECT event_type, dia, count(*) AS n FROM e GROUP BY 1, 2), g AS (SELECT * FROM (SELECT DISTINCT event_type FROM e) CROSS JOIN (SELECT DISTINCT dia FROM e)) "
     "SELECT g.event_type, g.dia, coalesce(n.n, 0) AS n FROM g LEFT JOIN n ON n.event_type IS NOT DISTINCT FROM g.event_type AND n.dia IS NOT DISTINCT FROM g.dia"
 )
-def q23_crosstab_whole(spark, sf):
+def q23_crosstab(spark, sf):
     """The cross-tab over all days present, a row for each cell, empty ones 0."""
     n = table(spark, sf, "events").groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("dia")).agg(F.count(F.lit(1)).alias("n"))
     grid = n.select("event_type").distinct().crossJoin(n.select("dia").distinct())
@@ -457,7 +400,7 @@ def q24_top_k(spark, sf):
 )
 def q25_sole_traders(spark, sf):
     r = R.relations(spark, sf)
-    return reports.sole_traders(_wide(r), classify.verticals_of(_target(r), r["vertical_cnae"]))
+    return reports.sole_traders(_wide(r, flagged=False), classify.verticals_of(_target(r), r["vertical_cnae"]))
 
 
 @query("SELECT c_custkey, c_name, c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') AS urgente FROM customer")
@@ -485,7 +428,7 @@ _ALVO_CTE = f"alvos AS (SELECT CASE n_nationkey % 5 WHEN 0 THEN 'SP' WHEN 1 THEN
 
 
 def _posts(spark, sf) -> DataFrame:
-    s = table(spark, sf, "supplier").join(F.broadcast(table(spark, sf, "nation")), F.col("n_nationkey") == F.col("s_nationkey"), "left")
+    s = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("n_nationkey") == F.col("s_nationkey"), "left")
     return s.selectExpr(*[f"{e} AS {c}" for c, e in _POSTS.items()])
 
 
@@ -539,7 +482,7 @@ _MATCH = (
 
 @query(f"WITH {_EXPORT}, {_POSTS_CTE}, {_FONES}, {_MATCH} SELECT * FROM casa")
 def q29_unique_key_match(spark, sf):
-    return resolve.company_of_posts(resolve.phones_of_posts(_posts(spark, sf)), _wide(R.relations(spark, sf)))
+    return resolve.company_of_posts(resolve.phones_of_posts(_posts(spark, sf)), _phones_of_target(spark, sf))
 
 
 @query("SELECT DISTINCT a.p_partkey FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_partkey <> b.p_partkey AND jaro_winkler_similarity(a.p_name, b.p_name) >= 0.9")
@@ -550,7 +493,7 @@ def q30_similar_in_block(spark, sf):
 def _posts_ready(spark, sf) -> DataFrame:
     p = _posts(spark, sf).withColumn("coletado_em", F.try_to_date("coletado_em"))
     phones = resolve.phones_of_posts(p)
-    companies = resolve.company_of_posts(phones, _wide(R.relations(spark, sf)))
+    companies = resolve.company_of_posts(phones, _phones_of_target(spark, sf))
     return brands.publishable_posts(p, crosswalk.city_of_posts(p, _places(spark, sf)), phones, companies)
 
 
@@ -616,12 +559,12 @@ def q50_code_report(spark, sf):
 
 @query(f"WITH {_EXPORT} SELECT vertical, uf, count(*) AS total FROM exportacao GROUP BY 1, 2")
 def q51_by_state(spark, sf):
-    return reports.by_state(_export(spark, sf))
+    return reports.by_state(_export(spark, sf, flagged=False))
 
 
 @query(f"WITH {_EXPORT} SELECT vertical, count(*) AS total FROM exportacao WHERE uf = 'EX' GROUP BY 1")
 def q52_abroad(spark, sf):
-    return reports.abroad(_export(spark, sf))
+    return reports.abroad(_export(spark, sf, flagged=False))
 
 
 # ---------------------------------------------------------------- text, HTML, JSON
@@ -691,7 +634,7 @@ def q37_paging(spark, sf):
 
 @query("SELECT n_name, count(*) AS n, string_agg(c_name, '; ' ORDER BY c_name, c_custkey) AS clientes FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1")
 def q38_nested_lists(spark, sf):
-    rows = table(spark, sf, "customer").join(F.broadcast(table(spark, sf, "nation")), F.col("n_nationkey") == F.col("c_nationkey"))
+    rows = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
     listed = F.array_sort(F.collect_list(F.struct("c_name", "c_custkey")))
     return rows.groupBy("n_name").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(listed, lambda x: x["c_name"]), "; ").alias("clientes"))
 
@@ -719,28 +662,18 @@ def q41_count_trail(spark, sf):
 @query("SELECT CAST(n_nationkey AS STRING) AS codigo, CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE n_name || ';\"x\"' END AS descricao FROM nation")
 def q42_csv_round_trip(spark, sf):
     """Quotes, separators and empty fields survive a file; an empty quoted field reads as null."""
-    from ..staging import new_path
-
     rows = table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("codigo"), F.when(F.col("n_nationkey") % 5 == 0, "").otherwise(F.concat("n_name", F.lit(';"x"'))).alias("descricao"))
     path = new_path(spark, "csv")
     rows.write.options(sep=";", quote='"', escape='"', header=False, quoteAll=True).csv(path)
     return src.read_delimited(spark, path, src.CODIGO)
 
 
-@query(
-    "SELECT o_orderkey, replace(format('{:,}', o_orderkey * 1000), ',', '.') AS numero, strftime(o_orderdate, '%d/%m/%Y') AS data, replace(replace(replace(o_orderpriority || ' <b> & \"x\"', '&', '&amp;'), '<', '&lt;'), '\"', '&quot;') AS seguro, "
-    "CASE WHEN o_orderkey % 7 = 1 THEN 'loja' ELSE 'lojas' END AS plural_, array_to_string(list_sort(list_distinct([1, o_orderkey % 40 + 1 - 2, o_orderkey % 40 + 1 - 1, o_orderkey % 40 + 1, o_orderkey % 40 + 2, o_orderkey % 40 + 3, 40])), ',') AS janela FROM orders WHERE o_orderkey % 40 BETWEEN 3 AND 35"
-)
-def q44_presentation(spark, sf):
-    return _presented(table(spark, sf, "orders").where("o_orderkey % 40 between 3 and 35"))
-
-
 @query(
     "SELECT o_orderkey, replace(format('{:,}', o_orderkey * 1000), ',', '.') AS numero, strftime(o_orderdate, '%d/%m/%Y') AS data, replace(replace(replace(o_orderpriority || ' <b> & \"x\"', '&', '&amp;'), '<', '&lt;'), '\"', '&quot;') AS seguro, "
     "CASE WHEN o_orderkey % 7 = 1 THEN 'loja' ELSE 'lojas' END AS plural_, array_to_string(list_sort(list_distinct(list_concat([1, 40], range(greatest(1, o_orderkey % 40 - 1), least(40, o_orderkey % 40 + 3) + 1)))), ',') AS janela FROM orders"
 )
-def q44_presentation_whole(spark, sf):
-    """q44 for every order, the first and the last pages of the window included."""
+def q44_presentation(spark, sf):
+    """Every order, the first and the last pages of the link window included."""
     return _presented(table(spark, sf, "orders"))
 
 
@@ -750,3 +683,100 @@ def _presented(o: DataFrame) -> DataFrame:
     safe = F.replace(sinks.escape_html(F.concat("o_orderpriority", F.lit(' <b> & "x"'))), F.lit("&gt;"), F.lit(">"))
     links = F.array_join(F.transform(sinks.page_window(F.col("o_orderkey") % 40 + 1, F.lit(40).cast("long")), lambda x: x.cast("string")), ",")
     return o.select("o_orderkey", sinks.numero(F.col("o_orderkey") * 1000).alias("numero"), sinks.data_br(F.col("o_orderdate")).alias("data"), safe.alias("seguro"), sinks.plural(F.col("o_orderkey") % 7, "loja", "lojas").alias("plural_"), links.alias("janela"))
+
+
+# ---------------------------------------------------------------- extractors, parsers, checks over data with known answers
+
+#: A fragment per supplier, put together from parts that the SQL knows beforehand.
+_FRAGMENT = {
+    "phone": "'(11) 3' || lpad(CAST(s_suppkey % 1000 AS STRING), 3, '0') || '-' || lpad(CAST(s_suppkey * 7 % 10000 AS STRING), 4, '0')",
+    "postal": "'01310-' || lpad(CAST(s_suppkey % 1000 AS STRING), 3, '0')",
+    "street": "'Rua ' || CAST(s_suppkey AS STRING) || ', 5'",
+    "mail": "CASE s_suppkey % 3 WHEN 0 THEN '<a href=\"mailto:Loja' || CAST(s_suppkey AS STRING) || '@Som.com.br\">m</a>' WHEN 1 THEN '<i data-cfemail=\"2041426058490e494f\">x</i>' ELSE '<p>escreva a c.d@e' || CAST(s_suppkey AS STRING) || '.com.</p>' END",
+    "link": "CASE s_suppkey % 2 WHEN 0 THEN '<a href=\"https://www.facebook.com/x\">f</a><a href=\"https://loja' || CAST(s_suppkey AS STRING) || '.example/p\">s</a>' ELSE '<b>visite www.som' || CAST(s_suppkey AS STRING) || '.com.br</b>' END",
+}
+
+
+@query(
+    f"WITH f AS (SELECT s_suppkey, {_FRAGMENT['phone']} AS phone, {_FRAGMENT['postal']} AS postal, {_FRAGMENT['street']} AS street FROM supplier) "
+    "SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'loja' || CAST(s_suppkey AS STRING) || '@som.com.br' WHEN 1 THEN 'ab@xi.io' ELSE 'c.d@e' || CAST(s_suppkey AS STRING) || '.com' END AS email, "
+    "postal AS cep, replace(replace(replace(replace(phone, '(', ''), ') ', ''), '-', ''), ' ', '') AS telefones, street AS endereco, "
+    "CASE s_suppkey % 2 WHEN 0 THEN 'https://loja' || CAST(s_suppkey AS STRING) || '.example/p' ELSE 'https://www.som' || CAST(s_suppkey AS STRING) || '.com.br' END AS site FROM f"
+)
+def q53_extractors(spark, sf):
+    """Mail, postal code, phones, address and site of fragments whose parts are known."""
+    f = table(spark, sf, "supplier").selectExpr("s_suppkey", *[f"{e} AS {c}" for c, e in _FRAGMENT.items()])
+    line = F.concat("street", F.lit(" "), "phone", F.lit(" - CEP: "), "postal")
+    page = F.concat(F.lit("<div>"), "mail", F.lit("<br>"), line, F.lit("</div>"), "link")
+    f = f.select("s_suppkey", line.alias("line"), page.alias("page"))
+    return f.select(
+        "s_suppkey", X.emails("page").alias("email"), X.cep(X.texto_de("page")).alias("cep"), X.telefones(X.texto_de("page")).alias("telefones"),
+        X.limpar_endereco("line").alias("endereco"), X.site("page").alias("site"),
+    )
+
+
+#: A page or document of each source: (source, hint, text); and the shops it lists.
+_SHOP_PAGES = (
+    ("yamaha", "", '[{"name": " Som  e Luz ", "address": "RUA A, 1 - NATAL, RN 59000-000", "telephoneNumber": "(84) 3222-0000", "emailAddress": "A@B.C", "contractCode": ["PI", "ZZ"]}, {"name": ""}]'),
+    ("casio", "", '{"data": [{"store_name": "X", "address": "Rua B, 2<br>Centro", "search1": "SP", "search2": " Campinas ", "tel": "(19) 3222-0000", "opening_hours": "8h  as 18h"}]}'),
+    ("proshows", "BA", '[{"assistance": "P", "zip": "01310100", "email": "x@y.com"}]'),
+    ("roland", "São Paulo", "<p>x</p><span style='font-weight: bold'>Campinas</span><h5>Luz &amp; Som</h5>Rua A, 1<br>CEP: 13070-000<br>Tel: (19) 3222-0000<br>a@b.com<h5></h5>"
+     "<span style='font-weight: bold'>Santos</span><h5>Mar &ndash; Cia&hellip;</h5>Av B, 2"),
+    ("tectronica", "", '<div class="x unidade" data-estado="RJ" data-cidade="Niter&oacute;i"><p class="sub-title b">Um</p><p><b>Endereço:</b> Rua C, 3</p><p><b>CEP:</b> 24000-000</p><p><b>Telefone:</b> (21) 2222-0000</p></div>'),
+    ("tagima", "PE", 'Lista de Assistências<div class="col-span-12 lg:col-span-4"><h5>Dois</h5><p class="mb-1">Endereço: Rua D, 4, Bairro: Centro</p><p class="mb-1">Recife / PE</p>'
+     '<p class="mb-1">Telefone: (81) 3222-0000</p><p class="mb-1">Contato: Ana</p></div><a href="https://rodape.example">x</a>'),
+    ("sonotec", "", '<div class="selects CE"><div class="item"><h5>Fortaleza</h5><div class="infos"><span>Tres</span><br>Rua E, 5<br>(85) 3222-0000 / <br>c@d.com</div></div></div>'
+     '<div class="selects XX"><div class="item"><h5>n</h5><span>n</span></div></div>'),
+)
+_LISTED = [
+    ("yamaha", "Som e Luz", "RN", "", "", "59000-000", "8432220000", "a@b.c"), ("casio", "X", "SP", "Campinas", "Rua B, 2 Centro", "", "1932220000", ""),
+    ("proshows", "P", "BA", "", "", "01310-100", "", "x@y.com"), ("roland", "Luz & Som", "SP", "Campinas", "Rua A, 1", "13070-000", "1932220000", "a@b.com"),
+    ("roland", "Mar – Cia…", "SP", "Santos", "Av B, 2", "", "", ""), ("tectronica", "Um", "RJ", "Niterói", "Rua C, 3", "24000-000", "2122220000", ""),
+    ("tagima", "Dois", "PE", "Recife", "Rua D, 4", "", "8132220000", ""), ("sonotec", "Tres", "CE", "Fortaleza", "Rua E, 5", "", "8532220000", "c@d.com"),
+]
+
+
+@query(f"SELECT fonte, nome, uf_fonte, cidade_fonte, CASE WHEN fonte IN ('yamaha') THEN '*' ELSE endereco END AS endereco, cep, telefones, email FROM {O.values(_LISTED, 'fonte, nome, uf_fonte, cidade_fonte, endereco, cep, telefones, email')}")
+def q54_shop_parsers(spark, sf):
+    """The seven sources' parsers through ``collect``; a source without a parser is left out."""
+    docs = {f: _rows(spark, [(h, t)], "hint string, text string") for f, h, t in _SHOP_PAGES}
+    found = shops.collect(spark, docs | {"desconhecida": docs["casio"]}, "2026-01-02")
+    street = F.when(F.col("fonte") == "yamaha", "*").otherwise(F.col("endereco"))
+    return found.select("fonte", "nome", "uf_fonte", "cidade_fonte", street.alias("endereco"), "cep", "telefones", "email")
+
+
+_TWICE = "duas AS (SELECT * FROM postos UNION ALL SELECT * REPLACE (upper(nome) AS nome, 'X' AS bairro) FROM postos)"
+
+
+@query(f"WITH {_POSTS_CTE}, {_TWICE} SELECT {', '.join(src.POSTO)} FROM duas QUALIFY row_number() OVER (PARTITION BY fonte, posto_id ORDER BY {', '.join(c + ' NULLS LAST' for c in src.POSTO)}) = 1")
+def q55_stable_posts(spark, sf):
+    """Shops once each, the first of its versions, in a stable order."""
+    p = _posts(spark, sf).select(*src.POSTO)
+    return resolve.stable_posts(p.unionByName(p.withColumn("nome", F.upper("nome")).withColumn("bairro", F.lit("X"))))
+
+
+@query(
+    "SELECT * FROM (SELECT o_orderstatus, o_orderpriority, n, round(100.0 * CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY o_orderstatus), 1) AS pct FROM (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2)) "
+    "WHERE pct >= 20 AND regexp_matches(o_orderpriority, '^[1-4]')"
+)
+def q56_dominant_labels(spark, sf):
+    n = table(spark, sf, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    return reports.dominant(n, "o_orderstatus", "n", "o_orderpriority", "^[1-4]", 20.0)
+
+
+@query(
+    "SELECT c_custkey, nome FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name || ' ' || lpad(CAST(c_custkey AS STRING), 11, '0') WHEN c_custkey % 3 = 1 THEN c_name || ' ' || lpad(CAST(c_custkey AS STRING), 10, '0') ELSE c_name END AS nome FROM customer) "
+    "WHERE regexp_matches(nome, '[0-9]{11}$')"
+)
+def q57_personal_numbers(spark, sf):
+    nome = "CASE WHEN c_custkey % 3 = 0 THEN c_name || ' ' || lpad(CAST(c_custkey AS STRING), 11, '0') WHEN c_custkey % 3 = 1 THEN c_name || ' ' || lpad(CAST(c_custkey AS STRING), 10, '0') ELSE c_name END"
+    return reports.leaks(table(spark, sf, "customer").selectExpr("c_custkey", f"{nome} AS nome"), "nome")
+
+
+@query(f"WITH {_POSTS_CTE} SELECT fonte, TRY_CAST(coletado_em AS DATE) AS coletado_em, posto_id, nullif(nome, '') AS nome, nullif(endereco, '') AS endereco FROM postos WHERE fonte IN (SELECT fonte FROM marca)")
+def q58_posts_round_trip(spark, sf):
+    """The collector's CSV, written and read again: sources with a brand only, dates that are none are null."""
+    path = new_path(spark, "postos")
+    _posts(spark, sf).select(*src.POSTO).write.options(header=True, quote='"', escape='"').csv(path)
+    rows = src.read_posts(spark, path, _rows(spark, _MARCA, "marca string, marca_nome string, fonte string"))
+    return rows.select("fonte", "coletado_em", "posto_id", T.blank_to_null(F.col("nome")).alias("nome"), T.blank_to_null(F.col("endereco")).alias("endereco"))

@@ -1,30 +1,42 @@
 """Staged intermediate tables in the folder that driver and executors share.
 
 A staged table cuts the lineage: a lost executor costs the tasks it was running, not the
-jobs that came before.  The folder is ``spark.checkpoint.dir``; only where a session has
-none (tests on one machine) a folder of the driver is made and set.
+jobs that came before.  The folder is ``spark.checkpoint.dir``; only where a session on one
+machine has none (tests) a folder of the driver is made and set.
+
+Tables stay until the work that needs them is done: ``temporary_tables`` removes at its end
+what was staged inside it.
 """
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPES: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of this session, always a URI without a trailing slash."""
     conf = spark.sparkContext.getConf()
     found = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that driver and executors share (master {master})")
         found = "file://" + tempfile.mkdtemp(prefix="tessera-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/tessera/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tessera/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -33,3 +45,20 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete one staged table, whatever store it is in."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextlib.contextmanager
+def temporary_tables(spark: SparkSession):
+    """Staged tables made inside are removed at the end; results must have been written or collected by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove(spark, path)

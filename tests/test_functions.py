@@ -7,7 +7,7 @@ from tessera.functions import address as A
 from tessera.functions import extract as X
 from tessera.functions import phones as P
 from tessera.functions import text as T
-from tessera.functions.similarity import jaro_winkler, jaro_winkler_similarity
+from tessera.functions.similarity import jaro_winkler, jaro_winkler_pairs, jaro_winkler_similarity
 
 ONE = {
     "slug": (T.slug, [("Água Fria", "agua-fria"), ("AGUA FRIA", "agua-fria"), ("Olho-d'Água / Norte", "olho-d-agua-norte"), ("---", None), ("", None), (None, None), ("Vila D`Ávila", "vila-d-avila"), ("  Marabá  ", "maraba")]),
@@ -79,3 +79,37 @@ def test_jaro_winkler(spark):
     assert all(abs(jaro_winkler(a, b) - w[0]) < 1e-12 for (a, b), w in zip(pairs, want))
     got = spark.createDataFrame([("casa", "caso"), (None, "x")], "a string, b string").select(jaro_winkler_similarity("a", "b").alias("s")).collect()
     assert abs(got[0].s - jaro_winkler("casa", "caso")) < 1e-12 and got[1].s is None
+
+
+def test_all_pairs_at_once_equal_one_by_one():
+    import random
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdé-") for _ in range(rng.choice([0, 1, 2, 3, 5, 9, 14, 30])))
+    a = [word() for _ in range(3000)]
+    b = ["".join(rng.sample(x, len(x))) if rng.random() < 0.2 else x[:-1] + word()[:2] if rng.random() < 0.4 else word() for x in a]
+    for x, y, got in zip(a, b, jaro_winkler_pairs(a, b)):
+        assert abs(got - jaro_winkler(x, y)) < 1e-12, (x, y)
+    assert jaro_winkler_pairs([""], [""]).tolist() == [0.0] and len(jaro_winkler_pairs([], [])) == 0
+
+
+def test_similarity_of_long_and_missing_texts(spark):
+    rows = [("casa", "caso"), (None, "x"), ("x", None), (None, None), ("ab" * 3000, "ab" * 2999 + "a"), ("", "")] * 20
+    got = spark.createDataFrame(rows, "a string, b string").coalesce(1).select("a", "b", jaro_winkler_similarity("a", "b").alias("s")).collect()
+    for r in got:
+        assert r.s is None if r.a is None or r.b is None else abs(r.s - jaro_winkler(r.a, r.b)) < 1e-12
+
+
+def test_character_references(spark):
+    import html
+    import random
+    from html.entities import html5
+
+    rng = random.Random(6)
+    texts = [f"a&{n}b &{n}" for n in html5] + [f"&#{c}; &#{c}x &#x{c:x};&#X{c:X}" for c in [*range(300), 0xD800, 0xDFFF, 0xFDD0, 0xFDEF, 0xFFFE, 0xFFFF, 0x1F600, 0x1FFFE, 0x10FFFF, 0x110000, 99999999, 10**30]]
+    marks = ["&", "#", "x", ";", "amp", "lt", "not", "notin", "copy", "150", "&ndash;", "&hellip", " ", "e9", "&amp;lt;", "\n", "0"]
+    texts += ["".join(rng.choice(marks) for _ in range(rng.randrange(1, 12))) for _ in range(1500)] + ["", "no mark", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(8)
+    for r in rows.select("i", "t", X.unescape(F.col("t")).alias("got")).collect():
+        want = None if r.t is None else html.unescape(r.t).replace("\u00a0", " ")
+        assert r.got == want, (r.t, r.got, want)

@@ -110,3 +110,54 @@ def test_brand_helpers(spark):
     assert [x.posto_id for x in brands.nested(rows).where("marca = 'm1'").first().postos] == ["p1", "p2"]
     old = spark.createDataFrame([("a", 1), ("b", 2)], "fonte string, v int")
     assert sorted(map(tuple, resolve.refresh(old, spark.createDataFrame([("b", 3)], "fonte string, v int")).collect())) == [("a", 1), ("b", 3)]
+
+
+def test_a_bad_source_does_not_stop_the_others(spark, caplog):
+    good = _docs(spark, json.dumps([{"assistance": "P", "zip": "01310100", "email": "x@y.com"}]), "BA")
+    broken = spark.createDataFrame([(1,)], "other int")
+    got = shops.collect(spark, {"nobody": good, "yamaha": broken, "proshows": good}, "2026-01-02").collect()
+    assert [(r.fonte, r.nome) for r in got] == [("proshows", "P")]
+    assert "nobody" in caplog.text and "yamaha" in caplog.text
+
+
+def test_checks_of_codes(spark):
+    codes = spark.createDataFrame([("1", "a")], "codigo string, descricao string")
+    reports.require_valid_codes(spark.createDataFrame([("v", "1")], "vertical string, cnae string"), codes)
+    with pytest.raises(ValueError, match="'9'"):
+        reports.require_valid_codes(spark.createDataFrame([("v", "1"), ("v", "9")], "vertical string, cnae string"), codes)
+
+
+def test_hot_values_and_meta_of_sinks(spark, tmp_path):
+    import sqlite3
+
+    rows = spark.range(4000).selectExpr("id", "CASE WHEN id % 10 < 8 THEN 'hot' ELSE concat('v', id % 10) END AS g")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # small files are put together otherwise
+    try:
+        sinks.write_parquet(rows, str(tmp_path / "p"), ["g"], ["id"])
+    finally:
+        spark.conf.unset(key)
+    back = spark.read.parquet(str(tmp_path / "p"))
+    assert back.count() == 4000 and len(back.where("g = 'hot'").selectExpr("input_file_name() AS f").distinct().collect()) > 1
+    sinks.write_sqlite(rows.limit(5), str(tmp_path / "m.db"), "t", meta={"safra": "2026-08"})
+    with sqlite3.connect(tmp_path / "m.db") as con:
+        assert dict(con.execute("SELECT chave, valor FROM meta")) == {"linhas": "5", "safra": "2026-08"}
+
+
+def test_staged_tables_are_removed(spark):
+    from tessera import staging
+
+    with staging.temporary_tables(spark):
+        kept = staging.stage(spark.range(3).toDF("a"), "x")
+        files = kept.inputFiles()
+        assert kept.count() == 3 and files
+    import os
+
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
+
+
+def test_documents_are_read_whole(spark, tmp_path):
+    (tmp_path / "a.html").write_text("<p>um</p>\n\n<p>dois</p>\n")
+    (tmp_path / "b.json").write_text("[]")
+    got = {r.path.rsplit("/", 1)[1]: r.text for r in registry.read_documents(spark, str(tmp_path)).collect()}
+    assert got == {"a.html": "<p>um</p>\n\n<p>dois</p>\n", "b.json": "[]"}

@@ -16,7 +16,7 @@ def test_every_order_has_its_page_window(spark, sf_dir):
     for r in rows_of(spark, sf_dir, "orders"):
         p = r.o_orderkey % 40 + 1
         want[r.o_orderkey] = ",".join(str(x) for x in range(1, 41) if x in (1, 40) or abs(x - p) <= 2)
-    got = QUERIES["q44_presentation_whole"][0](spark, sf_dir).collect()
+    got = QUERIES["q44_presentation"][0](spark, sf_dir).collect()
     assert len(got) == len(want) and {r.o_orderkey: r.janela for r in got} == want
 
 
@@ -30,9 +30,9 @@ def test_every_phone_and_address(spark, sf_dir):
             mails.append((r.doc_id, i + 1, d and d[1]))
     assert len(phones) > len({k for k, *_ in phones})
     text = lambda name, *cols: sorted((tuple(r[c] for c in cols) for r in QUERIES[name][0](spark, sf_dir).where("k between 0 and 9999999").collect()), key=str)
-    assert text("q01_phone_e164_whole", "k", "pos", "digitos") == sorted(phones, key=str)
-    assert text("q02_phone_display_whole", "k", "pos") == sorted((p[:2] for p in phones), key=str)
-    assert text("q04_mail_domain_whole", "k", "pos", "dominio") == sorted(mails, key=str)
+    assert text("q01_phone_e164", "k", "pos", "digitos") == sorted(phones, key=str)
+    assert text("q02_phone_display", "k", "pos") == sorted((p[:2] for p in phones), key=str)
+    assert text("q04_mail_domain", "k", "pos", "dominio") == sorted(mails, key=str)
 
 
 def test_slugs_of_every_line(spark, sf_dir):
@@ -47,7 +47,7 @@ def test_slugs_of_every_line(spark, sf_dir):
     for lang in {k for k, _ in counts}:
         top = sorted(((n, s) for (k, s), n in counts.items() if k == lang), key=lambda x: (-x[0], x[1] is None, x[1] or ""))[:100]
         want += [(lang, s, n, i + 1) for i, (n, s) in enumerate(top)]
-    got = [(r.lang, r.slug, r.n, r.pos) for r in QUERIES["q03_slug_top_whole"][0](spark, sf_dir).collect()]
+    got = [(r.lang, r.slug, r.n, r.pos) for r in QUERIES["q03_slug_top"][0](spark, sf_dir).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
@@ -59,7 +59,7 @@ def test_case_of_whole_texts(spark, sf_dir):
         return None if not t.strip(" ") else t.strip(" ") if re.search("[a-zà-ÿ]", t) else title(t)
 
     want = {r.doc_id: (title(t := r.text.replace("ß", "ss")), natural(t.upper()), natural(t)) for r in rows_of(spark, sf_dir, "documents")}
-    got = {r.doc_id: (r.titulo, r.gritado, r.natural_) for r in QUERIES["q05_title_case_whole"][0](spark, sf_dir).collect()}
+    got = {r.doc_id: (r.titulo, r.gritado, r.natural_) for r in QUERIES["q05_title_case"][0](spark, sf_dir).collect()}
     assert got == want
 
 
@@ -74,5 +74,5 @@ def test_cross_tab_counts_every_event(spark, sf_dir, tmp_path):
     spark.createDataFrame(odd, "event_type string, ts timestamp").write.parquet(f"{tmp_path}/events.parquet")
     for d in (sf_dir, str(tmp_path)):
         events = rows_of(spark, d, "events")
-        got = {(r.event_type, r.dia): r.n for r in QUERIES["q23_crosstab_whole"][0](spark, d).collect()}
+        got = {(r.event_type, r.dia): r.n for r in QUERIES["q23_crosstab"][0](spark, d).collect()}
         assert got == brute(events) and sum(got.values()) == len(events)
