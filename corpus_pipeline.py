@@ -11,12 +11,18 @@ from pyspark.sql import functions as F
 
 from tessera.llm import bpe, exact_dedup, mixing, ngram_join, rule_ensemble
 from tessera.llm.textcols import free_prefix, whole
-from tessera.staging import stage
+from tessera.staging import new_path, remove, stage, temporary_tables
 from tessera.tables import table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble accepts (score of 0.5 or more)."""
+    """Documents that the rule ensemble accepts (score of 0.5 or more).
+
+    Null and empty texts are scored by the statistics of an empty text, texts of any length
+    are read whole; a score of exactly 0.5 stays; repeated rows are decided alike; rows
+    without doc_id are scored, but never learned from; without labels every row stays; an
+    empty table stays empty; other columns of any name come through.
+    """
     labels = table(spark, sf_dir, "labels").where(~rule_ensemble.in_split(F.col("doc_id"), 3, 1))
     model = rule_ensemble.train(docs, labels)
     name = f"{free_prefix(docs)}stats"
@@ -24,7 +30,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts, white space aside.
+
+    Null counts as empty, so that one of all null, empty and white texts stays; the text with
+    most code points stays, of ties the smallest doc_id, one without id last; of repeated rows
+    one stays; texts of any length are compared whole; an empty table stays empty; other
+    columns of any name come through.
+    """
     return exact_dedup.drop_duplicates(docs)
 
 
@@ -33,7 +45,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are told apart by doc_id and text: of texts that share the smallest id one stays, and
     of its repeated rows one.  A row without doc_id stays only in a component without any id.
-    Rows without a shingle all stay.
+    Rows without a shingle (null, empty and white texts) all stay.  Texts of any length are
+    compared whole; an empty table stays empty; other columns of any name come through.
     """
     found = ngram_join.near_survivors(docs)
     # rows of a key that are to go, or all but one of them
@@ -47,12 +60,22 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's target asks for."""
+    """Each document as often as its source's target asks for: not at all, once or twice.
+
+    A null source is a source; a null or empty text has no words and goes with its hash; rows
+    without doc_id are hashed by their text's checksum; repeated rows are taken alike; texts of
+    any length are counted whole; an empty table stays empty; other columns of any name come
+    through.
+    """
     return mixing.mixed_rows(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document (little-endian unsigned 32-bit), and digests of them and of what they decode to."""
+    """Token ids of every document (little-endian unsigned 32-bit), and digests of them and of what they decode to.
+
+    Null and empty texts have no ids; a null doc_id stays null; repeated rows give a row each;
+    texts of any length are encoded whole; an empty table gives an empty result.
+    """
     return bpe.with_digests(bpe.encode_documents(docs, *bpe.multi_50k()))
 
 
@@ -63,7 +86,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages; what a stage has staged for itself, and its input, are removed once its result is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with temporary_tables(spark):
+            step(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.schema(docs.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
