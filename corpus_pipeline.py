@@ -14,6 +14,9 @@ from tessera.llm.textcols import free_prefix, whole
 from tessera.staging import new_path, remove, stage, temporary_tables
 from tessera.tables import table
 
+#: Keys of rows to drop that are broadcast at most: 200,000 of about 100 bytes.
+MOST_SENT = 200_000
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble accepts (score of 0.5 or more).
@@ -50,13 +53,16 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     found = ngram_join.near_survivors(docs)
     # rows of a key that are to go, or all but one of them
-    keys = stage(found.groupBy(F.col("doc_id").alias("__lost"), F.col("sha").alias("__sha")).agg(F.min("kept").alias("__stays"), F.count(F.lit(1)).alias("__rows")).where("not __stays or __rows > 1"), "lost")
+    keys = found.groupBy(F.col("doc_id").alias("__lost"), F.col("sha").alias("__sha")).agg(F.min("kept").alias("__stays"), F.count(F.lit(1)).alias("__rows"))
+    keys = stage(keys.where("not __stays or __rows > 1").drop("__rows"), "lost")
+    # so few keys go to the texts; with more of them both sides are dealt by key
+    sent = F.broadcast if keys.count() <= MOST_SENT else lambda some: some
     this = f"{free_prefix(docs)}sha"
     rows = docs.withColumn(this, F.unhex(F.sha2(whole(docs["text"]).cast("binary"), 256)))
     same = lambda some: rows["doc_id"].cast("long").eqNullSafe(some["__lost"]) & (rows[this] == some["__sha"])
     repeated = keys.where("__stays")
-    once = rows.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", this])
-    return rows.join(keys, same(keys), "left_anti").unionByName(once).drop(this)
+    once = rows.join(sent(repeated), same(repeated), "left_semi").dropDuplicates(["doc_id", this])
+    return rows.join(sent(keys), same(keys), "left_anti").unionByName(once).drop(this)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
