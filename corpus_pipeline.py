@@ -36,9 +36,10 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, white space aside.
 
     Null counts as empty, so that one of all null, empty and white texts stays; the text with
-    most code points stays, of ties the smallest doc_id, one without id last; of repeated rows
-    one stays; texts of any length are compared whole; an empty table stays empty; other
-    columns of any name come through.
+    most code points stays, of ties the smallest doc_id; of repeated rows with an id one
+    stays; rows without doc_id stay only where no row of their text has one, then all of them;
+    texts of any length are compared whole; an empty table stays empty; other columns of any
+    name come through.
     """
     return exact_dedup.drop_duplicates(docs)
 

@@ -39,3 +39,35 @@ def test_documents(spark):
         want.append((i or 0, len(ids), hashlib.sha256(bpe.id_bytes(ids)).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     assert got == sorted(want)
     assert bpe.digests(docs.limit(0), *bpe.multi_50k()).count() == 0
+
+
+def plain_ids(text, ranks, rx):
+    """Rank merges one pair at a time, pre-token by pre-token."""
+    out = []
+    for m in rx.finditer(text):
+        parts = [bytes([b]) for b in m[0].encode()]
+        while len(parts) > 1:
+            ranked = [(ranks.get(a + b, 1 << 40), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
+            rank, i = min(ranked)
+            if rank == 1 << 40:
+                break
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        out += [ranks[p] for p in parts]
+    return out
+
+
+def test_encoding_against_plain_rank_merges():
+    import base64
+
+    path, pattern = bpe.multi_50k()
+    enc, rx = _enc()
+    ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in bpe.read_ranks(path).splitlines() if x)}
+    back = {v: k for k, v in ranks.items()}
+    rng = random.Random(8)
+    words = ["the", " Straße", " l'été", "  ", "\n\n", " 漢字かな", "12345", " don't", "?!...", "🙂", "\t", " antidisestablishmentarianism", "ZZZ", "a\u0301"]
+    for n in (0, 1, 6, 40, 300):
+        for _ in range(12):
+            text = "".join(rng.choice(words) for _ in range(n))
+            got = bpe.encode(text, enc, rx, size=64, overlap=32)
+            assert got == plain_ids(text, ranks, rx)
+            assert bpe.decode(bpe.id_bytes(got), enc) == b"".join(back[i] for i in got) == text.encode()

@@ -60,7 +60,9 @@ def test_columns_of_any_name_come_through(spark, sf_dir):
         assert all(r[n] == n for r in rows for n in names), name
 
 
-def test_near_decides_by_row(spark, sf_dir):
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_near_decides_by_row(spark, sf_dir, monkeypatch, most):
+    monkeypatch.setattr(pipeline, "MOST_SENT", most)
     base = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdefg"]
     close = [b + " more" for b in base]
     rows = [
@@ -76,3 +78,74 @@ def test_near_decides_by_row(spark, sf_dir):
     sha = lambda t: hashlib.sha256(t.encode()).digest()
     want = [(1, base[0]), (2, base[1]), (3, min(base[2], close[2], key=sha)), (4, base[3]), (None, min(base[4], close[4], key=sha)), (5, base[5]), (5, base[6]), (7, None), (7, ""), (None, " ")]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def odd_rows():
+    """Nulls in every column, empty, white and very long texts, ties and repeated rows."""
+    long = " ".join(f"w{i % 997}" for i in range(60_000))
+    rows = [(1, "a b c d e f.", "en", "s1", 12), (1, "a b c d e f.", "en", "s1", 12), (2, None, None, None, None), (None, None, None, None, None), (None, "x y z", "en", None, 5), (None, "x y z", "en", None, 5)]
+    return rows + [(3, "", "en", "s1", 0), (4, " \n\t", None, "s2", 3), (5, long, "de", "s2", len(long)), (6, long + " end", "de", None, len(long) + 4), (7, "one", "fr", "s1", 3), (7, "two", "fr", "s1", 3)]
+
+
+def odd_docs(spark, sf_dir):
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    return spark.createDataFrame(odd_rows(), columns).select(*spark.read.parquet(f"{sf_dir}/documents.parquet").columns).repartition(3)
+
+
+def test_every_stage_takes_odd_rows(spark, sf_dir):
+    docs = odd_docs(spark, sf_dir)
+    out = {name: step(spark, docs, sf_dir).collect() for name, step in pipeline.STAGES}
+    given = sorted((str(r.doc_id), r.text or "") for r in docs.collect())
+    for name in ("quality", "exact", "near"):
+        kept = sorted((str(r.doc_id), r.text or "") for r in out[name])
+        assert all(kept.count(r) <= given.count(r) for r in kept), name
+    texts = ["".join((r.text or "").split()) for r in out["exact"]]
+    assert sorted(texts) == sorted([*{"".join((t or "").split()) for _, t in given}, "xyz"])  # both rows of a text that no id has
+    assert sum((r.text or "").startswith("w0 w1") for r in out["near"]) == 1 and sum(not (r.text or "").strip() for r in out["near"]) == 4
+    assert len(out["encode"]) == len(given) and sum(r.n_tokens == 0 for r in out["encode"]) == 3
+
+
+def test_quality_and_mix_against_plain_rules(spark, sf_dir):
+    """Scores rule by rule, and the mixture row by row from sorted hashes."""
+    import math
+
+    from tessera.llm import mixing, rule_ensemble
+    from tessera.llm.textstats import stats
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = rule_ensemble.train(docs, labels.where(~rule_ensemble.in_split(labels["doc_id"], 3, 1)))
+
+    def accepted(text):
+        x = stats(text)
+        z = model.bias + sum(w for path, w in model.rules if all(x[f] <= c if side == "le" else x[f] > c for f, side, c in path))
+        z += sum(w * (min(max(x[f], low), high) - centre) / scale for f, low, high, centre, scale, w in model.linear)
+        return 1 / (1 + math.exp(-z)) >= 0.5
+
+    assert sorted(r.doc_id for r in pipeline.quality(spark, docs, sf_dir).collect()) == sorted(r.doc_id for r in docs.collect() if accepted(r.text or ""))
+    hashed = docs.withColumn("h", mixing._bits(docs["doc_id"], mixing.utf8_crc32(docs["text"]))).collect()
+    size = {r.doc_id: len((r.text or "").split()) for r in hashed}
+    sources = sorted({r.source for r in hashed}, key=lambda s: (s is None, s or ""))
+    total = {s: sum(size[r.doc_id] for r in hashed if r.source == s) for s in sources}
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(sources)}
+    want, capped = {}, set()
+    while True:  # shares by weight, the capped ones fixed at twice their size
+        left = 1.5 * sum(total.values()) - sum(2 * total[s] for s in capped)
+        share = {s: left * weight[s] / sum(weight[x] for x in sources if x not in capped) for s in sources if s not in capped}
+        over = {s for s, v in share.items() if v > 2 * total[s]}
+        if not over:
+            break
+        capped |= over
+    for s in sources:
+        target = 2.0 * total[s] if s in capped else share[s]
+        times, need = divmod(target, total[s])
+        run, best = 0, (need, 0)
+        ranked = sorted((r for r in hashed if r.source == s), key=lambda r: r.h)
+        for k, r in enumerate(ranked, 1):
+            run += size[r.doc_id]
+            best = min(best, (abs(need - run), k))
+        want |= {r.doc_id: int(times) + (k < best[1]) for k, r in enumerate(ranked)}
+    got = dict.fromkeys(want, 0)
+    for r in pipeline.mix(spark, docs, sf_dir).collect():
+        got[r.doc_id] += 1
+    assert got == want
