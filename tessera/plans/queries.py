@@ -570,7 +570,9 @@ def q52_abroad(spark, sf):
 # ---------------------------------------------------------------- text, HTML, JSON
 
 _TAGS = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?</script>', ' ', 'g'), '(?is)<style.*?</style>', ' ', 'g'), '(?i)<br\s*/?>|</p>|</div>|</li>|</h\d>', chr(10), 'g'), '(?s)<[^>]+>', ' ', 'g')"
-_DECODED = f"replace(replace(replace(replace(replace({_TAGS}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&nbsp;', ' '), '&amp;', '&')"
+_DECODED = _TAGS  # the references that the pages hold; HTML lets these names go without their semicolon
+for _name, _char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("nbsp", " "), ("amp", "&")):
+    _DECODED = f"regexp_replace({_DECODED}, '&{_name};?', '{_char}', 'g')"
 _LINES = f"list_transform(str_split({_DECODED}, chr(10)), lambda x: regexp_replace(regexp_replace(x, '[ \\t]+', ' ', 'g'), '^\\s+|\\s+$', '', 'g'))"
 
 

@@ -26,12 +26,16 @@ ONE = {
     "cep_formatado": (A.cep_formatado, [("12345678", "12345-678"), ("12.345-678", "12345-678"), ("1234", None), (None, None)]),
     "abreviar": (A.abreviar_logradouro, [("Avenida Central", "Av. Central"), ("Rua A", "R. A"), ("Travessa B", "Tv. B"), ("Praca C", "Pç. C"), ("Rodovia 1", "Rod. 1"), ("Estrada X", "Estr. X"), ("Alameda Y", "Al. Y"), ("Largo Z", "Lgo. Z"), ("Beco W", "Beco W"), (None, None)]),
     "uf_de": (A.uf_de, [("São Paulo", "SP"), ("sao paulo", "SP"), ("SP", "SP"), ("Paraiba", "PB"), ("Lugar Nenhum", ""), (None, "")]),
-    "uf_do_endereco": (A.uf_do_endereco, [("RUA A, 1 - CENTRO - CIDADE, MA", "MA"), ("AV B, 4 – RIO BRANCO - AC.", "AC"), ("Rua sem estado, 10", ""), (None, "")]),
-    "uf_do_ddd": (A.uf_do_ddd, [("(47) 3435-0000", "SC"), ("11987650000", "SP"), ("(00) 1234-5678", ""), (None, "")]),
-    "cep": (X.cep, [("CEP: 10203-040", "10203-040"), ("CEP: 10.203-040", "10203-040"), ("zip 10203040", "10203-040"), ("Rua 12, 1640", ""), (None, "")]),
+    "uf_do_endereco": (A.uf_do_endereco, [("RUA A, 1 - CENTRO - CIDADE, MA", "MA"), ("AV B, 4 – RIO BRANCO - AC.", "AC"), ("Rua sem estado, 10", ""), (None, ""), ("SP", ""), ("a, sp . ", "SP"), ("a - SP - ", ""), ("a, SPX", ""), ("a, S.P", "")]),
+    "uf_do_ddd": (A.uf_do_ddd, [("(47) 3435-0000", "SC"), ("11987650000", "SP"), ("(00) 1234-5678", ""), (None, ""), ("20 47 3435-0000", "SC"), ("47934350000 x", "SC"), ("479 34350000", ""), ("47 93435 0000", "SC"), ("473435-0000", "SC"), ("47", ""), ("(47)", "SC"), ("5 (00) 47 34350000", "SC")]),
+    "cep": (X.cep, [("CEP: 10203-040", "10203-040"), ("CEP: 10.203-040", "10203-040"), ("zip 10203040", "10203-040"), ("Rua 12, 1640", ""), (None, ""),
+            ("10.203040", "10203-040"), ("10203 040", "10203-040"), ("10.203.040", "10203-040"), ("110203-040", ""), ("10203-0400", ""), ("1, 10203--040", ""), ("9 8 10203-040 11223-344", "10203-040")]),
     "telefones": (X.telefones, [("(19) 3579-0000 / 3579-0001", "1935790000"), ("(11) 3232-0000 / (11) 99338-0000", "1132320000|11993380000"), ("(11) 3232-0000 e (11) 3232-0000", "1132320000"), ("nada", "")]),
-    "limpar": (X.limpar_endereco, [("Rua A, 351 - Bairro (75) 3223-0000", "Rua A, 351 - Bairro"), ("RUA B, 278 - CENTRO - CEP: 57.020-000", "RUA B, 278 - CENTRO"), ("Av. C, 1640 - Norte", "Av. C, 1640 - Norte")]),
-    "texto_de": (X.texto_de, [("Rua A, 1<br />Centro", "Rua A, 1\nCentro"), ("<p>a &amp; b&nbsp;c</p><script>x</script>d", "a & b c\nd"), ("caf&eacute; &#233; &#x1F600;", "café é 😀"), ("&amp;lt;", "&lt;")]),
+    "limpar": (X.limpar_endereco, [("Rua A, 351 - Bairro (75) 3223-0000", "Rua A, 351 - Bairro"), ("RUA B, 278 - CENTRO - CEP: 57.020-000", "RUA B, 278 - CENTRO"), ("Av. C, 1640 - Norte", "Av. C, 1640 - Norte"),
+               ("Rua D, 10203-040, Sul, cep10.203040/", "Rua D, , Sul"), ("Rua E 10203040", "Rua E 10203040"), ("Rua F – CEP 10203 040 e CEP: 10.203-040 Leste", "Rua F e Leste"), ("CEP: 110203040", "CEP: 110203040"), (None, ""), ("", "")]),
+    "emails": (X.emails, [('<a href="mailto:a.b">x</a> c@d.com; e@f.com', "c@d.com"), ('x@y.com <a href="mailto: Q@R.com?subject=z">', "q@r.com"), ("sem", ""), ("", ""), (None, "")]),
+    "texto_de": (X.texto_de, [("Rua A, 1<br />Centro", "Rua A, 1\nCentro"), ("<p>a &amp; b&nbsp;c</p><script>x</script>d", "a & b c\nd"), ("caf&eacute; &#233; &#x1F600;", "café é 😀"), ("&amp;lt;", "&lt;"),
+                 ("a <> c < d", "a <> c < d"), ("<STYLE>x</style>y<script>open", "y open"), ("a</H3>b<br class='x'>c<BR/>d", "a\nb c\nd"), (None, "")]),
     "site": (X.site, [('<a href="https://facebook.com/x">f</a><a href="https://loja.example/a">l</a>', "https://loja.example/a"), ("visite www.loja.com.br hoje", "https://www.loja.com.br"), ("nada", "")]),
 }
 
