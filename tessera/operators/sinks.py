@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import os
 import sqlite3
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..staging import stage
+
 PAGE = 100
 SITEMAP = 45_000
 BATCH = 50_000
@@ -35,10 +39,26 @@ def write_parquet(rows: DataFrame, path: str, by: list[str] | None = None, order
 
 
 def numbered(rows: DataFrame, group: list[str], order: list[Column], size: int = PAGE, name: str = "page") -> DataFrame:
-    """1-based page (or shard) of each row in its group's total order, and the group's page count."""
-    w = Window.partitionBy(*group)
-    n = F.row_number().over(w.orderBy(*order))
-    return rows.withColumn(name, (F.floor((n - 1) / size) + 1).cast("long")).withColumn(f"{name}s", F.ceil(F.count(F.lit(1)).over(w) / size).cast("long"))
+    """1-based page (or shard) of each row in its group's total order, and the group's page count.
+
+    Rows are dealt by ranges of group and order, so that a group with most of the rows is spread;
+    a row's number is its place in its range after the rows of the group's ranges before, whose
+    counts are one small row per group and range. Null is a group; rows that tie in ``order``
+    are numbered in any order among themselves.
+    """
+    part, before, total = "_range", "_before", "_total"
+    ranged = stage(rows.repartitionByRange(*group, *order).withColumn(part, F.spark_partition_id()), "numbered")
+    of_group = Window.partitionBy(*group)
+    counts = ranged.groupBy(*group, part).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select(
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.col(part).alias("_at"), F.sum("_n").over(of_group).alias(total),
+        (F.sum("_n").over(of_group.orderBy(part).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias(before),
+    )
+    same = (F.col(part) == F.col("_at")) & reduce(and_, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)])
+    place = F.row_number().over(Window.partitionBy(*group, part).orderBy(*order)) + F.col(before)
+    return ranged.join(counts, same).select(
+        *rows.columns, (F.floor((place - 1) / size) + 1).cast("long").alias(name), F.ceil(F.col(total) / size).cast("long").alias(f"{name}s"),
+    )
 
 
 def page_window(page: Column, pages: Column) -> Column:
