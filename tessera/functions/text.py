@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 
 from pyspark.sql import Column
@@ -38,6 +39,16 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def constant_list(values) -> Column:
+    """Texts as one array literal; a literal for each would cost the driver a call apiece."""
+    return F.from_json(F.lit(json.dumps(list(values))), "array<string>")
+
+
+def constant_map(table: dict) -> Column:
+    """Texts by texts as one map literal."""
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+
+
 def so_digitos(t) -> Column:
     """Digits only; null gives an empty text."""
     return F.regexp_replace(_text(t), "[^0-9]", "")
