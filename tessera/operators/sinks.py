@@ -43,7 +43,7 @@ def numbered(rows: DataFrame, group: list[str], order: list[Column], size: int =
 
     Rows are dealt by ranges of group and order, so that a group with most of the rows is spread;
     a row's number is its place in its range after the rows of the group's ranges before, whose
-    counts are one small row per group and range. Null is a group; rows that tie in ``order``
+    counts are one small row per group and range. Without ``group`` all rows are one. Null is a group; rows that tie in ``order``
     are numbered in any order among themselves.
     """
     part, before, total = "_range", "_before", "_total"
@@ -54,7 +54,7 @@ def numbered(rows: DataFrame, group: list[str], order: list[Column], size: int =
         *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.col(part).alias("_at"), F.sum("_n").over(of_group).alias(total),
         (F.sum("_n").over(of_group.orderBy(part).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias(before),
     )
-    same = (F.col(part) == F.col("_at")) & reduce(and_, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)], F.col(part) == F.col("_at"))
     place = F.row_number().over(Window.partitionBy(*group, part).orderBy(*order)) + F.col(before)
     return ranged.join(counts, same).select(
         *rows.columns, (F.floor((place - 1) / size) + 1).cast("long").alias(name), F.ceil(F.col(total) / size).cast("long").alias(f"{name}s"),
@@ -67,6 +67,33 @@ def page_window(page: Column, pages: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(1).cast("long")), near, F.array(pages))))
 
 
+def city_pages(rows: DataFrame, brands: DataFrame, brand_vertical: str, size: int = PAGE) -> DataFrame:
+    """One row for each page of each city of each vertical, with its path and how many of the city's rows it shows.
+
+    ``rows`` are published rows (a row of a city without rows does not exist); ``principais`` counts those
+    that are there by their main activity.  ``brands`` (uf, municipio_slug, marcas) is shown by one
+    vertical only: everywhere else, and in cities without any, ``marcas`` is empty and not null.
+    """
+    per = rows.groupBy("vertical", "uf", "municipio", "municipio_slug").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(F.col("origem_cnae") == "principal").alias("principais")
+    )
+    per = per.join(brands.withColumn("vertical", F.lit(brand_vertical)), ["vertical", "uf", "municipio_slug"], "left")
+    per = per.withColumn("marcas", F.coalesce("marcas", F.array().cast(brands.schema["marcas"].dataType)))
+    per = per.withColumn("paginas", F.ceil(F.col("total") / size).cast("long"))
+    pages = per.withColumn("pagina", F.explode(F.sequence(F.lit(1).cast("long"), "paginas")))
+    number = F.when(F.col("pagina") > 1, F.concat(F.col("pagina").cast("string"), F.lit("/"))).otherwise("")
+    path = F.concat(F.lit("/"), "vertical", F.lit("/"), F.lower("uf"), F.lit("/"), "municipio_slug", F.lit("/"), number)
+    return pages.withColumn("caminho", path).withColumn("na_pagina", F.least(F.lit(size).cast("long"), F.col("total") - size * (F.col("pagina") - 1)))
+
+
+def sitemap(paths: DataFrame, site: str, day: str, size: int = SITEMAP) -> DataFrame:
+    """``paths`` (caminho) in order of their path, dealt to numbered sitemap files, with their entries."""
+    found = numbered(paths.select("caminho"), [], [F.col("caminho")], size, "arquivo")
+    address = escape_html(F.concat(F.lit(site), "caminho"))
+    end = F.lit(f"</loc><lastmod>{day}</lastmod><changefreq>monthly</changefreq></url>")
+    return found.withColumn("entrada", F.concat(F.lit("<url><loc>"), address, end))
+
+
 def json_ld(kind: str, **fields: Column) -> Column:
     """A JSON-LD object; null fields are left out."""
     return F.to_json(F.struct(F.lit("https://schema.org").alias("@context"), F.lit(kind).alias("@type"), *[c.alias(k) for k, c in fields.items()]))

@@ -782,3 +782,34 @@ def q58_posts_round_trip(spark, sf):
     _posts(spark, sf).select(*src.POSTO).write.options(header=True, quote='"', escape='"').csv(path)
     rows = src.read_posts(spark, path, _rows(spark, _MARCA, "marca string, marca_nome string, fonte string"))
     return rows.select("fonte", "coletado_em", "posto_id", T.blank_to_null(F.col("nome")).alias("nome"), T.blank_to_null(F.col("endereco")).alias("endereco"))
+
+
+@query(
+    f"WITH l AS (SELECT vertical, uf, municipio, municipio_slug, count(*) AS total, count(*) FILTER (WHERE origem_cnae = 'principal') AS principais FROM (WITH {_EXPORT} SELECT * FROM exportacao) "
+    "WHERE uf <> 'EX' AND municipio_slug IS NOT NULL GROUP BY ALL), "
+    f"m AS (SELECT 'assistencia-tecnica' AS vertical, uf, municipio_slug, string_agg(marca || ':' || total, ',' ORDER BY marca) AS marcas FROM (WITH {_READY}, {_BCITY} SELECT * FROM bc) GROUP BY ALL), "
+    "p AS (SELECT *, CAST(ceil(total / 100) AS BIGINT) AS paginas, unnest(range(1, CAST(ceil(total / 100) AS BIGINT) + 1)) AS pagina FROM l) "
+    "SELECT vertical, uf, municipio, municipio_slug, total, principais, paginas, pagina, coalesce(marcas, '') AS marcas, least(100, total - 100 * (pagina - 1)) AS na_pagina, "
+    "'/' || vertical || '/' || lower(uf) || '/' || municipio_slug || '/' || CASE WHEN pagina > 1 THEN CAST(pagina AS STRING) || '/' ELSE '' END AS caminho FROM p LEFT JOIN m USING (vertical, uf, municipio_slug)"
+)
+def q59_city_pages(spark, sf):
+    """Pages of every city of every vertical; only one vertical shows brands."""
+    from ..operators import sinks
+
+    rows = _export(spark, sf, flagged=False).where("uf <> 'EX' and municipio_slug is not null")
+    pages = sinks.city_pages(rows, brands.brands_by_city(brands.by_city(_brand_rows(spark, sf))), "assistencia-tecnica")
+    shown = F.array_join(F.transform("marcas", lambda m: F.concat_ws(":", m["marca"], m["total"].cast("string"))), ",")
+    return pages.withColumn("marcas", shown)
+
+
+@query(
+    "WITH c AS (SELECT '/pedido/' || CAST(l_orderkey AS STRING) || '/' || CAST(l_linenumber AS STRING) || '/' AS caminho FROM lineitem) "
+    "SELECT caminho, CAST(floor((row_number() OVER (ORDER BY caminho) - 1) / 45000) + 1 AS BIGINT) AS arquivo, CAST(ceil(count(*) OVER () / 45000) AS BIGINT) AS arquivos, "
+    "'<url><loc>https://exemplo.test' || caminho || '</loc><lastmod>2026-08-01</lastmod><changefreq>monthly</changefreq></url>' AS entrada FROM c"
+)
+def q60_sitemap(spark, sf):
+    """A page for every order line, in sitemap files of 45,000."""
+    from ..operators import sinks
+
+    lines = table(spark, sf, "lineitem").selectExpr("'/pedido/' || cast(l_orderkey as string) || '/' || cast(l_linenumber as string) || '/' AS caminho")
+    return sinks.sitemap(lines, "https://exemplo.test", "2026-08-01")

@@ -90,3 +90,29 @@ def test_pages_of_a_hot_group_are_spread(spark):
     assert found.columns == ["host", "i", "page_id", "page", "pages"] and len(got) == len(keys)
     assert got == {(h, i): (1 if i is None else (size[h] - 1 - i) // 10 + 1, -(-size[h] // 10)) for h, i in keys}
     assert numbered(rows.limit(0), ["host"], [F.col("i")], 10).count() == 0
+
+
+def test_city_pages(spark):
+    from tessera.operators.sinks import city_pages
+
+    keys = [("v", "SP", "x", 250), ("v", "RJ", "y", 100), ("w", "SP", "x", 1)]
+    rows = [(v, uf, c.upper(), c, "principal" if i % 3 == 0 else "secundario" if i % 3 == 1 else None) for v, uf, c, n in keys for i in range(n)]
+    rows = spark.createDataFrame(rows, "vertical string, uf string, municipio string, municipio_slug string, origem_cnae string")
+    marcas = spark.createDataFrame([("SP", "x", [("m", 2)]), ("BA", "z", [("m", 1)])], "uf string, municipio_slug string, marcas array<struct<marca string, total long>>")
+    got = sorted((r.caminho, r.total, r.principais, r.paginas, r.pagina, r.na_pagina, len(r.marcas)) for r in city_pages(rows, marcas, "v").collect())
+    assert got == [
+        ("/v/rj/y/", 100, 34, 1, 1, 100, 0), ("/v/sp/x/", 250, 84, 3, 1, 100, 1), ("/v/sp/x/2/", 250, 84, 3, 2, 100, 1), ("/v/sp/x/3/", 250, 84, 3, 3, 50, 1),
+        ("/w/sp/x/", 1, 1, 1, 1, 1, 0),
+    ]
+    assert city_pages(rows.limit(0), marcas, "v").count() == 0
+
+
+def test_sitemap_files(spark):
+    from tessera.operators.sinks import sitemap
+
+    paths = [f"/a&b/{i}/" for i in range(250)]
+    rows = spark.createDataFrame([(p,) for p in paths], "caminho string").repartition(5)
+    got = {r.caminho: (r.arquivo, r.arquivos, r.entrada) for r in sitemap(rows, "https://s.test", "2026-08-01", 100).collect()}
+    assert {p: (i // 100 + 1, 3) for i, p in enumerate(sorted(paths))} == {p: g[:2] for p, g in got.items()}
+    assert got["/a&b/7/"][2] == "<url><loc>https://s.test/a&amp;b/7/</loc><lastmod>2026-08-01</lastmod><changefreq>monthly</changefreq></url>"
+    assert sitemap(rows.limit(0), "https://s.test", "2026-08-01").count() == 0
