@@ -122,14 +122,14 @@ def op12_line_dedup(spark, sf_dir: str) -> DataFrame:
 OP12_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
-l AS (SELECT rid, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS at FROM d),
+l AS (SELECT rid, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS no FROM d),
 k AS (
-  SELECT rid, doc_id, line, at,
+  SELECT rid, doc_id, line, no,
          translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM l),
 f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), 'row ' || rid)) >= 10),
 m AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f ON f.key = k.key)
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY rid
 """

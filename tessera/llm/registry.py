@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, fingerprint, html_extract, langmix, line_dedup, mixing, ngram_join, ring_shards, rule_ensemble, secret_scan, token_align
+from . import bpe, conversation_repair, exact_dedup, fingerprint, html_extract, langmix, line_dedup, mixing, ngram_join, ring_shards, rule_ensemble, secret_scan, token_align
 
 
 def queries() -> dict:
@@ -17,10 +17,16 @@ def queries() -> dict:
         "op8_cdc_fingerprints": fingerprint.op8_cdc_fingerprints,
         "op9_mix_sources": mixing.op9_mix_sources,
         "op10_ngram_join": ngram_join.op10_ngram_join,
+        "op11_conversation_repair": conversation_repair.op11_conversation_repair,
         "op12_line_dedup": line_dedup.op12_line_dedup,
         "op13_token_alignment": token_align.op13_token_alignment,
     }
 
 
 def oracle_sql() -> dict:
-    return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op3_secret_scan": secret_scan.OP3_SQL, "op12_line_dedup": line_dedup.OP12_SQL}
+    return {
+        "op2_exact_dedup": exact_dedup.OP2_SQL,
+        "op3_secret_scan": secret_scan.OP3_SQL,
+        "op11_conversation_repair": conversation_repair.OP11_SQL,
+        "op12_line_dedup": line_dedup.OP12_SQL,
+    }
