@@ -32,8 +32,8 @@ from .arrowio import bounded_batches, pieces
 from .textcols import whole
 
 BROADCAST_PAIRS = 1_000_000
-#: Units a worker remembers, units of one step of a text, and characters above which a unit is not remembered.
-REMEMBERED, STEP, LONG_UNIT = 300_000, 200_000, 64
+#: Units a worker remembers, characters of one step of a long text, and characters above which a unit is not remembered.
+REMEMBERED, STEP, LONG_UNIT = 400_000, 1 << 20, 48
 _ODD = re.compile(r"(?:\A|\s) | \Z")
 _CUT = re.compile(r"(?<=\S) ")
 _CACHE: dict = {}
@@ -49,6 +49,18 @@ def units_of(text: str) -> list[str]:
     return units
 
 
+def steps(text: str, size: int):
+    """A long text in parts of about ``size`` characters, cut where units begin (the space between two parts is left out)."""
+    at = 0
+    while len(text) - at > 2 * size:
+        cut = _CUT.search(text, at + size, len(text) - 1)
+        if not cut:
+            break
+        yield text[at : cut.start()]
+        at = cut.end()
+    yield text[at:]
+
+
 def _byte_letters() -> dict[str, int]:
     """The letters that stand for bytes in a byte-level vocabulary: printable Latin-1 for itself, the rest from U+0100 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -93,37 +105,48 @@ class Tokenizers:
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.facts = [np.zeros((0, 5), np.int64)]  # n_a, n_b, n_groups, n_links, bad
         self.groups: list[bytes] = []
-        self.pairs = [np.zeros(0, np.int64)]
-        self.start = [np.zeros(1, np.int64)]
+        self.facts = _Rows(5)  # n_a, n_b, n_groups, n_links, bad
+        self.start = _Rows(1)
+        self.pairs = _Rows(1)
+        self.start.add(np.zeros((1, 1), np.int64))
 
-    def tables(self):
-        """(facts, pairs, start) of all units met so far, as one array each."""
-        self.facts, self.pairs, self.start = ([np.concatenate(x)] if len(x) > 1 else x for x in (self.facts, self.pairs, self.start))
-        return self.facts[0], self.pairs[0], self.start[0]
+    def _encode(self, units: list[str]):
+        """(flat A ids, flat B ids, their numbers by unit, good) of units; those with other bytes than theirs have no ids."""
+        wanted = [f" {u}".encode() for u in units]
+        # units meet again where they would in a text: behind white space no unit begins
+        if len(units) > 1 and not any(u[-1:].isspace() for u in units):
+            text = " ".join(units)
+            flat = [self.a.encode(f" {text}", add_special_tokens=False).ids, self.b.encode(text)]
+            want = b"".join(wanted)
+            if all(b"".join([table[i] for i in ids]) == want for table, ids in zip((self.bytes_a, self.bytes_b), flat)):
+                last = np.cumsum([len(w) for w in wanted])
+                flat = [np.array(ids, np.int64) for ids in flat]
+                ends = [np.searchsorted(np.cumsum(size[ids]), last) + 1 for size, ids in zip((self.size_a, self.size_b), flat)]
+                return (*flat, *(np.diff(e, prepend=0) for e in ends), np.ones(len(units), bool))
+        if len(units) > 64:  # find the odd ones
+            parts = [self._encode(units[i : i + len(units) // 8 + 1]) for i in range(0, len(units), len(units) // 8 + 1)]
+            return tuple(np.concatenate(x) for x in zip(*parts))
+        ids_a = [self.a.encode(f" {u}", add_special_tokens=False).ids for u in units]
+        ids_b = self.b.encode(units, num_threads=1)
+        good = [b"".join([self.bytes_a[i] for i in x]) == w == b"".join([self.bytes_b[i] for i in y]) for x, y, w in zip(ids_a, ids_b, wanted)]
+        flat = [np.array([i for x, ok in zip(ids, good) if ok for i in x], np.int64) for ids in (ids_a, ids_b)]
+        counts = [np.array([len(x) if ok else 0 for x, ok in zip(ids, good)], np.int64) for ids in (ids_a, ids_b)]
+        return (*flat, *counts, np.array(good, bool))
 
     def learn(self, units: list[str]) -> None:
         """Encode and align units not met before; they get the next numbers in order."""
-        ids_a = [e.ids for e in self.a.encode_batch_fast([f" {u}" for u in units], add_special_tokens=False)]
-        ids_b = self.b.encode(units, num_threads=1)
-        wanted = [f" {u}".encode() for u in units]
-        same = [
-            b"".join([self.bytes_a[i] for i in x]) == w == b"".join([self.bytes_b[i] for i in y])
-            for x, y, w in zip(ids_a, ids_b, wanted)
-        ]
-        good = np.array(same, bool)
-        n_a, n_b = (np.array([len(x) if ok else 0 for x, ok in zip(ids, same)], np.int64) for ids in (ids_a, ids_b))
-        flat_a, flat_b = (np.array([i for x, ok in zip(ids, same) if ok for i in x], np.int64) for ids in (ids_a, ids_b))
+        flat_a, flat_b, n_a, n_b, good = self._encode(units)
         of_a = np.repeat(np.arange(len(units)), n_a)
         link_a, link_b = links(np.cumsum(self.size_a[flat_a]), np.cumsum(self.size_b[flat_b]))
         comp_a, comp_b = components(len(flat_a), len(flat_b), link_a, link_b)
         n_groups = np.bincount(of_a[comp_a == np.arange(len(comp_a))], minlength=len(units))
         n_links = np.bincount(of_a[link_a], minlength=len(units))
-        self.facts.append(np.stack([n_a, n_b, n_groups, n_links, ~good], axis=1).astype(np.int64))
+        self.number.update(zip(units, range(len(self.groups), len(self.groups) + len(units))))
+        self.facts.add(np.stack([n_a, n_b, n_groups, n_links, ~good], axis=1).astype(np.int64))
         self.groups += self._shown_groups(flat_a, flat_b, comp_a, comp_b, of_a, n_a + n_b)
-        self.pairs.append(flat_a[link_a] << 32 | flat_b[link_b])
-        self.start.append(self.start[-1][-1] + np.cumsum(n_links))
+        self.start.add((self.start.all()[-1] + np.cumsum(n_links))[:, None])
+        self.pairs.add((flat_a[link_a] << 32 | flat_b[link_b])[:, None])
 
     def _shown_groups(self, flat_a, flat_b, comp_a, comp_b, of_a, n_tokens) -> list[bytes]:
         comp, side = np.concatenate([comp_a, comp_b]), np.repeat([0, 1], [len(flat_a), len(flat_b)])
@@ -141,42 +164,68 @@ class Tokenizers:
         at = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], last])].tolist()
         return [data[x:y] for x, y in zip(at, at[1:])]
 
-    def numbers(self, units: list[str]) -> list[int]:
-        """The numbers of units, new ones learned."""
-        got = list(map(self.number.get, units))
-        if None not in got:
-            return got
-        new = list(dict.fromkeys(u for u, n in zip(units, got) if n is None))
-        fresh = dict(zip(new, range(len(self.groups), len(self.groups) + len(new))))
+    def texts(self, texts: list[str | None]) -> list[tuple]:
+        """Of each text (n_a, n_b, n_groups, n_links, sha256 of the groups, distinct pairs, how often each).
+
+        ``texts`` are some MB together; a longer one goes step by step.
+        """
+        cut = [[] if not t else list(steps(t, STEP)) for t in texts]
+        short = iter(self._parts([p[0] for p in cut if len(p) == 1]))
+        return [_whole([next(short)] if len(p) == 1 else (self._parts([x])[0] for x in p)) for p in cut]
+
+    def _parts(self, texts: list[str]) -> list[tuple]:
+        """Of each part of a text: facts, its groups shown, its distinct pairs, how often each."""
+        units = [units_of(t) for t in texts]
+        if len(self.groups) > REMEMBERED:
+            self.forget()
+        new = list(set().union(*units).difference(self.number))
         for i in range(0, len(new), 20_000):
             self.learn(new[i : i + 20_000])
-        self.number.update((u, n) for u, n in fresh.items() if len(u) <= LONG_UNIT)
-        return [fresh[u] if n is None else n for u, n in zip(units, got)]
-
-    def text(self, text: str | None):
-        """(n_a, n_b, n_groups, n_links, sha256 of the groups, distinct pairs, how often each) of one text."""
-        none = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
-        if not text:
-            return none
-        units, total, sha, met, often = units_of(text), np.zeros(5, np.int64), hashlib.sha256(), [], []
-        for i in range(0, len(units), STEP):
-            if len(self.groups) > REMEMBERED:
-                self.forget()
-            n = self.numbers(units[i : i + STEP])
-            facts, pairs, start = self.tables()
-            total += facts[n].sum(axis=0)
-            sha.update((b";" if i else b"") + b";".join([self.groups[k] for k in n]))
-            size = start[1:][n] - start[n]
-            where = np.repeat(start[n] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+        facts, start, pairs = self.facts.all(), self.start.all()[:, 0], self.pairs.all()[:, 0]
+        out = []
+        for mine in units:
+            n = np.fromiter(map(self.number.__getitem__, mine), np.int64, len(mine))
+            size = start[n + 1] - start[n]
+            where = np.repeat(start[n] - np.cumsum(size) + size, size) + np.arange(size.sum())
             distinct, times = np.unique(pairs[where], return_counts=True)
-            met.append(distinct)
-            often.append(times)
-        if total[4]:
-            return none
-        if len(met) > 1:
-            distinct, inverse = np.unique(np.concatenate(met), return_inverse=True)
-            times = np.bincount(inverse, weights=np.concatenate(often)).astype(np.int64)
-        return (*total[:4].tolist(), sha.hexdigest(), distinct, times)
+            out.append((facts[n].sum(axis=0), b";".join([self.groups[k] for k in n.tolist()]), distinct, times))
+        for u in new:
+            if len(u) > LONG_UNIT:
+                del self.number[u]
+        return out
+
+
+_NONE = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _whole(parts) -> tuple:
+    """One text from its parts in order."""
+    total, sha, distinct, times = np.zeros(5, np.int64), hashlib.sha256(), None, None
+    for facts, groups, pairs, often in parts:
+        total += facts
+        sha.update(groups if distinct is None else b";" + groups)
+        if distinct is None:
+            distinct, times = pairs, often
+        else:
+            distinct, inverse = np.unique(np.concatenate([distinct, pairs]), return_inverse=True)
+            times = np.bincount(inverse, weights=np.concatenate([times, often])).astype(np.int64)
+    return _NONE if distinct is None or total[4] else (*total[:4].tolist(), sha.hexdigest(), distinct, times)
+
+
+class _Rows:
+    """A table of integers that grows at its end."""
+
+    def __init__(self, width: int):
+        self.data, self.n = np.zeros((1024, width), np.int64), 0
+
+    def add(self, rows: np.ndarray) -> None:
+        if self.n + len(rows) > len(self.data):
+            self.data = np.concatenate([self.data[: self.n], np.zeros((max(self.n, len(rows)), self.data.shape[1]), np.int64)])
+        self.data[self.n : self.n + len(rows)] = rows
+        self.n += len(rows)
+
+    def all(self) -> np.ndarray:
+        return self.data[: self.n]
 
 
 def links(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -234,7 +283,7 @@ def aligned(docs: DataFrame, byte_level_path: str, piece_path: str) -> DataFrame
         both = _tokenizers(*files.value)
         for batch in batches:
             for part in pieces(batch, 1):
-                done = [both.text(t) for t in part.column(1).to_pylist()]
+                done = both.texts(part.column(1).to_pylist())
                 at = pa.array(np.concatenate([[0], np.cumsum([len(d[5]) for d in done])]).astype(np.int32))
                 pair, times = (np.concatenate([np.zeros(0, np.int64), *(d[i] for d in done)]) for i in (5, 6))
                 lists = [pa.ListArray.from_arrays(at, pa.array(v.astype(np.int32))) for v in (pair >> 32, pair & 0xFFFFFFFF, times)]
@@ -264,7 +313,7 @@ def align(docs: DataFrame, byte_level_path: str, piece_path: str, broadcast_pair
     * A null or empty text, and one whose token bytes differ from the text with a space
       before it, has no tokens: zeros and an empty groups_sha256.
     * Every row is a document: repeated rows, also of one doc_id, are each counted.
-    * A text of any length is done whole, in steps of STEP units; memory grows with its
+    * A text of any length is done whole, in steps of STEP characters; memory grows with its
       distinct pairs and its longest unit only.  An empty table gives an empty result; other
       columns are ignored; ties for the highest count are all best.
     """

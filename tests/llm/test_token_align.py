@@ -64,7 +64,7 @@ def random_texts(n, seed=5):
 def test_units_encode_as_whole_texts(both):
     for t in TEXTS + random_texts(300) + random_texts(60, 6):
         want = plain(both, t)
-        got = both.text(t)
+        got = both.texts([t])[0]
         if want is None:
             assert got[:5] == (0, 0, 0, 0, "") and len(got[5]) == 0, t
             continue
@@ -78,13 +78,15 @@ def test_units_encode_as_whole_texts(both):
 
 
 def test_long_text_goes_in_steps(both, monkeypatch):
-    text = " ".join(random_texts(200, 9))
-    once = both.text(text)
+    texts = [" ".join(random_texts(200, 9)), "x" * 500 + " ", None, "a b c d e f g h ", " " * 90]
+    once = both.texts(texts)
     monkeypatch.setattr(ta, "STEP", 7)
     monkeypatch.setattr(ta, "REMEMBERED", 5)
+    monkeypatch.setattr(ta, "LONG_UNIT", 3)
     both.forget()
-    again = both.text(text)
-    assert once[:5] == again[:5] and np.array_equal(once[5], again[5]) and np.array_equal(once[6], again[6])
+    for x, y in zip(once, both.texts(texts)):
+        assert x[:5] == y[:5] and np.array_equal(x[5], y[5]) and np.array_equal(x[6], y[6])
+    assert max(map(len, both.number)) <= 3
 
 
 def test_components_are_minimal_groups():
