@@ -10,7 +10,9 @@ pattern's space rule never crosses a stitch.  The pieces between stitches are en
 
 Texts of up to ``long_chars`` are done where they are read.  The chunks of longer ones become
 rows of their own, dealt over the cluster; only their ids meet again.  Chunks without a
-stitch in their overlap (say one run of letters longer than it) are joined and encoded whole.
+stitch in their overlap (say one run of letters longer than it) are joined.  What is joined to
+more than ``SPLIT`` characters is encoded pre-token by pre-token: the encoder's own splitter
+needs stack for every character of a run of white space.
 
 Decoding concatenates the raw bytes of the ids.
 """
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from .arrowio import bounded_batches, pieces
 from .textcols import whole
 
-CHUNK, OVERLAP, LONG = 32_768, 512, 65_536
+CHUNK, OVERLAP, LONG, SPLIT = 32_768, 512, 65_536, 65_536
 _CACHE: dict = {}
 
 
@@ -39,17 +41,26 @@ def read_ranks(path: str) -> bytes:
 
 
 def encoder(rank_file: bytes, pattern: str):
-    """(encoding, compiled pattern), built once per process."""
+    """(encoding, compiled pattern), built once per process; the encoding's ``pieces`` has no splitter."""
     import regex
     import tiktoken
 
     key = hashlib.sha256(rank_file + pattern.encode()).digest()
     if key not in _CACHE:
         ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in rank_file.splitlines() if x)}
-        _CACHE[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), regex.compile(pattern)
+        made = [tiktoken.Encoding("ranks", pat_str=p, mergeable_ranks=ranks, special_tokens={}) for p in (pattern, r"[\s\S]+")]
+        made[0].pieces = made[1]
+        _CACHE[key] = made[0], regex.compile(pattern)
     return _CACHE[key]
 
 
+def encode_piece(text: str, enc, rx) -> list[int]:
+    """Ids of a text that is one piece between stitches, however long."""
+    if len(text) <= SPLIT:
+        return enc.encode_ordinary(text)
+    return [i for m in rx.finditer(text) for i in enc.pieces.encode_ordinary(m[0])]
+
+
 def boundaries(chunk: str, rx) -> set[int]:
     """Starts of the pre-tokens of a chunk scanned on its own."""
     return {m.start() for m in rx.finditer(chunk)}
@@ -78,23 +89,23 @@ def piece_of(no: int, chunk: str, last: bool, rx, size: int, overlap: int) -> tu
     return head >= 0, tail >= 0, chunk[max(head, 0) : tail if tail >= 0 else size]
 
 
-def join_pieces(parts, enc) -> list[int]:
+def join_pieces(parts, enc, rx) -> list[int]:
     """Ids of a text from its (stitched before, stitched behind, piece) in order; unstitched ones are joined first."""
     out: list[int] = []
-    held = ""
+    held: list[str] = []
     for _, behind, piece in parts:
-        held += piece
+        held.append(piece)
         if behind:
-            out += enc.encode_ordinary(held)
-            held = ""
-    return out + enc.encode_ordinary(held) if held else out
+            out += encode_piece("".join(held), enc, rx)
+            held = []
+    return out + encode_piece("".join(held), enc, rx) if held else out
 
 
 def encode(text: str, enc, rx, size: int = CHUNK, overlap: int = OVERLAP) -> list[int]:
     """Token ids of one whole text, as ``enc.encode_ordinary(text)`` gives them."""
     if len(text) <= size:
         return enc.encode_ordinary(text)
-    return join_pieces((piece_of(i, c, last, rx, size, overlap) for i, c, last in chunks_of(text, size, overlap)), enc)
+    return join_pieces((piece_of(i, c, last, rx, size, overlap) for i, c, last in chunks_of(text, size, overlap)), enc, rx)
 
 
 def id_bytes(ids) -> bytes:
@@ -112,6 +123,8 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, size: int =
     Returns doc_id, ids (binary, little-endian unsigned 32-bit) and decoded (binary, decoded
     from ids alone, in the same worker).  Null text counts as empty and has no ids; repeated
     rows give a row each; an empty table gives an empty result; other columns are ignored.
+    Texts of any length are done whole, also where nothing splits them (a run of one letter,
+    or of white space): such a run is one pre-token and is merged in one task.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(rank_path))  # a vocabulary: its size is fixed
     rows = docs.select(docs["doc_id"], whole(docs["text"]).alias("text"))
@@ -148,14 +161,15 @@ def encode_documents(docs: DataFrame, rank_path: str, pattern: str, size: int =
                 )
 
     def together(table: pa.Table) -> pa.Table:  # one document
-        enc, _ = encoder(ranks.value, pattern)
-        out, held = b"", ""
+        enc, rx = encoder(ranks.value, pattern)
+        out, held = [], []
         for before, behind, ids, piece in zip(*(table.sort_by("no").column(c).to_pylist() for c in ("before", "behind", "ids", "piece"))):
-            held += piece
+            held.append(piece)
             if behind:
-                out += ids or id_bytes(enc.encode_ordinary(held))
-                held = ""
-        return pa.table({"doc_id": table.column("doc_id")[:1], "ids": pa.array([out], pa.binary()), "decoded": pa.array([decode(out, enc)], pa.binary())})
+                out.append(ids or id_bytes(encode_piece("".join(held), enc, rx)))
+                held = []
+        raw = b"".join(out)
+        return pa.table({"doc_id": table.column("doc_id")[:1], "ids": pa.array([raw], pa.binary()), "decoded": pa.array([decode(raw, enc)], pa.binary())})
 
     long_rows = rows.where(F.length("text") > long_chars).withColumn("uid", F.monotonically_increasing_id())
     dealt = bounded_batches(long_rows).mapInArrow(cut, f"doc_id {kind}, uid long, no int, last boolean, chunk string").repartition("uid", "no")

@@ -39,7 +39,7 @@ _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
 
 class Page:
-    """Parallel lists, one entry a node; parents come before their children."""
+    """Parallel lists, one entry a node, in document order: a node's subtree follows it."""
 
     __slots__ = ("tag", "parent", "depth", "tokens", "hidden", "text", "link_chars")
 
@@ -75,6 +75,7 @@ def attributes(raw: str) -> tuple[tuple[str, ...], bool]:
 
 def parse(source: str) -> Page:
     page, stack = Page(), [("#root", 0)]
+    places: dict[str, list[int]] = {}  # of each tag's open elements in the stack: no search ever walks it
     run: list[str] = []  # text of the block that is being read
     linked = 0
     in_link = False
@@ -97,8 +98,13 @@ def parse(source: str) -> Page:
 
     def close_to(depth: int):
         flush()
+        for tag, _ in stack[depth:]:
+            places[tag].pop()
         del stack[depth:]
 
+    def top(tags) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     at = 0
     last = source.rfind(">") + 1  # no tag ends behind; without this bound every unclosed one would be read to the end
     unclosed: set[str] = set()  # tags without an end tag in the rest of the page
@@ -128,10 +134,8 @@ def parse(source: str) -> Page:
                 run.append(" ")
             continue
         if m["end"] or m["end2"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close_to(i)
-                    break
+            if places.get(tag):
+                close_to(places[tag][-1])
             else:
                 flush()
             in_link = False
@@ -142,18 +146,15 @@ def parse(source: str) -> Page:
             close_to(len(stack) - 1)
         if tag in _CLOSES:
             these, scope = _CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in scope:
-                    break
-                if stack[i][0] in these:
-                    close_to(i)
-                    break
+            if (at_most := top(these)) > top(scope):
+                close_to(at_most)
         if tag in VOID:
             continue
         raw = m["attr"] or m["attr2"] or ""
         tokens, hidden = attributes(raw) if raw else ((), False)
         node = page.add(tag, stack[-1][1], tokens, hidden)
         if not raw.endswith("/"):
+            places.setdefault(tag, []).append(len(stack))
             stack.append((tag, node))
     if at < len(source):
         say(source[at:].partition("<!--")[0])

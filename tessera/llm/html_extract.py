@@ -84,8 +84,8 @@ class Model:
     trees: boosting.Boosted
 
 
-def features(pages: list[Page], words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features, parent, depth) of all nodes of the pages, one after the other; roots have parent -1."""
+def features(pages: list[Page], words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(features, parent) of all nodes of the pages, one after the other; roots have parent -1."""
     first = np.cumsum([0, *(len(p.tag) for p in pages)])
     n = int(first[-1])
     page_of = np.repeat(np.arange(len(pages)), np.diff(first))
@@ -109,17 +109,16 @@ def features(pages: list[Page], words: Words) -> tuple[np.ndarray, np.ndarray, n
     leaf = (group == _GROUP["#text"]).astype(float)
     para, h1 = (group == _GROUP["p"]).astype(float), (group == _GROUP["h1"]).astype(float)
     own = np.stack([chars, links, stops, count, leaf, np.ones(n), off, para, h1], axis=1)
-    sub, longest = own.copy(), chars.copy()
-    order = [np.flatnonzero(depth == d) for d in range(int(depth.max(initial=0)) + 1)]
-    for at in reversed(order[1:]):
-        np.add.at(sub, parent[at], sub[at])
-        np.maximum.at(longest, parent[at], longest[at])
-    above = np.zeros((n, 6))  # of the ancestors: against, off tags, keep tags, for, hidden, with words
+    # a subtree is the stretch of nodes behind its root: sums over subtrees and ancestors are differences of running sums
+    size, longest = _subtrees(parent, chars)
+    end = np.arange(n) + size
+    run = np.concatenate([np.zeros((1, own.shape[1])), np.cumsum(own, axis=0)])
+    sub = run[end] - run[:n]
     mark = np.stack([minus < -0.5, off > 0, keep > 0, plus > 0.5, hidden > 0, named > 0], axis=1).astype(float)
-    worst, best = np.minimum(minus, 0), np.maximum(plus, 0)
-    for at in order[1:]:
-        above[at] = above[parent[at]] + mark[parent[at]]
-        worst[at], best[at] = np.minimum(minus[at], worst[parent[at]]), np.maximum(plus[at], best[parent[at]])
+    left = np.zeros((n + 1, mark.shape[1]))
+    np.add.at(left, end, mark)
+    above = np.cumsum(mark, axis=0) - mark - np.cumsum(left, axis=0)[:n]  # of the ancestors: against, off tags, keep tags, for, hidden, with words
+    worst, best = _from_above(parent, np.minimum(minus, 0), min), _from_above(parent, np.maximum(plus, 0), max)
     up = np.maximum(parent, 0)
     kids = np.bincount(up[parent >= 0], minlength=n).astype(float)
     nth = np.zeros(n)
@@ -154,25 +153,46 @@ def features(pages: list[Page], words: Words) -> tuple[np.ndarray, np.ndarray, n
         ],
         axis=1,
     )
-    return x, parent, depth
+    return x, parent
 
 
-def decode(logit: np.ndarray, parent: np.ndarray, depth: np.ndarray) -> np.ndarray:
+def _subtrees(parent: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of nodes, and greatest value, of each node's subtree; children follow their parents."""
+    size, most = [1] * len(parent), values.tolist()
+    up = parent.tolist()
+    for i in range(len(up) - 1, -1, -1):
+        if (p := up[i]) >= 0:
+            size[p] += size[i]
+            if most[i] > most[p]:
+                most[p] = most[i]
+    return np.array(size, np.int64), np.array(most)
+
+
+def _from_above(parent: np.ndarray, values: np.ndarray, of) -> np.ndarray:
+    """``of`` a node's value and those of all its ancestors."""
+    out = values.tolist()
+    for i, p in enumerate(parent.tolist()):
+        if p >= 0:
+            out[i] = of(out[i], out[p])
+    return np.array(out)
+
+
+def decode(logit: np.ndarray, parent: np.ndarray) -> np.ndarray:
     """The best set of nodes that holds every chosen node's parent; roots are always in."""
-    gain = logit.copy()
-    order = [np.flatnonzero(depth == d) for d in range(int(depth.max(initial=0)) + 1)]
-    for at in reversed(order[1:]):
-        np.add.at(gain, parent[at], np.maximum(gain[at], 0))
-    on = depth == 0
-    for at in order[1:]:
-        on[at] = on[parent[at]] & (gain[at] > 0)
-    return on
+    gain, up = logit.tolist(), parent.tolist()
+    for i in range(len(up) - 1, -1, -1):
+        if up[i] >= 0 and gain[i] > 0:
+            gain[up[i]] += gain[i]
+    on = [False] * len(up)
+    for i, p in enumerate(up):
+        on[i] = p < 0 or on[p] and gain[i] > 0
+    return np.array(on, bool)
 
 
 def extract_pages(sources: list[str], model: Model) -> list[str]:
     pages = [parse(s) for s in sources]
-    x, parent, depth = features(pages, model.words)
-    on, out, at = decode(model.trees.logit(x), parent, depth), [], 0
+    x, parent = features(pages, model.words)
+    on, out, at = decode(model.trees.logit(x), parent), [], 0
     for p in pages:
         out.append("\n".join(t for t, keep in zip(p.text, on[at : at + len(p.tag)]) if t is not None and keep))
         at += len(p.tag)

@@ -71,3 +71,44 @@ def test_encoding_against_plain_rank_merges():
             got = bpe.encode(text, enc, rx, size=64, overlap=32)
             assert got == plain_ids(text, ranks, rx)
             assert bpe.decode(bpe.id_bytes(got), enc) == b"".join(back[i] for i in got) == text.encode()
+
+
+def merged(data: bytes, ranks) -> list[int]:
+    """Rank merges of one long pre-token, lowest rank and leftmost first, by a heap over neighbours."""
+    import heapq
+
+    part, before, after = [data[i : i + 1] for i in range(len(data))], list(range(-1, len(data) - 1)), [*range(1, len(data)), -1]
+    heap = [(ranks[p], i, 2) for i in range(len(data) - 1) if (p := data[i : i + 2]) in ranks]
+    heapq.heapify(heap)
+    while heap:
+        _, i, size = heapq.heappop(heap)
+        j = after[i] if part[i] else -1
+        if j < 0 or len(part[i]) + len(part[j]) != size:
+            continue
+        part[i], part[j] = part[i] + part[j], b""
+        after[i] = after[j]
+        if after[j] >= 0:
+            before[after[j]] = i
+        for k in (before[i], i):
+            if k >= 0 and after[k] >= 0 and (p := part[k] + part[after[k]]) in ranks:
+                heapq.heappush(heap, (ranks[p], k, len(p)))
+    return [ranks[p] for p in part if p]
+
+
+def test_long_runs(spark):
+    """Runs that nothing splits, beyond what the encoder's own splitter bears."""
+    import base64
+
+    path, pattern = bpe.multi_50k()
+    enc, rx = _enc()
+    ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in bpe.read_ranks(path).splitlines() if x)}
+    n = 1_200_000
+    texts = [c * n for c in (" ", "\t", "\n", "a", "7", "!")] + ["words and" + " " * n + "more words", "x" + "\u3000" * (n // 3) + "\n" + " " * 70_000 + "y", " a" * 40_000 + "b" * n, "ab" * (n // 2)]
+    rows = list(enumerate(texts)) + [(100 + i, c * 5_000_000) for i, c in enumerate(" \ta1")]
+    got = {r.doc_id: r for r in bpe.with_digests(bpe.encode_documents(spark.createDataFrame(rows, "doc_id long, text string"), path, pattern)).collect()}
+    for i, text in rows:
+        assert got[i].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest(), i
+    for i, text in enumerate(texts):
+        want = [t for m in rx.finditer(text) for t in merged(m[0].encode(), ranks)]
+        assert bytes(got[i].ids) == bpe.id_bytes(want), i
+        assert bpe.encode(text, enc, rx) == want, i

@@ -18,11 +18,8 @@ def test_decoding_is_consistent_and_best():
     for _ in range(60):
         n = 9
         parent = np.array([-1] + [int(rng.integers(0, i)) for i in range(1, n)])
-        depth = np.zeros(n, int)
-        for i in range(1, n):
-            depth[i] = depth[parent[i]] + 1
         logit = rng.normal(size=n)
-        on = he.decode(logit, parent, depth)
+        on = he.decode(logit, parent)
         assert on[0] and all(on[parent[i]] for i in range(1, n) if on[i])
         best = max(sum(logit[i] for i in range(1, n) if s >> i & 1) for s in range(1, 2**n, 2) if all(not s >> i & 1 or s >> parent[i] & 1 for i in range(1, n)))
         assert sum(logit[i] for i in range(1, n) if on[i]) == pytest.approx(best)
@@ -119,6 +116,45 @@ def test_reading_time_grows_with_the_page():
             assert time.time() - start < 20, (part, tail)
 
 
+def test_pairs_of_tokens_take_linear_time(model):
+    import itertools
+    import time
+
+    tokens = ("<div>", "</div>", "<p>", "</p>", "<li>", "</li>", "<ul>", "<td>", "</tr>", "<table>", "<dd>", "<a href=x>", "<svg>", "<script>", "&amp;", "word ", "<div class='a b'>", "<hr>")
+    for a, b in itertools.product(tokens, repeat=2):
+        for page in (a * 3_000 + b * 3_000, (a + b) * 3_000):
+            start = time.time()
+            he.extract_pages([page], model)
+            assert time.time() - start < 3, (a, b)  # a search of the stack for each tag takes longer
+    for page in ("<div>" * 200_000 + "</p>" * 200_000, "<ul><li>" * 120_000 + "<td>x</td>" * 100_000, ("<div>" * 40 + "x") * 5_000, "<li><ul><div>" + "<div>" * 100_000 + "<li>a</li>" * 100_000):
+        start = time.time()
+        he.extract_pages([page], model)
+        assert time.time() - start < 40, page[:40]
+
+
+def test_subtrees_against_plain_walks(model):
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        parent, depth = [-1], [0]
+        path = [0]
+        for i in range(1, int(rng.integers(2, 60))):  # a random tree in document order
+            del path[int(rng.integers(1, len(path) + 1)) :]
+            parent.append(path[-1])
+            path.append(i)
+        values = rng.integers(0, 9, len(parent)).astype(float)
+        under = [[j for j in range(len(parent)) if i in _line(parent, j)] for i in range(len(parent))]
+        size, most = he._subtrees(np.array(parent), values)
+        assert size.tolist() == [len(u) for u in under] and most.tolist() == [max(values[u]) for u in under]
+        assert he._from_above(np.array(parent), values, min).tolist() == [min(values[_line(parent, i)]) for i in range(len(parent))]
+
+
+def _line(parent, i):
+    out = [i]
+    while parent[out[-1]] >= 0:
+        out.append(parent[out[-1]])
+    return out
+
+
 def test_pages_of_the_table(spark, sf_dir):
     got = {r.page_id: r for r in he.op1_html_boosted(spark, sf_dir).collect()}
     rows = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
