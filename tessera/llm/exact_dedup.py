@@ -4,8 +4,8 @@ Texts are equal when they are identical after all white space is deleted.  Rows
 by the MD5 of the normalised text *and by its bytes*: the hash aggregate compares the bytes
 of all rows that share a hash, so a collision cannot merge two texts.  The aggregate runs
 map-side first: a group of copies sends one row per task, however many rows it has.
-Each document then finds its group by a narrow join (hash and SHA-256, no text), whose
-skewed partitions AQE can split.
+Each document then finds its group by a narrow join on MD5 and SHA-256, 384 bits that stand
+for the compared bytes on the way back; AQE can split its skewed partitions.
 """
 
 from __future__ import annotations
@@ -57,6 +57,7 @@ def exact_dedup(docs: DataFrame, hash128=default_hash) -> DataFrame:
     * a null doc_id stays only if its whole group has no id (keep_id is then null and every
       row of that group is kept);
     * rows repeated with the same doc_id and an equal text are all kept if their id is;
+    * texts of any length are hashed and compared whole, each in the task that holds it;
     * other columns are ignored; an empty table gives an empty result.
     """
     norm = without_ws(whole(docs["text"]))
@@ -69,17 +70,29 @@ def exact_dedup(docs: DataFrame, hash128=default_hash) -> DataFrame:
     )
 
 
+def least_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of each value of ``keys``: the least by all other columns in order of their names (as JSON where they have no order)."""
+    rest = sorted(set(rows.columns) - set(keys))
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    ordered = [F.to_json(F.struct(c)) if "map<" in kinds[c] or "variant" in kinds[c] else F.col(c) for c in rest]
+    if not rest:
+        return rows.dropDuplicates(keys)
+    least = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*[o.alias(f"c{i}") for i, o in enumerate(ordered)])).alias("__row"))
+    return least.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in rows.columns])
+
+
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that another row of equal text replaces, all columns as they were.
 
-    Of rows that share a doc_id and an equal text one stays.  Rows without doc_id stay only
+    Of rows that share a doc_id and an equal text the least by their other columns stays.  Rows without doc_id stay only
     where no row of their text has one, all of them.
     """
     decided, this = stage(exact_dedup(docs), "exact"), f"{free_prefix(docs)}sha"
     lost = decided.where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha")).distinct()
     sha = F.unhex(F.sha2(without_ws(whole(docs["text"])).cast("binary"), 256))
     known = docs.where(F.col("doc_id").isNotNull()).withColumn(this, sha)
-    stay = known.join(lost, (known["doc_id"] == lost["__id"]) & (known[this] == lost["__sha"]), "left_anti").dropDuplicates(["doc_id", this]).drop(this)
+    stay = known.join(lost, (known["doc_id"] == lost["__id"]) & (known[this] == lost["__sha"]), "left_anti")
+    stay = least_rows(stay, ["doc_id", this]).drop(this)
     nameless = docs.where(F.col("doc_id").isNull())
     alone = decided.where(F.col("kept") & F.col("doc_id").isNull()).select(F.unhex("text_sha256").alias("__sha")).distinct()
     return stay.unionByName(nameless.join(alone, sha == alone["__sha"], "left_semi"))

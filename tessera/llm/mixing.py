@@ -105,7 +105,8 @@ def mix(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float = 2.
     share ``share`` times all words; none gets more than ``most`` times its size.
 
     Null text has size 0; a null source is a source; repeated rows of one doc_id share a hash
-    and are taken alike; an empty table gives an empty result; other columns are ignored.
+    and are taken alike; words of texts of any length are all counted; an empty table gives an
+    empty result; other columns are ignored.
     """
     docs = docs.select("doc_id", "source", "text")
     out = with_copies(docs, plan(docs, weights, share, most, max_sources), "__").withColumn("__size", n_words(F.col("text")))

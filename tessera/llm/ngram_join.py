@@ -631,7 +631,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, orders: int = ORDER
     are linked; a component's id is the smallest doc_id reachable.  Fewer than five words are
     one shingle.  Null, empty and white texts have no shingle, link with nothing and keep
     their own id; so do rows without doc_id, unless a text like theirs has one; repeated rows
-    give a row each; an empty table gives an empty result; other columns are ignored.
+    give a row each; texts of any length are shingled whole; an empty table gives an empty
+    result; other columns are ignored.
     """
     rows = stage(classes(docs), "classes")
     return _with_least(rows, F.col("doc_id"), docs, percent, orders, tile).select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))

@@ -26,6 +26,8 @@ CELLS = 65_536
 VNODES = 64
 SLACK = 0.0001
 SPLIT = 4
+#: Equal rows that one task makes at most.
+COPIES = 100_000
 
 
 def _point(label: str) -> int:
@@ -71,6 +73,15 @@ def assign_cells(cell_bytes: dict[tuple[int, int], int], shards: int, vnodes: in
     return out
 
 
+def _each_copy(counted: DataFrame, most: int = COPIES) -> DataFrame:
+    """A row, numbered from 1 as ``copy``, for each of ``copies``; more than ``most`` of one row are made by several tasks."""
+    few = counted.where(F.col("copies") <= most).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    runs = counted.where(F.col("copies") > most).withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / most))))
+    runs = runs.repartition("doc_id", "text_crc32", "size", "run")
+    many = runs.withColumn("copy", F.explode(F.sequence(F.col("run") * most + 1, F.least("copies", (F.col("run") + 1) * most))))
+    return few.unionByName(many.drop("run"))
+
+
 def shard(docs: DataFrame, shards: int, vnodes: int = VNODES, cells: int = CELLS, slack: float = SLACK) -> DataFrame:
     """Shard and slot of every row of ``docs(doc_id, text, ...)``.
 
@@ -92,7 +103,7 @@ def shard(docs: DataFrame, shards: int, vnodes: int = VNODES, cells: int = CELLS
     mean = (loads.agg(F.sum("b")).first()[0] or 0) / cells
     heavy = loads.select("cell", F.ceil(F.col("b") / F.lit(SPLIT * mean or 1.0)).cast("int").alias("parts")).where("parts > 1")
     heavy = stage(heavy, "heavy")  # at most cells / SPLIT rows
-    each = counted.join(F.broadcast(heavy), "cell", "left").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    each = _each_copy(counted.join(F.broadcast(heavy), "cell", "left"))
     part = F.pmod(F.xxhash64("doc_id", "text_crc32", "size", "copy"), F.coalesce("parts", F.lit(1))).cast("int")
     placed = each.select("doc_id", "size", "text_crc32", "copy", "cell", part.alias("part"))
     sums = placed.groupBy("cell", "part").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()  # at most (1 + 1 / SPLIT) * cells rows

@@ -41,7 +41,8 @@ BASE_RULES = (
     Rule("hex", 1, r"[0-9a-f]{24,}", 0, 24),
 )
 
-LEDGER_COLUMNS = ("blob_id", "rule", "version", "spans")
+#: Ids of new blobs that are broadcast at most, about 100 bytes each.
+BROADCAST_BLOBS = 500_000
 LEDGER_SCHEMA = "blob_id binary, rule string, version int, spans array<struct<start:long,end:long>>"
 
 
@@ -58,16 +59,34 @@ def _matches(rule: Rule):
     return F.when(F.col("text").rlike(rule.pattern), found)
 
 
-def new_blobs(versions: DataFrame, ledger: DataFrame | None, rules) -> DataFrame:
-    """Distinct texts of ``versions(path, text)`` with the rules still to run: blob_id, text, todo."""
+def _blob_id(text):
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def pairs_to_scan(versions: DataFrame, ledger: DataFrame, rules) -> DataFrame:
+    """Blobs of ``versions(text)`` with pairs that the ledger lacks, without their texts: blob_id, todo."""
     every = F.array(*[F.lit(f"{r.name}@{r.version}") for r in rules])
-    rows = versions.select(F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("blob_id"), "text")
-    if ledger is None:
-        # the map side of this aggregate leaves one row per task of a text with many copies
-        return rows.groupBy("blob_id", "text").agg(F.lit(1).alias("__one")).select("blob_id", "text", every.alias("todo"))
+    ids = versions.select(_blob_id(F.col("text")).alias("blob_id")).distinct()
     done = ledger.groupBy("blob_id").agg(F.collect_set(F.concat_ws("@", "rule", F.col("version").cast("string"))).alias("done"))
     todo = F.array_except(every, F.coalesce("done", F.array().cast("array<string>")))
-    return rows.join(done, "blob_id", "left").where(F.size(todo) > 0).groupBy("blob_id", "text", todo.alias("todo")).agg(F.lit(1).alias("__one")).select("blob_id", "text", "todo")
+    return ids.join(done, "blob_id", "left").select("blob_id", todo.alias("todo")).where(F.size("todo") > 0)
+
+
+def new_blobs(versions: DataFrame, ledger: DataFrame | None, rules, broadcast_blobs: int = BROADCAST_BLOBS) -> DataFrame:
+    """Distinct texts of ``versions(text)`` with the rules still to run: blob_id, text, todo.
+
+    Which pairs are new is decided on ids.  Up to ``broadcast_blobs`` of them are sent to the
+    texts, so that only texts to be scanned are moved; with more of them texts and ids are
+    dealt by blob_id, as they are without a ledger.
+    """
+    rows = versions.select(_blob_id(F.col("text")).alias("blob_id"), "text")
+    if ledger is None:
+        todo = F.array(*[F.lit(f"{r.name}@{r.version}") for r in rules])
+        # the map side of this aggregate leaves one row per task of a text with many copies
+        return rows.groupBy("blob_id", "text").agg(F.lit(1).alias("__one")).select("blob_id", "text", todo.alias("todo"))
+    new = stage(pairs_to_scan(versions, ledger, rules), "unseen")
+    new = F.broadcast(new) if new.count() <= broadcast_blobs else new
+    return rows.join(new, "blob_id").groupBy("blob_id", "text", "todo").agg(F.lit(1).alias("__one")).select("blob_id", "text", "todo")
 
 
 def _positions(blobs: DataFrame, rules) -> DataFrame:
@@ -113,18 +132,34 @@ def paths_with_spans(versions: DataFrame, ledger: DataFrame, rules=BASE_RULES) -
     """Findings of a ledger joined back to all rows of ``versions``: its columns plus rule, start, end."""
     live = reduce(lambda a, b: a | b, [(F.col("rule") == r.name) & (F.col("version") == r.version) for r in rules])
     hits = ledger.where(live & (F.size("spans") > 0)).select("blob_id", "rule", F.explode("spans").alias("s")).select("blob_id", "rule", "s.start", "s.end")
-    addressed = versions.withColumn("blob_id", F.unhex(F.sha2(whole(versions["text"]).cast("binary"), 256)))
+    addressed = versions.withColumn("blob_id", _blob_id(whole(versions["text"])))
     return addressed.join(hits, "blob_id").drop("blob_id")
 
 
+def deliveries(docs: DataFrame) -> list[DataFrame]:
+    """``docs(doc_id, text)`` as a history of two versions of the corpus: ids up to the middle of their range, then all rows."""
+    first, last = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    return [docs] if first is None or first == last else [docs.where(F.col("doc_id") <= first + (last - first) // 2), docs]
+
+
+def ledger_of(history, rules=BASE_RULES) -> DataFrame:
+    """The stored ledger of several versions of a corpus, each scanned only for what the ones before have not shown."""
+    stored = None
+    for versions in history:
+        more = stage(update_ledger(versions, stored, rules), "ledger")
+        stored = more if stored is None else stored.unionByName(more)
+    return stored
+
+
 def scan(docs: DataFrame, rules=BASE_RULES) -> DataFrame:
-    """Spans of every row of ``docs(doc_id, text, ...)``, read from a ledger that starts empty.
+    """Spans of every row of ``docs(doc_id, text, ...)``, read from the ledger of its ``deliveries``.
 
     Returns doc_id, n_<rule> per rule, base_sha256, spans.  Null or empty text has no span;
-    repeated rows each get their spans; other columns are ignored.
+    repeated rows each get their spans; texts of any length are scanned whole; an empty table
+    gives an empty result; other columns are ignored.  doc_id is a whole number.
     """
     docs = docs.select("doc_id", whole(docs["text"]).alias("text"))
-    ledger = stage(update_ledger(docs, None, rules), "ledger")
+    ledger = ledger_of(deliveries(docs), rules)
     counts = [F.sum(F.when(F.col("rule") == r.name, F.size("spans")).otherwise(0)).alias(f"n_{r.name}") for r in rules]
     kind = F.array_position(F.array(*[F.lit(r.name) for r in rules]), F.col("rule"))
     named = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), F.col("kind_no"), s["end"].alias("end"), F.col("rule")))
@@ -132,7 +167,7 @@ def scan(docs: DataFrame, rules=BASE_RULES) -> DataFrame:
     blobs = ledger.where(F.size("spans") > 0).withColumn("kind_no", kind).groupBy("blob_id").agg(*counts, listed.alias("l")).withColumn(
         "spans", F.array_join(F.transform("l", lambda x: F.concat_ws(":", x["rule"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     ).drop("l")
-    rows = docs.select("doc_id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("blob_id"))
+    rows = docs.select("doc_id", _blob_id(F.col("text")).alias("blob_id"))
     spans = F.coalesce("spans", F.lit(""))
     return rows.join(blobs, "blob_id", "left").select(
         "doc_id", *[F.coalesce(f"n_{r.name}", F.lit(0)).cast("long").alias(f"n_{r.name}") for r in rules],

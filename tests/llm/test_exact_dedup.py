@@ -53,3 +53,18 @@ def test_drop_duplicates(spark):
     got = sorted((str(r.doc_id), r.text or "") for r in ed.drop_duplicates(docs).collect())
     assert got == sorted([("2", " a  b "), ("6", " \n\t"), ("7", "x" * 50_000), ("8", "é\x0bé"), ("None", "lone"), ("10", "a b"), ("11", "A B")])
     assert ed.drop_duplicates(docs).columns == ["doc_id", "text", "lang"]
+
+
+def test_of_rows_alike_the_least_stays(spark):
+    rows = [(1, "same text", "b", {"k": 2}, None), (1, "same  text", "a", {"k": 1}, 4), (1, "same  text", "a", {"k": 1}, 3), (2, "x", None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, more map<string,int>, n int")
+    for order in (docs, docs.orderBy(F.desc("source")), docs.repartition(3)):
+        got = sorted(tuple(r) for r in ed.drop_duplicates(order).collect())
+        assert got == [(1, "same  text", "a", {"k": 1}, 3), (2, "x", None, None, None)]
+
+
+def test_very_long_texts(spark):
+    long = "ab \n" * 1_000_000
+    docs = spark.createDataFrame([(1, long), (2, long.replace(" ", "\t ")), (3, long + "c")], "doc_id long, text string")
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in ed.exact_dedup(docs).collect()}
+    assert got == {1: (2, 2), 2: (2, 2), 3: (3, 1)}

@@ -4,6 +4,8 @@ from collections import defaultdict
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tessera.llm import mixing, ring_shards
 
 
@@ -126,3 +128,12 @@ def test_too_many_sources(spark):
     _, docs = docs_of(spark, 30)
     with pytest.raises(ValueError, match="sources"):
         mixing.mix(docs, max_sources=2)
+
+
+def test_many_copies_of_a_row_are_made_by_several_tasks(spark):
+    rows = spark.createDataFrame([(1, 16, 0, 250_001), (2, 17, 5, 3), (3, 17, 5, 100_000)], "doc_id long, size long, text_crc32 long, copies long")
+    made = ring_shards._each_copy(rows, 10_000)
+    got = {r.doc_id: (r.n, r.least, r.most, r.d) for r in made.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("copy").alias("least"), F.max("copy").alias("most"), F.count_distinct("copy").alias("d")).collect()}
+    assert got == {1: (250_001, 1, 250_001, 250_001), 2: (3, 1, 3, 3), 3: (100_000, 1, 100_000, 100_000)}
+    parts = made.where("doc_id = 1").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 200_000

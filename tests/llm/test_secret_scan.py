@@ -53,11 +53,29 @@ def test_ledger_scans_only_new_pairs(spark):
     assert {(a, b) for p, _, a, b in paths if p == "c/1"} == {(a, b) for a, _, b, _ in brute(TEXTS[3])}
 
 
-def test_scan_reads_its_ledger(spark, monkeypatch):
-    made, update = [], ss.update_ledger
-    monkeypatch.setattr(ss, "update_ledger", lambda *a, **b: made.append(update(*a, **b)) or made[-1])
-    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
-    rows = ss.scan(docs).collect()
-    (ledger,) = made
-    assert sum(len(r.spans) for r in ledger.collect()) == sum(len(brute(t)) for t in set(TEXTS))
-    assert [r.n_assign + r.n_access + r.n_hex for r in sorted(rows)] == [len(brute(t)) for t in TEXTS]
+def test_scan_goes_through_a_stored_ledger(spark, monkeypatch):
+    asked, made, update = [], [], ss.update_ledger
+    monkeypatch.setattr(ss, "update_ledger", lambda versions, ledger, rules: asked.append(ledger) or made.append(update(versions, ledger, rules)) or made[-1])
+    texts = [*TEXTS, TEXTS[3], "only later token=abcdefgh"]
+    docs = spark.createDataFrame([*enumerate(TEXTS), (100, texts[-2]), (101, texts[-1])], "doc_id long, text string")
+    rows = sorted(ss.scan(docs).collect())
+    assert asked[0] is None and asked[1] is not None and len(made) == 2
+    first, second = ({(bytes(r.blob_id), r.rule) for r in m.collect()} for m in made)
+    assert first and second and not first & second  # nothing is scanned twice
+    assert len(second) == 3 and len(first | second) == 3 * len({t or "" for t in texts})
+    assert [r.n_assign + r.n_access + r.n_hex for r in rows] == [len(brute(t)) for t in texts]
+
+
+def test_known_texts_are_not_moved(spark):
+    one = spark.createDataFrame([(i, f"known {i} token=abcdef{i}") for i in range(300)], "doc_id long, text string")
+    two = one.unionByName(spark.createDataFrame([(1000, "new password=hunter22"), (1001, "new password=hunter22")], "doc_id long, text string"))
+    ledger = ss.stage(ss.update_ledger(one), "ledger")
+    assert ss.pairs_to_scan(two, ledger, ss.BASE_RULES).count() == 1
+    for bound in (10, 0):  # sent to the texts, dealt by id
+        assert [r.text for r in ss.new_blobs(two, ledger, ss.BASE_RULES, bound).collect()] == ["new password=hunter22"]
+    plan = ss.new_blobs(two, ledger, ss.BASE_RULES)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    below = plan[plan.index("BroadcastHashJoin") :]  # no exchange of texts before the known ones are gone
+    assert "Exchange hashpartitioning" not in below
+    for ids in (ss.pairs_to_scan(two, ledger, ss.BASE_RULES), ss.pairs_to_scan(one, ledger, ss.BASE_RULES)):
+        assert all("text" not in line for line in ids._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in line)
