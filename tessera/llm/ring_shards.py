@@ -77,7 +77,8 @@ def _each_copy(counted: DataFrame, most: int = COPIES) -> DataFrame:
     """A row, numbered from 1 as ``copy``, for each of ``copies``; more than ``most`` of one row are made by several tasks."""
     few = counted.where(F.col("copies") <= most).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     runs = counted.where(F.col("copies") > most).withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / most))))
-    runs = runs.repartition("doc_id", "text_crc32", "size", "run")
+    tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # stated, as so few rows would else be put together
+    runs = runs.repartition(tasks, "doc_id", "text_crc32", "size", "run")
     many = runs.withColumn("copy", F.explode(F.sequence(F.col("run") * most + 1, F.least("copies", (F.col("run") + 1) * most))))
     return few.unionByName(many.drop("run"))
 
