@@ -33,7 +33,7 @@ from .textcols import whole
 
 BROADCAST_PAIRS = 1_000_000
 #: Units a worker remembers, characters of one step of a long text, and characters above which a unit is not remembered.
-REMEMBERED, STEP, LONG_UNIT = 400_000, 1 << 20, 48
+REMEMBERED, STEP, LONG_UNIT = 200_000, 1 << 19, 48
 _ODD = re.compile(r"(?:\A|\s) | \Z")
 _CUT = re.compile(r"(?<=\S) ")
 _CACHE: dict = {}
@@ -167,7 +167,7 @@ class Tokenizers:
     def texts(self, texts: list[str | None]) -> list[tuple]:
         """Of each text (n_a, n_b, n_groups, n_links, sha256 of the groups, distinct pairs, how often each).
 
-        ``texts`` are some MB together; a longer one goes step by step.
+        ``texts`` are about a MB together; a longer one goes step by step.
         """
         cut = [[] if not t else list(steps(t, STEP)) for t in texts]
         short = iter(self._parts([p[0] for p in cut if len(p) == 1]))
@@ -179,8 +179,8 @@ class Tokenizers:
         if len(self.groups) > REMEMBERED:
             self.forget()
         new = list(set().union(*units).difference(self.number))
-        for i in range(0, len(new), 20_000):
-            self.learn(new[i : i + 20_000])
+        for i in range(0, len(new), 10_000):
+            self.learn(new[i : i + 10_000])
         facts, start, pairs = self.facts.all(), self.start.all()[:, 0], self.pairs.all()[:, 0]
         out = []
         for mine in units:
@@ -282,7 +282,7 @@ def aligned(docs: DataFrame, byte_level_path: str, piece_path: str) -> DataFrame
     def run(batches):
         both = _tokenizers(*files.value)
         for batch in batches:
-            for part in pieces(batch, 1):
+            for part in pieces(batch, 1, 1 << 20):
                 done = both.texts(part.column(1).to_pylist())
                 at = pa.array(np.concatenate([[0], np.cumsum([len(d[5]) for d in done])]).astype(np.int32))
                 pair, times = (np.concatenate([np.zeros(0, np.int64), *(d[i] for d in done)]) for i in (5, 6))
