@@ -54,11 +54,6 @@ def so_digitos(t) -> Column:
     return F.regexp_replace(_text(t), "[^0-9]", "")
 
 
-def digit_groups(t: Column) -> Column:
-    """A text as its runs of digits and what is between them, in order."""
-    return F.regexp_extract_all(t, F.lit("[0-9]+|[^0-9]+"), F.lit(0))
-
-
 def strip_accents(t: Column) -> Column:
     """Letters up to U+024F without their marks, and no loose combining marks; ligatures stay."""
     return F.regexp_replace(F.translate(t, *_NFD), r"\p{Mn}", "")

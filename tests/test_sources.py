@@ -61,8 +61,9 @@ def test_html_shops(spark):
     page = '<div class="selects CE"><div class="item"><h5>Fortaleza</h5><div class="infos"><span>Tres</span><br>Rua E, 5<br>(85) 3222-0000 / <br>c@d.com</div></div></div><div class="selects XX"><div class="item"><h5>n</h5><span>n</span></div></div>'
     r = shops.sonotec(_docs(spark, page)).collect()
     assert [(x.nome, x.uf_fonte, x.cidade_fonte, x.endereco, x.telefones, x.email) for x in r] == [("Tres", "CE", "Fortaleza", "Rua E, 5", "8532220000", "c@d.com")]
-    all_ = shops.collect(spark, {"sonotec": _docs(spark, page), "yamaha": _docs(spark, "[]")}, "2026-01-02")
-    assert all_.columns == registry.POSTO and all_.first().posto_id.startswith("sonotec-")
+    rows = [("sonotec", "s", "", page), ("yamaha", "y", "", "[]")]
+    all_ = shops.collect(spark, spark.createDataFrame(rows, "fonte string, document string, hint string, text string"), "2026-01-02")
+    assert all_.shops.columns == registry.POSTO and all_.shops.first().posto_id.startswith("sonotec-") and all_.quarantine.count() == 0
 
 
 def test_catalogue(spark):
@@ -112,12 +113,21 @@ def test_brand_helpers(spark):
     assert sorted(map(tuple, resolve.refresh(old, spark.createDataFrame([("b", 3)], "fonte string, v int")).collect())) == [("a", 1), ("b", 3)]
 
 
-def test_a_bad_source_does_not_stop_the_others(spark, caplog):
-    good = _docs(spark, json.dumps([{"assistance": "P", "zip": "01310100", "email": "x@y.com"}]), "BA")
-    broken = spark.createDataFrame([(1,)], "other int")
-    got = shops.collect(spark, {"nobody": good, "yamaha": broken, "proshows": good}, "2026-01-02").collect()
-    assert [(r.fonte, r.nome) for r in got] == [("proshows", "P")]
-    assert "nobody" in caplog.text and "yamaha" in caplog.text
+def test_one_bad_page_costs_one_page(spark):
+    good = '<div class="x unidade" data-estado="RJ" data-cidade="B"><p class="sub-title b">Loja {}</p><p><b>Endereço:</b> Rua C, {}</p></div>'
+    rows = [("tectronica", f"p{i}", "", good.format(i, i) if i != 37 else "<html>moved</html>") for i in range(100)]
+    rows += [("yamaha", "cut.json", "", '[{"name": "A", "addr'), ("yamaha", "ok.json", "", '[{"name": "A"}, {"name": " "}]'), ("casio", "list.json", "", "[]"), ("nobody", "n", "", "x"), ("roland", "e", "SP", " "), ("sonotec", "z", None, None), (None, "q", "", "x")]
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("shops"))
+    spark.sparkContext.setJobGroup("shops", "reading")
+    got = shops.collect(spark, spark.createDataFrame(rows, "fonte string, document string, hint string, text string"), "2026-01-02")
+    assert jobs() == 1  # all sources and the quarantine
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    found = got.shops.collect()
+    assert sorted(r.nome for r in found) == sorted(["A", *(f"Loja {i}" for i in range(100) if i != 37)])
+    assert {(r.fonte, r.document, r.reason) for r in got.quarantine.collect()} == {
+        ("tectronica", "p37", "no record on the page"), ("yamaha", "cut.json", "not the JSON that was expected"), ("casio", "list.json", "not the JSON that was expected"),
+        ("nobody", "n", "no parser for this source"), ("roland", "e", "no text"), ("sonotec", "z", "no text"), (None, "q", "no parser for this source"),
+    }
 
 
 def test_checks_of_codes(spark):
