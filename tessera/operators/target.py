@@ -21,8 +21,8 @@ def record_card(*parts):
 def establishments(estabelecimentos: DataFrame, target: DataFrame, empresas: DataFrame, simples: DataFrame, municipios: DataFrame, cnaes: DataFrame, safra: str, flagged: bool = True) -> DataFrame:
     """One row per target id, everything normalised and formatted.  Bad data turn to null, never drop a row.
 
-    With ``flagged`` the look-alike search runs and its flag is a column; its keys, and only
-    they, become a staged table that the search reads several times over.
+    With ``flagged`` the look-alike search runs and its flag is a column.  The search reads keys
+    of its own (``look_alikes``), made from a staged narrow table and not from the wide rows.
     """
     keys = target.select(*ID).distinct()
     rows = (
@@ -60,7 +60,31 @@ def establishments(estabelecimentos: DataFrame, target: DataFrame, empresas: Dat
     )
     line = lambda n: P.line_of(F.col(f"{n}_tipo"), F.col(f"{n}_formatado"), F.col(f"{n}_9_formatado"))
     made = made.select("*", record_card("nome_fantasia", "razao_social_publicavel", "endereco", "cidade_uf", F.concat(F.lit("CEP: "), "cep_formatado"), line("telefone"), line("telefone_2"), "email").alias("ficha"))
-    return flag(made, suspected_duplicates(stage(look_alike_keys(made), "lookalikes")), "id", "suspeita_duplicata") if flagged else made
+    return flag(made, look_alikes(estabelecimentos, keys, empresas, municipios), "id", "suspeita_duplicata") if flagged else made
+
+
+def look_alikes(estabelecimentos: DataFrame, keys: DataFrame, empresas: DataFrame, municipios: DataFrame) -> DataFrame:
+    """Ids of target establishments at one exact address with a look-alike name.
+
+    The raw columns that name and address come from are staged once; the case trees over them
+    are then over plain columns, each made once, and the wide rows are not made a second time.
+    """
+    raw = (
+        estabelecimentos.join(keys, ID, "left_semi")
+        .join(empresas.select("cnpj_basico", "razao_social"), "cnpj_basico", "left")
+        .join(municipios.select(F.col("codigo_rfb").alias("municipio"), "municipio_slug"), "municipio", "left")
+        .select(F.concat(*ID).alias("id"), "uf", "municipio_slug", "cep", "tipo_logradouro", "logradouro", "numero", "nome_fantasia", "razao_social")
+    )
+    rows = stage(raw, "addresses").select(
+        "id", "uf", "municipio_slug", T.so_digitos("cep").alias("cep"), A.logradouro_completo("tipo_logradouro", "logradouro").alias("rua"), F.upper(F.trim("numero")).alias("numero"),
+        T.nome_publicavel("nome_fantasia").alias("fantasia"), T.nome_publicavel("razao_social").alias("razao"),
+    )
+    named = stage(rows, "names").where("cep <> '' and rua is not null")
+    digits_only = lambda c: F.col(c).rlike(r"\A[0-9]+\z")
+    name = F.coalesce(F.when(~digits_only("fantasia"), F.col("fantasia")), F.when(~digits_only("razao"), F.col("razao")), F.concat(F.lit("CNPJ "), T.cnpj_formatado(F.col("id"))))
+    made = named.select("id", "uf", "municipio_slug", "cep", T.titulo_caso("rua").alias("titulo"), F.col("numero"), name.alias("nome"))
+    made = made.select("id", "uf", "municipio_slug", "cep", A.abreviar_logradouro("titulo").alias("logradouro"), "numero", "nome")
+    return suspected_duplicates(stage(look_alike_keys(made), "lookalikes"))
 
 
 def phones(estabelecimentos: DataFrame, target: DataFrame) -> DataFrame:
