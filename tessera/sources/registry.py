@@ -1,8 +1,9 @@
 """Readers of the registry's delimited files, reference lists, brand files and raw bytes.
 
 Every delimited file is read as text under a declared schema and fails on malformed rows;
-leading zeros survive and nothing is inferred.  Control bytes that the source lets through
-are removed in the projection of the scan itself.
+leading zeros survive and nothing is inferred.  Raw files are read as bytes: lines are found
+by byte ranges, stray control bytes go and the rest is decoded before anything is parsed, so
+that one of them beside a quote or at a line end cannot change a record.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..staging import stage
+
 #: Column names in file order.
 ESTABELECIMENTOS = (
     "cnpj_basico cnpj_ordem cnpj_dv identificador_matriz_filial nome_fantasia situacao_cadastral data_situacao_cadastral motivo_situacao_cadastral nome_cidade_exterior pais "
@@ -45,15 +48,37 @@ def text_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
+_CSV = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
+
+
 def read_delimited(spark: SparkSession, path: str, columns, pattern: str | None = None, encoding: str = "UTF-8", sep: str = ";", clean: bool = False) -> DataFrame:
-    """A headerless file of quoted text columns; ``clean`` removes stray control bytes."""
-    reader = spark.read.schema(text_schema(columns)).options(sep=sep, quote='"', escape='"', header=False, mode="FAILFAST", encoding=encoding)
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
-    rows = reader.csv(path)
-    if not clean:
-        return rows
-    return rows.select(*[F.translate(c, DROPPED_BYTES, "").alias(c) for c in columns])
+    """A headerless file of quoted text columns; ``clean`` reads raw bytes (``read_raw``)."""
+    if clean:
+        return read_raw(spark, path, columns, pattern, encoding, sep)
+    reader = spark.read.schema(text_schema(columns)).options(sep=sep, header=False, encoding=encoding, **_CSV)
+    return _in_folder(reader, pattern).csv(path)
+
+
+def _in_folder(reader, pattern: str | None):
+    return reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", True) if pattern else reader
+
+
+def raw_lines(spark: SparkSession, path: str, pattern: str | None = None, encoding: str = "ISO-8859-1") -> DataFrame:
+    """Lines of raw files: path, line (bytes without the stray ones, decoded, without its carriage return).
+
+    The text source hands on the bytes of a line as they are, from ranges of a file that begin
+    and end anywhere; nothing has looked at them before the stray ones are gone.
+    """
+    rows = _in_folder(spark.read.option("lineSep", "\n"), pattern).text(path)
+    kept = F.translate(F.decode(F.col("value").cast("binary"), encoding), DROPPED_BYTES, "")
+    return rows.select(F.col("_metadata.file_path").alias("path"), F.rtrim(kept, F.lit("\r")).alias("line"))
+
+
+def read_raw(spark: SparkSession, path: str, columns, pattern: str | None = None, encoding: str = "ISO-8859-1", sep: str = ";") -> DataFrame:
+    """Raw files of quoted text columns, a record a line; a line that is no record of so many columns is an error."""
+    lines = raw_lines(spark, path, pattern, encoding).where("trim(line) <> ''")
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    return lines.select(F.from_csv("line", schema, {"sep": sep, **_CSV}).alias("r")).select("r.*")
 
 
 def read_relation(spark: SparkSession, root: str, name: str, raw: bool = False) -> DataFrame:
@@ -81,16 +106,54 @@ def find_columns(header: list[str], wanted: dict[str, tuple[str, ...]]) -> dict[
 IBGE_KEYS = {"codigo_ibge": ("codigo_ibge", "codigo", "id"), "nome": ("nome", "municipio"), "uf": ("uf", "sigla")}
 
 
+#: Delimiters of lists with a header; of two that a header has as often the earlier is taken.
+DELIMITERS = (";", ",", "\t", "|")
+
+
+def dialects(lines: DataFrame, wanted: dict[str, tuple[str, ...]]) -> DataFrame:
+    """How each file of ``lines(path, start, at, value)`` is written: path, its first line's at, sep, width, and the place of each wanted column.
+
+    The first line is the header.  A wanted column is the first whose name holds the first of
+    its keys that any name holds; its place is null if none does.
+    """
+    from ..functions.text import strip_accents
+
+    head = lines.groupBy("path").agg(F.min_by(F.struct("at", "value"), F.struct("start", "at")).alias("h")).select("path", "h.at", F.regexp_replace("h.value", "\\A\ufeff", "").alias("value"))
+    often = F.array(*[F.struct((F.length("value") - F.length(F.replace("value", F.lit(d)))).alias("n"), F.lit(-i).alias("first"), F.lit(d).alias("sep")) for i, d in enumerate(DELIMITERS)])
+    head = head.withColumn("sep", F.array_max(often)["sep"])
+    names = F.transform(F.split("value", F.concat(F.lit(r"\Q"), "sep", F.lit(r"\E"))), lambda x: F.lower(strip_accents(F.btrim(x, F.lit('" ')))))
+    head = head.withColumn("names", names)
+    place = lambda keys: F.coalesce(*[F.nullif(F.array_position(F.transform("names", lambda x: F.contains(x, F.lit(k))), True), F.lit(0)) for k in keys])
+    return head.select("path", "at", "sep", F.size("names").alias("width"), F.array_join("names", ", ").alias("header"), *[(place(keys) - 1).cast("int").alias(f"at_{n}") for n, keys in wanted.items()])
+
+
+def read_lists(spark: SparkSession, path: str, wanted: dict[str, tuple[str, ...]]) -> DataFrame:
+    """The wanted columns, as text, of all files under ``path``, each read by its own delimiter and order of columns.
+
+    The dialects are a table, one row a file, joined to the lines by their file.  A file that
+    lacks a column is an error that lists its header; lines with fewer or more columns
+    than the widest file are taken for what they have.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"), "value")
+    known = stage(dialects(lines, wanted), "dialects")
+    bad = known.where(" or ".join(f"at_{n} is null" for n in wanted)).limit(1).collect()
+    if bad:
+        lacks = [n for n in wanted if bad[0][f"at_{n}"] is None]
+        raise ValueError(f"no column for {', '.join(lacks)} in {bad[0]['header']} of {bad[0]['path']}")
+    width = known.agg(F.max("width")).first()[0] or 0
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    rows = lines.join(known.withColumnRenamed("at", "head"), "path").where("at <> head and trim(value) <> ''")
+    # a line is read by its file's delimiter; files are of few widths, those that are narrower leave columns empty
+    made = F.coalesce(*[F.when(F.col("sep") == d, F.from_csv("value", schema, {"sep": d, **_CSV, "mode": "PERMISSIVE"})) for d in DELIMITERS])
+    values = F.array(*[F.col("r")[f"c{i}"] for i in range(width)])
+    return rows.withColumn("r", made).withColumn("v", values).select(*[F.get("v", F.col(f"at_{n}")).alias(n) for n in wanted])
+
+
 def read_ibge(spark: SparkSession, path: str) -> DataFrame:
-    """A header CSV of municipalities with any of the usual delimiters: codigo_ibge, nome, uf, nome_slug."""
+    """Lists of municipalities with a header, any of the usual delimiters and any order of columns: codigo_ibge, nome, uf, nome_slug."""
     from ..functions.text import slug
 
-    first = spark.read.text(path).limit(1).collect()
-    line = first[0][0] if first else ""
-    sep = max(";,\t|", key=line.count)
-    rows = spark.read.options(header=True, sep=sep, quote='"', escape='"', mode="FAILFAST", inferSchema=False).csv(path)
-    at = find_columns(rows.columns, IBGE_KEYS)
-    return rows.select(*[F.col(f"`{h}`").alias(n) for n, h in at.items()]).withColumn("nome_slug", slug("nome"))
+    return read_lists(spark, path, IBGE_KEYS).withColumn("nome_slug", slug("nome"))
 
 
 def read_ibge_json(spark: SparkSession, path: str) -> DataFrame:

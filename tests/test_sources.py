@@ -21,6 +21,45 @@ def test_delimited_files(spark, tmp_path):
         registry.read_relation(spark, str(tmp_path), "motivos").collect()
 
 
+def test_stray_bytes_go_before_records_are_parsed(spark, tmp_path):
+    stray = [b"\x00", b"\x1a", b"\x7f", b"\x8f", b""]
+    want, out = [], []
+    for i in range(400):
+        s = lambda k: stray[(i + k) % 5]
+        name = f"Manuten\u00e7\u00e3o; n\u00ba {i}" if i % 3 else f'diz "oi" {i}'
+        raw = name.replace('"', '""').encode("latin-1")
+        out.append(s(0) + b'"' + s(1) + str(i).encode() + b'"' + s(2) + b";" + s(3) + b'"' + raw[:2] + s(4) + raw[2:] + b'"' + s(0) + (b"\r" if i % 2 else b"") + (s(1) if i % 2 else b"") + b"\n")
+        want.append((str(i), name))
+    (tmp_path / "K3.CNAECSV").write_bytes(b"".join(out))
+    whole = registry.read_relation(spark, str(tmp_path), "cnaes", raw=True)
+    assert whole.rdd.getNumPartitions() == 1 and [tuple(r) for r in whole.collect()] == want
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        for size in ("97", "1000"):  # ranges that begin and end inside records, and inside quotes
+            spark.conf.set(key, size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            cut = registry.read_relation(spark, str(tmp_path), "cnaes", raw=True)
+            assert cut.rdd.getNumPartitions() > 10 and sorted(map(tuple, cut.collect())) == sorted(want)
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    (tmp_path / "K4.CNAECSV").write_bytes(b'"1";"a";"\x1aextra"\n')
+    with pytest.raises(Exception):
+        registry.read_relation(spark, str(tmp_path), "cnaes", raw=True).collect()
+
+
+def test_each_file_has_its_own_dialect(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("C\u00f3digo IBGE;Nome do Munic\u00edpio;UF\n3500001;S\u00e3o Tom\u00e9;SP\n3500002;\"A; B\";SP\n")
+    (tmp_path / "b.csv").write_text('\ufeffsigla,extra,id,municipio\nRJ,"x, y",33,Niter\u00f3i\n\nRJ,,34,"P""q"\n')
+    (tmp_path / "c.csv").write_text("UF|codigo|nome\n")
+    got = sorted((r.codigo_ibge, r.nome, r.uf, r.nome_slug) for r in registry.read_ibge(spark, str(tmp_path)).collect())
+    assert got == [("33", "Niter\u00f3i", "RJ", "niteroi"), ("34", 'P"q', "RJ", "p-q"), ("3500001", "S\u00e3o Tom\u00e9", "SP", "sao-tome"), ("3500002", "A; B", "SP", "a-b")]
+    (tmp_path / "d.csv").write_text("codigo;nome\n1;a\n")
+    with pytest.raises(ValueError, match="uf in codigo, nome"):
+        registry.read_ibge(spark, str(tmp_path))
+
+
 def test_header_discovery(spark, tmp_path):
     (tmp_path / "i.csv").write_text("Codigo_IBGE;Nome do Município;UF\n3500001;São Tomé;SP\n")
     r = registry.read_ibge(spark, str(tmp_path / "i.csv")).first()
