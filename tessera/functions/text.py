@@ -12,17 +12,27 @@ from pyspark.sql import functions as F
 PARTICLES = ("de", "da", "do", "das", "dos", "e", "em", "no", "na", "nos", "nas", "a", "o", "com", "sob", "sobre", "para", "por")
 
 
-def _folding(form: str, last: int) -> tuple[str, str]:
-    """(characters, their base letters) of all single code points that the form splits into a base and marks."""
-    pairs = []
-    for i in range(0x80, last + 1):
-        base = "".join(c for c in unicodedata.normalize(form, chr(i)) if not unicodedata.combining(c))
-        if len(base) == 1 and base != chr(i):
+def _bare(form: str, text: str) -> str:
+    return "".join(c for c in unicodedata.normalize(form, text) if unicodedata.category(c)[0] != "M")
+
+
+def _folding(form: str) -> tuple[str, str]:
+    """(characters, what is left of each) of all of Unicode that the form takes to one other character, marks aside.
+
+    Marks come last, without anything that is left of them, so that ``translate`` drops them.
+    Hangul syllables fall apart into letters, none of which is a mark: they are left alone.
+    """
+    pairs, marks = [], []
+    for i in (*range(0x80, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, 0x30000), *range(0xE0000, 0xE1000)):
+        base = _bare(form, chr(i))
+        if not base:
+            marks.append(chr(i))
+        elif len(base) == 1 and base != chr(i):
             pairs.append((chr(i), base))
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+    return "".join([a for a, _ in pairs] + marks), "".join(b for _, b in pairs)
 
 
-_NFD = _folding("NFD", 0x24F)
+_NFD = _folding("NFD")
 
 
 def _text(t) -> Column:
@@ -55,8 +65,8 @@ def so_digitos(t) -> Column:
 
 
 def strip_accents(t: Column) -> Column:
-    """Letters up to U+024F without their marks, and no loose combining marks; ligatures stay."""
-    return F.regexp_replace(F.translate(t, *_NFD), r"\p{Mn}", "")
+    """Characters of all of Unicode without their marks, and no loose combining marks; ligatures and Hangul syllables stay."""
+    return F.translate(t, *_NFD)
 
 
 #: Compatibility characters that comparison also folds, beyond single letters.
