@@ -71,6 +71,12 @@ def _shown(rows: DataFrame, columns) -> Column:
     return F.concat_ws("/", *[F.coalesce(rows[c].cast("string"), F.lit("null")) for c in columns])
 
 
+def _values(rows: DataFrame, columns) -> tuple[DataFrame, list[str]]:
+    """The columns under names of our own, where none is null."""
+    names = [f"value_{i}" for i in range(len(columns))]
+    return rows.select(*[rows[c].alias(n) for c, n in zip(columns, names)]).where(" and ".join(f"{n} is not null" for n in names)), names
+
+
 def _broken(rows: DataFrame, key: list[str], rules) -> DataFrame:
     """rule, example, n: a row for each violation, or for each repeated value."""
     out = []
@@ -81,16 +87,16 @@ def _broken(rows: DataFrame, key: list[str], rules) -> DataFrame:
         marks = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in by_row]))
         out.append(rows.select(marks.alias("rules"), _shown(rows, key).alias("example")).select(F.explode("rules").alias("rule"), "example", F.lit(1).cast("long").alias("n")))
     for r in (r for r in rules if isinstance(r, Unique)):
-        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in r.columns])
         # pre-aggregated where the rows are: a value with most of the rows is one row a task
-        times = rows.where(whole).groupBy(*r.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        out.append(times.select(F.lit(r.name).alias("rule"), _shown(times, r.columns).alias("example"), "n"))
+        values, names = _values(rows, r.columns)
+        times = values.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        out.append(times.select(F.lit(r.name).alias("rule"), _shown(times, names).alias("example"), "n"))
     for r in (r for r in rules if isinstance(r, Refers)):
-        used = rows.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("n"))  # a value is looked up once, however many rows have it
-        used = used.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in r.columns]))
-        there = r.other.select(*[F.col(k).alias(f"__{i}") for i, k in enumerate(r.keys)])
-        lost = used.join(there, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"__{i}") for i, c in enumerate(r.columns)]), "left_anti")
-        out.append(lost.select(F.lit(r.name).alias("rule"), _shown(lost, r.columns).alias("example"), "n"))
+        values, names = _values(rows, r.columns)
+        used = values.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))  # a value is looked up once, however many rows have it
+        there = r.other.select(*[F.col(k).alias(f"there_{i}") for i, k in enumerate(r.keys)])
+        lost = used.join(there, reduce(lambda a, b: a & b, [F.col(c) == F.col(f"there_{i}") for i, c in enumerate(names)]), "left_anti")
+        out.append(lost.select(F.lit(r.name).alias("rule"), _shown(lost, names).alias("example"), "n"))
     return reduce(DataFrame.unionByName, out)
 
 

@@ -38,6 +38,28 @@ def write_parquet(rows: DataFrame, path: str, by: list[str] | None = None, order
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+def write_lookup(rows: DataFrame, path: str, key: str, order: list[str], group_rows: int = 100_000, file_rows: int = 5_000_000) -> None:
+    """A serving copy for lookups: Parquet in ranges of ``order``, sorted, in row groups of ``group_rows``.
+
+    A filter on the columns of ``order`` reads the row groups whose statistics allow it; one on
+    ``key``, which is scattered over the files, those whose bloom filter does.
+    """
+    n = rows.count()
+    ranged = rows.repartitionByRange(max(1, -(-n // file_rows)), *order, key).sortWithinPartitions(*order, key)
+    options = {
+        "compression": "zstd", "parquet.block.row.count.limit": group_rows, f"parquet.bloom.filter.enabled#{key}": True, f"parquet.bloom.filter.expected.ndv#{key}": group_rows,
+        # a column that is a dictionary would be pruned by that, and gets no bloom filter
+        f"parquet.enable.dictionary#{key}": False,
+    }
+    ranged.write.mode("overwrite").options(**options).parquet(path)
+
+
+def lookup(spark, path: str, **equal) -> DataFrame:
+    """Rows of a serving copy by the values of some columns."""
+    rows = spark.read.parquet(path)
+    return rows.where(reduce(and_, [F.col(c) == F.lit(v).cast(rows.schema[c].dataType) for c, v in equal.items()]))
+
+
 def numbered(rows: DataFrame, group: list[str], order: list[Column], size: int = PAGE, name: str = "page") -> DataFrame:
     """1-based page (or shard) of each row in its group's total order, and the group's page count.
 

@@ -147,7 +147,8 @@ def test_brand_helpers(spark):
     top = brands.ranked(rows)
     assert [r.marca for r in top.collect()] == ["m1", "m2"]
     assert brands.one_per_source(top.withColumn("destaque", F.col("marca") == "m2"), "destaque").first().marca == "m2"
-    assert [x.posto_id for x in brands.nested(rows).where("marca = 'm1'").first().postos] == ["p1", "p2"]
+    with_city = rows.withColumn("municipio", F.upper("municipio_slug"))
+    assert [x.posto_id for x in brands.nested(with_city).where("marca = 'm1'").first().postos] == ["p1", "p2"]
     old = spark.createDataFrame([("a", 1), ("b", 2)], "fonte string, v int")
     assert sorted(map(tuple, resolve.refresh(old, spark.createDataFrame([("b", 3)], "fonte string, v int")).collect())) == [("a", 1), ("b", 3)]
 
