@@ -36,8 +36,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, white space aside.
 
     Null counts as empty, so that one of all null, empty and white texts stays; the text with
-    most code points stays, of ties the smallest doc_id; of repeated rows with an id one
-    stays; rows without doc_id stay only where no row of their text has one, then all of them;
+    most code points stays, of ties the smallest doc_id; of repeated rows with an id the least
+    by their other columns stays; rows without doc_id stay only where no row of their text has one, then all of them;
     texts of any length are compared whole; an empty table stays empty; other columns of any
     name come through.
     """
@@ -48,7 +48,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that of the smallest id, of each component of near copies.
 
     Rows are told apart by doc_id and text: of texts that share the smallest id one stays, and
-    of its repeated rows one.  A row without doc_id stays only in a component without any id.
+    of its repeated rows the least by their other columns.  A row without doc_id stays only in a component without any id.
     Rows without a shingle (null, empty and white texts) all stay.  Texts of any length are
     compared whole; an empty table stays empty; other columns of any name come through.
     """
@@ -62,7 +62,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.withColumn(this, F.unhex(F.sha2(whole(docs["text"]).cast("binary"), 256)))
     same = lambda some: rows["doc_id"].cast("long").eqNullSafe(some["__lost"]) & (rows[this] == some["__sha"])
     repeated = keys.where("__stays")
-    once = rows.join(sent(repeated), same(repeated), "left_semi").dropDuplicates(["doc_id", this])
+    once = exact_dedup.least_rows(rows.join(sent(repeated), same(repeated), "left_semi"), ["doc_id", this])
     return rows.join(sent(keys), same(keys), "left_anti").unionByName(once).drop(this)
 
 
@@ -93,7 +93,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages; what a stage has staged for itself, and its input, are removed once its result is written."""
+    """All stages; what a stage has staged for itself, and its input, are removed once its result is written.
+
+    The last stage is lazy: its input goes with the scope that ``run`` is called in, or with
+    ``staging.release`` of the registered query's result.
+    """
     docs, before = table(spark, sf_dir, "documents"), None
     for name, step in STAGES[:-1]:
         path = new_path(spark, name)

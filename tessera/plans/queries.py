@@ -14,7 +14,7 @@ from ..functions import text as T
 from ..operators import brands, classify, crosswalk, reports, resolve, target
 from ..sources import registry as src
 from ..sources import shops
-from ..staging import new_path
+from ..staging import new_path, owned
 from ..tables import table
 from . import oracle as O
 from . import sample_registry as R
@@ -24,7 +24,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 
 def query(sql: str | None = None):
     def add(fn):
-        QUERIES[fn.__name__] = (fn, sql)
+        QUERIES[fn.__name__] = (owned(fn), sql)
         return fn
 
     return add

@@ -206,6 +206,69 @@ def test_staged_tables_are_removed(spark):
     assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
 
 
+def _staged(spark):
+    import os
+
+    from tessera import staging
+
+    top = staging.shared_dir(spark).removeprefix("file://") + "/tessera"
+    return set(os.listdir(top)) if os.path.isdir(top) else set()
+
+
+def test_queries_own_what_they_stage(spark, sf_dir, tmp_path):
+    from tessera import staging
+    from tessera.plans import publishing  # noqa: F401
+    from tessera.plans.queries import QUERIES
+
+    before = _staged(spark)
+    for name in ("q37_paging", "q42_csv_round_trip", "q45_target_rows", "q58_posts_round_trip", "q61_quarantine", "q63_versioned_refresh", "q64_observed_counts"):
+        result = QUERIES[name][0](spark, sf_dir)
+        result.write.parquet(str(tmp_path / name))
+        assert _staged(spark) > before or name == "q45_target_rows", name
+        staging.release(result)
+        assert _staged(spark) == before, name
+        staging.release(result)  # again, for nothing
+
+    @staging.owned
+    def fails(spark):
+        staging.stage(spark.range(3), "x")
+        raise ValueError
+
+    with pytest.raises(ValueError):
+        fails(spark)
+    with staging.temporary_tables(spark):  # a scope takes what queries inside it leave
+        QUERIES["q37_paging"][0](spark, sf_dir).count()
+    assert _staged(spark) == before
+
+
+def test_scopes_of_two_threads(spark):
+    import threading
+
+    from tessera import staging
+
+    before, made, go = _staged(spark), threading.Barrier(2), threading.Barrier(2)
+    failed = []
+
+    def work(first):
+        try:
+            with staging.temporary_tables(spark):
+                kept = staging.stage(spark.range(5), "thread")
+                made.wait(60)
+                if first:
+                    return
+                go.wait(60)  # the other scope has ended
+                assert kept.count() == 5
+        except BaseException as error:
+            failed.append(error)
+
+    one, two = threading.Thread(target=work, args=(True,)), threading.Thread(target=work, args=(False,))
+    one.start(), two.start()
+    one.join()
+    go.wait(60)
+    two.join()
+    assert not failed and _staged(spark) == before
+
+
 def test_documents_are_read_whole(spark, tmp_path):
     (tmp_path / "a.html").write_text("<p>um</p>\n\n<p>dois</p>\n")
     (tmp_path / "b.json").write_text("[]")
