@@ -1,4 +1,4 @@
-"""Jaro-Winkler similarity, computed over arrays of pairs, and its lossless length bound."""
+"""Jaro-Winkler similarity, computed over arrays of pairs, and the lossless bounds that spare most pairs the measure."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 
 def jaro(a: str, b: str) -> float:
@@ -82,11 +82,42 @@ def jaro_winkler_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out).astype("Float64").where(~np.isnan(out), None) if np.isnan(out).any() else pd.Series(out)
 
 
+#: Classes of letters and how often one is counted: 3 x 42 bits, in two whole numbers.
+_CLASSES, _TIMES = 42, 3
+_SKETCH = StructType([StructField(n, LongType() if n in ("lo", "hi") else IntegerType()) for n in ("size", "lo", "hi", "more", "h0", "h1", "h2", "h3")])
+
+
+@F.pandas_udf(_SKETCH)
+def letter_sketch(texts: pd.Series) -> pd.DataFrame:
+    """What the bounds need of a text: its length, its letters by class (those beyond ``_TIMES`` counted apart), its first four."""
+    size = texts.str.len().fillna(0).to_numpy(np.int64)
+    n = len(size)
+    codes = np.frombuffer("".join(texts.fillna("")).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    row = np.repeat(np.arange(n), size)
+    counts = np.bincount(row * _CLASSES + codes % _CLASSES, minlength=n * _CLASSES).reshape(n, _CLASSES)
+    bits = (counts[:, :, None] > np.arange(_TIMES)).reshape(n, 2, -1)
+    value = 1 << np.arange(bits.shape[2], dtype=np.int64)
+    out = {"size": size, "lo": bits[:, 0] @ value, "hi": bits[:, 1] @ value, "more": np.maximum(counts - _TIMES, 0).sum(1)}
+    start = np.cumsum(size) - size
+    for i in range(4):
+        has = size > i
+        out[f"h{i}"] = np.where(has, codes[np.where(has, start + i, 0)] if len(codes) else 0, -1)
+    return pd.DataFrame(out).astype({"size": "int32", "more": "int32", **{f"h{i}": "int32" for i in range(4)}})
+
+
 def may_reach(a: Column, b: Column, least: float = 0.9) -> Column:
-    """False only where the lengths alone keep the similarity under ``least``.
+    """False only where sketches of two texts alone keep their similarity under ``least``; nothing but whole numbers is compared.
 
-    With four common letters a similarity of s needs jaro j with j + 0.4 (1 - j) >= s, and
-    jaro is at most (2 + shorter / longer) / 3.
+    With p common first letters a similarity of s needs jaro j with j + 0.1 p (1 - j) >= s.  Jaro is
+    at most (m / |a| + m / |b| + 1) / 3 for m matching letters, of which there are at most as many as
+    the texts have in common, class by class.
     """
-    floor = max(3 * (least - 0.4) / 0.6 - 2, 0.0)
-    return F.least(F.length(a), F.length(b)) >= F.greatest(F.length(a), F.length(b)) * F.lit(floor - 1e-9)
+    common = F.bit_count(a["lo"].bitwiseAND(b["lo"])) + F.bit_count(a["hi"].bitwiseAND(b["hi"])) + F.least(a["more"], b["more"])
+    total, product = a["size"] + b["size"], a["size"] * b["size"]
+    need = [3 * max((least - 0.1 * p) / (1 - 0.1 * p), 0.0) - 1 - 1e-9 for p in range(5)]
+    same = [(a[f"h{i}"] == b[f"h{i}"]) & (a[f"h{i}"] >= 0) for i in range(4)]
+    bound = F.lit(need[4])
+    for p in reversed(range(4)):
+        bound = F.when(same[p], bound).otherwise(F.lit(need[p]))
+    # the loosest bound first: it is one product, and most pairs fail it
+    return (common * total >= F.lit(need[4]) * product) & (common * total >= bound * product)

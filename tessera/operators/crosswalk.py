@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import _text, slug
+from ..functions.text import _text, let, slug
 
 
 def mode_with_ties(rows: DataFrame, key: str, value: str) -> DataFrame:
@@ -52,30 +52,41 @@ def targets(municipios: DataFrame) -> DataFrame:
     return municipios.where("uf is not null and municipio_slug is not null").groupBy("uf", "municipio_slug").agg(F.min("municipio").alias("municipio"), F.min("ibge").alias("ibge"))
 
 
-def _framed(c: Column) -> Column:
-    return F.concat(F.lit("-"), c, F.lit("-"))
-
-
+# How a shop's municipality was found.
 PUBLISHED = "cidade publicada pela fonte"
 IN_ADDRESS = "nome do município no endereço"
 FEDERAL = "município único do Distrito Federal"
 
 
+def word_spans(address: Column, most: Column) -> Column:
+    """Runs of up to ``most`` words of a hyphenated text, with the place of their first letter: array of (at, span)."""
+    words = F.split(address, "-")
+    from_word = lambda ws, i: F.transform(
+        F.sequence(F.lit(1), F.least(most, F.size(ws) - i)),
+        lambda k: F.struct((F.length(F.array_join(F.slice(ws, 1, i), "-")) + F.when(i > 0, 1).otherwise(0)).alias("at"), F.array_join(F.slice(ws, i + 1, k), "-").alias("span")),
+    )
+    return let(words, lambda ws: F.flatten(F.transform(F.sequence(F.lit(0), F.size(ws) - 1), lambda i: from_word(ws, i))))
+
+
 def city_of_posts(posts: DataFrame, targets: DataFrame) -> DataFrame:
     """posto_id -> municipality by three routes: published city, whole word in the address, the federal district.
 
-    Names are only sought within the shop's own state: the equality on uf keeps the containment
-    test inside a hash join.  Of several names the rightmost wins, then the longest, then by
-    slug; names of under four letters count only at the end of the address.
+    A name stands in an address as a run of its words.  Runs as long as the longest name of
+    their state are looked up by (uf, name) in a hash join, so that no shop is compared with all
+    cities of its state.  Of several names the rightmost wins (by where a name is first), then the
+    longest, then by slug; names of under four letters count only at the end of the address.
     """
     p = posts.select("posto_id", "uf_fonte", F.when(_text("cidade_fonte") != "", slug("cidade_fonte")).alias("city"), slug("endereco").alias("address"))
     t = targets.select(F.col("uf").alias("t_uf"), "municipio_slug", "municipio", "ibge")
     out = lambda df, how: df.select("posto_id", "municipio", "municipio_slug", "ibge", F.lit(how).alias("municipio_origem"))
     direct = p.join(t, (F.col("t_uf") == F.col("uf_fonte")) & (F.col("municipio_slug") == F.col("city")))
     left = p.join(direct.select("posto_id"), "posto_id", "left_anti")
-    s, at = F.col("municipio_slug"), F.instr(_framed(F.col("address")), _framed(F.col("municipio_slug")))
+    longest = t.groupBy("t_uf").agg(F.max(F.size(F.split("municipio_slug", "-"))).alias("most"))  # a row a state
+    runs = left.where("address is not null").join(longest, F.col("t_uf") == F.col("uf_fonte")).drop("t_uf")
+    runs = runs.select("posto_id", "uf_fonte", "address", F.explode(word_spans(F.col("address"), F.col("most"))).alias("w")).groupBy("posto_id", "uf_fonte", "address", "w.span").agg(F.min("w.at").alias("at"))
+    s = F.col("span")
     closes = F.endswith("address", F.concat(F.lit("-"), s)) | F.endswith("address", F.concat(F.lit("-"), s, F.lit("-"), F.lower("uf_fonte")))
-    found = left.join(t, (F.col("t_uf") == F.col("uf_fonte")) & (at > 0) & ((F.length(s) >= 4) | closes)).withColumn("at", at)
+    found = runs.where((F.length(s) >= 4) | closes).join(t, (F.col("t_uf") == F.col("uf_fonte")) & (F.col("municipio_slug") == s))
     order = Window.partitionBy("posto_id").orderBy(F.desc("at"), F.desc(F.length("municipio_slug")), "municipio_slug")
     best = found.withColumn("pos", F.row_number().over(order)).where("pos = 1")
     rest = left.where("uf_fonte = 'DF'").join(best.select("posto_id"), "posto_id", "left_anti").join(t.where("t_uf = 'DF'"), F.col("t_uf") == F.col("uf_fonte"))

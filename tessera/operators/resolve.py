@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.phones import fone_chave, telefone_e164
-from ..functions.similarity import jaro_winkler_similarity, may_reach
+from ..functions.similarity import jaro_winkler_similarity, letter_sketch, may_reach
 from ..functions.text import comparable, slug, so_digitos
+from ..staging import stage
 
 
 def first_two(rows: DataFrame, key: str, order: str, value: str) -> DataFrame:
@@ -42,25 +46,35 @@ def company_of_posts(post_phones: DataFrame, target: DataFrame) -> DataFrame:
     return match_unique(phone_keys(post_phones, "posto_id"), phone_keys(target, "id"), "posto_id", "id", "chave")
 
 
-def similar_in_block(rows: DataFrame, block: list[str], id_col: str, text: str, least: float = 0.9) -> DataFrame:
+#: Distinct texts of one block that meet in one task.
+TILE = 4_096
+
+
+def similar_in_block(rows: DataFrame, block: list[str], id_col: str, text: str, least: float = 0.9, tile: int = TILE) -> DataFrame:
     """Ids with a look-alike of Jaro-Winkler ``least`` or more inside the same block.
 
     Equal texts need no comparison: they are similar as they are, so a block's copies count
-    once, by distinct text.  Only pairs of distinct texts whose lengths allow it reach the
-    vectorised measure, each pair once.
+    once, by distinct text.  A block of more than ``tile`` texts is cut into parts that meet two by
+    two, each pair of parts in a task of its own.  Pairs pass lossless bounds over whole numbers
+    (``may_reach``) before the vectorised measure sees them, each pair once.
     """
-    base = rows.select(id_col, text, *block).where(F.col(text).isNotNull())
-    for c in block:
-        base = base.where(F.col(c).isNotNull())
+    base = rows.select(id_col, text, *block).where(" and ".join(f"`{c}` is not null" for c in (text, *block)))
     texts = base.groupBy(*block, text).agg(F.count_distinct(id_col).alias("ids"))
-    a, b = texts.alias("a"), texts.alias("b")
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in block]
-    cond = (F.col(f"a.{text}") < F.col(f"b.{text}")) & may_reach(F.col(f"a.{text}"), F.col(f"b.{text}"), least)
-    for s in same:
-        cond = cond & s
-    pairs = a.join(b, cond).select(*[F.col(f"a.{c}") for c in block], F.col(f"a.{text}").alias("x"), F.col(f"b.{text}").alias("y"))
+    parts = texts.groupBy(*block).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("_parts"))
+    sketched = stage(texts.join(parts, block).withColumn("_s", letter_sketch(text)), "sketches")
+    mine = sketched.withColumn("_i", F.pmod(F.xxhash64(text), F.col("_parts")).cast("int"))
+    # part i meets itself and every other: (i, j) with i <= j
+    dealt = mine.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    lo, hi = F.least("_i", "_j").alias("_lo"), F.greatest("_i", "_j").alias("_hi")
+    side = dealt.select(*block, text, "_s", "_i", lo, hi)
+    a, b = side.alias("a"), side.alias("b")
+    met = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*block, "_lo", "_hi")]
+    # inside a part by the order of the texts, between two parts from the lower to the higher
+    once = F.when(F.col("a._lo") == F.col("a._hi"), F.col(f"a.{text}") < F.col(f"b.{text}")).otherwise(F.col("a._i") < F.col("b._i"))
+    pairs = a.join(b, reduce(and_, [*met, may_reach(F.col("a._s"), F.col("b._s"), least), once]))
+    pairs = pairs.select(*[F.col(f"a.{c}") for c in block], F.col(f"a.{text}").alias("x"), F.col(f"b.{text}").alias("y"))
     close = pairs.where(jaro_winkler_similarity("x", "y") >= least)
-    alike = close.select(*block, F.explode(F.array("x", "y")).alias(text)).unionByName(texts.where(f"ids > 1 and {text} <> ''").select(*block, text)).distinct()
+    alike = close.select(*block, F.explode(F.array("x", "y")).alias(text)).unionByName(sketched.where(f"ids > 1 and `{text}` <> ''").select(*block, text)).distinct()
     return base.join(alike, [*block, text], "left_semi").select(id_col).distinct()
 
 

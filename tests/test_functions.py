@@ -136,3 +136,52 @@ def test_accents_of_all_of_unicode(spark):
     theirs = dict(con.execute("SELECT i, strip_accents('a' || chr(i) || 'b') FROM (SELECT unnest(?) AS i)", [codes]).fetchall())
     other = [i for i in codes if got[i] != theirs[i]]
     assert len(other) < 30, [hex(i) for i in other]  # code points that only one of the two versions of Unicode knows as marks
+
+
+def test_bounds_lose_no_similar_pair(spark):
+    import random
+
+    from tessera.functions.similarity import letter_sketch, may_reach
+
+    rng = random.Random(12)
+    words = ["casa", "do", "som", "luz", "musica", "aaaaaaaaab", "é", "漢字", "", "oficina", "77", "ñ"]
+    texts = ["".join(rng.choice(words) for _ in range(rng.randrange(1, 5))) for _ in range(150)]
+    texts += [t[:i] + rng.choice("abz") + t[i + 1 :] for t in texts for i in (0, len(t) // 2)] + ["", "a", "ab", "ba"]
+    pairs = [(rng.choice(texts), rng.choice(texts)) for _ in range(6000)] + list(zip(texts, texts[150:]))
+    rows = spark.createDataFrame(pairs, "a string, b string").withColumns({"x": letter_sketch("a"), "y": letter_sketch("b")})
+    for least in (0.95, 0.9, 0.75, 0.5):
+        got = rows.select("a", "b", may_reach(F.col("x"), F.col("y"), least).alias("may")).collect()
+        assert not [(r.a, r.b) for r in got if not r.may and jaro_winkler(r.a, r.b) >= least]
+        if least >= 0.9:
+            assert sum(r.may for r in got) < len(got) / 2  # and they are of use
+
+
+def test_look_alikes_of_blocks_against_all_pairs(spark):
+    import random
+
+    from tessera.operators import resolve
+
+    rng = random.Random(5)
+    names = ["casa do som", "casa do son", "luz e som", "luz som", "oficina", "oficinas", "x", "", "musica viva", "musica vivo"]
+    rows = [(i, rng.choice(["p", "q", None]), rng.choice(names) + rng.choice(["", "", " 1", " 22"]) if i % 9 else None) for i in range(300)]
+    want = {i for i, b, t in rows for j, c, u in rows if i != j and b is not None and b == c and t is not None and u is not None and jaro_winkler(t, u) >= 0.9}
+    docs = spark.createDataFrame(rows, "id long, block string, name string")
+    for tile in (4096, 7, 1):
+        assert {r.id for r in resolve.similar_in_block(docs, ["block"], "id", "name", tile=tile).collect()} == want
+
+
+def test_city_by_runs_of_words(spark):
+    import random
+
+    from tessera.operators import crosswalk
+
+    rng = random.Random(9)
+    slugs = ["sao-paulo", "sao-paulo-do-sul", "jau", "campinas", "rio-das-ostras", "rio", "das-ostras", "ostras"]
+    places = spark.createDataFrame([(uf, s, s.upper(), str(i)) for i, s in enumerate(slugs) for uf in ("SP", "RJ")], "uf string, municipio_slug string, municipio string, ibge string")
+    words = ["rua", "sao", "paulo", "do", "sul", "jau", "campinas", "rio", "das", "ostras", "sp", "10"]
+    rows = [(str(i), rng.choice(["SP", "RJ", "ZZ"]), None, " ".join(rng.choice(words) for _ in range(rng.randrange(9)))) for i in range(400)]
+    got = {r.posto_id: r.municipio_slug for r in crosswalk.city_of_posts(spark.createDataFrame(rows, "posto_id string, uf_fonte string, cidade_fonte string, endereco string"), places).collect()}
+    for i, uf, _, text in rows:
+        a = text.replace(" ", "-")
+        hits = [(f"-{a}-".find(f"-{s}-"), len(s), [-ord(c) for c in s], s) for s in slugs if f"-{s}-" in f"-{a}-" and (len(s) >= 4 or a.endswith(f"-{s}") or a.endswith(f"-{s}-{uf.lower()}"))]
+        assert got.get(i) == (max(hits)[-1] if hits and uf != "ZZ" else None), (uf, text)
