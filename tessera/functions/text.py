@@ -66,20 +66,27 @@ def so_digitos(t) -> Column:
 
 def strip_accents(t: Column) -> Column:
     """Characters of all of Unicode without their marks, and no loose combining marks; ligatures and Hangul syllables stay."""
-    return F.translate(t, *_NFD)
+    # as many bytes as characters: nothing but ASCII, as most texts are
+    return let(t, lambda x: F.when(F.octet_length(x) == F.length(x), x).otherwise(F.translate(x, *_NFD)))
 
 
 #: Compatibility characters that comparison also folds, beyond single letters.
 _WIDE = [(chr(i), "".join(c for c in unicodedata.normalize("NFKD", chr(i)) if not unicodedata.combining(c))) for i in (*range(0x80, 0x250), 0x2122, 0x2026, *range(0xFB00, 0xFB07))]
 
 
+_SINGLE = [(a, b) for a, b in _WIDE if len(b) == 1 and a != b]
+_MULTIPLE = [(a, b) for a, b in _WIDE if len(b) > 1]
+
+
 def comparable(t) -> Column:
     """Lower case, no accents, compatibility forms resolved, white space collapsed: for comparison only."""
-    c = F.translate(_text(t), "".join(a for a, b in _WIDE if len(b) == 1 and a != b), "".join(b for a, b in _WIDE if len(b) == 1 and a != b))
-    for a, b in _WIDE:
-        if len(b) > 1:
-            c = F.replace(c, F.lit(a), F.lit(b))
-    c = F.regexp_replace(c, r"\p{Mn}", "")
+
+    def folded(x: Column) -> Column:
+        for a, b in _MULTIPLE:
+            x = F.replace(x, F.lit(a), F.lit(b))
+        return F.regexp_replace(F.translate(x, "".join(a for a, _ in _SINGLE), "".join(b for _, b in _SINGLE)), r"\p{Mn}", "")
+
+    c = let(_text(t), lambda x: F.when(F.octet_length(x) == F.length(x), x).otherwise(folded(x)))
     return F.lower(F.trim(F.regexp_replace(c, r"[\s\u00a0]+", " ")))
 
 

@@ -15,6 +15,8 @@ from ..staging import stage
 PAGE = 100
 SITEMAP = 45_000
 BATCH = 50_000
+#: Rows of a group that one task numbers.
+WHOLE = 200_000
 
 
 def write_csv(rows: DataFrame, path: str, order: list, sep: str = ",", one_file: bool = False) -> None:
@@ -60,15 +62,21 @@ def lookup(spark, path: str, **equal) -> DataFrame:
     return rows.where(reduce(and_, [F.col(c) == F.lit(v).cast(rows.schema[c].dataType) for c, v in equal.items()]))
 
 
-def numbered(rows: DataFrame, group: list[str], order: list[Column], size: int = PAGE, name: str = "page") -> DataFrame:
+def numbered(rows: DataFrame, group: list[str], order: list[Column], size: int = PAGE, name: str = "page", whole: int = WHOLE) -> DataFrame:
     """1-based page (or shard) of each row in its group's total order, and the group's page count.
 
-    Rows are dealt by ranges of group and order, so that a group with most of the rows is spread;
+    Where no group has more than ``whole`` rows, a count beforehand says, a group is numbered in one
+    task.  Otherwise rows are dealt by ranges of group and order, so that a group with most of the rows is spread;
     a row's number is its place in its range after the rows of the group's ranges before, whose
     counts are one small row per group and range. Without ``group`` all rows are one. Null is a group; rows that tie in ``order``
     are numbered in any order among themselves.
     """
     part, before, total = "_range", "_before", "_total"
+    sizes = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= whole:
+        of_group = Window.partitionBy(*[F.col(c) for c in group]) if group else Window.partitionBy(F.lit(0))
+        place, count = F.row_number().over(of_group.orderBy(*order)), F.count(F.lit(1)).over(of_group)
+        return rows.select("*", (F.floor((place - 1) / size) + 1).cast("long").alias(name), F.ceil(count / size).cast("long").alias(f"{name}s"))
     ranged = stage(rows.repartitionByRange(*group, *order).withColumn(part, F.spark_partition_id()), "numbered")
     of_group = Window.partitionBy(*group)
     counts = ranged.groupBy(*group, part).agg(F.count(F.lit(1)).alias("_n"))

@@ -14,7 +14,7 @@ from ..functions import text as T
 from ..operators import brands, classify, crosswalk, reports, resolve, target
 from ..sources import registry as src
 from ..sources import shops
-from ..staging import new_path, owned
+from ..staging import new_path, owned, stage
 from ..tables import table
 from . import oracle as O
 from . import sample_registry as R
@@ -383,7 +383,7 @@ def q22_fill_rates(spark, sf):
 )
 def q23_crosstab(spark, sf):
     """The cross-tab over all days present, a row for each cell, empty ones 0."""
-    n = table(spark, sf, "events").groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("dia")).agg(F.count(F.lit(1)).alias("n"))
+    n = stage(table(spark, sf, "events").groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("dia")).agg(F.count(F.lit(1)).alias("n")), "cells")
     grid = n.select("event_type").distinct().crossJoin(n.select("dia").distinct())
     return grid.unionByName(n, allowMissingColumns=True).groupBy("event_type", "dia").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
@@ -585,9 +585,9 @@ def q31_html_to_text(spark, sf):
 _FOUND = "list_filter(list_transform(regexp_extract_all(text, '\\(?\\d{2}\\)?[\\s.-]?9?\\d{4}[\\s.-]?\\d{4}'), lambda x: regexp_replace(x, '[^0-9]', '', 'g')), lambda x: length(x) IN (10, 11))"
 
 
-@query(f"SELECT doc_id, coalesce(array_to_string(list_filter({_FOUND}, lambda x, i: list_position({_FOUND}, x) = i), '|'), '') AS telefones FROM documents WHERE regexp_matches(text, '\\d{{4}}')")
+@query(f"SELECT doc_id, coalesce(array_to_string(list_filter({_FOUND}, lambda x, i: list_position({_FOUND}, x) = i), '|'), '') AS telefones FROM documents")
 def q32_phones_in_text(spark, sf):
-    return table(spark, sf, "documents").where(F.col("text").rlike(r"\d{4}")).select("doc_id", X.telefones("text").alias("telefones"))
+    return table(spark, sf, "documents").select("doc_id", X.telefones("text").alias("telefones"))
 
 
 @query("SELECT page_id, b, trim(regexp_replace(replace(x, '</p>', ''), '<[^>]+>', ' ', 'g')) AS bloco FROM (SELECT page_id, unnest(str_split(html, '<p>')[2:]) AS x, generate_subscripts(str_split(html, '<p>')[2:], 1) AS b FROM pages)")
