@@ -73,12 +73,18 @@ def exact_dedup(docs: DataFrame, hash128=default_hash) -> DataFrame:
 def least_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row of each value of ``keys``: the least by all other columns in order of their names (as JSON where they have no order)."""
     rest = sorted(set(rows.columns) - set(keys))
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    ordered = [F.to_json(F.struct(c)) if "map<" in kinds[c] or "variant" in kinds[c] else F.col(c) for c in rest]
     if not rest:
         return rows.dropDuplicates(keys)
-    least = rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*[o.alias(f"c{i}") for i, o in enumerate(ordered)])).alias("__row"))
-    return least.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in rows.columns])
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    orderless = [c for c in rest if "map<" in kinds[c] or "variant" in kinds[c]]
+    row = F.struct(*rest)
+    if orderless:
+        order = F.struct(*[F.to_json(F.struct(c)).alias(c) if c in orderless else F.col(c) for c in rest])
+        least = F.min_by(row, order)
+    else:  # the row is its own order: texts are moved once
+        least = F.min(row)
+    found = rows.groupBy(*keys).agg(least.alias("__row"))
+    return found.select(*[F.col(c) if c in keys else F.col("__row")[c].alias(c) for c in rows.columns])
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
