@@ -46,6 +46,7 @@ LEADERS = 8
 GROUP = 2048
 WIDE = 16  # tiles a side up to which a large block goes tile by tile
 _FLUSH = 1 << 19  # shingles that a task holds before it sends them
+_SEEN, _TIED = 1 << 19, 1 << 20  # sets that a task remembers to have sent, shingles that it ties before it sends them
 _BUCKET, _PARTITION = 1 << 18, 1 << 20  # shingles of a bucket, and of a partition of buckets
 _MASS = 1 << 21  # shingles of a tile or group
 _SALT = [np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) & (2**64 - 1)) for k in range(8)]
@@ -120,7 +121,7 @@ def _cells(rows: list[dict]) -> list[pa.Array]:
 def _packed_tokens(docs: DataFrame, bits: int) -> DataFrame:
     """All shingles of all sets, packed: a row for each bucket and flush of a task.
 
-    A task sends a set once.  A row has the flush's distinct shingles of a bucket, how many
+    A task sends a set once for as many as it remembers (_SEEN).  A row has the flush's distinct shingles of a bucket, how many
     sets hold each (``held``) and which (``sets``, numbers within the flush).  Of a shingle
     with more than _HOT holders only their number goes (held is 0, ``many`` has it), so that
     a passage of all documents costs one entry a flush; its holders, like the keys and sizes
@@ -157,6 +158,8 @@ def _packed_tokens(docs: DataFrame, bits: int) -> DataFrame:
             for b in pieces(batch, 0, 1 << 20):
                 for s in sets_of(b.column(0).to_pylist()):
                     if len(s) and (k := (set_key(s), len(s))) not in seen:
+                        if len(seen) >= _SEEN:  # a set sent twice is as one that two tasks have
+                            seen.clear()
                         seen.add(k)
                         sets.append(s)
                         keys.append(k[0])
@@ -286,8 +289,9 @@ def reduced_sets(docs: DataFrame, tokens: int, percent: int = PERCENT) -> DataFr
 def blocks_of(sets: DataFrame) -> DataFrame:
     """(id, component, size) of the sets that a shared first-prefix shingle ties to another, directly or not.
 
-    A task first ties its own sets; of each shingle only one of them goes on, so a common
-    shingle sends one row a task.  Then equal shingles meet and are tied in one ordered pass.
+    A task first ties its own sets, up to _TIED shingles at a time; of each shingle only one of
+    them goes on, so a common shingle sends few rows a task.  Then equal shingles meet and are
+    tied in one ordered pass.
     """
     rows = sets.select("id", "prefix_1")
 
@@ -298,6 +302,12 @@ def blocks_of(sets: DataFrame) -> DataFrame:
                 for t in tokens:
                     if (other := holder.setdefault(t, i)) != i:
                         forest.join(other, i)
+                if len(holder) >= _TIED:
+                    yield from sent(forest, holder)
+                    forest, holder = Forest(), {}
+        yield from sent(forest, holder)
+
+    def sent(forest, holder):
         pairs = list(holder.items())
         for u, v in forest.edges():  # a tie goes on as a shingle of its own
             t = int.from_bytes(xxhash.xxh3_64_digest(u + v + b"tie"), "big", signed=True)

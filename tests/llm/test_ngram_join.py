@@ -64,6 +64,15 @@ def test_against_brute_force(spark, tile):
     assert got == brute(rows)
 
 
+def test_tasks_that_forget_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr(nj, "_SEEN", 3)
+    monkeypatch.setattr(nj, "_TIED", 40)
+    texts = corpus(2, 150)
+    rows = [(i, t) for i, t in enumerate(texts + texts[:40])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in nj.near_duplicates(docs).collect()) == brute(rows)
+
+
 @pytest.mark.parametrize("wide", [16, 0])
 def test_large_block_of_near_copies(spark, monkeypatch, wide):
     monkeypatch.setattr(nj, "WIDE", wide)

@@ -149,3 +149,18 @@ def test_quality_and_mix_against_plain_rules(spark, sf_dir):
     for r in pipeline.mix(spark, docs, sf_dir).collect():
         got[r.doc_id] += 1
     assert got == want
+
+
+def test_very_long_texts_in_every_stage(spark, sf_dir):
+    """Each stage takes texts of megabytes whole: a run of white space, one word, many words."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    words = " ".join(f"w{i % 997} and" for i in range(200_000))
+    odd = [(900_001, " " * 1_500_000 + "end."), (900_002, "x" * 1_000_000), (900_003, words), (900_004, words + " more"), (900_005, words.replace("and", "or"))]
+    more = spark.createDataFrame([(i, t, "en", "long", len(t)) for i, t in odd], docs.schema)
+    rows = docs.unionByName(more)
+    kept = {}
+    for name, step in pipeline.STAGES:
+        kept[name] = {r.doc_id for r in step(spark, rows, sf_dir).select("doc_id").collect()}
+    assert {i for i, _ in odd} <= kept["exact"] & kept["encode"]
+    assert kept["near"] & {i for i, _ in odd} == {900_001, 900_002, 900_003, 900_005}  # one of the two that differ in a word
+    assert kept["mix"] & {i for i, _ in odd}

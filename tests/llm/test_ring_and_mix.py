@@ -137,3 +137,14 @@ def test_many_copies_of_a_row_are_made_by_several_tasks(spark):
     assert got == {1: (250_001, 1, 250_001, 250_001), 2: (3, 1, 3, 3), 3: (100_000, 1, 100_000, 100_000)}
     parts = made.where("doc_id = 1").groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) > 1 and max(r["count"] for r in parts) < 200_000
+
+
+def test_very_long_texts(spark):
+    long = "word " * 400_000
+    docs = spark.createDataFrame([(1, long, "a"), (2, "x y", "a"), (3, long + "z", "b"), (4, None, None)], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in mixing.mix(docs).collect()}
+    assert {d: r.size for d, r in got.items()} == {1: 400_000, 2: 2, 3: 400_001, 4: 0}
+    assert all(r.taken <= 2 * r.size for r in got.values())
+    got = {r.doc_id: r for r in ring_shards.shard(docs, 3).collect()}
+    assert {d: r["size"] for d, r in got.items()} == {1: 2_000_016, 2: 19, 3: 2_000_017, 4: 16} and got[1].shard != got[3].shard
+    assert got[1].text_crc32 == zlib.crc32(long.encode())

@@ -79,3 +79,11 @@ def test_known_texts_are_not_moved(spark):
     assert "Exchange hashpartitioning" not in below
     for ids in (ss.pairs_to_scan(two, ledger, ss.BASE_RULES), ss.pairs_to_scan(one, ledger, ss.BASE_RULES)):
         assert all("text" not in line for line in ids._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in line)
+
+
+def test_very_long_texts(spark):
+    filler = "nothing to see here " * 60_000
+    texts = [filler + "token=abcdef1 " + filler + "AKIA" + "Z" * 30, "0" * 1_000_000, "password=" + "x" * 500_000]
+    got = {r.doc_id: r for r in ss.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i].spans == ",".join(f"{n}:{a}:{b}" for a, _, b, n in brute(t))
