@@ -48,7 +48,8 @@ def q63_versioned_refresh(spark, sf):
 @query(
     "WITH l AS (SELECT * FROM lineitem), v AS (SELECT * FROM l WHERE l_returnflag <> 'R'), p AS (SELECT * FROM v JOIN orders ON o_orderkey = l_orderkey), "
     "f AS (SELECT * FROM p WHERE o_orderstatus = 'F'), d AS (SELECT DISTINCT o_custkey, l_partkey FROM f), "
-    "c AS (SELECT 0 AS place, 'linhas' AS step, count(*) AS n FROM l UNION ALL SELECT 1, 'vendidas', count(*) FROM v UNION ALL SELECT 2, 'vendidas.baratas', count(*) FROM v WHERE l_extendedprice < 20000 UNION ALL "
+    "c AS (SELECT 0 AS place, 'linhas' AS step, count(*) AS n FROM l UNION ALL SELECT 1, 'vendidas', count(*) FROM v UNION ALL SELECT 2, 'vendidas.baratas', count(*) FROM "
+    "v WHERE l_extendedprice < 20000 UNION ALL "
     "SELECT 3, 'com pedido', count(*) FROM p UNION ALL SELECT 4, 'fechadas', count(*) FROM f UNION ALL SELECT 5, 'pares', count(*) FROM d) "
     "SELECT place, step, n, CASE place WHEN 1 THEN round(100.0 * n / (SELECT n FROM c WHERE place = 0), 1) WHEN 3 THEN round(100.0 * n / (SELECT n FROM c WHERE place = 1), 1) "
     "WHEN 4 THEN round(100.0 * n / (SELECT n FROM c WHERE place = 3), 1) WHEN 5 THEN round(100.0 * n / (SELECT n FROM c WHERE place = 4), 1) END AS kept FROM c"
@@ -68,16 +69,20 @@ def q64_observed_counts(spark, sf):
 _RULES_SQL = (
     "SELECT 'l_quantity small' AS rule, l_orderkey || '/' || l_linenumber AS example, 1 AS n FROM lineitem WHERE NOT l_quantity <= 49 "
     "UNION ALL SELECT 'l_shipmode in its domain', l_orderkey || '/' || l_linenumber, 1 FROM lineitem WHERE l_returnflag NOT IN ('A', 'N') "
-    "UNION ALL SELECT 'l_partkey, l_suppkey unique', l_partkey || '/' || l_suppkey, count(*) FROM lineitem WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL GROUP BY l_partkey, l_suppkey HAVING count(*) > 1 "
+    "UNION ALL SELECT 'l_partkey, l_suppkey unique', l_partkey || '/' || l_suppkey, count(*) FROM lineitem WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL GROUP BY "
+    "l_partkey, l_suppkey HAVING count(*) > 1 "
     "UNION ALL SELECT 'l_orderkey, l_linenumber unique', l_orderkey || '/' || l_linenumber, count(*) FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1 "
-    "UNION ALL SELECT 'l_orderkey in closed orders', CAST(l_orderkey AS STRING), count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY l_orderkey "
+    "UNION ALL SELECT 'l_orderkey in closed orders', CAST(l_orderkey AS STRING), count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE "
+    "o_orderstatus = 'F') GROUP BY l_orderkey "
 )
 
 
 @query(
-    f"WITH b AS ({_RULES_SQL.replace('l_shipmode', 'l_returnflag')}), s AS (SELECT rule, example, sum(n) AS n FROM b GROUP BY 1, 2), p AS (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY example) AS p FROM s) "
+    f"WITH b AS ({_RULES_SQL.replace('l_shipmode', 'l_returnflag')}), s AS (SELECT rule, example, sum(n) AS n FROM b GROUP BY 1, 2), p AS (SELECT *, row_number() OVER "
+    "(PARTITION BY rule ORDER BY example) AS p FROM s) "
     "SELECT 'lineitem' AS tabela, rule, CAST(sum(n) AS BIGINT) AS n, string_agg(example, ' ' ORDER BY example) FILTER (WHERE p <= 3) AS examples FROM p GROUP BY rule "
-    "UNION ALL SELECT 'orders', 'o_custkey in good customers', count(*), (SELECT string_agg(x, ' ' ORDER BY x) FROM (SELECT DISTINCT CAST(o_custkey AS STRING) AS x FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) ORDER BY 1 LIMIT 3)) "
+    "UNION ALL SELECT 'orders', 'o_custkey in good customers', count(*), (SELECT string_agg(x, ' ' ORDER BY x) FROM (SELECT DISTINCT CAST(o_custkey AS STRING) AS x FROM "
+    "orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) ORDER BY 1 LIMIT 3)) "
     "FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) HAVING count(*) > 0"
 )
 def q65_constraints(spark, sf):
@@ -97,7 +102,8 @@ def q65_constraints(spark, sf):
 _SIZE = 4
 _PAGES = (
     f"f AS (SELECT DISTINCT marca, posto_id, uf, municipio, coalesce(municipio_slug, chr(65535)) AS lugar, nome FROM publicacao_marca), "
-    f"o AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY marca ORDER BY uf, lugar, nome, posto_id) - 1) / {_SIZE}) + 1 AS BIGINT) AS pagina, row_number() OVER (PARTITION BY marca ORDER BY uf, lugar, nome, posto_id) AS lugar_n, count(*) OVER (PARTITION BY marca) AS n FROM f), "
+    f"o AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY marca ORDER BY uf, lugar, nome, posto_id) - 1) / {_SIZE}) + 1 AS BIGINT) AS pagina, row_number() OVER "
+    "(PARTITION BY marca ORDER BY uf, lugar, nome, posto_id) AS lugar_n, count(*) OVER (PARTITION BY marca) AS n FROM f), "
     "c AS (SELECT marca, count(DISTINCT uf || '/' || lugar) FILTER (WHERE lugar <> chr(65535)) AS n_cidades FROM f GROUP BY 1), "
     f"g AS (SELECT marca, pagina, any_value(n) AS n, CAST(ceil(any_value(n) / {_SIZE}) AS BIGINT) AS paginas, "
     "string_agg('<li>' || replace(nome, '&', '&amp;') || ' — ' || concat_ws('-', municipio, uf) || '</li>', '' ORDER BY lugar_n) AS itens, "
@@ -125,7 +131,8 @@ def q66_brand_pages(spark, sf):
 
 
 @query(
-    f"SELECT CAST(n_nationkey AS STRING) AS codigo_ibge, n_name || '; \"' || n_nationkey || '\"' AS nome, CASE n_nationkey % 2 WHEN 0 THEN 'SP' ELSE 'RJ' END AS uf, {slug('n_name || n_nationkey')} AS chave FROM nation"
+    "SELECT CAST(n_nationkey AS STRING) AS codigo_ibge, n_name || '; \"' || n_nationkey || '\"' AS nome, CASE n_nationkey % 2 WHEN 0 THEN 'SP' ELSE 'RJ' END AS uf, "
+    f"{slug('n_name || n_nationkey')} AS chave FROM nation"
 )
 def q67_lists_of_any_dialect(spark, sf):
     """Lists with a header in three dialects and orders of columns, read as one."""
@@ -142,7 +149,10 @@ def q67_lists_of_any_dialect(spark, sf):
 _WANTED = (3, 7, 77, 1000)
 
 
-@query(f"SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey IN {_WANTED} UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'")
+@query(
+    f"SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey IN {_WANTED} UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE "
+    "o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"
+)
 def q68_serving_layout(spark, sf):
     """Lookups by key and by the sorted columns in a serving copy of all orders."""
     path = new_path(spark, "serving")
@@ -158,8 +168,10 @@ _WISH = ("beta", "x")
 
 @query(
     f"WITH {Q._READY}, t AS (SELECT marca, marca_nome, fonte, count(*) AS total, max(coletado_em) AS coletado_em FROM publicacao_marca GROUP BY 1, 2, 3), "
-    "o AS (SELECT *, row_number() OVER (PARTITION BY fonte ORDER BY total DESC, lower(marca_nome), marca) - 1 AS i, count(*) OVER (PARTITION BY fonte) AS k, bool_or(marca = 'beta') OVER (PARTITION BY fonte) AS tem FROM t) "
-    "SELECT marca, fonte, total, (SELECT string_agg(marca, ',' ORDER BY lower(marca_nome), marca) FROM marca m WHERE m.fonte = o.fonte) AS da_fonte FROM o WHERE CASE WHEN tem THEN marca = 'beta' ELSE i = 5 % k END"
+    "o AS (SELECT *, row_number() OVER (PARTITION BY fonte ORDER BY total DESC, lower(marca_nome), marca) - 1 AS i, count(*) OVER (PARTITION BY fonte) AS k, bool_or(marca "
+    "= 'beta') OVER (PARTITION BY fonte) AS tem FROM t) "
+    "SELECT marca, fonte, total, (SELECT string_agg(marca, ',' ORDER BY lower(marca_nome), marca) FROM marca m WHERE m.fonte = o.fonte) AS da_fonte FROM o WHERE CASE WHEN "
+    "tem THEN marca = 'beta' ELSE i = 5 % k END"
 )
 def q69_representative_brands(spark, sf):
     """A brand to show for each source, and the brands of the source in alphabetical order."""
@@ -167,3 +179,127 @@ def q69_representative_brands(spark, sf):
     shown = brands.representative(brands.ranked(Q._brand_rows(spark, sf)), list(_WISH), day=5)
     names = marca.groupBy("fonte").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.lower("marca_nome").alias("n"), "marca"))), lambda x: x["marca"]), ",").alias("da_fonte"))
     return shown.join(names, "fonte").select("marca", "fonte", "total", "da_fonte")
+
+
+# ---------------------------------------------------------------- files of the registry, and sinks read back
+
+
+def _as_files(rows, path: str, name: str) -> None:
+    """Write headerless quoted files and give them the registry's kind of names, which have no usual extension."""
+    spark = rows.sparkSession
+    part = f"{path}/_{name}"
+    rows.write.options(sep=";", quote='"', escape='"', header=False, quoteAll=True, emptyValue="").csv(part)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    parts = [s.getPath().getName() for s in fs.listStatus(at(part)) if s.getPath().getName().startswith("part-")]
+    for i, p in enumerate(sorted(parts)):
+        fs.rename(at(f"{part}/{p}"), at(f"{path}/K3241.K032Y{i}.{name}"))
+    fs.delete(at(part), True)
+
+
+@query(
+    f"WITH {Q.R.CTE} SELECT e.cnpj_basico, e.cnpj_ordem, e.cnpj_dv, nullif(e.nome_fantasia, '') AS nome_fantasia, nullif(e.cep, '') AS cep, e.telefone_1, m.razao_social, "
+    "m.porte, nullif(s.opcao_mei, '') AS opcao_mei, c.descricao "
+    "FROM estabelecimentos e LEFT JOIN empresas m ON m.cnpj_basico = e.cnpj_basico LEFT JOIN simples s ON s.cnpj_basico = e.cnpj_basico LEFT JOIN cnaes c ON c.codigo = "
+    "e.cnae_fiscal_principal"
+)
+def q70_registry_files(spark, sf):
+    """The registry's relations as files: found by the ends of their names, read under their fixed columns, joined."""
+    r, path = Q.R.relations(spark, sf), new_path(spark, "registry")
+    for name, kind in (("estabelecimentos", "ESTABELE"), ("empresas", "EMPRECSV"), ("simples", "SIMPLES.CSV.D1"), ("cnaes", "CNAECSV")):
+        columns = src.RELATIONS[name][0]
+        rows = r[name].select(*[F.col(c) if c in r[name].columns else F.lit(None).cast("string").alias(c) for c in columns])
+        _as_files(rows, path, kind)
+    e, m, s, c = (src.read_relation(spark, path, n) for n in ("estabelecimentos", "empresas", "simples", "cnaes"))
+    found = e.join(m.select("cnpj_basico", "razao_social", "porte"), "cnpj_basico", "left").join(s.select("cnpj_basico", "opcao_mei"), "cnpj_basico", "left")
+    found = found.join(c.withColumnRenamed("codigo", "cnae_fiscal_principal"), "cnae_fiscal_principal", "left")
+    return found.select("cnpj_basico", "cnpj_ordem", "cnpj_dv", "nome_fantasia", "cep", "telefone_1", "razao_social", "porte", "opcao_mei", "descricao")
+
+
+@query(
+    "SELECT 'parquet' AS formato, o_orderkey, o_orderstatus, CAST(o_totalprice AS STRING) AS valor FROM orders UNION ALL "
+    "SELECT 'csv', o_orderkey, o_orderstatus, CAST(o_totalprice AS STRING) FROM orders WHERE o_orderstatus <> 'P'"
+)
+def q71_sinks_read_back(spark, sf):
+    """Parquet with a folder for each status, and a sorted CSV with a header, written and read again."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("string").alias("valor"))
+    folders, text = new_path(spark, "folders"), new_path(spark, "csv")
+    sinks.write_parquet(rows, folders, ["o_orderstatus"], ["o_orderkey"])
+    sinks.write_csv(rows.where("o_orderstatus <> 'P'"), text, ["o_orderkey"], ";")
+    schema = "o_orderkey long, o_orderstatus string, valor string"
+    parquet = spark.read.schema(schema).parquet(folders).withColumn("formato", F.lit("parquet"))
+    csv = spark.read.schema(schema).options(header=True, sep=";", quote='"', escape='"', mode="FAILFAST").csv(text).withColumn("formato", F.lit("csv"))
+    return parquet.unionByName(csv).select("formato", "o_orderkey", "o_orderstatus", "valor")
+
+
+@query(
+    "SELECT b AS byte, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE p_partkey % 4 WHEN 0 THEN '1a' WHEN 1 THEN '7f' WHEN 2 THEN '8f' END AS b, 1 + p_partkey % 3 AS n "
+    "FROM part WHERE p_partkey % 4 <> 3 "
+    "UNION ALL SELECT '01', 1 FROM part WHERE p_partkey % 5 = 0) GROUP BY 1"
+)
+def q72_byte_audit(spark, sf):
+    """How often each control byte stands in raw files; tabs and line ends are none."""
+    stray = F.get(F.array(*[F.lit(c) for c in ("\x1a", "\x7f", "\x8f", "\t")]), (F.col("p_partkey") % 4).cast("int"))
+    first = F.when(F.col("p_partkey") % 5 == 0, "\x01").otherwise("")
+    line = F.concat(first, F.col("p_name"), F.repeat(stray, (1 + F.col("p_partkey") % 3).cast("int")), F.lit("é\r"))
+    path = new_path(spark, "bytes")
+    table(spark, sf, "part").select(F.encode(line, "ISO-8859-1").cast("string").alias("value")).write.text(path)
+    return src.suspect_bytes(spark, path).groupBy("byte").agg(F.sum("n").alias("n"))
+
+
+@query(
+    "SELECT CAST(3500000 + n_nationkey AS STRING) AS codigo_ibge, n_name || ' \"D''Oeste\"' AS nome, CASE n_nationkey % 2 WHEN 0 THEN 'SP' ELSE 'RJ' END AS uf, "
+    f"{slug('n_name')} || '-d-oeste' AS nome_slug FROM nation"
+)
+def q73_list_from_json(spark, sf):
+    """The published list of municipalities: a JSON array, made a semicolon CSV with a header, read like any list."""
+    n = table(spark, sf, "nation").select((F.lit(3500000) + F.col("n_nationkey")).alias("municipio-id"), F.concat("n_name", F.lit(' "D\'Oeste"')).alias("municipio-nome"), F.expr("CASE n_nationkey % 2 WHEN 0 THEN 'SP' ELSE 'RJ' END").alias("UF-sigla"))
+    array, path = new_path(spark, "json"), new_path(spark, "csv")
+    # one document that is an array, as published: a list of municipalities has some thousands
+    n.agg(F.to_json(F.collect_list(F.struct("*"))).alias("value")).write.text(array)
+    sinks.write_csv(src.read_ibge_json(spark, array), path, ["codigo_ibge"], ";", one_file=True)
+    return src.read_ibge(spark, path)
+
+
+@query(
+    "SELECT doc_id, sha256(coalesce(text, ''))[1:10] AS arquivo, CASE WHEN n_chars IS NULL OR n_chars = 0 THEN '—' ELSE replace(printf('%.1f', 100.0 * (doc_id % 50) / "
+    "n_chars), '.', ',') || ' %' END AS parte, "
+    "regexp_replace('https://' || coalesce(source, '') || '/x', '^https?://', '') AS endereco FROM documents"
+)
+def q74_names_and_shares(spark, sf):
+    """File names by content, shares with a comma, addresses without their scheme."""
+    d = table(spark, sf, "documents")
+    return d.select(
+        "doc_id", sinks.content_name(F.coalesce("text", F.lit(""))).alias("arquivo"), sinks.percentual(F.col("doc_id") % 50, F.col("n_chars")).alias("parte"),
+        sinks.without_scheme(F.concat(F.lit("https://"), F.coalesce("source", F.lit("")), F.lit("/x"))).alias("endereco"),
+    )
+
+
+@query(
+    "SELECT * FROM (SELECT 0 AS n, '| o_orderstatus | o_orderpriority | n |' AS linha UNION ALL SELECT 1, '|---|---|---|' UNION ALL "
+    "SELECT 1 + row_number() OVER (ORDER BY o_orderstatus, o_orderpriority), '| ' || o_orderstatus || ' | ' || coalesce(nullif(o_orderpriority, '5-LOW'), '—') || ' | ' || "
+    "n || ' |' FROM (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2))"
+)
+def q75_report_table(spark, sf):
+    """A report as the lines of a Markdown table; nulls are dashes."""
+    n = table(spark, sf, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n")).orderBy("o_orderstatus", "o_orderpriority")
+    shown = n.withColumn("o_orderpriority", F.nullif("o_orderpriority", F.lit("5-LOW")))
+    return spark.createDataFrame(list(enumerate(sinks.markdown(shown).split("\n"))), "n int, linha string")
+
+
+_CATALOGUE = {"alfa": ("Alfa", "norte"), "beta": ("beta", "norte"), "gama": ("Gama", "sul"), "omega": ("Ômega", "fechada")}
+
+
+@query(
+    f"WITH {Q._POSTS_CTE} SELECT m.marca, m.marca_nome, m.fonte, count(posto_id) AS oficinas FROM (VALUES ('alfa', 'Alfa', 'norte'), ('beta', 'beta', 'norte'), ('gama', "
+    "'Gama', 'sul')) AS m(marca, marca_nome, fonte) "
+    "LEFT JOIN postos p ON p.fonte = m.fonte GROUP BY 1, 2, 3"
+)
+def q76_collectable_brands(spark, sf):
+    """Brands whose source may be collected, with the shops of their source."""
+    from ..sources import catalog
+
+    sources = {"norte": {"titular": "N"}, "sul": {"titular": "S"}, "fechada": {"titular": "F", "bloqueada": "login"}}
+    marca = catalog.brands(spark, {k: {"nome": n, "fonte": f} for k, (n, f) in _CATALOGUE.items()}, sources)
+    n = Q._posts(spark, sf).groupBy("fonte").agg(F.count("posto_id").alias("n"))
+    return marca.join(n, "fonte", "left").select("marca", "marca_nome", "fonte", F.coalesce("n", F.lit(0)).alias("oficinas"))

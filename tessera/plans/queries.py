@@ -56,18 +56,26 @@ def _all_phone_inputs(spark, sf):
 
 _PHONE_RX = "[(]([0-9]{3})[)] ([0-9]{3}-[0-9]{4})"
 _ALL_PHONES_CTE = (
-    f"f AS (SELECT doc_id AS k, unnest(regexp_extract_all(text, '{_PHONE_RX}', 1)) AS a, unnest(regexp_extract_all(text, '{_PHONE_RX}', 2)) AS n, generate_subscripts(regexp_extract_all(text, '{_PHONE_RX}'), 1) AS pos FROM documents), "
-    "p AS (SELECT k, pos, a[1:2] AS ddd, '9' || n AS num FROM f UNION ALL SELECT c_custkey + 10000000, 1, lpad(CAST(c_custkey % 100 AS STRING), 2, '0'), CAST(c_custkey * 7919 % 1000000000 AS STRING) FROM customer "
+    f"f AS (SELECT doc_id AS k, unnest(regexp_extract_all(text, '{_PHONE_RX}', 1)) AS a, unnest(regexp_extract_all(text, '{_PHONE_RX}', 2)) AS n, "
+    f"generate_subscripts(regexp_extract_all(text, '{_PHONE_RX}'), 1) AS pos FROM documents), "
+    "p AS (SELECT k, pos, a[1:2] AS ddd, '9' || n AS num FROM f UNION ALL SELECT c_custkey + 10000000, 1, lpad(CAST(c_custkey % 100 AS STRING), 2, '0'), CAST(c_custkey * "
+    "7919 % 1000000000 AS STRING) FROM customer "
     "UNION ALL SELECT k, 1, ddd, num FROM " + O.values([(-i, d, n) for i, d, n in _PHONES], "k, ddd, num") + ")"
 )
 
 
-@query(f"WITH {_ALL_PHONES_CTE} SELECT k, pos, {O.digits('num')} AS digitos, coalesce({O.digits('ddd')} IN ({', '.join(O.quote(d) for d in P.DDDS)}), false) AS ddd_ok, {O.e164('ddd', 'num')} AS e164 FROM p")
+@query(
+    f"WITH {_ALL_PHONES_CTE} SELECT k, pos, {O.digits('num')} AS digitos, coalesce({O.digits('ddd')} IN ({', '.join(O.quote(d) for d in P.DDDS)}), false) AS ddd_ok, "
+    f"{O.e164('ddd', 'num')} AS e164 FROM p"
+)
 def q01_phone_e164(spark, sf):
     return _all_phone_inputs(spark, sf).select("k", "pos", T.so_digitos("num").alias("digitos"), F.coalesce(P.ddd_valido(T.so_digitos("ddd")), F.lit(False)).alias("ddd_ok"), P.telefone_e164("ddd", "num").alias("e164"))
 
 
-@query(f"WITH {_ALL_PHONES_CTE}, e AS (SELECT k, pos, {O.e164('ddd', 'num')} AS e FROM p) SELECT k, pos, {O.phone_type('e')} AS tipo, {O.ninth('e')} AS nono, {O.shown('e')} AS exibicao, {O.phone_line('e')} AS linha, {O.phone_key('e')} AS chave FROM e")
+@query(
+    f"WITH {_ALL_PHONES_CTE}, e AS (SELECT k, pos, {O.e164('ddd', 'num')} AS e FROM p) SELECT k, pos, {O.phone_type('e')} AS tipo, {O.ninth('e')} AS nono, {O.shown('e')} AS "
+    f"exibicao, {O.phone_line('e')} AS linha, {O.phone_key('e')} AS chave FROM e"
+)
 def q02_phone_display(spark, sf):
     e = _all_phone_inputs(spark, sf).select("k", "pos", P.telefone_e164("ddd", "num").alias("e"))
     return e.select("k", "pos", P.tipo_telefone("e").alias("tipo"), P.telefone_com_nono_digito("e").alias("nono"), P.telefone_exibicao("e").alias("exibicao"), P.linha_telefone("e").alias("linha"), P.fone_chave("e").alias("chave"))
@@ -88,7 +96,8 @@ _MAILS = [(-1, "Oficina@SOM-e-luz.com.br "), (-2, "x@y"), (-3, "sem arroba"), (-
 
 
 @query(
-    f"WITH x AS (SELECT doc_id AS k, regexp_extract_all(text, '{_MAIL}') AS l FROM documents), m AS (SELECT k, unnest(CASE WHEN len(l) > 0 THEN l ELSE [NULL] END) AS mail, unnest(range(1, greatest(1, coalesce(len(l), 0)) + 1)) AS pos FROM x UNION ALL SELECT k, mail, 1 FROM {O.values(_MAILS, 'k, mail')}), "
+    f"WITH x AS (SELECT doc_id AS k, regexp_extract_all(text, '{_MAIL}') AS l FROM documents), m AS (SELECT k, unnest(CASE WHEN len(l) > 0 THEN l ELSE [NULL] END) AS mail, "
+    f"unnest(range(1, greatest(1, coalesce(len(l), 0)) + 1)) AS pos FROM x UNION ALL SELECT k, mail, 1 FROM {O.values(_MAILS, 'k, mail')}), "
     f"d AS (SELECT k, pos, {O.mail_domain('mail')} AS dominio FROM m) SELECT k, pos, dominio, {O.provider('dominio')} AS provedor, {O.own_site('dominio')} AS site FROM d"
 )
 def q04_mail_domain(spark, sf):
@@ -100,7 +109,8 @@ def q04_mail_domain(spark, sf):
 
 
 @query(
-    f"WITH w AS (SELECT doc_id, replace(text, 'ß', 'ss') AS t FROM documents) SELECT doc_id, {O.title('t')} AS titulo, {O.natural('upper(t)')} AS gritado, {O.natural('t')} AS natural_ FROM w"
+    f"WITH w AS (SELECT doc_id, replace(text, 'ß', 'ss') AS t FROM documents) SELECT doc_id, {O.title('t')} AS titulo, {O.natural('upper(t)')} AS gritado, {O.natural('t')} "
+    "AS natural_ FROM w"
 )
 def q05_title_case(spark, sf):
     w = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit("ß"), F.lit("ss")).alias("t"))
@@ -111,8 +121,10 @@ _STREETS = [(1, "RUA", "RUA A", "12345678", "FULANO DE TAL 00000000000"), (2, "r
 
 
 @query(
-    f"WITH s AS (SELECT * FROM {O.values(_STREETS, 'k, tipo, nome, cep, dono')} UNION ALL SELECT c_custkey + 100, 'AVENIDA', c_name, CAST(c_custkey * 12345 % 1000000000 AS STRING), c_name || lpad(CAST(c_custkey AS STRING), 11, '0') FROM customer) "
-    f"SELECT k, {O.street('tipo', 'nome')} AS rua, {O.short_street(O.title(O.street('tipo', 'nome')))} AS curta, {O.postal('cep')} AS cep_fmt, {O.clean_name('dono')} AS publico, {O.shown_name('dono')} AS mostrado, "
+    f"WITH s AS (SELECT * FROM {O.values(_STREETS, 'k, tipo, nome, cep, dono')} UNION ALL SELECT c_custkey + 100, 'AVENIDA', c_name, CAST(c_custkey * 12345 % 1000000000 AS "
+    "STRING), c_name || lpad(CAST(c_custkey AS STRING), 11, '0') FROM customer) "
+    f"SELECT k, {O.street('tipo', 'nome')} AS rua, {O.short_street(O.title(O.street('tipo', 'nome')))} AS curta, {O.postal('cep')} AS cep_fmt, {O.clean_name('dono')} AS "
+    f"publico, {O.shown_name('dono')} AS mostrado, "
     f"{O.cnpj('''lpad(CAST(k AS STRING), 14, '0')''')} AS cnpj, coalesce(regexp_matches({O.clean_name('dono')}, '[0-9]{{11}}$'), false) AS vaza FROM s"
 )
 def q06_addresses_and_names(spark, sf):
@@ -125,8 +137,10 @@ def q06_addresses_and_names(spark, sf):
 
 
 @query(
-    "SELECT c_custkey, concat_ws(chr(10), c_name, CASE WHEN c_acctbal > 0 THEN 'Saldo: ' || CAST(CAST(c_acctbal AS BIGINT) AS STRING) END, n_name || '-' || r_name, CASE WHEN c_custkey % 2 = 0 THEN 'par' END) AS ficha, "
-    "CASE c_mktsegment WHEN 'BUILDING' THEN 'obra' WHEN 'MACHINERY' THEN 'máquina' END AS ramo, coalesce(n_name = 'NATION_2', false) AS local_, CAST(NULL AS DOUBLE) AS lat, '2026-08' AS safra "
+    "SELECT c_custkey, concat_ws(chr(10), c_name, CASE WHEN c_acctbal > 0 THEN 'Saldo: ' || CAST(CAST(c_acctbal AS BIGINT) AS STRING) END, n_name || '-' || r_name, CASE "
+    "WHEN c_custkey % 2 = 0 THEN 'par' END) AS ficha, "
+    "CASE c_mktsegment WHEN 'BUILDING' THEN 'obra' WHEN 'MACHINERY' THEN 'máquina' END AS ramo, coalesce(n_name = 'NATION_2', false) AS local_, CAST(NULL AS DOUBLE) AS "
+    "lat, '2026-08' AS safra "
     "FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey AND r_name <> 'ASIA'"
 )
 def q07_record_card(spark, sf):
@@ -143,7 +157,8 @@ _DATES = [(-1, "20240229", "2024-02-29"), (-2, "20240231", "2024-13-01"), (-3, "
 
 
 @query(
-    f"WITH d AS (SELECT o_orderkey AS k, strftime(o_orderdate, '%Y%m%d') AS a, CASE WHEN o_orderkey % 3 = 0 THEN 'n/d' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS b FROM orders UNION ALL SELECT * FROM {O.values(_DATES, 'k, a, b')}) "
+    "WITH d AS (SELECT o_orderkey AS k, strftime(o_orderdate, '%Y%m%d') AS a, CASE WHEN o_orderkey % 3 = 0 THEN 'n/d' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS b FROM "
+    f"orders UNION ALL SELECT * FROM {O.values(_DATES, 'k, a, b')}) "
     "SELECT k, CAST(try_strptime(a, '%Y%m%d') AS DATE) AS compacta, try_cast(b AS DATE) AS iso, try_cast(b AS BIGINT) AS numero FROM d"
 )
 def q08_safe_parse(spark, sf):
@@ -229,7 +244,8 @@ def q14_unmatched(spark, sf):
 
 @query(
     f"WITH d AS (SELECT CAST(p_partkey AS STRING) AS codigo_rfb, p_name AS municipio, {O.slug('p_name')} AS municipio_slug, p_brand AS uf FROM part) "
-    "SELECT uf, municipio_slug, count(*) AS n, string_agg(codigo_rfb || '=' || municipio, ' | ' ORDER BY codigo_rfb || '=' || municipio) AS colisoes FROM d WHERE municipio_slug IS NOT NULL AND uf IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1"
+    "SELECT uf, municipio_slug, count(*) AS n, string_agg(codigo_rfb || '=' || municipio, ' | ' ORDER BY codigo_rfb || '=' || municipio) AS colisoes FROM d WHERE "
+    "municipio_slug IS NOT NULL AND uf IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1"
 )
 def q14b_duplicate_slugs(spark, sf):
     p = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("codigo_rfb"), F.col("p_name").alias("municipio"), T.slug("p_name").alias("municipio_slug"), F.col("p_brand").alias("uf"))
@@ -243,8 +259,10 @@ def q15_invalid_codes(spark, sf):
 
 
 @query(
-    "SELECT l_orderkey, l_linenumber, l_partkey, o_custkey, c_name, n_name, p_brand, r_name, o_orderpriority FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderstatus = 'F' "
-    "LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey LEFT JOIN part ON p_partkey = l_partkey AND p_size > 10"
+    "SELECT l_orderkey, l_linenumber, l_partkey, o_custkey, c_name, n_name, p_brand, r_name, o_orderpriority FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND "
+    "o_orderstatus = 'F' "
+    "LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey LEFT JOIN part ON p_partkey = "
+    "l_partkey AND p_size > 10"
 )
 def q16_star_join(spark, sf):
     li, o, c, n, r, p = (table(spark, sf, t) for t in ("lineitem", "orders", "customer", "nation", "region", "part"))
@@ -259,7 +277,8 @@ def q16_star_join(spark, sf):
 
 
 @query(
-    "SELECT event_type, count(*) AS total, count(CASE WHEN value > 50 THEN value END) AS com_valor, count(*) FILTER (WHERE value > 100) AS altos, count(*) FILTER (WHERE user_id % 2 = 0) AS pares, bool_or(value > 150) AS algum, min(value) AS menor, max(value) AS maior FROM events "
+    "SELECT event_type, count(*) AS total, count(CASE WHEN value > 50 THEN value END) AS com_valor, count(*) FILTER (WHERE value > 100) AS altos, count(*) FILTER (WHERE "
+    "user_id % 2 = 0) AS pares, bool_or(value > 150) AS algum, min(value) AS menor, max(value) AS maior FROM events "
     "WHERE event_type <> 'error' AND value IS NOT NULL GROUP BY event_type"
 )
 def q17_counts(spark, sf):
@@ -270,7 +289,8 @@ def q17_counts(spark, sf):
 
 
 @query(
-    "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, count(DISTINCT CAST(ts AS DATE)) AS days, count(DISTINCT CAST(user_id AS STRING) || '/' || strftime(ts, '%Y-%m-%d')) AS user_days FROM events GROUP BY 1"
+    "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, count(DISTINCT CAST(ts AS DATE)) AS days, count(DISTINCT CAST(user_id AS STRING) || '/' || "
+    "strftime(ts, '%Y-%m-%d')) AS user_days FROM events GROUP BY 1"
 )
 def q18_distinct_counts(spark, sf):
     return table(spark, sf, "events").groupBy("event_type").agg(
@@ -307,8 +327,10 @@ gemeas AS (SELECT DISTINCT a.id FROM (SELECT DISTINCT * FROM chaves) a JOIN (SEL
 wide AS (SELECT *, id IN (SELECT id FROM gemeas) AS suspeita_duplicata FROM nomes)"""
 _EXPORT = f"{R.CTE},\n{_TARGET},\n{_CROSS},\n{_WIDE},\nexportacao AS (SELECT w.*, v.vertical, v.rotulo AS vertical_rotulo, v.origem_cnae FROM wide w JOIN verticais v ON v.id = w.id)"
 _WIDE_COLUMNS = (
-    "id cnpj_formatado nome nome_fantasia razao_social razao_social_publicavel logradouro numero complemento bairro endereco endereco_com_complemento cep cep_formatado municipio municipio_slug ibge uf cidade_uf "
-    "telefone telefone_tipo telefone_formatado telefone_9 telefone_9_formatado telefone_2 telefone_2_tipo telefone_2_formatado telefone_2_9 telefone_2_9_formatado email dominio_email dominio_provedor site_candidato "
+    "id cnpj_formatado nome nome_fantasia razao_social razao_social_publicavel logradouro numero complemento bairro endereco endereco_com_complemento cep cep_formatado "
+    "municipio municipio_slug ibge uf cidade_uf "
+    "telefone telefone_tipo telefone_formatado telefone_9 telefone_9_formatado telefone_2 telefone_2_tipo telefone_2_formatado telefone_2_9 telefone_2_9_formatado email "
+    "dominio_email dominio_provedor site_candidato "
     "cnae_principal cnae_principal_desc cnaes_secundarios data_abertura porte_codigo porte mei matriz suspeita_duplicata ficha"
 ).split()
 
@@ -341,18 +363,23 @@ def q46_publication(spark, sf):
 
 
 _BY_CITY = (
-    "cidades AS (SELECT vertical, uf, municipio, municipio_slug, ibge, count(*) AS total, count(telefone) AS com_telefone, count(*) FILTER (WHERE telefone_tipo = 'fixo') AS com_fixo, count(*) FILTER (WHERE telefone_tipo = 'movel') AS com_movel, "
+    "cidades AS (SELECT vertical, uf, municipio, municipio_slug, ibge, count(*) AS total, count(telefone) AS com_telefone, count(*) FILTER (WHERE telefone_tipo = 'fixo') "
+    "AS com_fixo, count(*) FILTER (WHERE telefone_tipo = 'movel') AS com_movel, "
     "count(email) AS com_email, count(site_candidato) AS com_site_candidato FROM exportacao GROUP BY ALL)"
 )
 
 
-@query(f"WITH {_EXPORT}, {_BY_CITY} SELECT *, row_number() OVER (PARTITION BY vertical ORDER BY total DESC, uf NULLS LAST, municipio NULLS LAST, municipio_slug NULLS LAST) AS pos FROM cidades QUALIFY pos <= 100")
+@query(
+    f"WITH {_EXPORT}, {_BY_CITY} SELECT *, row_number() OVER (PARTITION BY vertical ORDER BY total DESC, uf NULLS LAST, municipio NULLS LAST, municipio_slug NULLS LAST) AS pos "
+    "FROM cidades QUALIFY pos <= 100"
+)
 def q19_top_cities(spark, sf):
     return reports.top_cities(reports.by_city(_export(spark, sf, flagged=False)))
 
 
 @query(
-    "WITH t AS (SELECT o_custkey, count(*) AS total FROM orders GROUP BY 1), f AS (SELECT c_mktsegment, CASE WHEN total = 1 THEN '1' WHEN total = 2 THEN '2' WHEN total BETWEEN 3 AND 5 THEN '3-5' WHEN total BETWEEN 6 AND 10 THEN '6-10' ELSE '11+' END AS faixa, total "
+    "WITH t AS (SELECT o_custkey, count(*) AS total FROM orders GROUP BY 1), f AS (SELECT c_mktsegment, CASE WHEN total = 1 THEN '1' WHEN total = 2 THEN '2' WHEN total "
+    "BETWEEN 3 AND 5 THEN '3-5' WHEN total BETWEEN 6 AND 10 THEN '6-10' ELSE '11+' END AS faixa, total "
     "FROM t JOIN customer ON c_custkey = o_custkey) SELECT c_mktsegment, faixa, count(*) AS cidades, CAST(sum(total) AS BIGINT) AS estabelecimentos FROM f GROUP BY 1, 2"
 )
 def q20_size_bands(spark, sf):
@@ -361,7 +388,10 @@ def q20_size_bands(spark, sf):
     return reports.size_bands(t.join(c, F.col("c_custkey") == F.col("o_custkey")), "c_mktsegment")
 
 
-@query(f"WITH {_EXPORT}, p AS (SELECT vertical, a.cnae, count(*) AS n FROM alvo a JOIN vertical_cnae v ON v.cnae = a.cnae GROUP BY 1, 2) SELECT vertical, p.cnae, descricao, n, round(100.0 * CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY vertical), 1) AS pct_da_vertical FROM p JOIN cnaes c ON c.codigo = p.cnae")
+@query(
+    f"WITH {_EXPORT}, p AS (SELECT vertical, a.cnae, count(*) AS n FROM alvo a JOIN vertical_cnae v ON v.cnae = a.cnae GROUP BY 1, 2) SELECT vertical, p.cnae, descricao, n, "
+    "round(100.0 * CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY vertical), 1) AS pct_da_vertical FROM p JOIN cnaes c ON c.codigo = p.cnae"
+)
 def q21_composition(spark, sf):
     r = R.relations(spark, sf)
     # every mapped code is in the dictionary here but one, whose share still counts in its group
@@ -369,16 +399,21 @@ def q21_composition(spark, sf):
 
 
 @query(
-    f"WITH {_EXPORT} SELECT vertical, count(*) AS total, count(DISTINCT municipio_slug || '/' || uf) AS cidades, count(telefone) AS com_telefone, count(*) FILTER (WHERE telefone_tipo = 'fixo') AS com_fixo, count(*) FILTER (WHERE telefone_tipo = 'movel') AS com_movel, "
-    "count(telefone_2) AS com_segundo_telefone, count(nome_fantasia) AS com_nome_fantasia, count(email) AS com_email, count(site_candidato) AS com_site_candidato, count(endereco) AS com_endereco, count(cep_formatado) AS com_cep, "
-    "count(*) FILTER (WHERE origem_cnae = 'principal') AS via_cnae_principal, count(*) FILTER (WHERE origem_cnae = 'secundario') AS via_cnae_secundario, count(*) FILTER (WHERE mei) AS mei, count(*) FILTER (WHERE matriz) AS matriz, count(*) FILTER (WHERE suspeita_duplicata) AS suspeita_duplicata, count(*) FILTER (WHERE ibge IS NULL) AS sem_ibge FROM exportacao GROUP BY 1"
+    f"WITH {_EXPORT} SELECT vertical, count(*) AS total, count(DISTINCT municipio_slug || '/' || uf) AS cidades, count(telefone) AS com_telefone, count(*) FILTER (WHERE "
+    "telefone_tipo = 'fixo') AS com_fixo, count(*) FILTER (WHERE telefone_tipo = 'movel') AS com_movel, "
+    "count(telefone_2) AS com_segundo_telefone, count(nome_fantasia) AS com_nome_fantasia, count(email) AS com_email, count(site_candidato) AS com_site_candidato, "
+    "count(endereco) AS com_endereco, count(cep_formatado) AS com_cep, "
+    "count(*) FILTER (WHERE origem_cnae = 'principal') AS via_cnae_principal, count(*) FILTER (WHERE origem_cnae = 'secundario') AS via_cnae_secundario, count(*) FILTER "
+    "(WHERE mei) AS mei, count(*) FILTER (WHERE matriz) AS matriz, count(*) FILTER (WHERE suspeita_duplicata) AS suspeita_duplicata, count(*) FILTER (WHERE ibge IS NULL) "
+    "AS sem_ibge FROM exportacao GROUP BY 1"
 )
 def q22_fill_rates(spark, sf):
     return reports.fill_rates(_export(spark, sf))
 
 
 @query(
-    "WITH e AS (SELECT event_type, strftime(ts, '%Y-%m-%d') AS dia FROM events), n AS (SELECT event_type, dia, count(*) AS n FROM e GROUP BY 1, 2), g AS (SELECT * FROM (SELECT DISTINCT event_type FROM e) CROSS JOIN (SELECT DISTINCT dia FROM e)) "
+    "WITH e AS (SELECT event_type, strftime(ts, '%Y-%m-%d') AS dia FROM events), n AS (SELECT event_type, dia, count(*) AS n FROM e GROUP BY 1, 2), g AS (SELECT * FROM "
+    "(SELECT DISTINCT event_type FROM e) CROSS JOIN (SELECT DISTINCT dia FROM e)) "
     "SELECT g.event_type, g.dia, coalesce(n.n, 0) AS n FROM g LEFT JOIN n ON n.event_type IS NOT DISTINCT FROM g.event_type AND n.dia IS NOT DISTINCT FROM g.dia"
 )
 def q23_crosstab(spark, sf):
@@ -395,7 +430,8 @@ def q24_top_k(spark, sf):
 
 
 @query(
-    f"WITH {_EXPORT} SELECT w.id, cnpj_formatado, nome, razao_social, uf, municipio, telefone_formatado, telefone_9_formatado, email, string_agg(DISTINCT v.vertical, ',' ORDER BY v.vertical) AS verticais "
+    f"WITH {_EXPORT} SELECT w.id, cnpj_formatado, nome, razao_social, uf, municipio, telefone_formatado, telefone_9_formatado, email, string_agg(DISTINCT v.vertical, ',' "
+    "ORDER BY v.vertical) AS verticais "
     "FROM wide w JOIN verticais v ON v.id = w.id WHERE mei GROUP BY ALL"
 )
 def q25_sole_traders(spark, sf):
@@ -440,7 +476,8 @@ def _places(spark, sf) -> DataFrame:
 
 _PARTS = f"partes AS (SELECT posto_id, i, {O.e164('d[1:2]', 'd[3:]')} AS e FROM (SELECT posto_id, i, {O.digits('raw')} AS d FROM (SELECT posto_id, unnest(str_split(telefones, '|')) AS raw, generate_subscripts(str_split(telefones, '|'), 1) AS i FROM postos WHERE coalesce(telefones, '') <> '')) WHERE i <= 10)"
 _FONES = (
-    f"{_PARTS}, fones AS (SELECT posto_id, max(CASE WHEN pos = 1 THEN e END) AS telefone, max(CASE WHEN pos = 2 THEN e END) AS telefone_2 FROM (SELECT posto_id, e, row_number() OVER (PARTITION BY posto_id ORDER BY i, e) AS pos "
+    f"{_PARTS}, fones AS (SELECT posto_id, max(CASE WHEN pos = 1 THEN e END) AS telefone, max(CASE WHEN pos = 2 THEN e END) AS telefone_2 FROM (SELECT posto_id, e, "
+    "row_number() OVER (PARTITION BY posto_id ORDER BY i, e) AS pos "
     "FROM (SELECT posto_id, e, min(i) AS i FROM partes WHERE e IS NOT NULL GROUP BY 1, 2)) WHERE pos <= 2 GROUP BY 1)"
 )
 
@@ -475,7 +512,8 @@ def _keys_sql(name: str, key: str) -> str:
 
 
 _MATCH = (
-    f"kp AS {_keys_sql('fones', 'posto_id')}, ke AS {_keys_sql('wide', 'id')}, casa AS (SELECT posto_id, min(r.id) AS id FROM kp JOIN ke r ON r.chave = kp.chave WHERE r.chave IN (SELECT chave FROM ke GROUP BY 1 HAVING count(DISTINCT id) = 1) "
+    f"kp AS {_keys_sql('fones', 'posto_id')}, ke AS {_keys_sql('wide', 'id')}, casa AS (SELECT posto_id, min(r.id) AS id FROM kp JOIN ke r ON r.chave = kp.chave WHERE "
+    "r.chave IN (SELECT chave FROM ke GROUP BY 1 HAVING count(DISTINCT id) = 1) "
     "GROUP BY 1 HAVING count(DISTINCT r.id) = 1)"
 )
 
@@ -485,7 +523,10 @@ def q29_unique_key_match(spark, sf):
     return resolve.company_of_posts(resolve.phones_of_posts(_posts(spark, sf)), _phones_of_target(spark, sf))
 
 
-@query("SELECT DISTINCT a.p_partkey FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_partkey <> b.p_partkey AND jaro_winkler_similarity(a.p_name, b.p_name) >= 0.9")
+@query(
+    "SELECT DISTINCT a.p_partkey FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_type = b.p_type AND a.p_partkey <> b.p_partkey AND jaro_winkler_similarity(a.p_name, "
+    "b.p_name) >= 0.9"
+)
 def q30_similar_in_block(spark, sf):
     return resolve.similar_in_block(table(spark, sf, "part"), ["p_brand", "p_type"], "p_partkey", "p_name")
 
@@ -520,7 +561,11 @@ def q48_brands_by_state(spark, sf):
     return brands.by_state(_brand_rows(spark, sf))
 
 
-@query(f"WITH {_READY} SELECT fonte, count(*) AS oficinas, count(municipio_slug) AS com_municipio, count(*) FILTER (WHERE municipio_origem = '{crosswalk.IN_ADDRESS}') AS municipio_pelo_endereco, count(telefone) AS com_telefone, count(email) AS com_email, count(cnpj) AS casadas_com_cnpj, count(DISTINCT uf) AS estados, count(DISTINCT uf || '/' || coalesce(municipio_slug, '?')) AS cidades FROM pronto GROUP BY 1")
+@query(
+    f"WITH {_READY} SELECT fonte, count(*) AS oficinas, count(municipio_slug) AS com_municipio, count(*) FILTER (WHERE municipio_origem = '{crosswalk.IN_ADDRESS}') AS "
+    "municipio_pelo_endereco, count(telefone) AS com_telefone, count(email) AS com_email, count(cnpj) AS casadas_com_cnpj, count(DISTINCT uf) AS estados, count(DISTINCT uf || "
+    "'/' || coalesce(municipio_slug, '?')) AS cidades FROM pronto GROUP BY 1"
+)
 def q49_brand_coverage(spark, sf):
     return brands.coverage(_posts_ready(spark, sf))
 
@@ -528,7 +573,10 @@ def q49_brand_coverage(spark, sf):
 _BCITY = "bc AS (SELECT marca, uf, municipio, municipio_slug, ibge, count(*) AS total FROM publicacao_marca WHERE municipio_slug IS NOT NULL GROUP BY ALL)"
 
 
-@query(f"WITH {_READY}, {_BCITY} SELECT a.marca, a.uf, a.municipio_slug, b.marca AS vizinha, b.total FROM bc a JOIN bc b ON a.uf = b.uf AND a.municipio_slug = b.municipio_slug AND a.marca <> b.marca")
+@query(
+    f"WITH {_READY}, {_BCITY} SELECT a.marca, a.uf, a.municipio_slug, b.marca AS vizinha, b.total FROM bc a JOIN bc b ON a.uf = b.uf AND a.municipio_slug = b.municipio_slug "
+    "AND a.marca <> b.marca"
+)
 def q43_neighbours(spark, sf):
     return brands.neighbours(brands.by_city(_brand_rows(spark, sf))).select("marca", "uf", "municipio_slug", "vizinha", "total")
 
@@ -539,7 +587,8 @@ def q43b_siblings(spark, sf):
 
 
 @query(
-    f"WITH {_READY}, t AS (SELECT marca, marca_nome, fonte, count(*) AS total, max(coletado_em) AS coletado_em FROM publicacao_marca GROUP BY 1, 2, 3) SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY fonte ORDER BY total DESC, lower(marca_nome), marca) = 1"
+    f"WITH {_READY}, t AS (SELECT marca, marca_nome, fonte, count(*) AS total, max(coletado_em) AS coletado_em FROM publicacao_marca GROUP BY 1, 2, 3) SELECT * FROM t "
+    "QUALIFY row_number() OVER (PARTITION BY fonte ORDER BY total DESC, lower(marca_nome), marca) = 1"
 )
 def q43c_one_per_source(spark, sf):
     return brands.one_per_source(brands.ranked(_brand_rows(spark, sf)))
@@ -551,7 +600,10 @@ def q43d_brands_by_city(spark, sf):
     return b.select("uf", "municipio_slug", F.array_join(F.transform("marcas", lambda m: F.concat_ws(":", m["marca"], m["total"].cast("string"))), ",").alias("marcas"))
 
 
-@query(f"WITH {R.CTE}, {_COUNTS} SELECT v.vertical, v.cnae, c.descricao, n_principal, n_secundario, n_principal + n_secundario AS n_total_ocorrencias FROM vertical_cnae v JOIN cnaes c ON c.codigo = v.cnae LEFT JOIN contagem k ON k.codigo = v.cnae")
+@query(
+    f"WITH {R.CTE}, {_COUNTS} SELECT v.vertical, v.cnae, c.descricao, n_principal, n_secundario, n_principal + n_secundario AS n_total_ocorrencias FROM vertical_cnae v JOIN "
+    "cnaes c ON c.codigo = v.cnae LEFT JOIN contagem k ON k.codigo = v.cnae"
+)
 def q50_code_report(spark, sf):
     r = R.relations(spark, sf)
     return reports.code_report(r["vertical_cnae"], r["cnaes"], classify.code_counts(r["estabelecimentos"], r["cnaes"]))
@@ -590,7 +642,10 @@ def q32_phones_in_text(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.telefones("text").alias("telefones"))
 
 
-@query("SELECT page_id, b, trim(regexp_replace(replace(x, '</p>', ''), '<[^>]+>', ' ', 'g')) AS bloco FROM (SELECT page_id, unnest(str_split(html, '<p>')[2:]) AS x, generate_subscripts(str_split(html, '<p>')[2:], 1) AS b FROM pages)")
+@query(
+    "SELECT page_id, b, trim(regexp_replace(replace(x, '</p>', ''), '<[^>]+>', ' ', 'g')) AS bloco FROM (SELECT page_id, unnest(str_split(html, '<p>')[2:]) AS x, "
+    "generate_subscripts(str_split(html, '<p>')[2:], 1) AS b FROM pages)"
+)
 def q33_block_split(spark, sf):
     blocks = table(spark, sf, "pages").select("page_id", F.posexplode(F.slice(F.split("html", "(?=<p>)"), 2, 2**30)).alias("i", "x"))
     clean = F.trim(F.regexp_replace(F.replace(F.substring("x", 4, 2**31 - 1), F.lit("</p>"), F.lit("")), "<[^>]+>", " "))
@@ -612,8 +667,10 @@ _STATES = [(1, "São Paulo", "RUA A - NATAL - RN", "(47) 3435-0000"), (2, "", "R
 
 
 @query(
-    f"SELECT k, coalesce(nullif({O.state('nome')}, ''), nullif({O.state('''regexp_extract(trim(coalesce(fim, '')), '[,\\-–]\\s*([A-Za-z]{2})\\s*\\.?\\s*$', 1)''')}, ''), {O.state_of_ddd('''regexp_replace(coalesce(fone, ''), '[^0-9]', '', 'g')[1:2]''')}, '') AS uf "
-    f"FROM (SELECT * FROM {O.values(_STATES, 'k, nome, fim, fone')} UNION ALL SELECT 100 + c_custkey, '', 'RUA ' || c_name, '(' || lpad(CAST(c_custkey % 100 AS STRING), 2, '0') || ') 3435-0000' FROM customer)"
+    f"SELECT k, coalesce(nullif({O.state('nome')}, ''), nullif({O.state('''regexp_extract(trim(coalesce(fim, '')), '[,\\-–]\\s*([A-Za-z]{2})\\s*\\.?\\s*$', 1)''')}, ''), "
+    f"{O.state_of_ddd('''regexp_replace(coalesce(fone, ''), '[^0-9]', '', 'g')[1:2]''')}, '') AS uf "
+    f"FROM (SELECT * FROM {O.values(_STATES, 'k, nome, fim, fone')} UNION ALL SELECT 100 + c_custkey, '', 'RUA ' || c_name, '(' || lpad(CAST(c_custkey % 100 AS STRING), 2, "
+    "'0') || ') 3435-0000' FROM customer)"
 )
 def q36_state_fallback(spark, sf):
     made = table(spark, sf, "customer").selectExpr("100 + c_custkey as k", "'' as nome", "'RUA ' || c_name as fim", "'(' || lpad(cast(c_custkey % 100 as string), 2, '0') || ') 3435-0000' as fone")
@@ -625,7 +682,8 @@ _HOST = "regexp_extract(url, 'https?://([^/]+)', 1)"
 
 
 @query(
-    f"SELECT page_id, {_HOST} AS host, CAST(floor((row_number() OVER (PARTITION BY {_HOST} ORDER BY url, page_id) - 1) / 10) + 1 AS BIGINT) AS page, CAST(ceil(count(*) OVER (PARTITION BY {_HOST}) / 10) AS BIGINT) AS pages FROM pages"
+    f"SELECT page_id, {_HOST} AS host, CAST(floor((row_number() OVER (PARTITION BY {_HOST} ORDER BY url, page_id) - 1) / 10) + 1 AS BIGINT) AS page, CAST(ceil(count(*) "
+    f"OVER (PARTITION BY {_HOST}) / 10) AS BIGINT) AS pages FROM pages"
 )
 def q37_paging(spark, sf):
     from ..operators import sinks
@@ -647,7 +705,10 @@ def q39_character_audit(spark, sf):
     return c.groupBy("caractere").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("documentos"))
 
 
-@query("SELECT doc_id, source AS fonte, lang FROM documents WHERE source NOT IN (SELECT source FROM documents WHERE doc_id % 3 = 0 AND source < 'src15') UNION ALL SELECT doc_id, source, upper(lang) FROM documents WHERE doc_id % 3 = 0 AND source < 'src15'")
+@query(
+    "SELECT doc_id, source AS fonte, lang FROM documents WHERE source NOT IN (SELECT source FROM documents WHERE doc_id % 3 = 0 AND source < 'src15') UNION ALL SELECT doc_id, "
+    "source, upper(lang) FROM documents WHERE doc_id % 3 = 0 AND source < 'src15'"
+)
 def q40_refresh_by_source(spark, sf):
     old = table(spark, sf, "documents").select("doc_id", F.col("source").alias("fonte"), "lang")
     new = old.where((F.col("doc_id") % 3 == 0) & (F.col("fonte") < "src15")).withColumn("lang", F.upper("lang"))
@@ -655,7 +716,8 @@ def q40_refresh_by_source(spark, sf):
 
 
 @query(
-    "SELECT 'rows' AS stage, count(*) AS n FROM orders UNION ALL SELECT 'fechados', count(*) FILTER (WHERE o_orderstatus = 'F') FROM orders UNION ALL SELECT 'caros', count(*) FILTER (WHERE o_totalprice > 100000) FROM orders"
+    "SELECT 'rows' AS stage, count(*) AS n FROM orders UNION ALL SELECT 'fechados', count(*) FILTER (WHERE o_orderstatus = 'F') FROM orders UNION ALL SELECT 'caros', "
+    "count(*) FILTER (WHERE o_totalprice > 100000) FROM orders"
 )
 def q41_count_trail(spark, sf):
     return reports.count_trail(table(spark, sf, "orders"), fechados=F.col("o_orderstatus") == "F", caros=F.col("o_totalprice") > 100000)
@@ -671,8 +733,10 @@ def q42_csv_round_trip(spark, sf):
 
 
 @query(
-    "SELECT o_orderkey, replace(format('{:,}', o_orderkey * 1000), ',', '.') AS numero, strftime(o_orderdate, '%d/%m/%Y') AS data, replace(replace(replace(o_orderpriority || ' <b> & \"x\"', '&', '&amp;'), '<', '&lt;'), '\"', '&quot;') AS seguro, "
-    "CASE WHEN o_orderkey % 7 = 1 THEN 'loja' ELSE 'lojas' END AS plural_, array_to_string(list_sort(list_distinct(list_concat([1, 40], range(greatest(1, o_orderkey % 40 - 1), least(40, o_orderkey % 40 + 3) + 1)))), ',') AS janela FROM orders"
+    "SELECT o_orderkey, replace(format('{:,}', o_orderkey * 1000), ',', '.') AS numero, strftime(o_orderdate, '%d/%m/%Y') AS data, replace(replace(replace(o_orderpriority "
+    "|| ' <b> & \"x\"', '&', '&amp;'), '<', '&lt;'), '\"', '&quot;') AS seguro, "
+    "CASE WHEN o_orderkey % 7 = 1 THEN 'loja' ELSE 'lojas' END AS plural_, array_to_string(list_sort(list_distinct(list_concat([1, 40], range(greatest(1, o_orderkey % 40 "
+    "- 1), least(40, o_orderkey % 40 + 3) + 1)))), ',') AS janela FROM orders"
 )
 def q44_presentation(spark, sf):
     """Every order, the first and the last pages of the link window included."""
@@ -701,7 +765,8 @@ _FRAGMENT = {
 
 @query(
     f"WITH f AS (SELECT s_suppkey, {_FRAGMENT['phone']} AS phone, {_FRAGMENT['postal']} AS postal, {_FRAGMENT['street']} AS street FROM supplier) "
-    "SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'loja' || CAST(s_suppkey AS STRING) || '@som.com.br' WHEN 1 THEN 'ab@xi.io' ELSE 'c.d@e' || CAST(s_suppkey AS STRING) || '.com' END AS email, "
+    "SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'loja' || CAST(s_suppkey AS STRING) || '@som.com.br' WHEN 1 THEN 'ab@xi.io' ELSE 'c.d@e' || CAST(s_suppkey AS "
+    "STRING) || '.com' END AS email, "
     "postal AS cep, replace(replace(replace(replace(phone, '(', ''), ') ', ''), '-', ''), ' ', '') AS telefones, street AS endereco, "
     "CASE s_suppkey % 2 WHEN 0 THEN 'https://loja' || CAST(s_suppkey AS STRING) || '.example/p' ELSE 'https://www.som' || CAST(s_suppkey AS STRING) || '.com.br' END AS site FROM f"
 )
@@ -811,7 +876,10 @@ def q61_quarantine(spark, sf):
 _TWICE = "duas AS (SELECT * FROM postos UNION ALL SELECT * REPLACE (upper(nome) AS nome, 'X' AS bairro) FROM postos)"
 
 
-@query(f"WITH {_POSTS_CTE}, {_TWICE} SELECT {', '.join(src.POSTO)} FROM duas QUALIFY row_number() OVER (PARTITION BY fonte, posto_id ORDER BY {', '.join(c + ' NULLS LAST' for c in src.POSTO)}) = 1")
+@query(
+    f"WITH {_POSTS_CTE}, {_TWICE} SELECT {', '.join(src.POSTO)} FROM duas QUALIFY row_number() OVER (PARTITION BY fonte, posto_id ORDER BY "
+    f"{', '.join(c + ' NULLS LAST' for c in src.POSTO)}) = 1"
+)
 def q55_stable_posts(spark, sf):
     """Shops once each, the first of its versions, in a stable order."""
     p = _posts(spark, sf).select(*src.POSTO)
@@ -819,7 +887,8 @@ def q55_stable_posts(spark, sf):
 
 
 @query(
-    "SELECT * FROM (SELECT o_orderstatus, o_orderpriority, n, round(100.0 * CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY o_orderstatus), 1) AS pct FROM (SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2)) "
+    "SELECT * FROM (SELECT o_orderstatus, o_orderpriority, n, round(100.0 * CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY o_orderstatus), 1) AS pct FROM (SELECT "
+    "o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY 1, 2)) "
     "WHERE pct >= 20 AND regexp_matches(o_orderpriority, '^[1-4]')"
 )
 def q56_dominant_labels(spark, sf):
@@ -828,7 +897,8 @@ def q56_dominant_labels(spark, sf):
 
 
 @query(
-    "SELECT c_custkey, nome FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name || ' ' || lpad(CAST(c_custkey AS STRING), 11, '0') WHEN c_custkey % 3 = 1 THEN c_name || ' ' || lpad(CAST(c_custkey AS STRING), 10, '0') ELSE c_name END AS nome FROM customer) "
+    "SELECT c_custkey, nome FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_name || ' ' || lpad(CAST(c_custkey AS STRING), 11, '0') WHEN c_custkey % 3 = 1 THEN "
+    "c_name || ' ' || lpad(CAST(c_custkey AS STRING), 10, '0') ELSE c_name END AS nome FROM customer) "
     "WHERE regexp_matches(nome, '[0-9]{11}$')"
 )
 def q57_personal_numbers(spark, sf):
@@ -836,7 +906,10 @@ def q57_personal_numbers(spark, sf):
     return reports.leaks(table(spark, sf, "customer").selectExpr("c_custkey", f"{nome} AS nome"), "nome")
 
 
-@query(f"WITH {_POSTS_CTE} SELECT fonte, TRY_CAST(coletado_em AS DATE) AS coletado_em, posto_id, nullif(nome, '') AS nome, nullif(endereco, '') AS endereco FROM postos WHERE fonte IN (SELECT fonte FROM marca)")
+@query(
+    f"WITH {_POSTS_CTE} SELECT fonte, TRY_CAST(coletado_em AS DATE) AS coletado_em, posto_id, nullif(nome, '') AS nome, nullif(endereco, '') AS endereco FROM postos WHERE "
+    "fonte IN (SELECT fonte FROM marca)"
+)
 def q58_posts_round_trip(spark, sf):
     """The collector's CSV, written and read again: sources with a brand only, dates that are none are null."""
     path = new_path(spark, "postos")
@@ -846,12 +919,15 @@ def q58_posts_round_trip(spark, sf):
 
 
 @query(
-    f"WITH l AS (SELECT vertical, uf, municipio, municipio_slug, count(*) AS total, count(*) FILTER (WHERE origem_cnae = 'principal') AS principais FROM (WITH {_EXPORT} SELECT * FROM exportacao) "
+    f"WITH l AS (SELECT vertical, uf, municipio, municipio_slug, count(*) AS total, count(*) FILTER (WHERE origem_cnae = 'principal') AS principais FROM (WITH {_EXPORT} "
+    "SELECT * FROM exportacao) "
     "WHERE uf <> 'EX' AND municipio_slug IS NOT NULL GROUP BY ALL), "
-    f"m AS (SELECT 'assistencia-tecnica' AS vertical, uf, municipio_slug, string_agg(marca || ':' || total, ',' ORDER BY marca) AS marcas FROM (WITH {_READY}, {_BCITY} SELECT * FROM bc) GROUP BY ALL), "
+    f"m AS (SELECT 'assistencia-tecnica' AS vertical, uf, municipio_slug, string_agg(marca || ':' || total, ',' ORDER BY marca) AS marcas FROM (WITH {_READY}, {_BCITY} "
+    "SELECT * FROM bc) GROUP BY ALL), "
     "p AS (SELECT *, CAST(ceil(total / 100) AS BIGINT) AS paginas, unnest(range(1, CAST(ceil(total / 100) AS BIGINT) + 1)) AS pagina FROM l) "
     "SELECT vertical, uf, municipio, municipio_slug, total, principais, paginas, pagina, coalesce(marcas, '') AS marcas, least(100, total - 100 * (pagina - 1)) AS na_pagina, "
-    "'/' || vertical || '/' || lower(uf) || '/' || municipio_slug || '/' || CASE WHEN pagina > 1 THEN CAST(pagina AS STRING) || '/' ELSE '' END AS caminho FROM p LEFT JOIN m USING (vertical, uf, municipio_slug)"
+    "'/' || vertical || '/' || lower(uf) || '/' || municipio_slug || '/' || CASE WHEN pagina > 1 THEN CAST(pagina AS STRING) || '/' ELSE '' END AS caminho FROM p LEFT "
+    "JOIN m USING (vertical, uf, municipio_slug)"
 )
 def q59_city_pages(spark, sf):
     """Pages of every city of every vertical; only one vertical shows brands."""
