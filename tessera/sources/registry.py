@@ -176,10 +176,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 def suspect_bytes(spark: SparkSession, path: str) -> DataFrame:
     """Histogram of control bytes by file: path, byte (two hex digits), n.  Tab, line feed and return are none.
 
-    Latin-1 reads each byte as one character, so lines are enough and no file is held whole.
+    The text source hands on the bytes of each line, and Latin-1 makes one character of each, so
+    lines are enough and no file is held whole.
     """
-    lines = spark.read.option("encoding", "ISO-8859-1").option("header", False).option("sep", "\u0001").option("quote", "").schema("value string").csv(path)
-    found = lines.select(F.col("_metadata.file_path").alias("path"), F.explode(control_characters(F.col("value"))).alias("c"))
+    lines = spark.read.option("lineSep", "\n").text(path).select("_metadata.file_path", F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("value"))
+    found = lines.select(F.col("file_path").alias("path"), F.explode(control_characters(F.col("value"))).alias("c"))
     return found.groupBy("path", F.lower(F.lpad(F.hex(F.ascii("c")), 2, "0")).alias("byte")).agg(F.count(F.lit(1)).alias("n"))
 
 

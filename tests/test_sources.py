@@ -74,6 +74,8 @@ def test_byte_audit(spark, tmp_path):
     (tmp_path / "x.bin").write_bytes(b"ab\x1a\tc\n\x8f\x8fd\n")
     got = {r.byte: r.n for r in registry.suspect_bytes(spark, str(tmp_path)).collect()}
     assert got == {"1a": 1, "8f": 2}
+    (tmp_path / "x.bin").write_bytes(b"a\x01b\x01\x1a\"c\x00\n\x9f\r\n")
+    assert {r.byte: r.n for r in registry.suspect_bytes(spark, str(tmp_path)).collect()} == {"01": 2, "1a": 1, "00": 1, "9f": 1}
 
 
 def test_json_shops(spark):
