@@ -9,6 +9,7 @@ from ..functions import address as A
 from ..functions import text as T
 from ..functions.phones import with_phone_columns
 from .crosswalk import IN_ADDRESS
+from .reports import top_per_group
 from .sinks import PAGE, breadcrumbs, escape_html, json_ld, numbered, numero, page_window, plural
 
 
@@ -38,6 +39,11 @@ def by_city(rows: DataFrame) -> DataFrame:
     return rows.where("municipio_slug is not null").groupBy("marca", "uf", "municipio", "municipio_slug", "ibge").agg(F.count(F.lit(1)).alias("total"))
 
 
+def top_cities(cities: DataFrame, n: int = 24) -> DataFrame:
+    """The ``n`` cities of each brand with most shops; of equal ones by state, then slug."""
+    return top_per_group(cities, ["marca"], [F.desc("total"), F.asc_nulls_last("uf"), F.asc("municipio_slug"), F.asc_nulls_last("municipio"), F.asc_nulls_last("ibge")], n)
+
+
 def coverage(posts: DataFrame) -> DataFrame:
     return posts.groupBy("fonte").agg(
         F.count(F.lit(1)).alias("oficinas"), F.count("municipio_slug").alias("com_municipio"), F.count_if(F.col("municipio_origem") == IN_ADDRESS).alias("municipio_pelo_endereco"),

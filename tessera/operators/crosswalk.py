@@ -40,7 +40,7 @@ def duplicate_slugs(municipios: DataFrame) -> DataFrame:
 
 
 def unmatched(municipios: DataFrame) -> DataFrame:
-    why = F.when(F.col("uf").isNull(), "sem UF: nenhum estabelecimento usa este código").when(F.col("ibge").isNull(), "sem correspondência IBGE por nome+UF")
+    why = F.when(F.col("uf").isNull(), WITHOUT_STATE).when(F.col("ibge").isNull(), WITHOUT_NAME)
     return (
         municipios.where("ibge is null or uf is null").select("codigo_rfb", "municipio", "municipio_slug", "uf", "estabelecimentos_no_municipio", why.alias("motivo"))
         .orderBy(F.desc_nulls_last("estabelecimentos_no_municipio"), "codigo_rfb")
@@ -52,7 +52,8 @@ def targets(municipios: DataFrame) -> DataFrame:
     return municipios.where("uf is not null and municipio_slug is not null").groupBy("uf", "municipio_slug").agg(F.min("municipio").alias("municipio"), F.min("ibge").alias("ibge"))
 
 
-# How a shop's municipality was found.
+# How a shop's municipality was found, and why a code has none.
+WITHOUT_STATE, WITHOUT_NAME = "sem UF: nenhum estabelecimento usa este código", "sem correspondência IBGE por nome+UF"
 PUBLISHED = "cidade publicada pela fonte"
 IN_ADDRESS = "nome do município no endereço"
 FEDERAL = "município único do Distrito Federal"

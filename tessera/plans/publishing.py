@@ -303,3 +303,11 @@ def q76_collectable_brands(spark, sf):
     marca = catalog.brands(spark, {k: {"nome": n, "fonte": f} for k, (n, f) in _CATALOGUE.items()}, sources)
     n = Q._posts(spark, sf).groupBy("fonte").agg(F.count("posto_id").alias("n"))
     return marca.join(n, "fonte", "left").select("marca", "marca_nome", "fonte", F.coalesce("n", F.lit(0)).alias("oficinas"))
+
+
+@query(
+    f"WITH {Q._READY}, {Q._BCITY} SELECT *, row_number() OVER (PARTITION BY marca ORDER BY total DESC, uf NULLS LAST, municipio_slug, municipio NULLS LAST, ibge NULLS LAST) AS pos FROM bc QUALIFY pos <= 3"
+)
+def q77_top_cities_of_brands(spark, sf):
+    """The cities of each brand with most shops, in a total order."""
+    return brands.top_cities(brands.by_city(Q._brand_rows(spark, sf)), 3)
