@@ -692,11 +692,20 @@ def q37_paging(spark, sf):
     return sinks.numbered(p, ["host"], [F.col("url"), F.col("page_id")], 10).select("page_id", "host", "page", "pages")
 
 
-@query("SELECT n_name, count(*) AS n, string_agg(c_name, '; ' ORDER BY c_name, c_custkey) AS clientes FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1")
+@query(
+    "WITH c AS (SELECT n_name, c_name, c_custkey, row_number() OVER (PARTITION BY n_name ORDER BY c_name, c_custkey) AS i, count(*) OVER (PARTITION BY n_name) AS n FROM customer JOIN nation ON n_nationkey = c_nationkey) "
+    "SELECT n_name, CAST(floor((i - 1) / 100) + 1 AS BIGINT) AS pagina, any_value(n) AS n, string_agg(c_name, '; ' ORDER BY i) AS clientes FROM c GROUP BY 1, 2"
+)
 def q38_nested_lists(spark, sf):
-    rows = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    """Lists by nation, at most 100 names a row: pages are numbered before anything is nested."""
+    from ..operators import sinks
+
+    rows = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("n_nationkey") == F.col("c_nationkey")).select("n_name", "c_name", "c_custkey")
+    paged = sinks.numbered(rows, ["n_name"], [F.col("c_name"), F.col("c_custkey")], 100, "pagina")
     listed = F.array_sort(F.collect_list(F.struct("c_name", "c_custkey")))
-    return rows.groupBy("n_name").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(listed, lambda x: x["c_name"]), "; ").alias("clientes"))
+    pages = paged.groupBy("n_name", "pagina").agg(F.array_join(F.transform(listed, lambda x: x["c_name"]), "; ").alias("clientes"))
+    n = rows.groupBy("n_name").agg(F.count(F.lit(1)).alias("n"))
+    return pages.join(n, "n_name").select("n_name", "pagina", "n", "clientes")
 
 
 @query("SELECT c AS caractere, count(*) AS n, count(DISTINCT doc_id) AS documentos FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[^\\x00-\\x7F]')) AS c FROM documents) GROUP BY 1")
