@@ -60,17 +60,21 @@ def similar_in_block(rows: DataFrame, block: list[str], id_col: str, text: str,
     """
     base = rows.select(id_col, text, *block).where(" and ".join(f"`{c}` is not null" for c in (text, *block)))
     texts = base.groupBy(*block, text).agg(F.count_distinct(id_col).alias("ids"))
-    parts = texts.groupBy(*block).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("_parts"))
-    sketched = stage(texts.join(parts, block).withColumn("_s", letter_sketch(text)), "sketches")
-    mine = sketched.withColumn("_i", F.pmod(F.xxhash64(text), F.col("_parts")).cast("int"))
-    # part i meets itself and every other: (i, j) with i <= j
-    dealt = mine.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    lo, hi = F.least("_i", "_j").alias("_lo"), F.greatest("_i", "_j").alias("_hi")
-    side = dealt.select(*block, text, "_s", "_i", lo, hi)
+    sketched = stage(texts.withColumn("_s", letter_sketch(text)), "sketches")
+    sizes = sketched.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= tile:
+        side, keys = sketched, block
+        once = F.col(f"a.{text}") < F.col(f"b.{text}")
+    else:
+        cut = sketched.join(sizes.select(*block, F.ceil(F.col("_n") / tile).cast("int").alias("_parts")), block)
+        cut = cut.withColumn("_i", F.pmod(F.xxhash64(text), F.col("_parts")).cast("int"))
+        # part i meets itself and every other: (i, j) with i <= j
+        dealt = cut.withColumn("_j", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+        side, keys = dealt.select("*", F.least("_i", "_j").alias("_lo"), F.greatest("_i", "_j").alias("_hi")), [*block, "_lo", "_hi"]
+        # inside a part by the order of the texts, between two parts from the lower to the higher
+        once = F.when(F.col("a._lo") == F.col("a._hi"), F.col(f"a.{text}") < F.col(f"b.{text}")).otherwise(F.col("a._i") < F.col("b._i"))
     a, b = side.alias("a"), side.alias("b")
-    met = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*block, "_lo", "_hi")]
-    # inside a part by the order of the texts, between two parts from the lower to the higher
-    once = F.when(F.col("a._lo") == F.col("a._hi"), F.col(f"a.{text}") < F.col(f"b.{text}")).otherwise(F.col("a._i") < F.col("b._i"))
+    met = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in keys]
     pairs = a.join(b, reduce(and_, [*met, may_reach(F.col("a._s"), F.col("b._s"), least), once]))
     pairs = pairs.select(*[F.col(f"a.{c}") for c in block], F.col(f"a.{text}").alias("x"), F.col(f"b.{text}").alias("y"))
     close = pairs.where(jaro_winkler_similarity("x", "y") >= least)
