@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import address as A
@@ -113,10 +115,11 @@ def nested(rows: DataFrame, size: int = PAGE) -> DataFrame:
     return pages.join(whole, "marca").select("marca", "pagina", "paginas", "n", "n_cidades", "postos")
 
 
-def pages(rows: DataFrame, marca: DataFrame, site: str, size: int = PAGE) -> DataFrame:
+def pages(rows: DataFrame, marca: DataFrame, site: str, size: int = PAGE, shown: Callable[[Column], Column] = numero) -> DataFrame:
     """The page bodies of each brand: path, title, links to other pages, breadcrumbs, and a JSON-LD list of its shops.
 
     marca, pagina, caminho, titulo, trilha (JSON), lista (JSON-LD), corpo (HTML of at most ``size`` shops).
+    ``shown`` writes the numbers of the title.
     """
     made = nested(rows, size).join(marca.select("marca", "marca_nome"), "marca")
     path = lambda n: F.concat(F.lit("/marcas/"), "marca", F.lit("/"), F.when(n > 1, F.concat(n.cast("string"), F.lit("/"))).otherwise(""))
@@ -130,7 +133,7 @@ def pages(rows: DataFrame, marca: DataFrame, site: str, size: int = PAGE) -> Dat
     entry = lambda p: F.concat(F.lit("<li>"), escape_html(p["nome"]), F.lit(" \u2014 "), escape_html(place(p)), F.lit("</li>"))
     link = lambda n: F.when(n == F.col("pagina"), F.concat(F.lit("<b>"), n.cast("string"), F.lit("</b>"))).otherwise(F.concat(F.lit('<a href="'), path(n), F.lit('">'), n.cast("string"), F.lit("</a>")))
     corpo = F.concat(F.lit("<ul>"), F.array_join(F.transform("postos", entry), ""), F.lit("</ul>"), F.when(F.col("paginas") > 1, F.concat(F.lit("<nav>"), F.array_join(F.transform("links", link), " "), F.lit("</nav>"))).otherwise(""))
-    count = F.concat(numero(F.col("n")), F.lit(" "), plural(F.col("n"), "oficina", "oficinas"), F.lit(" em "), numero(F.col("n_cidades")), F.lit(" "), plural(F.col("n_cidades"), "cidade", "cidades"))
+    count = F.concat(shown(F.col("n")), F.lit(" "), plural(F.col("n"), "oficina", "oficinas"), F.lit(" em "), shown(F.col("n_cidades")), F.lit(" "), plural(F.col("n_cidades"), "cidade", "cidades"))
     return made.select(
         "marca", "pagina", "paginas", "caminho", F.concat("marca_nome", F.lit(": "), count).alias("titulo"),
         breadcrumbs((F.lit("In\u00edcio"), F.lit(f"{site}/")), (F.lit("Marcas"), F.lit(f"{site}/marcas/")), (F.col("marca_nome"), None)).alias("trilha"),

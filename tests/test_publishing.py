@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import brands, checks, sinks
 from tessera.operators.trail import CountTrail
+from tessera.plans import publishing
 
 
 def _jobs(spark, run):
@@ -85,6 +86,15 @@ def test_no_brand_is_one_row_of_all_its_shops(spark):
     assert '<b>3</b>' in body["big", 3].corpo and '<a href="/marcas/big/">1</a>' in body["big", 3].corpo and '<a href="/marcas/big/11/">11</a>' in body["big", 3].corpo
 
 
+def test_titles_of_brand_pages_have_plain_numbers_as_in_the_sql(spark, monkeypatch):
+    rows = spark.range(1005).selectExpr("'alfa' as marca", "'SP' as uf", "'c' || id % 1002 as municipio_slug", "'C' || id % 1002 as municipio", "'L' || id as nome", "'p' || id as posto_id")
+    monkeypatch.setattr(publishing.Q, "_brand_rows", lambda spark, sf: rows)
+    got = publishing.q66_brand_pages(spark, "").select("titulo").distinct().collect()
+    assert [r.titulo for r in got] == ["Alfa: 1005 oficinas em 1002 cidades"]
+    marca = spark.createDataFrame([("alfa", "Alfa")], "marca string, marca_nome string")
+    assert brands.pages(rows, marca, "https://x.test").first().titulo == "Alfa: 1.005 oficinas em 1.002 cidades"
+
+
 def test_a_lookup_reads_one_row_group(spark, tmp_path):
     rows = spark.range(60_000).selectExpr("sha2(cast(id as string), 256) as id", "'v' || id % 3 as vertical", "'u' || id % 7 as uf", "'c' || id % 50 as city", "id as n")
     path = str(tmp_path / "serving")
