@@ -147,9 +147,9 @@ def numero(c: Column) -> Column:
 
 
 def percentual(part: Column, total: Column) -> Column:
-    """12,3 %; a dash where there is no total."""
-    share = F.when(total != 0, F.format_number(F.lit(100.0) * part / total, 1))
-    return F.coalesce(F.concat(F.translate(share, ",.", ".,"), F.lit(" %")), F.lit("—"))
+    """1234,5 %, without points between thousands; a dash where there is no total, null where only the part is missing."""
+    share = F.translate(F.format_number(F.lit(100.0) * part / F.nullif(total, F.lit(0)), 1), ".,", ",")
+    return F.when(total.isNull() | (total == 0), F.lit("—")).otherwise(F.concat(share, F.lit(" %")))
 
 
 def data_br(c: Column) -> Column:

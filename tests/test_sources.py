@@ -144,6 +144,12 @@ def test_checks_and_sinks(spark, tmp_path):
     assert json.loads(r.j) == {"@context": "https://schema.org", "@type": "Thing", "name": "a"} and "item" not in json.loads(r.b)[1] and (r.p, r.u, len(r.n)) == ("12,5 %", "a.b/c", 10)
 
 
+def test_shares_have_no_points_between_thousands(spark):
+    rows = spark.createDataFrame([(43, 3), (49, 2), (1, 400), (12345678, 1), (7, 0), (7, None), (None, 7), (None, None)], "p int, t int")
+    got = [r.s for r in rows.select(sinks.percentual(F.col("p"), F.col("t")).alias("s")).collect()]
+    assert got == ["1433,3 %", "2450,0 %", "0,2 %", "1234567800,0 %", "—", "—", None, "—"]
+
+
 def test_brand_helpers(spark):
     rows = spark.createDataFrame([("m1", "Beta", "f", "SP", "s", "n", "p1"), ("m1", "Beta", "f", "SP", None, "n", "p2"), ("m2", "alfa", "f", "SP", "s", "n", "p1")], "marca string, marca_nome string, fonte string, uf string, municipio_slug string, nome string, posto_id string").withColumn("coletado_em", F.to_date(F.lit("2024-01-02")))
     top = brands.ranked(rows)
