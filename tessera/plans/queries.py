@@ -265,13 +265,20 @@ def q15_invalid_codes(spark, sf):
     "l_partkey AND p_size > 10"
 )
 def q16_star_join(spark, sf):
+    """Lines with what is known of their order, customer, place and part.
+
+    Customers meet orders before lines do: the lines of open orders, half of all, would meet them under
+    one key, null.  The looked-up sides are keyed uniquely and hashed, so that no task sorts its lines.
+    """
     li, o, c, n, r, p = (table(spark, sf, t) for t in ("lineitem", "orders", "customer", "nation", "region", "part"))
-    place = c.join(n, F.col("n_nationkey") == F.col("c_nationkey"), "left").join(r, F.col("r_regionkey") == F.col("n_regionkey"), "left").select("c_custkey", "c_name", "n_name", "r_name")
+    closed = o.where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderpriority")
+    closed = closed.join(c.select("c_custkey", "c_name", "c_nationkey").hint("shuffle_hash"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    place = n.join(r, F.col("r_regionkey") == F.col("n_regionkey"), "left").select("n_nationkey", "n_name", "r_name")
     return (
         li.select("l_orderkey", "l_linenumber", "l_partkey")
-        .join(o.where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_orderpriority"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .join(place, F.col("c_custkey") == F.col("o_custkey"), "left")
-        .join(p.where("p_size > 10").select("p_partkey", "p_brand"), F.col("p_partkey") == F.col("l_partkey"), "left")
+        .join(closed.hint("shuffle_hash"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .join(p.where("p_size > 10").select("p_partkey", "p_brand").hint("shuffle_hash"), F.col("p_partkey") == F.col("l_partkey"), "left")
+        .join(place, F.col("n_nationkey") == F.col("c_nationkey"), "left")
         .select("l_orderkey", "l_linenumber", "l_partkey", "o_custkey", "c_name", "n_name", "p_brand", "r_name", "o_orderpriority")
     )
 

@@ -20,6 +20,24 @@ def test_every_order_has_its_page_window(spark, sf_dir):
     assert len(got) == len(want) and {r.o_orderkey: r.janela for r in got} == want
 
 
+def test_no_task_of_the_star_join_sorts_its_lines_and_none_meets_customers_under_null(spark, sf_dir):
+    got = QUERIES["q16_star_join"][0](spark, sf_dir)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # customers (keyed by o_custkey), orders and parts are hashed whatever their size; the lines come after the customers
+    assert plan.count("ShuffledHashJoin") == 3 and "SortMergeJoin" not in plan and plan.index("ShuffledHashJoin [o_custkey") > plan.index("ShuffledHashJoin [l_orderkey")
+    of = {t: rows_of(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "nation", "region", "part")}
+    orders, parts = {r.o_orderkey: r for r in of["orders"] if r.o_orderstatus == "F"}, {r.p_partkey: r.p_brand for r in of["part"] if r.p_size > 10}
+    customers, nations, regions = ({r[0]: r for r in of[t]} for t in ("customer", "nation", "region"))
+    want = []
+    for r in of["lineitem"]:
+        o = orders.get(r.l_orderkey)
+        c = o and customers.get(o.o_custkey)
+        n = c and nations.get(c.c_nationkey)
+        g = n and regions.get(n.n_regionkey)
+        want.append((r.l_orderkey, r.l_linenumber, r.l_partkey, o and o.o_custkey, c and c.c_name, n and n.n_name, parts.get(r.l_partkey), g and g.r_name, o and o.o_orderpriority))
+    assert Counter(tuple(r) for r in got.collect()) == Counter(want)
+
+
 def test_every_phone_and_address(spark, sf_dir):
     docs = rows_of(spark, sf_dir, "documents")
     phones = [(r.doc_id, i + 1, "9" + n.replace("-", "")) for r in docs for i, (_, n) in enumerate(re.findall(r"[(]([0-9]{3})[)] ([0-9]{3}-[0-9]{4})", r.text))]
