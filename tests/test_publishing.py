@@ -67,6 +67,29 @@ def test_constraints(spark):
     assert (r.n, r.examples) == (5000, ["0", "1"])
 
 
+def test_constraints_neither_sort_nor_merge_partitions(spark):
+    from collections import Counter
+
+    # one value with a third of the rows, others that few rows have; keys that several rows share
+    rows = spark.range(0, 6000, 1, 5).selectExpr("if(id % 3 = 0, -1, id % 1700) as a", "id % 4 as b", "id % 2500 as k", "if(id % 11 = 0, null, id % 50) as q")
+    known = spark.range(0, 800).withColumnRenamed("id", "known")
+    rules = [checks.Unique(("a", "b")), checks.Unique(("k",)), checks.Holds("q small", F.col("q") < 45), checks.NotNull("q"), checks.Refers(("a",), known, ("known",), "known")]
+    found = checks.violations(rows, ["k", "b"], rules)
+    got = {r.rule: (r.n, r.examples) for r in found.collect()}
+    plain = rows.collect()
+    times = lambda of: {v: n for v, n in Counter(of).items() if n > 1}
+    broken = {
+        "a, b unique": times(f"{r.a}/{r.b}" for r in plain), "k unique": times(str(r.k) for r in plain), "q small": Counter(f"{r.k}/{r.b}" for r in plain if r.q is not None and r.q >= 45),
+        "q not null": Counter(f"{r.k}/{r.b}" for r in plain if r.q is None), "a in known": Counter(str(r.a) for r in plain if not 0 <= r.a < 800),
+    }
+    assert got == {rule: (sum(of.values()), sorted(of)[:3]) for rule, of in broken.items()}
+    plan = checks.violations(rows, ["k", "b"], rules[:4])
+    plan.collect()
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    # examples are kept as rows pass, not sorted; values are counted in a given number of tasks: by value and split, then by value
+    assert "Window" not in plan and "Sort" not in plan and plan.count("REPARTITION_BY_NUM") >= 4
+
+
 def test_no_brand_is_one_row_of_all_its_shops(spark):
     rows = spark.range(1005).selectExpr("'big' as marca", "'SP' as uf", "if(id % 5 = 0, null, 'c' || id % 11) as municipio_slug", "if(id % 5 = 0, null, 'C' || id % 11) as municipio", "'L' || id as nome", "'p' || id as posto_id")
     rows = rows.unionByName(rows.limit(40)).unionByName(spark.createDataFrame([("one", "RJ", None, None, "A & \"B\"", "p1")], rows.schema))
